@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriva.llm import decontaminate, exact, shards
+from scriva.llm import bpe, decontaminate, exact, langid, shards
 from scriva.llm.common import documents
 
 
@@ -51,3 +51,18 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)""",
 }
 
 QUERIES = {"op1_decontaminate": op1_decontaminate, "op4_exact_dedup": op4_exact_dedup, "op5_shards": op5_shards}
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"))
+    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = langid.predict(docs, langid.train(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES |= {"op7_bpe": op7_bpe, "op9_language": op9_language}
