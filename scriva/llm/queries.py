@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriva.llm import bpe, decontaminate, exact, langid, shards
+from scriva.llm import bpe, decontaminate, exact, jaccard, langid, shards, substrings, suffix_dedup
 from scriva.llm.common import documents
 
 
@@ -66,3 +66,23 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op7_bpe": op7_bpe, "op9_language": op9_language}
+
+
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(documents(spark, sf_dir))
+
+
+QUERIES |= {"op10_jaccard": op10_jaccard}
+
+
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return done.select("doc_id", F.col("n").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substrings.remove_repeats(documents(spark, sf_dir))
+    return done.select("doc_id", F.col("n").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES |= {"op2_suffix_dedup": op2_suffix_dedup, "op3_substring_dedup": op3_substring_dedup}
