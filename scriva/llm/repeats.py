@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriva.llm.common import small, stored
@@ -33,7 +33,7 @@ from scriva.llm.jaccard import BASE, BASE_INVERSE, BATCH_BYTES, BYTE_VALUE, SAME
 #: Reaches of one seed that a task should hold.
 SEED_REACHES = 20_000
 #: Stretches that a broadcast may carry.
-BROADCAST_STRETCHES = 3_000_000
+BROADCAST_STRETCHES = 1_000_000
 
 Scan = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
@@ -197,25 +197,27 @@ def _match_large(reaches: DataFrame, words: bool, length: int) -> DataFrame:
 
 
 def stretches(docs: DataFrame, words: bool, length: int, gram: int, matcher: Matcher, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(texts: doc_id, text_key, text; found: doc_id, text_key, spots: array of (a, b)).
+    """(texts: doc_id, text_key, text; found: w_id, w_key, spots: array of (a, b), disjoint and in order).
 
-    text_key is a hash of the text: rows are known by both, so that repeated ids stay apart.
+    Where ids are repeated, text_key is a hash of the text, and texts are known by both.
     """
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    again = _repeats_ids(texts)
+    texts = texts.withColumn("text_key", F.xxhash64("text") if again else F.lit(0).cast("long"))
     spots = stored(_scan(texts, words, length, gram), "repeat-anchors")
-    who = F.struct("doc_id", "text_key", "lo", "span")
-    by_reach = spots.groupBy("seed", "reach").agg(F.count("*").alias("n"), F.min(who).alias("one"))
-    by_reach = stored(by_reach, "repeat-reaches")
+    # The four firsts come from the same row, as one aggregation sees its rows in one order.
+    first = [F.first(c).alias(c) for c in ("doc_id", "text_key", "lo", "span")]
+    by_reach = stored(spots.groupBy("seed", "reach").agg(F.count("*").alias("n"), *first), "repeat-reaches")
     by_seed = by_reach.groupBy("seed").agg(F.count("*").alias("reaches"), F.count_if(F.col("n") == 1).alias("single"))
     by_seed = by_seed.where("reaches > 1 and single > 0")
-    shared = stored(by_reach.join(by_seed, "seed").select("seed", "reach", (F.col("n") == 1).alias("open"), "one", "reaches"), "repeat-shared")
+    shared = stored(by_reach.join(by_seed, "seed").select("seed", "reach", (F.col("n") == 1).alias("open"), F.struct("doc_id", "text_key", "lo", "span").alias("one"), "reaches"), "repeat-shared")
 
     # Fetch one copy of each reach that a seed's open ones must be held against.
     wanted = shared.groupBy(F.col("one.doc_id").alias("w_id"), F.col("one.text_key").alias("w_key")).agg(F.collect_list(F.struct(F.col("one.lo").alias("lo"), F.col("one.span").alias("span"), "seed", "reach", "open")).alias("wanted"))
     wanted = _sized(stored(wanted, "repeat-wanted"), "wanted")
     same = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_key") == F.col("w_key"))
     contents = _fetch(texts.join(wanted, same).select("text", "wanted"), words, length)
-    contents = stored(contents.dropDuplicates(["seed", "reach"]) if _repeats_ids(texts) else contents, "repeat-contents")
+    contents = stored(contents.dropDuplicates(["seed", "reach"]) if again else contents, "repeat-contents")
     large, _ = small(stored(shared.where(F.col("reaches") > SEED_REACHES).select("seed").distinct(), "repeat-large"))
     part = _match(contents.join(large, "seed", "left_anti"), words, length, matcher)
     if not large.isEmpty():
@@ -226,10 +228,22 @@ def stretches(docs: DataFrame, words: bool, length: int, gram: int, matcher: Mat
     open_found = open_found.select("one.doc_id", "one.text_key", (F.col("one.lo") + F.col("a")).alias("a"), (F.col("one.lo") + F.col("b")).alias("b"))
     twice = by_reach.where("n > 1").select("seed", "reach")
     sure = spots.join(twice, ["seed", "reach"]).select("doc_id", "text_key", F.col("lo").alias("a"), (F.col("lo") + F.col("span") + length).alias("b"))
-    found = sure.unionByName(open_found).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("a", "b")).alias("spots"))
+    found = sure.unionByName(open_found).groupBy("doc_id", "text_key").agg(_united(F.collect_set(F.struct("a", "b"))).alias("spots"))
     return texts, _sized(stored(found.select(F.col("doc_id").alias("w_id"), F.col("text_key").alias("w_key"), "spots"), "repeat-found"), "spots")
 
 
+def _united(spots: Column) -> Column:
+    """Overlapping and touching stretches as one each, in order."""
+    kind = "array<struct<a:int,b:int>>"
+
+    def take(out: Column, s: Column) -> Column:
+        last = F.get(out, F.size(out) - 1)
+        grown = F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(F.struct(last["a"].alias("a"), F.greatest(last["b"], s["b"]).alias("b"))))
+        return F.when(last["b"] >= s["a"], grown).otherwise(F.concat(out, F.array(s))).cast(kind)
+
+    return F.aggregate(F.array_sort(spots), F.expr(f"cast(array() as {kind})"), take)
+
+
 def _repeats_ids(texts: DataFrame) -> bool:
     """Whether some id is on several rows (then one text may be fetched twice)."""
     return not texts.groupBy("doc_id").count().where("count > 1").isEmpty()
