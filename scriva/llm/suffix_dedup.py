@@ -77,7 +77,9 @@ def match(contents: list[np.ndarray], seeds: np.ndarray, opened: np.ndarray, len
         _, inverse, times = np.unique(hashes, return_inverse=True, return_counts=True)
         hit = (times[inverse] > 1) & opened[chosen[owner]]
         who, start = owner[hit], (at - base[owner])[hit]
-        new = np.flatnonzero(np.concatenate(([True], (who[1:] != who[:-1]) | (start[1:] != start[:-1] + 1)))) if len(who) else []
+        if not len(who):
+            continue
+        new = np.flatnonzero(np.concatenate(([True], (who[1:] != who[:-1]) | (start[1:] != start[:-1] + 1))))
         for a, b in zip(new, [*new[1:], len(who)], strict=True):
             found.append((int(chosen[who[a]]), int(start[a]), int(start[b - 1]) + length))
     return found
