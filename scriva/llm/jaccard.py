@@ -5,9 +5,9 @@ A document's set is its distinct shingles of ``words`` words, as sorted 64-bit h
 
 1. Equal sets become one class (its smallest doc_id), so copies never meet one another.
 2. Size-banded tiles: sizes are cut into bands; a pair that links has sizes in one band or at the edge of the next. For a band
-   whose largest size is u, at most d = (100 - p) / (100 + p) * 2u elements differ, so of d + 1 ranges of the hash space at
-   least one has equal contents in both sets. Each (band, range, contents) is a tile; a pair that shares no tile can't link.
-   A set in the top tenth of its band also gets the tiles of the next.
+   whose largest size is u, at most d = (100 - p) / (100 + p) * 2u elements differ, so of d + k ranges of the hash space at
+   least k have equal contents in both sets. Each (band, range, contents) is a tile; a pair that shares no tile can't link.
+   A set near the top of its band also gets the tiles of the next.
 3. Tiles that two classes share tie them into clusters. Within a cluster every set has a bitmap signature: bit k is the parity
    of the number of elements that hash to k, so the bits in which two signatures differ are at most the elements in which the
    sets differ, which bounds the overlap from above. Pairs that pass, and that earlier links don't already connect, are
@@ -25,13 +25,14 @@ kept by ``one_of_each``.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriva.llm.common import small, stored
@@ -41,6 +42,8 @@ SHINGLE, PERCENT = 3, 90
 #: Growth of the size bands.
 BAND = 1.3
 SIGNATURE_WORDS = 16
+#: Sets of bands up to this size get tiles of two ranges.
+PAIRED_TOP = 40
 #: Elements that one task should hold of one block of a cluster.
 BLOCK_ELEMENTS = 1_500_000
 BATCH_BYTES = 1 << 20
@@ -127,6 +130,28 @@ def band_top(band: int) -> int:
     return top
 
 
+@functools.cache
+def ranges_of(band: int, percent: int) -> tuple[int, int, int]:
+    """(ranges, spare, d) of a band: d is the most elements in which a pair that links can differ.
+
+    There are d + spare ranges, so a linking pair has `spare` ranges with equal contents at least. Some of these may be empty in
+    both sets, which would tie sets that have nothing in common; spare is chosen so large that a set of the band hardly ever has
+    as many empty ranges, and only sets that have count the empty ones too.
+    """
+    top = band_top(band)
+    d = (100 - percent) * 2 * top // (100 + percent)
+    least = 2 if top <= PAIRED_TOP else 1
+    low = percent * top / 100 / BAND
+    for spare in range(least, 4 * top + 64):
+        n = d + spare
+        load = low / n
+        empty = n * np.exp(-load)
+        spread = np.sqrt(max(empty * (1 - (1 + load) * np.exp(-load)), 0.01))
+        if spare - least >= empty + 4.5 * spread:
+            return n, spare, d
+    return d + least, least, d
+
+
 def tiles_of(elements: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The keys of the tiles that a sorted set belongs to."""
     size = len(elements)
@@ -136,13 +161,22 @@ def tiles_of(elements: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     for band in (own, own + 1):
         if band > own and 100 * size < percent * (band_top(own) + 1):
             break
-        ranges = (100 - percent) * 2 * band_top(band) // (100 + percent) + 1
-        cuts = np.searchsorted(elements, (np.arange(1, ranges, dtype=np.float64) * (2.0**64 / ranges)).astype(np.uint64))
+        n, spare, d = ranges_of(band, percent)
+        if not d:  # only equal sets link
+            continue
+        cuts = np.searchsorted(elements, (np.arange(1, n, dtype=np.float64) * (2.0**64 / n)).astype(np.uint64))
         cuts = np.concatenate(([0], cuts, [size]))
-        inside = sums[cuts[1:]] - sums[cuts[:-1]]
-        place = np.arange(ranges, dtype=np.uint64) + np.uint64(band) * np.uint64(1 << 40)
-        out.append(mix(inside + mix(place)))
-    return np.concatenate(out)
+        place = np.arange(n, dtype=np.uint64) + np.uint64(band) * np.uint64(1 << 40)
+        keys = mix(sums[cuts[1:]] - sums[cuts[:-1]] + mix(place))
+        filled = cuts[1:] > cuts[:-1]
+        paired = band_top(band) <= PAIRED_TOP
+        if n - int(filled.sum()) <= spare - (2 if paired else 1):
+            keys = keys[filled]
+        if paired:  # small sets have ranges of few elements: a tile is then the contents of two ranges
+            i, j = np.triu_indices(len(keys), 1)
+            keys = mix(keys[i] + mix(keys[j]))
+        out.append(keys)
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
 def signature(elements: np.ndarray) -> np.ndarray:
@@ -232,12 +266,11 @@ def links(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, id_col:
     members = full.select("doc_id", *key).join(classes, ["n", "f1", "f2"]).select("doc_id", "n", "class")
     members = members.unionByName(facts.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("class")))
 
-    # One row of each class hands on its tiles; rows that repeat a doc_id give the same ones.
-    tiled = full.where(F.size("tiles") > 0).join(classes.withColumnRenamed("class", "doc_id"), ["doc_id", "n", "f1", "f2"], "left_semi")
-    tiles = tiled.select(F.col("doc_id").alias("class"), F.explode("tiles").alias("tile"))
-    shared = stored(tiles.groupBy("tile").agg(F.min("class").alias("pivot"), F.max("class").alias("other")).where("pivot < other").select("tile", "pivot"), "jaccard-tiles")
-    side, _ = small(shared)
-    ties = tiles.join(side, "tile").where("class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
+    # One row of each class hands on its tiles; a tile ties its classes to the least of them.
+    tiled = full.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("class"), F.first("tiles").alias("tiles"))
+    tiles = tiled.select("class", F.explode("tiles").alias("tile"))
+    tiles = tiles.select("class", F.min("class").over(Window.partitionBy("tile")).alias("pivot"))
+    ties = tiles.where("class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
     clusters = stored(connected(stored(ties, "jaccard-ties")), "jaccard-clusters")  # (node, component)
 
     side, _ = small(clusters)
