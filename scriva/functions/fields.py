@@ -12,6 +12,15 @@ from scriva.functions import lexicons as lex
 EDGE = ",.() "
 
 
+def round2(v: Column) -> Column:
+    """Two places, rounded by the number's binary value: up from half, but exact halves (eighths) to the even neighbour."""
+    r = v * 100
+    low = F.floor(r)
+    exact = v * 8 == F.floor(v * 8)
+    up = (r - low > 0.5) | ((r - low == 0.5) & (~exact | (low % 2 == 1)))
+    return (low + F.when(up, 1).otherwise(0)) / 100.0
+
+
 def nonempty(x: Column) -> Column:
     return F.when(x != "", x)
 

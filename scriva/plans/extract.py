@@ -23,7 +23,7 @@ def empty_field() -> Column:
 
 
 def confidence(factor: Column, ocr: Column, norm_factor: Column) -> Column:
-    return F.bround(F.least(F.lit(1.0), factor * ocr * norm_factor), 2)
+    return x.round2(F.least(F.lit(1.0), factor * ocr * norm_factor))
 
 
 def chosen(*tries: tuple[Column, float]) -> Column:

@@ -34,7 +34,7 @@ def repair(df: DataFrame, repairs: dict[str, list[tuple[Column, float | Column]]
     """Writes to each bad field the first of its values that is neither null nor empty."""
     new, done = {}, []
     for column, tries in repairs.items():
-        pick = F.coalesce(*[F.when(F.trim(v) != "", F.struct(F.trim(v).alias("value"), F.bround(F.col("base") * f, 2).alias("confidence"), F.lit("recovered").alias("source"))) for v, f in tries])
+        pick = F.coalesce(*[F.when(F.trim(v) != "", F.struct(F.trim(v).alias("value"), x.round2(F.col("base") * f).alias("confidence"), F.lit("recovered").alias("source"))) for v, f in tries])
         new[lex.field(column)] = F.when(is_bad(column), F.coalesce(pick, F.col(lex.field(column)))).otherwise(F.col(lex.field(column)))
         done.append(F.when(is_bad(column) & pick.isNotNull(), F.lit(column)))
     new["to_repair"] = F.array_except("to_repair", F.array_compact(F.array(*done)))
