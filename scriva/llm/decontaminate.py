@@ -94,4 +94,4 @@ def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     """The rows of docs whose doc_id has no benchmark window, with all their columns."""
     leaked = contamination(docs, items, id_col=id_col, text_col=text_col, **options).where("n_hit > 0")
     side, _ = small(stored(leaked.select(F.col("doc_id").alias("__id")).distinct(), "leak-ids"))
-    return docs.join(side, docs[id_col].eqNullSafe(F.col("__id")), "left_anti")
+    return docs.join(side, docs[id_col].eqNullSafe(side["__id"]), "left_anti")

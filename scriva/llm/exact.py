@@ -73,12 +73,12 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     gone = marked.where("not kept").select(F.col("doc_id").alias("__id"), F.col("full_hash").alias("__hash"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("__again"))
     losers = stored(gone.groupBy("__id", "__hash").agg(F.max("__again").alias("__again")), "exact-losers")
     side, _ = small(losers)
-    if losers.where(F.col("__id").isNull() | F.col("__again")).isEmpty():
-        ids = side.select("__id", "__hash")
-        joined = docs.join(ids, docs[id_col].eqNullSafe(F.col("__id")) & (F.sha2(normalised(docs[text_col]), 256) == F.col("__hash")), "left_anti")
-        return joined
-    # Some row is repeated under one id: of such rows the first by content stays.
-    hit = docs.join(side, docs[id_col].eqNullSafe(F.col("__id")) & (F.sha2(normalised(docs[text_col]), 256) == F.col("__hash")), "left")
-    clean = hit.where(F.col("__hash").isNull()).select(docs["*"])
-    again = hit.where(F.col("__again")).dropDuplicates(["__id", "__hash"]).select(docs["*"])
-    return clean.unionByName(again)
+    same = docs[id_col].eqNullSafe(side["__id"]) & (F.sha2(normalised(docs[text_col]), 256) == side["__hash"])
+    if losers.where(F.col("__again")).isEmpty():
+        return docs.join(side, same, "left_anti")
+    # Some row is repeated under one id: of such rows one stays.
+    digest = "scriva full hash"
+    again, _ = small(losers.where("__again"))
+    rows = docs.join(again, docs[id_col].eqNullSafe(again["__id"]) & (F.sha2(normalised(docs[text_col]), 256) == again["__hash"]), "left_semi")
+    rows = rows.withColumn(digest, F.sha2(normalised(F.col(text_col)), 256)).dropDuplicates([id_col, digest]).drop(digest)
+    return docs.join(side, same, "left_anti").unionByName(rows)

@@ -26,7 +26,7 @@ kept by ``one_of_each``.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -185,38 +185,50 @@ def signature(elements: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
-def _facts(percent: int, words: int, kind: str, docs: DataFrame) -> DataFrame:
-    """(doc_id, n, f1, f2, tiles): size, fingerprint and tile keys of each document's set."""
+def fingerprint(elements: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a set, as signed numbers."""
+    one = mix(np.array([np.sum(mix(elements ^ BASE)) + np.uint64(len(elements))], np.uint64))
+    return int(one.view(np.int64)[0]), int(np.sum(mix(elements + BASE_INVERSE)).view(np.int64))
+
+
+def _scan(words: int, docs: DataFrame, schema: str, rows: Callable[[pa.Array, list[np.ndarray]], list[pa.Array]]) -> DataFrame:
+    """What `rows` makes of the ids and sets of some documents at a time."""
+    names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = np.array(pc.fill_null(pc.binary_length(batch.column("text")), 0), np.int64)
             for a, b in runs(sizes, BATCH_BYTES):
                 sets = shingle_sets(texts_of(batch.column("text").slice(a, b - a)), words)
-                tiles = [tiles_of(s, percent) if len(s) else np.empty(0, np.uint64) for s in sets]
-                f1 = np.array([mix(np.array([np.sum(mix(s ^ BASE)) + np.uint64(len(s))], np.uint64))[0] for s in sets], np.uint64)
-                f2 = np.array([np.sum(mix(s + BASE_INVERSE)) for s in sets], np.uint64)
-                offsets = pa.array(np.cumsum([0, *map(len, tiles)]).astype(np.int32))
-                lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(tiles).view(np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array(np.array([len(s) for s in sets], np.int64)), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), lists],
-                    names=["doc_id", "n", "f1", "f2", "tiles"],
-                )
+                yield pa.RecordBatch.from_arrays(rows(batch.column("doc_id").slice(a, b - a), sets), names=names)
 
-    return docs.mapInArrow(run, f"doc_id {kind}, n long, f1 long, f2 long, tiles array<long>")
+    return docs.mapInArrow(run, schema)
 
 
-def _sets(words: int, kind: str, docs: DataFrame) -> DataFrame:
-    """(doc_id, elements) of the documents given."""
+def _facts(words: int, kind: str, docs: DataFrame) -> DataFrame:
+    """(doc_id, n, f1, f2): size and fingerprint of each document's set."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = np.array(pc.fill_null(pc.binary_length(batch.column("text")), 0), np.int64)
-            for a, b in runs(sizes, BATCH_BYTES):
-                sets = shingle_sets(texts_of(batch.column("text").slice(a, b - a)), words)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "elements"])
+    def rows(ids: pa.Array, sets: list[np.ndarray]) -> list[pa.Array]:
+        prints = [fingerprint(s) for s in sets]
+        return [ids, pa.array([len(s) for s in sets], pa.int64()), *(pa.array([p[k] for p in prints], pa.int64()) for k in (0, 1))]
 
-    return docs.mapInArrow(run, f"doc_id {kind}, elements binary")
+    return _scan(words, docs, f"doc_id {kind}, n long, f1 long, f2 long", rows)
+
+
+def _tiles(percent: int, words: int, docs: DataFrame) -> DataFrame:
+    """(f1, tile): a row for every tile of every document."""
+
+    def rows(ids: pa.Array, sets: list[np.ndarray]) -> list[pa.Array]:
+        tiles = [tiles_of(s, percent) if len(s) else np.empty(0, np.uint64) for s in sets]
+        f1 = np.repeat(np.array([fingerprint(s)[0] for s in sets], np.int64), [len(t) for t in tiles])
+        return [pa.array(f1), pa.array(np.concatenate(tiles).view(np.int64))]
+
+    return _scan(words, docs, "f1 long, tile long", rows)
+
+
+def _sets(words: int, kind: str, docs: DataFrame) -> DataFrame:
+    """(doc_id, elements) of the documents given."""
+    return _scan(words, docs, f"doc_id {kind}, elements binary", lambda ids, sets: [ids, pa.array([s.tobytes() for s in sets], pa.binary())])
 
 
 def link_forest(sets: list[np.ndarray], side: np.ndarray, across: bool, percent: int) -> list[tuple[int, int]]:
@@ -259,19 +271,19 @@ def links(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, id_col:
     """(members: doc_id, n, class; links: a, b between classes). Members of a class have equal sets."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    facts = stored(_facts(percent, words, kind, texts), "jaccard-facts")
+    facts = stored(_facts(words, kind, texts), "jaccard-facts")
     full = facts.where("n > 0")
     classes = stored(full.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("class")), "jaccard-classes")
     key = [F.col(c) for c in ("n", "f1", "f2")]
     members = full.select("doc_id", *key).join(classes, ["n", "f1", "f2"]).select("doc_id", "n", "class")
     members = members.unionByName(facts.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("class")))
 
-    # One row of each class hands on its tiles; a tile ties its classes to the least of them.
-    tiled = full.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("class"), F.first("tiles").alias("tiles"))
-    tiles = tiled.select("class", F.explode("tiles").alias("tile"))
-    tiles = tiles.select("class", F.min("class").over(Window.partitionBy("tile")).alias("pivot"))
-    ties = tiles.where("class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
-    clusters = stored(connected(stored(ties, "jaccard-ties")), "jaccard-clusters")  # (node, component)
+    # A tile ties its sets, known by fingerprint here, to the least of them. A second scan is cheaper than keeping all tiles.
+    tiles = _tiles(percent, words, texts)
+    tiles = tiles.select("f1", F.min("f1").over(Window.partitionBy("tile")).alias("pivot"))
+    ties = tiles.where("f1 <> pivot").select(F.col("f1").alias("a"), F.col("pivot").alias("b")).distinct()
+    clusters = connected(stored(ties, "jaccard-ties")).withColumnRenamed("node", "f1")
+    clusters = stored(classes.join(clusters, "f1").select(F.col("class").alias("node"), "component"), "jaccard-clusters")
 
     side, _ = small(clusters)
     wanted = texts.join(side.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "doc_id")
@@ -307,4 +319,4 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, i
     """The rows of docs whose doc_id is the smallest of its component, with all their columns."""
     gone = components(docs, percent, words, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
     side, _ = small(stored(gone, "jaccard-gone"))
-    return docs.join(side, docs[id_col] == F.col("__id"), "left_anti")
+    return docs.join(side, docs[id_col] == side["__id"], "left_anti")

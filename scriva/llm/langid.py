@@ -168,4 +168,4 @@ def keep_known(docs: DataFrame, net: ByteConvNet | None, id_col: str = "doc_id",
     """The rows of docs in which some language is recognised, with all their columns."""
     unknown = predict(docs, net, id_col, text_col).where("lang_pred = 'und'").select(F.col("doc_id").alias("__id")).distinct()
     side, _ = small(stored(unknown, "lang-unknown"))
-    return docs.join(side, docs[id_col].eqNullSafe(F.col("__id")), "left_anti")
+    return docs.join(side, docs[id_col].eqNullSafe(side["__id"]), "left_anti")
