@@ -118,11 +118,9 @@ def repeats_name(line: Column, name: Column) -> Column:
     return F.coalesce((bare(name) != "") & (bare(line) != "") & hit, F.lit(False))
 
 
-def record_no(text: Column) -> Column:
-    """The likeliest of the isolated five-digit runs: not a ZIP, not a stamp code, at the start of a line."""
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != "")
-    joined = F.array_join(lines, " ")
-    runs = all_matches(text, r"(?<!\d)\d{5}(?!\d)")
+def record_no(lines: Column, joined: Column) -> Column:
+    """The likeliest of the isolated five-digit runs: not a ZIP, not a stamp code, at the start of a line. joined: the lines, by spaces."""
+    runs = all_matches(joined, r"(?<!\d)\d{5}(?!\d)")
 
     def score(run: Column, k: Column) -> Column:
         before = F.rtrim(F.call_function("substring_index", joined, run, F.lit(1)))

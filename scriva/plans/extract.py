@@ -6,6 +6,8 @@ then all fields. Nothing is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,9 +29,9 @@ def confidence(factor: Column, ocr: Column, norm_factor: Column) -> Column:
 
 
 def chosen(*tries: tuple[Column, float]) -> Column:
-    """The first value that is neither null nor empty, with the confidence of its rule."""
-    kept = [F.when(F.trim(v) != "", F.struct(F.trim(v).alias("value"), F.lit(float(f)).alias("factor"))) for v, f in tries]
-    return F.coalesce(*kept)
+    """The first value that is neither null nor empty, with the confidence of its rule. Each value occurs once in the plan."""
+    every = F.array(*[F.struct(F.trim(v).alias("value"), F.lit(float(f)).alias("factor")) for v, f in tries])
+    return F.get(F.filter(every, lambda t: t["value"] != ""), F.lit(0))
 
 
 def finished(pick: Column) -> Column:
@@ -41,7 +43,8 @@ def prepare(records: DataFrame) -> DataFrame:
     """(record_id, image_name, confidence, lines, norm_factor, ...) from (record_id, image_name, text, confidence)."""
     lines = norm.join_split_email(norm.clean_available(norm.split_lines(F.col("text"))))
     df = norm.normalize(records.withColumn("lines", lines))
-    df = df.withColumns({"joined": F.array_join("lines", " "), "rec_no": x.record_no(F.array_join("lines", "\n"))})
+    df = df.withColumn("joined", F.array_join("lines", " "))
+    df = df.withColumn("rec_no", x.record_no(F.col("lines"), F.col("joined")))
     holding = F.get(F.filter(F.slice("lines", 1, 3), lambda ln: F.contains(ln, F.col("rec_no"))), F.lit(0))
     name = F.btrim(F.replace(holding, F.col("rec_no"), F.lit("")), F.lit(" \t,-_"))
     df = df.withColumn("name", F.coalesce(x.nonempty(name), F.get("lines", F.lit(0)), F.lit("")))
@@ -101,29 +104,34 @@ def places(df: DataFrame) -> DataFrame:
     return df.withColumns({"address": F.when(F.col("c_end").isNotNull(), x.strip(F.array_join(address, " "))), "ship_name": F.when(F.col("zip2").isNotNull(), x.strip(F.array_join(F.filter(ahead, is_shipper), " ")))})
 
 
-def customer_fields(df: DataFrame) -> dict[str, Column]:
-    third = F.get("customer", F.lit(2))
-    by_line = (F.size("customer") >= 3) & (F.coalesce("address", F.lit("")) == "")
-    line_state = F.when(by_line, x.first_match(third, r"\b([A-Z]{2})\b", 1))
-    state = F.coalesce("c_state", line_state)
-    line_city = F.when(by_line & F.contains(third, state), x.strip(F.call_function("substring_index", third, state, F.lit(1))))
+def body_parts(df: DataFrame) -> DataFrame:
+    """df with what height, weight and blood group are read from."""
     lines8 = F.slice("lines", 1, 8)
-    blood_line = F.get(F.filter(lines8, lambda ln: ln.rlike("(?i)" + lex.BLOOD)), F.lit(0))
-    blood = F.regexp_replace(F.replace(F.upper(F.regexp_extract(blood_line, "(?i)" + lex.BLOOD, 1)), F.lit(" "), F.lit("")), r"^0([+-])$", "O$1")
 
     def lone(ln: Column) -> Column:
         words = x.words_of(ln)
         pairs = F.zip_with(words, F.slice(words, 2, 1 << 20), lambda a, b: F.when(a.rlike(r"^\d+$") & x.int_between(a, 100, 250).isNotNull(), F.when(b.isin("+", "-"), F.concat(F.lit("B"), b)).when(F.upper(b).isin("A", "B", "O", "AB"), F.concat(F.upper(b), F.lit("+")))))
         return F.get(F.array_compact(pairs), F.lit(0))
 
-    lone_line = F.get(F.filter(lines8, lambda ln: lone(ln).isNotNull()), F.lit(0))
-    shown = F.coalesce(blood_line, lone_line)
-    on_line = F.when(shown.isNotNull(), x.body_numbers(shown))
-    prev = F.get("lines", F.array_position("lines", shown).cast("int") - 2)
+    df = df.withColumns({"blood_line": F.get(F.filter(lines8, lambda ln: ln.rlike("(?i)" + lex.BLOOD)), F.lit(0)), "lones": F.transform(lines8, lone)})
+    df = df.withColumn("lone_at", F.array_min(F.transform("lones", lambda v, i: F.when(v.isNotNull(), i))))
+    df = df.withColumns({"lone": F.get("lones", F.col("lone_at")), "shown": F.coalesce("blood_line", F.get("lines", F.col("lone_at")))})
     street = r"(?i)@|lane|ln|drive|dr|street|st|road|rd|court|ct"
     loose = F.filter(F.flatten(F.transform(F.filter(lines8, lambda ln: ~ln.rlike(street)), x.body_numbers)), lambda v: ~v.eqNullSafe(F.col("zip1")))
-    two, one = F.size(on_line) == 2, F.size(on_line) == 1
-    on_previous = F.when(one & prev.isNotNull(), F.get(x.body_numbers(prev), F.size(x.body_numbers(prev)) - 1))
+    before = F.get("lines", F.array_position("lines", F.col("shown")).cast("int") - 2)
+    return df.withColumns({"on_line": x.body_numbers(F.col("shown")), "on_previous": x.body_numbers(before), "loose": loose})
+
+
+def customer_fields(df: DataFrame) -> dict[str, Column]:
+    third = F.get("customer", F.lit(2))
+    by_line = (F.size("customer") >= 3) & (F.coalesce("address", F.lit("")) == "")
+    line_state = F.when(by_line, x.first_match(third, r"\b([A-Z]{2})\b", 1))
+    state = F.coalesce("c_state", line_state)
+    line_city = F.when(by_line & F.contains(third, state), x.strip(F.call_function("substring_index", third, state, F.lit(1))))
+    two, one = F.size("on_line") == 2, F.size("on_line") == 1
+    blood_line, on_line, loose = F.col("blood_line"), F.col("on_line"), F.col("loose")
+    blood = F.regexp_replace(F.replace(F.upper(F.regexp_extract(blood_line, "(?i)" + lex.BLOOD, 1)), F.lit(" "), F.lit("")), r"^0([+-])$", "O$1")
+    on_previous = F.when(one, F.get("on_previous", F.size("on_previous") - 1))
     country = F.upper(x.first_match(F.col("cust8"), r"(?i)(?:\b|[\d-])(US|USA)\b", 1))
     return {
         "record_no": chosen((F.col("rec_no"), 1.0)),
@@ -140,7 +148,7 @@ def customer_fields(df: DataFrame) -> dict[str, Column]:
         "d_birth": chosen((x.first_match(F.col("cust8"), lex.DATE, 1), 1.0)),
         "height": chosen((F.coalesce(F.when(two, F.get(on_line, F.lit(0))), on_previous, F.get(loose, F.lit(0))), 1.0)),
         "weight": chosen((F.coalesce(F.when(two, F.get(on_line, F.lit(1))), F.when(one, F.get(on_line, F.lit(0))), F.get(loose, F.lit(1))), 1.0)),
-        "blood_gp": chosen((F.when(blood_line.isNotNull(), blood), 1.0), (F.when(blood_line.isNull(), lone(lone_line)), 0.8)),
+        "blood_gp": chosen((F.when(blood_line.isNotNull(), blood), 1.0), (F.when(blood_line.isNull(), F.col("lone")), 0.8)),
     }
 
 
@@ -211,11 +219,10 @@ def policy_fields(df: DataFrame) -> dict[str, Column]:
 
 def medication_fields(df: DataFrame) -> dict[str, Column]:
     med, every = F.col("med_text"), F.col("joined")
-    card = chosen((x.card_name(med), 1.0), (x.card_name(every), 0.7))
+    card, amounts = F.col("card"), F.col("amounts")
     at = F.instr(F.lower(med), F.lower(card["value"]))
     behind = F.when(at > 0, F.substring(med, at + F.length(card["value"]), F.length(med)))
     after_card = F.upper(x.first_match(behind, r"^\s+(?:[A-Za-z]{1,15}\s+){0,2}([A-Za-z]{4,20})\b", 1))
-    amounts = x.amounts(med)
     n = F.size(amounts)
 
     def price(k: int) -> Column:
@@ -240,12 +247,20 @@ def medication_fields(df: DataFrame) -> dict[str, Column]:
     }
 
 
-def extract(records: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(record_id, the texts and sections that later steps read, and the 43 fields)."""
-    df = policy_parts(places(prepare(records)))
+def extract(records: DataFrame, store: Callable[[DataFrame, str], DataFrame] | None = None, *, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(record_id, the texts and sections that later steps read, and the 43 fields).
+
+    store writes an intermediate table and reads it back. Without that cut the optimizer folds texts and places into the lambdas
+    of the fields, where they are worked out again for every word.
+    """
+    df = prepare(records)
+    df = policy_parts(places(store(df, "bills-prepared") if store else df))
+    df = body_parts(df).withColumns({"card": chosen((x.card_name(F.col("med_text")), 1.0), (x.card_name(F.col("joined")), 0.7)), "amounts": x.amounts(F.col("med_text"))})
+    df = store(df, "bills-placed") if store else df
     picks = customer_fields(df) | shipper_fields(df) | policy_fields(df) | medication_fields(df)
+    base = ["record_id", "lines", "joined", "customer", "shipper", "policy", "medication", "norm_factor", "confidence", *keep]
+    df = df.select(*base, F.col("image_name").alias("_image"), *[v.alias(f"_{f}") for f, v in picks.items()])
     some = F.size("lines") > 0
-    image = F.struct(F.col("image_name").alias("value"), F.lit(1.0).alias("confidence"), F.lit("file").alias("source")).alias("image_name")
-    base = ["record_id", "lines", "joined", "customer", "shipper", "policy", "medication", "norm_factor", F.col("confidence").alias("ocr_confidence"), *keep]
-    rows = [image if f == "image_name" else F.when(some, finished(picks[f])).otherwise(empty_field()).alias(f) for f in lex.FIELDS]
-    return df.select(*base, *rows)
+    image = F.struct(F.col("_image").alias("value"), F.lit(1.0).alias("confidence"), F.lit("file").alias("source")).alias("image_name")
+    rows = [image if f == "image_name" else F.when(some, finished(F.col(f"_{f}"))).otherwise(empty_field()).alias(f) for f in lex.FIELDS]
+    return df.select(*[F.col(c).alias("ocr_confidence") if c == "confidence" else c for c in base], *rows)

@@ -97,9 +97,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores: rows of a small file lie in one split, and each makes a bill that takes a while to read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def record_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(record_id, image_name, text, confidence): one bill per order."""
-    return spark.sql(records_sql("{orders}"), orders=table(spark, sf_dir, "orders"))
+    return spark.sql(records_sql("{orders}"), orders=spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")))
 
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,8 +119,7 @@ def kept(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
     """A table that several queries start from, written once per application and input to the shared checkpoint folder."""
     key = spark.sparkContext.applicationId, sf_dir, name
     if key not in _kept:
-        df = make()
-        _kept[key] = spark.read.schema(df.schema).parquet(store(df, name))
+        _kept[key] = stored(make(), name)
     return _kept[key]
 
 
@@ -130,3 +135,8 @@ def store(df: DataFrame, name: str) -> str:
     path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df, written once and read back."""
+    return df.sparkSession.read.schema(df.schema).parquet(store(df, name))

@@ -28,10 +28,12 @@ def staged(records: DataFrame, store: Callable[[DataFrame, str], DataFrame]) ->
     Each stage is written by `store` and read again: 43 structs through ten stages of rules would be one huge expression tree
     otherwise. Passing rows have no bad or empty field, so recovery and fallback don't change them; they only run on the others.
     """
-    first = store(validate.validate(extract.extract(enough_lines(records))).withColumn("valid_1", validate.validity()), "bills-first")
-    again = validate.validate(recover.recover(first.where("not valid")).drop(*validate.RESULT)).withColumn("valid_2", validate.validity())
-    second = store(again, "bills-second")
-    last = validate.validate(fallback.fill(second.where("not valid")).drop(*validate.RESULT)).withColumn("valid_3", validate.validity())
+    fields = store(extract.extract(enough_lines(records), store), "bills-fields")
+    first = store(validate.validate(fields).withColumn("valid_1", validate.validity()), "bills-first")
+    mended = store(recover.recover(first.where("not valid"), store).drop(*validate.RESULT), "bills-mended")
+    second = store(validate.validate(mended).withColumn("valid_2", validate.validity()), "bills-second")
+    filled = store(fallback.fill(second.where("not valid")).drop(*validate.RESULT), "bills-filled")
+    last = validate.validate(filled).withColumn("valid_3", validate.validity())
     passed = first.where("valid").withColumn("valid_2", F.col("valid_1"))
     second = passed.select(*second.columns).unionByName(second)
     third = second.where("valid").withColumn("valid_3", F.col("valid_2"))

@@ -6,6 +6,8 @@ stages see it as good. Each stage is one projection over the row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +36,8 @@ def repair(df: DataFrame, repairs: dict[str, list[tuple[Column, float | Column]]
     """Writes to each bad field the first of its values that is neither null nor empty."""
     new, done = {}, []
     for column, tries in repairs.items():
-        pick = F.coalesce(*[F.when(F.trim(v) != "", F.struct(F.trim(v).alias("value"), x.round2(F.col("base") * f).alias("confidence"), F.lit("recovered").alias("source"))) for v, f in tries])
+        every = F.array(*[F.struct(F.trim(v).alias("value"), x.round2(F.col("base") * f).alias("confidence"), F.lit("recovered").alias("source")) for v, f in tries])
+        pick = F.get(F.filter(every, lambda t: t["value"] != ""), F.lit(0))
         new[lex.field(column)] = F.when(is_bad(column), F.coalesce(pick, F.col(lex.field(column)))).otherwise(F.col(lex.field(column)))
         done.append(F.when(is_bad(column) & pick.isNotNull(), F.lit(column)))
     new["to_repair"] = F.array_except("to_repair", F.array_compact(F.array(*done)))
@@ -135,8 +138,8 @@ def plain_number(v: Column) -> Column:
     return F.when(bare.rlike(r"^\d+(\.\d+)?$"), bare.try_cast("decimal(14,4)"))
 
 
-def recover(df: DataFrame) -> DataFrame:
-    """df (with missing_fields and format_errors of a validation) with its bad fields repaired."""
+def recover(df: DataFrame, store: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """df (with missing_fields and format_errors of a validation) with its bad fields repaired. store cuts the plan half way."""
     kept = df.columns
     df = df.withColumns({"base": base_confidence(), "to_repair": F.array_union("missing_fields", "format_errors"), "words": x.words_of(F.col("joined"))})
     text = F.array_join("lines", "\n")
@@ -160,6 +163,7 @@ def recover(df: DataFrame) -> DataFrame:
     df = df.withColumn("_address", F.when(F.col("r_end").isNotNull(), address))
     df = repair(df, {"STATE_1": [(F.col("r_state"), 0.9)], "CITY_1": [(F.col("r_city"), 0.85)], "RES_ADDRESS": [(F.col("_address"), 0.85)], "POLICY NO": [(F.col("policy_part"), 0.95)]})
 
+    df = store(df, "bills-half") if store else df
     phone = repaired_phone(text)
     shown = F.concat(F.lit("("), F.substring(phone, 1, 3), F.lit(") "), F.substring(phone, 4, 3), F.lit("-"), F.substring(phone, 7, 4))
     df = repair(df, {"PH_NO1": [(shown, 0.9)], "PH_NO2": [(phone, 0.9)], "CARD NAME": [(card_trace(text), 0.9)], "BLOOD GP": [(repaired_blood(value("BLOOD GP")), 0.9)]})

@@ -128,7 +128,7 @@ def bills(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
 
     def made() -> tuple[DataFrame, DataFrame, DataFrame]:
         if not cache:
-            cache.append(pipeline.staged(fixtures.record_text(spark, sf_dir), lambda df, name: spark.read.schema(df.schema).parquet(fixtures.store(df, name))))
+            cache.append(pipeline.staged(fixtures.record_text(spark, sf_dir), fixtures.stored))
         return cache[0]
 
     return one(0), one(1), one(2)
@@ -262,7 +262,7 @@ scalar("rec_dates", f"'on ' || {DAY} || ' and 1/2/1950 9/8/70'", lambda t: F.con
 
 def _empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record_id"), F.lit("p.png").alias("image_name"), F.lit("available\n \nNot Available").alias("text"), F.lit(0.9).alias("confidence"))
-    out = extract.extract(rows)
+    out = extract.extract(rows, fixtures.stored)
     return out.select("record_id", F.col("image_name.value").alias("image_name"), F.coalesce(*[F.col(f"{f}.value") for f in lex.FIELDS if f != "image_name"]).isNull().alias("all_empty"))
 
 

@@ -23,10 +23,7 @@ def route(spark: SparkSession, source: str, target: str, files_per_batch: int |
         stream = stream.option("maxFilesPerTrigger", files_per_batch)
 
     def batch(df: DataFrame, number: int) -> None:
-        def keep(part: DataFrame, name: str) -> DataFrame:
-            return spark.read.schema(part.schema).parquet(fixtures.store(part, name))
-
-        _, _, done = staged(df, keep)
+        _, _, done = staged(df, fixtures.stored)
         for name, rows in (("accepted", sinks.accepted(done)), ("review", sinks.review(done)), ("log", sinks.log(done))):
             rows.write.mode("overwrite").parquet(f"{target}/{name}/batch={number}")
 
