@@ -435,7 +435,7 @@ def _columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("image_id", F.array_join(F.col("cuts").cast("array<string>"), ",").alias("cuts"))
 
 
-register("column_islands", _columns, f"SELECT n_nationkey AS image_id, CASE WHEN n_nationkey % 3 = 0 THEN '0,50,100,150' ELSE '0,' || m || ',150' END AS cuts FROM nation LEFT JOIN (SELECT image_id, string_agg(CAST(floor((a + b) / 2) AS INT), ',' ORDER BY a) AS m FROM {RUNS} r GROUP BY image_id) q ON image_id = n_nationkey")
+register("column_islands", _columns, f"SELECT n_nationkey AS image_id, CASE WHEN n_nationkey % 3 = 0 THEN '0,50,100,150' ELSE array_to_string(list_sort(list_distinct(list_concat([0, 150], m))), ',') END AS cuts FROM nation LEFT JOIN (SELECT image_id, list(CAST(floor((a + b) / 2) AS INT)) AS m FROM {RUNS} r GROUP BY image_id) q ON image_id = n_nationkey")
 register("win_moving_mean", lambda s, d: profile(s, d).select("image_id", "row", F.bround(layout.moving_mean("ink", "image_id"), 6).alias("mean")), f"SELECT image_id, row, round(sum(ink) OVER (PARTITION BY image_id ORDER BY row ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) / 3.0, 6) AS mean FROM {PROFILE_SQL} p")
 
 
