@@ -5,13 +5,15 @@ A document's set is its distinct shingles of ``words`` words, as sorted 64-bit h
 
 1. Equal sets become one class (its smallest doc_id), so copies never meet one another.
 2. Size-banded tiles: sizes are cut into bands; a pair that links has sizes in one band or at the edge of the next. For a band
-   whose largest size is u, at most d = (100 - p) / (100 + p) * 2u elements differ, so of d + k ranges of the hash space at
-   least k have equal contents in both sets. Each (band, range, contents) is a tile; a pair that shares no tile can't link.
-   A set near the top of its band also gets the tiles of the next.
-3. Tiles that two classes share tie them into clusters. Within a cluster every set has a bitmap signature: bit k is the parity
-   of the number of elements that hash to k, so the bits in which two signatures differ are at most the elements in which the
-   sets differ, which bounds the overlap from above. Pairs that pass, and that earlier links don't already connect, are
-   decided by exact intersection of the sorted arrays.
+   whose largest size is u, at most d = (100 - p) / (100 + p) * 2u elements differ. The hash space is dealt into n bins, in r
+   independent ways; a (band, way, bin, contents) is a tile of every set with these contents there. The d elements leave n * r *
+   (1 - 1/n)^d bins untouched on average; n and r make these MISS or more (empty bins not counted), so that a linking pair shares
+   no tile with a chance of about e^-MISS, less than that of two unequal shingles with the same 64-bit hash in a large corpus. A
+   set near the top of its band also gets the tiles of the next.
+3. Tiles that two sets share tie them into clusters, each within one band. Every set of a cluster has a bitmap signature with
+   about as many bits as the set has elements: bit k is the parity of the number of elements that hash to k, so the bits in
+   which two signatures differ are at most the elements in which the sets differ, which bounds the overlap from above. Pairs
+   that pass make smaller clusters; only the sets of these are fetched and decided by exact intersection of sorted arrays.
 4. A cluster too large for a task is cut into blocks, and each pair of blocks is a task of its own; what a task hands on is a
    spanning forest of the links it found, never all pairs.
 
@@ -41,11 +43,14 @@ from scriva.llm.graph import connected
 SHINGLE, PERCENT = 3, 90
 #: Growth of the size bands.
 BAND = 1.3
-SIGNATURE_WORDS = 16
-#: Sets of bands up to this size get tiles of two ranges.
-PAIRED_TOP = 40
-#: Elements that one task should hold of one block of a cluster.
+#: Average number of tiles that the least alike pair that links shares, at least.
+MISS = 40
+#: Tiles of a set in one band, unless MISS takes more: the more tiles, the more elements in each, the fewer false ties.
+TILES = 128
+LEAST_BITS = 512
+#: What one task should hold of one block of a cluster: sets by elements, signatures by bits.
 BLOCK_ELEMENTS = 1_500_000
+BLOCK_BITS = 16_000_000
 BATCH_BYTES = 1 << 20
 
 _rng = np.random.default_rng(20240607)
@@ -131,60 +136,59 @@ def band_top(band: int) -> int:
 
 
 @functools.cache
-def ranges_of(band: int, percent: int) -> tuple[int, int, int]:
-    """(ranges, spare, d) of a band: d is the most elements in which a pair that links can differ.
-
-    There are d + spare ranges, so a linking pair has `spare` ranges with equal contents at least. Some of these may be empty in
-    both sets, which would tie sets that have nothing in common; spare is chosen so large that a set of the band hardly ever has
-    as many empty ranges, and only sets that have count the empty ones too.
-    """
+def ranges_of(band: int, percent: int) -> tuple[int, int]:
+    """(bins, ways) of a band; (0, 0) if only equal sets link."""
     top = band_top(band)
     d = (100 - percent) * 2 * top // (100 + percent)
-    least = 2 if top <= PAIRED_TOP else 1
-    low = percent * top / 100 / BAND
-    for spare in range(least, 4 * top + 64):
-        n = d + spare
-        load = low / n
-        empty = n * np.exp(-load)
-        spread = np.sqrt(max(empty * (1 - (1 + load) * np.exp(-load)), 0.01))
-        if spare - least >= empty + 4.5 * spread:
-            return n, spare, d
-    return d + least, least, d
-
-
-def tiles_of(elements: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The keys of the tiles that a sorted set belongs to."""
-    size = len(elements)
+    if not d:
+        return 0, 0
+    # A linking pair with its larger set in the band has so many elements in common.
+    common = max(-(-percent * (band_top(band - 1) + 1 if band else 1) // 100), 1)
+    n = np.arange(2, 4 * d + 64, dtype=float)
+    untouched = n * (1 - 1 / n) ** d * (1 - (1 - 1 / n) ** common)
+    ways = np.ceil(MISS / np.maximum(untouched, 1e-9))
+    cost = n * ways
+    best = int(np.argmax(cost <= max(TILES, cost.min())))
+    return int(n[best]), int(ways[best])
+
+
+def bands_of(size: int, percent: int) -> list[int]:
+    """The bands in which a set of that size looks for partners: its own, and the next if a set of that can link with it."""
     own = band_of(size)
-    out = []
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(elements))))
-    for band in (own, own + 1):
-        if band > own and 100 * size < percent * (band_top(own) + 1):
-            break
-        n, spare, d = ranges_of(band, percent)
-        if not d:  # only equal sets link
-            continue
-        cuts = np.searchsorted(elements, (np.arange(1, n, dtype=np.float64) * (2.0**64 / n)).astype(np.uint64))
-        cuts = np.concatenate(([0], cuts, [size]))
-        place = np.arange(n, dtype=np.uint64) + np.uint64(band) * np.uint64(1 << 40)
-        keys = mix(sums[cuts[1:]] - sums[cuts[:-1]] + mix(place))
-        filled = cuts[1:] > cuts[:-1]
-        paired = band_top(band) <= PAIRED_TOP
-        if n - int(filled.sum()) <= spare - (2 if paired else 1):
-            keys = keys[filled]
-        if paired:  # small sets have ranges of few elements: a tile is then the contents of two ranges
-            i, j = np.triu_indices(len(keys), 1)
-            keys = mix(keys[i] + mix(keys[j]))
-        out.append(keys)
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
-
-
-def signature(elements: np.ndarray) -> np.ndarray:
-    """Bit k of the 64 * SIGNATURE_WORDS bits is the parity of the number of elements whose low bits are k."""
-    odd = np.bincount((elements & np.uint64(64 * SIGNATURE_WORDS - 1)).astype(np.int64), minlength=64 * SIGNATURE_WORDS) & 1
+    return [own, own + 1] if 100 * size >= percent * (band_top(own) + 1) else [own]
+
+
+def tiles_of(elements: np.ndarray, band: int, percent: int = PERCENT) -> np.ndarray:
+    """The keys of the tiles of a band that a set belongs to."""
+    n, ways = ranges_of(band, percent)
+    if not n:
+        return np.empty(0, np.uint64)
+    dealt = mix(elements[None, :] ^ mix(np.arange(1, ways + 1, dtype=np.uint64))[:, None])
+    place = ((dealt >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64) + np.arange(ways)[:, None] * n
+    sums = np.zeros(n * ways, np.uint64)
+    np.add.at(sums, place.ravel(), mix(dealt).ravel())
+    filled = np.flatnonzero(sums)
+    return mix(sums[filled] + mix(filled.astype(np.uint64) + np.uint64(band) * np.uint64(1 << 40)))
+
+
+def node_of(f1: int, band: int) -> int:
+    """The name of a set, known by its fingerprint, in a band."""
+    return int(mix(np.array([f1], np.int64).view(np.uint64) + np.uint64(band))[0].view(np.int64))
+
+
+def signature(elements: np.ndarray, size: int) -> np.ndarray:
+    """Bit k is the parity of the number of elements whose low bits are k; the bits are the power of two from `size` on."""
+    bits = 1 << (max(size, LEAST_BITS) - 1).bit_length()
+    odd = np.bincount((elements & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
+def folded(signs: list[np.ndarray]) -> np.ndarray:
+    """The signatures, all as short as the shortest: those of half as many bits are the two halves added."""
+    least = min(map(len, signs))
+    return np.stack([np.bitwise_xor.reduce(s.reshape(-1, least), axis=0) for s in signs])
+
+
 def fingerprint(elements: np.ndarray) -> tuple[int, int]:
     """Two hashes of a set, as signed numbers."""
     one = mix(np.array([np.sum(mix(elements ^ BASE)) + np.uint64(len(elements))], np.uint64))
@@ -216,31 +220,48 @@ def _facts(words: int, kind: str, docs: DataFrame) -> DataFrame:
 
 
 def _tiles(percent: int, words: int, docs: DataFrame) -> DataFrame:
-    """(f1, tile): a row for every tile of every document."""
+    """(node, tile): a row for every tile of every document, which has a node in each of its bands."""
 
     def rows(ids: pa.Array, sets: list[np.ndarray]) -> list[pa.Array]:
-        tiles = [tiles_of(s, percent) if len(s) else np.empty(0, np.uint64) for s in sets]
-        f1 = np.repeat(np.array([fingerprint(s)[0] for s in sets], np.int64), [len(t) for t in tiles])
-        return [pa.array(f1), pa.array(np.concatenate(tiles).view(np.int64))]
+        tiles = [(node_of(fingerprint(s)[0], band), tiles_of(s, band, percent)) for s in sets if len(s) for band in bands_of(len(s), percent)]
+        nodes = np.repeat(np.array([n for n, _ in tiles], np.int64), [len(t) for _, t in tiles])
+        return [pa.array(nodes), pa.array(np.concatenate([np.empty(0, np.uint64), *(t for _, t in tiles)]).view(np.int64))]
+
+    return _scan(words, docs, "node long, tile long", rows)
+
+
+def _nodes(percent: int, kind: str, classes: DataFrame) -> DataFrame:
+    """(class, node) of the classes, as their tiles name them."""
 
-    return _scan(words, docs, "f1 long, tile long", rows)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[node_of(f1, band) for band in bands_of(n, percent)] for n, f1 in zip(batch.column("n").to_pylist(), batch.column("f1").to_pylist(), strict=True)]
+            at = np.repeat(np.arange(len(found)), [len(x) for x in found])
+            yield pa.RecordBatch.from_arrays([batch.column("class").take(pa.array(at)), pa.array([x for f in found for x in f], pa.int64())], names=["class", "node"])
+
+    return classes.select("class", "n", "f1").mapInArrow(run, f"class {kind}, node long")
 
 
 def _sets(words: int, kind: str, docs: DataFrame) -> DataFrame:
-    """(doc_id, elements) of the documents given."""
-    return _scan(words, docs, f"doc_id {kind}, elements binary", lambda ids, sets: [ids, pa.array([s.tobytes() for s in sets], pa.binary())])
+    """(doc_id, size, content): the sorted elements of the documents given."""
+    return _scan(words, docs, f"doc_id {kind}, size long, content binary", lambda ids, sets: [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())])
+
+
+def _signatures(words: int, kind: str, docs: DataFrame) -> DataFrame:
+    """(doc_id, size, content): the bitmap signatures of the documents given."""
+    return _scan(words, docs, f"doc_id {kind}, size long, content binary", lambda ids, sets: [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s, len(s)).tobytes() for s in sets], pa.binary())])
 
 
-def link_forest(sets: list[np.ndarray], side: np.ndarray, across: bool, percent: int) -> list[tuple[int, int]]:
-    """Links that connect all that the links among these sets connect. across: only pairs from different sides are looked at."""
-    n = len(sets)
-    size = np.array([len(s) for s in sets])
+def link_forest(size: np.ndarray, sign: np.ndarray, sets: list[np.ndarray] | None, side: np.ndarray, across: bool, percent: int) -> list[tuple[int, int]]:
+    """Links that connect all that the links among these sets connect; without the sets, all whose signatures don't exclude a link.
+
+    across: only pairs from different sides are looked at.
+    """
     order = np.argsort(size, kind="stable")
-    sets, size, side = [sets[i] for i in order], size[order], side[order]
-    sign = np.stack([signature(s) for s in sets])
-    label = np.arange(n)
+    size, sign, side = size[order], sign[order], side[order]
+    label = np.arange(len(size))
     links = []
-    for i in range(n):
+    for i in range(len(size)):
         # Later sets are no smaller: sizes up to size / p can link.
         last = np.searchsorted(size, size[i] * 100 // percent, side="right")
         if last <= i + 1:
@@ -257,16 +278,38 @@ def link_forest(sets: list[np.ndarray], side: np.ndarray, across: bool, percent:
         for j in near:
             if label[j] == label[i]:
                 continue
-            a, b = sets[i], sets[j]
-            at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-            shared = int((b[at] == a).sum())
-            if 100 * shared >= percent * (len(a) + len(b) - shared):
-                links.append((int(order[i]), int(order[j])))
-                old, new = max(label[i], label[j]), min(label[i], label[j])
-                label[label == old] = new
+            if sets is not None:
+                a, b = sets[order[i]], sets[order[j]]
+                at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+                shared = int((b[at] == a).sum())
+                if 100 * shared < percent * (len(a) + len(b) - shared):
+                    continue
+            links.append((int(order[i]), int(order[j])))
+            old, new = max(label[i], label[j]), min(label[i], label[j])
+            label[label == old] = new
     return links
 
 
+def _decided(rows: DataFrame, most: int, exact: bool, percent: int, kind: str) -> DataFrame:
+    """(a, b): a forest of the links in each cluster. rows: (cluster, doc_id, size, content); a block holds about `most` of size."""
+    rows = stored(rows, "jaccard-rows")
+    blocks = stored(rows.groupBy("cluster").agg(F.ceil(F.sum("size") / most).cast("int").alias("blocks")), "jaccard-blocks")
+    side, _ = small(blocks)
+    placed = rows.join(side, "cluster").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("cluster", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "doc_id", "size", "content")
+
+    def decide(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates("doc_id").reset_index(drop=True)
+        held, size = [np.frombuffer(x, np.uint64) for x in pdf["content"]], pdf["size"].to_numpy(np.int64)
+        sign = np.stack([signature(x, int(size.min())) for x in held]) if exact else folded(held)
+        found = link_forest(size, sign, held if exact else None, pdf["block"].to_numpy(), key[1] != key[2], percent)
+        ids = pdf["doc_id"].to_numpy()
+        return pd.DataFrame({"a": [ids[i] for i, _ in found], "b": [ids[j] for _, j in found]})
+
+    return stored(placed.groupBy("cluster", "i", "j").applyInPandas(decide, f"a {kind}, b {kind}"), "jaccard-links")
+
+
 def links(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(members: doc_id, n, class; links: a, b between classes). Members of a class have equal sets."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -278,32 +321,22 @@ def links(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, id_col:
     members = full.select("doc_id", *key).join(classes, ["n", "f1", "f2"]).select("doc_id", "n", "class")
     members = members.unionByName(facts.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("class")))
 
-    # A tile ties its sets, known by fingerprint here, to the least of them. A second scan is cheaper than keeping all tiles.
+    # A tile ties its sets to the least of them. A second scan is cheaper than keeping all tiles.
     tiles = _tiles(percent, words, texts)
-    tiles = tiles.select("f1", F.min("f1").over(Window.partitionBy("tile")).alias("pivot"))
-    ties = tiles.where("f1 <> pivot").select(F.col("f1").alias("a"), F.col("pivot").alias("b")).distinct()
-    clusters = connected(stored(ties, "jaccard-ties")).withColumnRenamed("node", "f1")
-    clusters = stored(classes.join(clusters, "f1").select(F.col("class").alias("node"), "component"), "jaccard-clusters")
-
-    side, _ = small(clusters)
-    wanted = texts.join(side.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "doc_id")
-    sets = _sets(words, kind, wanted.select("doc_id", "text")).withColumn("size", (F.length("elements") / 8).cast("long"))
-    sets = stored(sets, "jaccard-sets").join(clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "doc_id")
-    weight = sets.groupBy("cluster").agg(F.sum("size").alias("w"))
-    blocks = stored(weight.select("cluster", F.ceil(F.col("w") / BLOCK_ELEMENTS).cast("int").alias("blocks")), "jaccard-blocks")
-    side, _ = small(blocks)
-    placed = sets.join(side, "cluster").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("cluster", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "doc_id", "elements")
-
-    def decide(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("doc_id").reset_index(drop=True)
-        found = link_forest([np.frombuffer(x, np.uint64) for x in pdf["elements"]], pdf["block"].to_numpy(), key[1] != key[2], percent)
-        ids = pdf["doc_id"].to_numpy()
-        return pd.DataFrame({"a": [ids[i] for i, _ in found], "b": [ids[j] for _, j in found]})
-
-    found = placed.groupBy("cluster", "i", "j").applyInPandas(decide, f"a {kind}, b {kind}")
-    return members, stored(found, "jaccard-links")
+    tiles = tiles.select("node", F.min("node").over(Window.partitionBy("tile")).alias("pivot"))
+    ties = tiles.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    tied = connected(stored(ties, "jaccard-ties"))
+    tied = stored(_nodes(percent, kind, classes).join(tied, "node").select(F.col("class").alias("doc_id"), F.col("component").alias("cluster")), "jaccard-clusters")
+
+    def held(scan: Callable[[int, str, DataFrame], DataFrame], clusters: DataFrame) -> DataFrame:
+        side, fits = small(clusters)
+        ids = clusters.select("doc_id").distinct()
+        wanted = texts.join(F.broadcast(ids) if fits else ids, "doc_id", "left_semi")
+        return scan(words, kind, wanted).join(side, "doc_id")
+
+    near = _decided(held(_signatures, tied), BLOCK_BITS, False, percent, kind)
+    near = stored(connected(near).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "jaccard-near")
+    return members, _decided(held(_sets, near), BLOCK_ELEMENTS, True, percent, kind)
 
 
 def components(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -143,8 +143,27 @@ def test_link_forest_over_blocks():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
     sets = [np.unique(np.concatenate((base[: 400 - k], rng.integers(0, 1 << 63, k, dtype=np.uint64)))) for k in (0, 4, 8, 15, 90)]
-    assert len(jaccard.link_forest(sets, np.zeros(5, int), False, 90)) == 3
-    assert len(jaccard.link_forest(sets, np.array([0, 0, 1, 1, 1]), True, 90)) >= 2
+    size = np.array([len(s) for s in sets])
+    sign = jaccard.folded([jaccard.signature(s, 512 << i % 2) for i, s in enumerate(sets)])
+    assert (sign == np.stack([jaccard.signature(s, 300) for s in sets])).all()
+    assert len(jaccard.link_forest(size, sign, sets, np.zeros(5, int), False, 90)) == 3
+    assert len(jaccard.link_forest(size, sign, sets, np.array([0, 0, 1, 1, 1]), True, 90)) >= 2
+    assert len(jaccard.link_forest(size, sign, None, np.zeros(5, int), False, 90)) >= 3
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linking_sets_share_tiles(percent):
+    rng = np.random.default_rng(5)
+    for size in [*range(1, 80), 250, 900, 5000]:
+        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        swap = size * (100 - percent) // (100 + percent)
+        while swap and 100 * (size - swap) < percent * (size + swap):
+            swap -= 1
+        for b in (np.concatenate((a[swap:], rng.integers(0, 1 << 63, swap, dtype=np.uint64))), a[: -(-percent * size // 100)]):
+            if np.array_equal(a, b):
+                continue
+            shared = [np.intersect1d(jaccard.tiles_of(a, k, percent), jaccard.tiles_of(b, k, percent)) for k in set(jaccard.bands_of(len(a), percent)) & set(jaccard.bands_of(len(b), percent))]
+            assert any(len(s) > 0 for s in shared), (size, len(b))
 
 
 def test_bpe(docs):
