@@ -16,7 +16,8 @@ the corpus. The benchmark side is broadcast only while it has at most ``BROADCAS
 
 Defined cases: null and empty texts have no words and are clean; items without words have no windows; a null item_id marks
 words but is not listed; repeated item_ids are one item; repeated doc_ids stay apart (rows are told apart by a stored row
-number); an empty benchmark leaves all clean; further columns are not read by ``contamination`` and kept by ``drop_leaks``.
+number, in ``drop_leaks`` by a hash of their text); an empty benchmark leaves all clean; further columns are not read by
+``contamination`` and kept by ``drop_leaks``.
 """
 
 from __future__ import annotations
@@ -91,7 +92,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs whose doc_id has no benchmark window, with all their columns."""
-    leaked = contamination(docs, items, id_col=id_col, text_col=text_col, **options).where("n_hit > 0")
-    side, _ = small(stored(leaked.select(F.col("doc_id").alias("__id")).distinct(), "leak-ids"))
-    return docs.join(side, docs[id_col].eqNullSafe(side["__id"]), "left_anti")
+    """The rows of docs whose text has no benchmark window, with all their columns."""
+    digest = F.sha2(F.col(text_col), 256)
+    rows = docs.select(F.struct(F.col(id_col).alias("id"), digest.alias("hash")).alias("doc_id"), F.col(text_col).alias("text"))
+    leaked = contamination(rows, items, **options).where("n_hit > 0")
+    side, _ = small(stored(leaked.select(F.col("doc_id.id").alias("__id"), F.col("doc_id.hash").alias("__hash")).distinct(), "leak-ids"))
+    # An id alone may be null or stand for several texts.
+    return docs.join(side, docs[id_col].eqNullSafe(side["__id"]) & (F.sha2(docs[text_col], 256) == side["__hash"]), "left_anti")

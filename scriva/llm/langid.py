@@ -8,7 +8,7 @@ of every text; a document's probabilities are the mean over its windows.
 Only text and lang of training rows are learned from; lang, source and doc_id are no inputs of a prediction.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; with no labelled training row all are ``und``;
-null ids count as held out; an empty table gives an empty result; further columns are not read by ``predict`` and are kept by
+null ids count as held out and, like repeated ones, are allowed; an empty table gives an empty result; further columns are not read by ``predict`` and are kept by
 ``keep_known``.
 """
 
@@ -21,8 +21,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scriva.llm.common import small, stored
-
 WINDOW, STRIDE, EMBED = 128, 2, 8
 WIDTHS, FILTERS = (2, 3, 4), 8
 #: Bounds of the training sample: documents of a language, windows of a document, languages.
@@ -122,50 +120,66 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id
     return ByteConvNet(langs).fit(np.stack([w for w, _ in windows]), np.array([k for _, k in windows]))
 
 
+def labels(net: ByteConvNet | None, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    """The language and score of each text of a batch; null stands for a text without a letter."""
+    names: list[str] = ["und"] * len(texts)
+    scores = np.zeros(len(texts))
+    todo: list[tuple[int, np.ndarray]] = []
+    held = 0
+
+    def work(todo: list[tuple[int, np.ndarray]]) -> None:
+        p = net.probabilities(np.concatenate([w for _, w in todo]))
+        at = np.cumsum([0, *(len(w) for _, w in todo)])
+        logs = np.add.reduceat(np.log(p + 1e-9), at[:-1])
+        means = np.add.reduceat(p, at[:-1]) / np.diff(at)[:, None]
+        for (i, _), best, mean in zip(todo, logs.argmax(1), means, strict=True):
+            names[i], scores[i] = net.langs[best], min(1.0, max(0.0, float(mean[best])))
+
+    for i, text in enumerate(texts):
+        if net is None or not text.is_valid:
+            continue
+        raw = np.frombuffer(text.as_buffer(), np.uint8)
+        if len(raw) < WINDOW:
+            raw = np.append(raw, np.full(WINDOW - len(raw), 32, np.uint8))
+        step = WINDOW - max(WIDTHS) + 1
+        starts = np.unique(np.append(np.arange(0, len(raw) - WINDOW + 1, step), len(raw) - WINDOW))
+        view = np.lib.stride_tricks.sliding_window_view(raw, WINDOW)[starts]
+        todo.append((i, view))
+        held += len(view)
+        if held >= CHUNK_WINDOWS:
+            work(todo)
+            todo, held = [], 0
+    if todo:
+        work(todo)
+    return names, scores
+
+
+def lettered(text: Column) -> Column:
+    """The text, or null if it has no letter."""
+    return F.when(text.rlike(r"\p{L}"), text)
+
+
 def predict(docs: DataFrame, net: ByteConvNet | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score), one row per row of docs."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.when(F.col(text_col).rlike(r"\p{L}"), F.col(text_col)).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), lettered(F.col(text_col)).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text")
-            names: list[str] = ["und"] * len(texts)
-            scores = np.zeros(len(texts))
-            todo: list[tuple[int, np.ndarray]] = []
-            held = 0
-
-            def work(todo: list[tuple[int, np.ndarray]], names: list[str] = names, scores: np.ndarray = scores) -> None:
-                p = net.probabilities(np.concatenate([w for _, w in todo]))
-                at = np.cumsum([0, *(len(w) for _, w in todo)])
-                logs = np.add.reduceat(np.log(p + 1e-9), at[:-1])
-                means = np.add.reduceat(p, at[:-1]) / np.diff(at)[:, None]
-                for (i, _), best, mean in zip(todo, logs.argmax(1), means, strict=True):
-                    names[i], scores[i] = net.langs[best], min(1.0, max(0.0, float(mean[best])))
-
-            for i, text in enumerate(texts):
-                if net is None or not text.is_valid:
-                    continue
-                raw = np.frombuffer(text.as_buffer(), np.uint8)
-                if len(raw) < WINDOW:
-                    raw = np.append(raw, np.full(WINDOW - len(raw), 32, np.uint8))
-                step = WINDOW - max(WIDTHS) + 1
-                starts = np.unique(np.append(np.arange(0, len(raw) - WINDOW + 1, step), len(raw) - WINDOW))
-                view = np.lib.stride_tricks.sliding_window_view(raw, WINDOW)[starts]
-                todo.append((i, view))
-                held += len(view)
-                if held >= CHUNK_WINDOWS:
-                    work(todo)
-                    todo, held = [], 0
-            if todo:
-                work(todo)
+            names, scores = labels(net, batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
 def keep_known(docs: DataFrame, net: ByteConvNet | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs in which some language is recognised, with all their columns."""
-    unknown = predict(docs, net, id_col, text_col).where("lang_pred = 'und'").select(F.col("doc_id").alias("__id")).distinct()
-    side, _ = small(stored(unknown, "lang-unknown"))
-    return docs.join(side, docs[id_col].eqNullSafe(side["__id"]), "left_anti")
+    """The rows of docs in which some language is recognised, with all their columns.
+
+    Each row is decided where it stands, so that ids need not tell rows apart.
+    """
+
+    @F.arrow_udf("boolean")
+    def known(texts: pa.Array) -> pa.Array:
+        return pa.array([name != "und" for name in labels(net, texts)[0]], pa.bool_())
+
+    return docs.where(known(lettered(docs[text_col])))

@@ -70,6 +70,20 @@ def test_decontaminate(docs, items):
     assert {r["doc_id"] for r in decontaminate.drop_leaks(docs, items).collect()} == {d for d, v in want.items() if not v[1]}
 
 
+def test_rows_are_rejected_one_by_one(items, spark):
+    net = langid.ByteConvNet(["en", "de"])
+    rows = [(None, "12 !", "a"), (None, "one word", "b"), (None, None, "c"), (7, "...", "d"), (7, "two words", "e"), (7, "...", "f")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, __id string").repartition(2)
+    kept = langid.keep_known(table, net)
+    assert kept.columns == table.columns and sorted(r["__id"] for r in kept.collect()) == ["b", "e"]
+    assert langid.keep_known(table, None).count() == 0
+    leak = corpus()[1][0][1]
+    rows = [(None, leak, "a"), (None, "clean words", "b"), (None, None, "c"), (7, f"x {leak}", "d"), (7, "two words", "e"), (8, "", "f")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, __id string").repartition(2)
+    kept = decontaminate.drop_leaks(table, items)
+    assert kept.columns == table.columns and sorted(r["__id"] for r in kept.collect()) == ["b", "c", "e", "f"]
+
+
 @pytest.mark.parametrize("words", [True, False])
 def test_repeats(docs, words):
     length = 35 if words else 400
