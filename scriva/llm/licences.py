@@ -1,12 +1,15 @@
 """Licence scans by sentence rules.
 
 Texts are cut into sentences at line ends and after full stops, normalised (lower case, only letters, digits and dots inside
-numbers, single spaces) and mapped to the identifiers of known licence sentences; the sequence of identifiers of a document is
-matched against ordered rules, of which the first that holds names the licence. All of it is column expressions in one scan:
-no shuffle, and nothing but a literal map of the known sentences (a fixed table) is shipped.
+numbers, single spaces) and mapped to the identifiers of known licence sentences. Licence notices run over line ends, so the
+lines of each paragraph are also joined and cut at full stops, semicolons, colons and parentheses; these clauses are looked up
+among the clauses of the notices, and among the sentences for those that the lines of the paragraph don't have. The sequence
+of identifiers of a document (by paragraph, lines before clauses) is matched against ordered rules, of which the first that
+holds names the licence. All of it is column expressions in one scan: no shuffle, and nothing but literal maps of the known
+sentences (fixed tables) is shipped.
 
-Defined cases: null and empty texts have no sentences and licence ``none``; repeated sentences are listed each time, runs of
-one identifier count once for the rules; null and repeated doc_ids are allowed; an empty table gives an empty result; further
+Defined cases: null and empty texts have no sentences and licence ``none``; repeated sentences are listed each time (a clause
+is not, if a line of its paragraph has the same identifier), runs of one identifier count once for the rules; null and repeated doc_ids are allowed; an empty table gives an empty result; further
 columns are not read.
 """
 
@@ -54,15 +57,85 @@ RULES = [
     ("all-rights-reserved", "proprietary", ["reserved"]),
 ]
 
+#: Clauses of the notices as they are printed, normalised, and their identifiers. The oracle's SQL has the
+#: sentences and rules above alone.
+NOTICES = {
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files": "mit-terms",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "as-is",
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd-terms",
+    "redistribution and use in source and binary forms with or without modification are permitted": "bsd-terms",
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "as-is",
+    "this software is provided by the regents and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "as-is",
+    "this software is provided by the author and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "as-is",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-terms",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-terms",
+    "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness": "as-is",
+    "the software is provided as is and isc disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness": "as-is",
+    "apache license version 2.0 january 2004 http www apache org licenses": "apache-2",
+    "apache license version 2.0 january 2004 https www apache org licenses": "apache-2",
+    # Cut after the "v." of its version, which can only be 2.0.
+    "this source code form is subject to the terms of the mozilla public license v": "mpl-2",
+    "mozilla public license version 2.0": "mpl-2",
+    "the contents of this file are subject to the mozilla public license version 1.1": "mpl-1.1",
+    "this library is free software": "gpl-notice",
+    **{
+        f"you can redistribute it and or modify it under the terms of the gnu {name}general public license as published by the free software foundation{rest}": f"{short}{found}"
+        for name, short in (("", "gpl"), ("library ", "lgpl"), ("lesser ", "lgpl"), ("affero ", "agpl"))
+        for rest, found in (("", "-terms"), *((f"{either} version {v} of the license{end}", f"-{v}") for either in ("", " either") for v in ("2", "2.1", "3") for end in ("", " or", " or at your option any later version")))
+    },
+    **{
+        f"you can redistribute it and or modify it under the terms of the gnu {name}general public license version {v} as published by the free software foundation": f"{short}-{v}"
+        for name, short in (("", "gpl"), ("library ", "lgpl"), ("lesser ", "lgpl"), ("affero ", "agpl"))
+        for v in ("2", "2.1", "3")
+    },
+    **{f"either version {v} of the license{end}": f"version-{v}" for v in ("2", "2.1", "3") for end in ("", " or")},
+    **{f"version {v} of the license{end}": f"version-{v}" for v in ("2", "2.1", "3") for end in ("", " or")},
+    "gnu general public license version 2 june 1991": "gpl-2",
+    "gnu general public license version 3 29 june 2007": "gpl-3",
+    "gnu library general public license version 2 june 1991": "lgpl-2",
+    "gnu lesser general public license version 2.1 february 1999": "lgpl-2.1",
+    "gnu lesser general public license version 3 29 june 2007": "lgpl-3",
+    "gnu affero general public license version 3 19 november 2007": "agpl-3",
+}
+COPYLEFT_NOTICES = [
+    *((f"{short}-{v}{'' if '.' in v else '.0'}", "copyleft", needed) for short in ("agpl", "lgpl") for v in ("3", "2.1", "2") for needed in ([f"{short}-{v}"], [f"{short}-terms", f"version-{v}"])),
+    *((f"gpl-{v}.0", "copyleft", ["gpl-terms", f"version-{v}"]) for v in ("3", "2")),
+    *((f"{short}-unversioned", "copyleft", [f"{short}-terms"]) for short in ("agpl", "lgpl")),
+    ("mpl-2.0", "copyleft", ["mpl-2"]),
+    ("mpl-1.1", "copyleft", ["mpl-1.1"]),
+]
+PERMISSIVE_NOTICES = [("mit", "permissive", ["mit-terms"]), ("bsd", "permissive", ["bsd-terms"]), ("isc", "permissive", ["isc-terms"])]
+#: Dual licences first; a full text's "All rights reserved" comes last.
+ALL_RULES = [*RULES[:2], *COPYLEFT_NOTICES, *RULES[2:-1], *PERMISSIVE_NOTICES, RULES[-1]]
+#: Every known sentence has one of these: a text without them needs no cutting.
+CUES = ("licens", "permi", "free software", "software is provided", "rights reserved", "public domain")
+
+
+def _cut(text: Column, table: dict[str, str]) -> Column:
+    """The identifiers (null where unknown) of the lines of a text in lower case."""
+    known = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    starts = r"\b(" + "|".join(sorted({k.split(" ")[0] for k in table})) + r")\b"
+    likely = F.filter(F.split(text, r"\n"), lambda s: s.rlike(starts))
+    return F.transform(likely, lambda s: known[F.trim(F.regexp_replace(F.regexp_replace(s, r"\.([^0-9]|$)", " $1"), r"[^a-z0-9.]+", " "))])
+
 
 def sentence_ids(text: Column) -> Column:
     """The identifiers of the known sentences of a text, in order."""
-    table = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    cues = sorted({s.split(" ")[0] for s in SENTENCES})
-    parts = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"\.[ \t]+", ".\n"), r"\n")
-    likely = F.filter(parts, lambda s: s.rlike(r"(?i)\b(" + "|".join(cues) + r")\b"))
-    known = F.transform(likely, lambda s: table[F.trim(F.regexp_replace(F.regexp_replace(F.lower(s), r"\.([^0-9]|$)", " $1"), r"[^a-z0-9.]+", " "))])
-    return F.array_compact(known)
+    low = F.lower(F.coalesce(text, F.lit("")))
+
+    def of_paragraph(p: Column) -> Column:
+        joined = F.regexp_replace(p, r"\n[ \t]*[;/*#%>|-]*", " ")
+        clauses = F.regexp_replace(joined, r"[.;:]([ \t\r]+|$)|[()]", "\n")
+        lines = F.array_compact(_cut(F.regexp_replace(p, r"\.[ \t]+", ".\n"), SENTENCES))
+        further = F.array_compact(_cut(clauses, SENTENCES | NOTICES))
+        return F.concat(lines, F.filter(further, lambda x: ~F.array_contains(lines, x)))
+
+    # Paragraphs end at lines without letters and digits, such as those of a comment.
+    found = F.flatten(F.transform(F.split(low, r"\n[^a-z0-9]*\n"), of_paragraph))
+    likely = F.lit(False)
+    for cue in CUES:
+        likely = likely | low.rlike(cue.replace(" ", "[^a-z0-9]+"))
+    return F.when(likely, found).otherwise(F.expr("cast(array() as array<string>)"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -70,7 +143,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     ids = docs.select(F.col(id_col).alias("doc_id"), sentence_ids(F.col(text_col)).alias("sentence_ids"))
     line = F.concat(F.lit(" "), F.array_join("sentence_ids", " "), F.lit(" "))
     found, kind = F.lit("none"), F.lit("none")
-    for name, sort, needed in reversed(RULES):
+    for name, sort, needed in reversed(ALL_RULES):
         holds = line.rlike(rule_pattern(needed))
         found, kind = F.when(holds, name).otherwise(found), F.when(holds, sort).otherwise(kind)
     return ids.select("doc_id", "sentence_ids", found.alias("licence"), kind.alias("kind"))

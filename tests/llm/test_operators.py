@@ -234,6 +234,67 @@ def test_licences(spark):
     assert got == {1: (["mit", "apache-2"], "dual-mit-apache"), 2: ([], "none"), 3: (["reserved"], "all-rights-reserved"), 4: ([], "none")}
 
 
+def test_licence_notices(spark):
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM."""
+    bsd = """Copyright (c) 2020, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED."""
+    isc = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+    apache = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0"""
+
+    def gnu(what, name, mark, version):
+        return f"""This {what} is free software{':' if mark == ',' else ';'} you can redistribute it and/or modify
+it under the terms of the GNU {name} Public License as published by
+the Free Software Foundation{mark} either version {version} of the License, or
+(at your option) any later version.
+
+This {what} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY."""
+
+    mpl = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+    texts = {
+        "mit": mit, "bsd": bsd, "isc": isc, "apache-2.0": apache, "mpl-2.0": mpl,
+        "gpl-3.0": gnu("program", "General", ",", "3"), "gpl-2.0": gnu("program", "General", ";", "2"),
+        "lgpl-2.1": gnu("library", "Lesser General", ";", "2.1"), "lgpl-3.0": gnu("program", "Lesser General", ",", "3"), "agpl-3.0": gnu("program", "Affero General", ",", "3"),
+    }
+    forms = {"plain": lambda t: t, "one line": lambda t: t.replace("\n\n", "\0").replace("\n", " ").replace("\0", "\n\n"), "comment": lambda t: "/*\n" + "\n".join(f" * {x}".rstrip() for x in t.split("\n")) + "\n */\nint x;", "hash": lambda t: "\r\n".join(f"# {x}" for x in t.split("\n"))}
+    rows = [(f"{name}/{form}", f"Some code.\n\n{change(t)}\n") for name, t in texts.items() for form, change in forms.items()]
+    got = {r["doc_id"]: r["licence"] for r in licences.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {d: d.split("/")[0] for d, _ in rows}
+    near = [(1, "The software is provided as is to friends.\nAll rights reserved for the band\n\nby nobody"), (2, "We permit use; all rights\nreserved.")]
+    got = {r["doc_id"]: (r["sentence_ids"], r["licence"]) for r in licences.scan(spark.createDataFrame(near, "doc_id long, text string")).collect()}
+    assert got == {1: ([], "none"), 2: (["reserved"], "all-rights-reserved")}
+    for known in (*licences.SENTENCES, *licences.NOTICES):
+        assert any(cue in known for cue in licences.CUES), known
+
+
 def test_empty_tables(docs, items, spark):
     none, no_items = docs.limit(0), items.limit(0)
     for df in (decontaminate.contamination(none, items), exact.mark_copies(none), exact.drop_copies(none), shards.assign_shards(none), jaccard.components(none), substrings.remove_repeats(none), suffix_dedup.remove_repeats(none), bpe.encode(none.select("doc_id", "text")), langid.predict(none, None), licences.scan(none)):
