@@ -114,7 +114,8 @@ CUES = ("licens", "permi", "free software", "software is provided", "rights rese
 def _cut(text: Column, table: dict[str, str]) -> Column:
     """The identifiers (null where unknown) of the lines of a text in lower case."""
     known = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    starts = r"\b(" + "|".join(sorted({k.split(" ")[0] for k in table})) + r")\b"
+    # A sentence starts with the first word of a known one; anything but letters, digits and dots in numbers parts words.
+    starts = r"^[^a-z0-9]*(" + "|".join(sorted({k.split(" ")[0] for k in table})) + r")([^a-z0-9]|$)"
     likely = F.filter(F.split(text, r"\n"), lambda s: s.rlike(starts))
     return F.transform(likely, lambda s: known[F.trim(F.regexp_replace(F.regexp_replace(s, r"\.([^0-9]|$)", " $1"), r"[^a-z0-9.]+", " "))])
 

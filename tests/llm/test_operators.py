@@ -295,6 +295,12 @@ file, You can obtain one at https://mozilla.org/MPL/2.0/."""
         assert any(cue in known for cue in licences.CUES), known
 
 
+def test_licences_in_markup(spark):
+    rows = [(1, "_All rights reserved._"), (2, "__Released under the MIT License__. x"), (3, "All_rights_reserved"), (4, "small rights reserved")]
+    got = {r["doc_id"]: r["licence"] for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "all-rights-reserved", 2: "mit", 3: "all-rights-reserved", 4: "none"}
+
+
 def test_empty_tables(docs, items, spark):
     none, no_items = docs.limit(0), items.limit(0)
     for df in (decontaminate.contamination(none, items), exact.mark_copies(none), exact.drop_copies(none), shards.assign_shards(none), jaccard.components(none), substrings.remove_repeats(none), suffix_dedup.remove_repeats(none), bpe.encode(none.select("doc_id", "text")), langid.predict(none, None), licences.scan(none)):
