@@ -3,7 +3,8 @@
 A document's set is its distinct shingles of ``words`` words, as sorted 64-bit hashes. Two sets link when
 100 * |A and B| >= percent * |A or B|.
 
-1. Equal sets become one class (its smallest doc_id), so copies never meet one another.
+1. Equal sets (by size and two fingerprints) become one numbered class, so copies never meet one another. One text stands for
+   it, found again by its doc_id and a 64-bit hash of the text.
 2. Size-banded tiles: sizes are cut into bands; a pair that links has sizes in one band or at the edge of the next. For a band
    whose largest size is u, at most d = (100 - p) / (100 + p) * 2u elements differ. The hash space is dealt into n bins, in r
    independent ways; a (band, way, bin, contents) is a tile of every set with these contents there. The d elements leave n * r *
@@ -20,9 +21,10 @@ A document's set is its distinct shingles of ``words`` words, as sorted 64-bit h
 Components come from repeated neighbour minima over the link table. Nothing is dropped or capped.
 
 Defined cases: null, empty and blank texts have an empty set, no links and themselves as component; a text of fewer words than
-a shingle is one shingle; repeated doc_ids are one node; a null doc_id is a node of its own kind (null) that links like any
-other but has null as its component unless a text equal in set has an id; further columns are not read by ``components`` and
-kept by ``one_of_each``.
+a shingle is one shingle; links are between sets, so different texts under a repeated or null doc_id are told apart and each
+has its own links; a component has null as its name only if no text in it has an id; ``one_of_each`` keeps the text with the
+smallest id (null last), once, and all texts without a shingle; further columns are not read by ``components`` and kept by
+``one_of_each``.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriva.llm.common import small, stored
@@ -195,34 +197,34 @@ def fingerprint(elements: np.ndarray) -> tuple[int, int]:
     return int(one.view(np.int64)[0]), int(np.sum(mix(elements + BASE_INVERSE)).view(np.int64))
 
 
-def _scan(words: int, docs: DataFrame, schema: str, rows: Callable[[pa.Array, list[np.ndarray]], list[pa.Array]]) -> DataFrame:
-    """What `rows` makes of the ids and sets of some documents at a time."""
+def _scan(words: int, docs: DataFrame, schema: str, rows: Callable[[pa.RecordBatch, list[np.ndarray]], list[pa.Array]]) -> DataFrame:
+    """What `rows` makes of some documents and their sets at a time."""
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = np.array(pc.fill_null(pc.binary_length(batch.column("text")), 0), np.int64)
             for a, b in runs(sizes, BATCH_BYTES):
-                sets = shingle_sets(texts_of(batch.column("text").slice(a, b - a)), words)
-                yield pa.RecordBatch.from_arrays(rows(batch.column("doc_id").slice(a, b - a), sets), names=names)
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays(rows(part, shingle_sets(texts_of(part.column("text")), words)), names=names)
 
     return docs.mapInArrow(run, schema)
 
 
 def _facts(words: int, kind: str, docs: DataFrame) -> DataFrame:
-    """(doc_id, n, f1, f2): size and fingerprint of each document's set."""
+    """(doc_id, hash, n, f1, f2): the text's hash, size and fingerprint of each document's set."""
 
-    def rows(ids: pa.Array, sets: list[np.ndarray]) -> list[pa.Array]:
+    def rows(part: pa.RecordBatch, sets: list[np.ndarray]) -> list[pa.Array]:
         prints = [fingerprint(s) for s in sets]
-        return [ids, pa.array([len(s) for s in sets], pa.int64()), *(pa.array([p[k] for p in prints], pa.int64()) for k in (0, 1))]
+        return [part.column("doc_id"), part.column("hash"), pa.array([len(s) for s in sets], pa.int64()), *(pa.array([p[k] for p in prints], pa.int64()) for k in (0, 1))]
 
-    return _scan(words, docs, f"doc_id {kind}, n long, f1 long, f2 long", rows)
+    return _scan(words, docs, f"doc_id {kind}, hash long, n long, f1 long, f2 long", rows)
 
 
 def _tiles(percent: int, words: int, docs: DataFrame) -> DataFrame:
     """(node, tile): a row for every tile of every document, which has a node in each of its bands."""
 
-    def rows(ids: pa.Array, sets: list[np.ndarray]) -> list[pa.Array]:
+    def rows(part: pa.RecordBatch, sets: list[np.ndarray]) -> list[pa.Array]:
         tiles = [(node_of(fingerprint(s)[0], band), tiles_of(s, band, percent)) for s in sets if len(s) for band in bands_of(len(s), percent)]
         nodes = np.repeat(np.array([n for n, _ in tiles], np.int64), [len(t) for _, t in tiles])
         return [pa.array(nodes), pa.array(np.concatenate([np.empty(0, np.uint64), *(t for _, t in tiles)]).view(np.int64))]
@@ -230,7 +232,7 @@ def _tiles(percent: int, words: int, docs: DataFrame) -> DataFrame:
     return _scan(words, docs, "node long, tile long", rows)
 
 
-def _nodes(percent: int, kind: str, classes: DataFrame) -> DataFrame:
+def _nodes(percent: int, classes: DataFrame) -> DataFrame:
     """(class, node) of the classes, as their tiles name them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,17 +241,34 @@ def _nodes(percent: int, kind: str, classes: DataFrame) -> DataFrame:
             at = np.repeat(np.arange(len(found)), [len(x) for x in found])
             yield pa.RecordBatch.from_arrays([batch.column("class").take(pa.array(at)), pa.array([x for f in found for x in f], pa.int64())], names=["class", "node"])
 
-    return classes.select("class", "n", "f1").mapInArrow(run, f"class {kind}, node long")
+    return classes.select("class", "n", "f1").mapInArrow(run, "class long, node long")
 
 
-def _sets(words: int, kind: str, docs: DataFrame) -> DataFrame:
-    """(doc_id, size, content): the sorted elements of the documents given."""
-    return _scan(words, docs, f"doc_id {kind}, size long, content binary", lambda ids, sets: [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())])
+def _contents(words: int, docs: DataFrame, content: Callable[[np.ndarray], bytes]) -> DataFrame:
+    """(class, size, content) of the texts given, (class, text): at most once in a task, however often the text is repeated."""
 
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            new = [not (c in seen or seen.add(c)) for c in batch.column("class").to_pylist()]
+            batch = batch.filter(pa.array(new, pa.bool_()))
+            sizes = np.array(pc.fill_null(pc.binary_length(batch.column("text")), 0), np.int64)
+            for a, b in runs(sizes, BATCH_BYTES) if len(sizes) else ():
+                part = batch.slice(a, b - a)
+                sets = shingle_sets(texts_of(part.column("text")), words)
+                yield pa.RecordBatch.from_arrays([part.column("class"), pa.array([len(s) for s in sets], pa.int64()), pa.array([content(s) for s in sets], pa.binary())], names=["class", "size", "content"])
+
+    return docs.mapInArrow(once, "class long, size long, content binary")
+
+
+def _sets(words: int, docs: DataFrame) -> DataFrame:
+    """The sorted elements of the texts given."""
+    return _contents(words, docs, lambda s: s.tobytes())
 
-def _signatures(words: int, kind: str, docs: DataFrame) -> DataFrame:
-    """(doc_id, size, content): the bitmap signatures of the documents given."""
-    return _scan(words, docs, f"doc_id {kind}, size long, content binary", lambda ids, sets: [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s, len(s)).tobytes() for s in sets], pa.binary())])
+
+def _signatures(words: int, docs: DataFrame) -> DataFrame:
+    """The bitmap signatures of the texts given."""
+    return _contents(words, docs, lambda s: signature(s, len(s)).tobytes())
 
 
 def link_forest(size: np.ndarray, sign: np.ndarray, sets: list[np.ndarray] | None, side: np.ndarray, across: bool, percent: int) -> list[tuple[int, int]]:
@@ -290,66 +309,99 @@ def link_forest(size: np.ndarray, sign: np.ndarray, sets: list[np.ndarray] | Non
     return links
 
 
-def _decided(rows: DataFrame, most: int, exact: bool, percent: int, kind: str) -> DataFrame:
-    """(a, b): a forest of the links in each cluster. rows: (cluster, doc_id, size, content); a block holds about `most` of size."""
+def _decided(rows: DataFrame, most: int, exact: bool, percent: int) -> DataFrame:
+    """(a, b): a forest of the links in each cluster. rows: (cluster, class, size, content); a block holds about `most` of size."""
     rows = stored(rows, "jaccard-rows")
     blocks = stored(rows.groupBy("cluster").agg(F.ceil(F.sum("size") / most).cast("int").alias("blocks")), "jaccard-blocks")
     side, _ = small(blocks)
-    placed = rows.join(side, "cluster").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    placed = rows.join(side, "cluster").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("cluster", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "doc_id", "size", "content")
+    placed = placed.select("cluster", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "class", "size", "content")
 
     def decide(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("doc_id").reset_index(drop=True)
+        pdf = pdf.drop_duplicates("class").reset_index(drop=True)
         held, size = [np.frombuffer(x, np.uint64) for x in pdf["content"]], pdf["size"].to_numpy(np.int64)
         sign = np.stack([signature(x, int(size.min())) for x in held]) if exact else folded(held)
         found = link_forest(size, sign, held if exact else None, pdf["block"].to_numpy(), key[1] != key[2], percent)
-        ids = pdf["doc_id"].to_numpy()
+        ids = pdf["class"].to_numpy()
         return pd.DataFrame({"a": [ids[i] for i, _ in found], "b": [ids[j] for _, j in found]})
 
-    return stored(placed.groupBy("cluster", "i", "j").applyInPandas(decide, f"a {kind}, b {kind}"), "jaccard-links")
+    return stored(placed.groupBy("cluster", "i", "j").applyInPandas(decide, "a long, b long"), "jaccard-links")
+
 
+def links(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members: doc_id, hash, n, class; classes: class, doc_id, hash of the text that stands for it; links: a, b between classes).
 
-def links(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(members: doc_id, n, class; links: a, b between classes). Members of a class have equal sets."""
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    Members of a class have equal sets; its doc_id is their smallest. Members without a shingle have no class.
+    """
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("hash"))
     kind = texts.schema["doc_id"].dataType.simpleString()
     facts = stored(_facts(words, kind, texts), "jaccard-facts")
     full = facts.where("n > 0")
-    classes = stored(full.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("class")), "jaccard-classes")
-    key = [F.col(c) for c in ("n", "f1", "f2")]
-    members = full.select("doc_id", *key).join(classes, ["n", "f1", "f2"]).select("doc_id", "n", "class")
-    members = members.unionByName(facts.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("class")))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash"))
+    classes = full.groupBy("n", "f1", "f2").agg(best.alias("best"))
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("class"), "n", "f1", "f2", "best.doc_id", "best.hash"), "jaccard-classes")
+    key = ["n", "f1", "f2"]
+    members = full.join(classes.select("class", *key), key).select("doc_id", "hash", "n", "class")
+    members = members.unionByName(facts.where("n = 0").select("doc_id", "hash", "n", F.lit(None).cast("long").alias("class")))
 
     # A tile ties its sets to the least of them. A second scan is cheaper than keeping all tiles.
-    tiles = _tiles(percent, words, texts)
+    tiles = _tiles(percent, words, texts.select("text"))
     tiles = tiles.select("node", F.min("node").over(Window.partitionBy("tile")).alias("pivot"))
     ties = tiles.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     tied = connected(stored(ties, "jaccard-ties"))
-    tied = stored(_nodes(percent, kind, classes).join(tied, "node").select(F.col("class").alias("doc_id"), F.col("component").alias("cluster")), "jaccard-clusters")
+    tied = stored(_nodes(percent, classes).join(tied, "node").select("class", F.col("component").alias("cluster")), "jaccard-clusters")
 
-    def held(scan: Callable[[int, str, DataFrame], DataFrame], clusters: DataFrame) -> DataFrame:
+    def held(scan: Callable[[int, DataFrame], DataFrame], clusters: DataFrame) -> DataFrame:
         side, fits = small(clusters)
-        ids = clusters.select("doc_id").distinct()
-        wanted = texts.join(F.broadcast(ids) if fits else ids, "doc_id", "left_semi")
-        return scan(words, kind, wanted).join(side, "doc_id")
+        wanted = classes.select("class", F.col("doc_id").alias("__id"), F.col("hash").alias("__hash")).join(clusters.select("class").distinct(), "class", "left_semi")
+        chosen = texts.join(F.broadcast(wanted) if fits else wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("hash") == F.col("__hash")))
+        return scan(words, chosen.select("class", "text")).join(side, "class")
+
+    near = _decided(held(_signatures, tied), BLOCK_BITS, False, percent)
+    near = stored(connected(near).select(F.col("node").alias("class"), F.col("component").alias("cluster")), "jaccard-near")
+    return members, classes.select("class", "doc_id", "hash"), _decided(held(_sets, near), BLOCK_ELEMENTS, True, percent)
+
 
-    near = _decided(held(_signatures, tied), BLOCK_BITS, False, percent, kind)
-    near = stored(connected(near).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "jaccard-near")
-    return members, _decided(held(_sets, near), BLOCK_ELEMENTS, True, percent, kind)
+def _grouped(docs: DataFrame, percent: int, words: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(members as of links; places: class, best), best being the text (no_id, doc_id, hash) that stands for the class's component."""
+    members, classes, found = links(docs, percent, words, id_col, text_col)
+    best = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash")
+    reached = stored(connected(found), "jaccard-components")
+    side, _ = small(reached)
+    linked = stored(classes.join(side, F.col("class") == F.col("node")).select("class", "component", best.alias("best")), "jaccard-linked")
+    roots = linked.groupBy("component").agg(F.min("best").alias("root"))
+    alone = classes.join(side, F.col("class") == F.col("node"), "left_anti").select("class", best.alias("best"))
+    return members, stored(alone.unionByName(linked.join(roots, "component").select("class", F.col("root").alias("best"))), "jaccard-places")
 
 
 def components(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of docs; component_id is the smallest doc_id that links reach."""
-    members, found = links(docs, percent, words, id_col, text_col)
-    groups = connected(found)
-    side, _ = small(stored(groups, "jaccard-components"))
-    out = members.join(side, members["class"] == side["node"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "class").alias("component_id"))
+    members, places = _grouped(docs, percent, words, id_col, text_col)
+    side, _ = small(places)
+    out = members.join(side, "class", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of its component, with all their columns."""
-    gone = components(docs, percent, words, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    side, _ = small(stored(gone, "jaccard-gone"))
-    return docs.join(side, docs[id_col] == side["__id"], "left_anti")
+    """One row of each component of docs, with all its columns: that of the smallest doc_id, null last."""
+    members, places = _grouped(docs, percent, words, id_col, text_col)
+    side, _ = small(places)
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("hash") == F.col("best.hash"))
+    marked = members.where("class is not null").join(side, "class").select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"), stays.alias("__stays"))
+    marked = marked.groupBy("__id", "__hash").agg(F.max("__stays").alias("__stays"), F.count("*").alias("__times")).where("not __stays or __times > 1")
+    gone = stored(marked, "jaccard-gone")
+
+    def same(side: DataFrame) -> Column:
+        return docs[id_col].eqNullSafe(side["__id"]) & (F.xxhash64(docs[text_col]) == side["__hash"])
+
+    side, _ = small(gone)
+    left = docs.join(side, same(side), "left_anti")
+    again = gone.where("__stays")
+    if again.isEmpty():
+        return left
+    # The row that stays is repeated under its id: once is enough.
+    digest = "scriva text hash"
+    again, _ = small(again)
+    rows = docs.join(again, same(again), "left_semi").withColumn(digest, F.xxhash64(F.col(text_col))).dropDuplicates([id_col, digest]).drop(digest)
+    return left.unionByName(rows)

@@ -153,6 +153,25 @@ def test_jaccard(docs, percent, words):
     assert got == {d: (len(s), find(d)) for d, s in sets.items()}
 
 
+def test_jaccard_links_of_null_and_repeated_ids(spark):
+    rng = random.Random(11)
+    base = [[f"w{rng.randrange(9999)}" for _ in range(150)] for _ in range(3)]
+    one, two, three = (" ".join(b) for b in base)
+    near = lambda b, k: " ".join([*b[:k], "other", *b[k + 1 :]])
+    # Each of 5's texts has its own near copy; 5 has one text twice; null ids bridge and are copies of one another.
+    rows = [(5, one, "a"), (5, two, "b"), (5, two, "c"), (3, near(base[0], 0), "d"), (8, near(base[1], 149), "e"), (None, three, "f"), (None, near(base[2], 0), "g"), (None, "", "h"), (None, None, "i"), (9, "alone", "j")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, __id string").repartition(3)
+    got = sorted((str(r["doc_id"]), str(r["component_id"])) for r in jaccard.components(table).collect())
+    assert got == sorted([("5", "3"), ("5", "5"), ("5", "5"), ("3", "3"), ("8", "5"), ("9", "9")] + [("None", "None")] * 4)
+    left = jaccard.one_of_each(table)
+    kept = sorted(r["__id"] for r in left.collect())
+    assert left.columns == table.columns and len(kept) == 6 and {"d", "h", "i", "j"} < set(kept)
+    assert len({"b", "c"} & set(kept)) == 1 and len({"f", "g"} & set(kept)) == 1
+    bridge = [(1, " ".join(base[0]), "a"), (None, near(base[0], 0), "b"), (2, " ".join(["other", *base[0][1:146], "v", "x", "y", "z"]), "c")]
+    table = spark.createDataFrame(bridge, "doc_id long, text string, __id string")
+    assert [r["__id"] for r in jaccard.one_of_each(table, 94).collect()] == ["a"]
+
+
 def test_link_forest_over_blocks():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
