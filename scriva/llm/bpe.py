@@ -1,18 +1,22 @@
 """BPE encoding and decoding with a public tokenizer file, as the tokenizers library does it.
 
 The file is a word-level BPE (byte alphabet, end-of-word mark, lower case, white space dropped). Its bytes are broadcast (a
-fixed file of a few MB), so executors need no copy of it. Distinct pieces of text between white space are encoded once per
-batch and remembered; unseen ones are merged together in rounds: the symbols of all words lie in one flat array, the ranks of
-all neighbouring pairs are found by binary search over the sorted pair keys, and each round merges the leftmost pair of
-lowest rank of every word. Very long words, of which each would need many rounds, are merged one by one with a heap.
+fixed file of a few MB), so executors need no copy of it. A batch of texts is cut at white space; the distinct chunks of the
+batch are normalised and cut into pieces together, as one flat array of code points with a table of their kinds. Distinct
+pieces are merged in rounds: the symbols of all pieces lie in one flat array, the ranks of neighbouring pairs are found by
+binary search over the sorted pair keys, and each round merges the leftmost pair of lowest rank of every piece; later rounds
+look up only the pairs that a merge has made. Very long pieces, of which each would need many rounds, are merged one by one
+with a heap. Ids and decoded texts are gathered from chunks to documents by Arrow. A worker remembers pieces, not texts, and
+forgets them all when it has REMEMBERED of them.
 
 Defined cases: a null text counts as empty and has no tokens; special-token strings inside a text are special tokens, as in
-the library; texts of any length are encoded whole; further columns are carried along unchanged unless they are named ``ids``
-or ``decoded``, which the result replaces.
+the library; bytes that are no UTF-8 count as U+FFFD; texts of any length are encoded whole; further columns are carried along
+unchanged unless they are named ``ids`` or ``decoded``, which the result replaces; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 import heapq
 import json
 import re
@@ -25,16 +29,41 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: White space of Unicode. str.split() also splits at \x1c-\x1f, which are not.
-SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-NOT_SPACE = re.compile(f"[^{SPACE}]+")
-ODD_SPLIT = re.compile("[\x1c-\x1f]")
-#: The pattern by which the tokenizer file splits words.
-PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+from scriva.llm.common import bounded_batches
 
-REMEMBERED = 150_000
-LONG_WORD = 300
-BATCH_BYTES = 2_000_000
+#: White space of Unicode beyond ASCII, as RE2 writes it.
+WIDE_SPACE = r"[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+SPACE, LETTER, NUMBER, OTHER = range(4)
+#: Code points from here on are neither letters nor numbers and have no lower case.
+KNOWN_POINTS = 0x34000
+#: Letters and numbers of the library's tables that Unicode 15.1 does not have (first, last).
+LATER_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+LATER_NUMBERS = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
+#: Capitals that Unicode 15.1 does not have (first, last, lower case of the first).
+LATER_CAPITALS = [
+    (0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2, 0xA7D3),
+    (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B), (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB),
+]
+#: Marks that the library's composition doesn't know, as its tables are of an older Unicode (first, last). They
+#: stay where they are, and nothing is composed or reordered across them.
+UNKNOWN_MARKS = [
+    (0x07FD, 0x07FD), (0x0898, 0x089F), (0x08CA, 0x08D3), (0x09FE, 0x09FE), (0x0C3C, 0x0C3C), (0x0D3B, 0x0D3C), (0x0EBA, 0x0EBA), (0x1715, 0x1715),
+    (0x1ABF, 0x1ACE), (0x1DF6, 0x1DFA), (0xA82C, 0xA82C), (0x10D24, 0x10D27), (0x10EAB, 0x10EAC), (0x10EFD, 0x10EFF), (0x10F46, 0x10F50), (0x10F82, 0x10F85),
+    (0x11070, 0x11070), (0x1133B, 0x1133B), (0x1145E, 0x1145E), (0x11839, 0x1183A), (0x11930, 0x11930), (0x1193D, 0x1193E), (0x11943, 0x11943), (0x119E0, 0x119E0),
+    (0x11A34, 0x11A34), (0x11A47, 0x11A47), (0x11A99, 0x11A99), (0x11D42, 0x11D42), (0x11D44, 0x11D45), (0x11D97, 0x11D97), (0x11F41, 0x11F42), (0x16FF0, 0x16FF1),
+    (0x1E08F, 0x1E08F), (0x1E130, 0x1E136), (0x1E2AE, 0x1E2AE), (0x1E2EC, 0x1E2EF), (0x1E4EC, 0x1E4EF),
+]
+AT_MARKS = re.compile("([" + "".join(f"{chr(a)}-{chr(b)}" for a, b in UNKNOWN_MARKS) + "])")
+
+#: Pieces that a worker remembers at most between batches.
+REMEMBERED = 300_000
+LONG_PIECE = 300
+BATCH_BYTES = 4_000_000
+NO_RANK = np.iinfo(np.int64).max
 
 
 def default_path() -> str:
@@ -50,41 +79,112 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in set(shown) else chr(next(rest)) for b in range(256)]
 
 
+@functools.cache
+def point_tables() -> tuple[np.ndarray, np.ndarray]:
+    """For every code point, its kind (SPACE only for the line feed, which parts chunks) and its lower case."""
+    kinds, lower = np.full(0x110000, OTHER, np.uint8), np.arange(0x110000, dtype=np.uint32)
+    for k in range(KNOWN_POINTS):
+        c = chr(k)
+        kinds[k] = {"L": LETTER, "N": NUMBER}.get(unicodedata.category(c)[0], OTHER)
+        low = c.lower()
+        if len(low) == 1:
+            lower[k] = ord(low)
+    for first, last in LATER_LETTERS:
+        kinds[first : last + 1] = LETTER
+    for first, last in LATER_NUMBERS:
+        kinds[first : last + 1] = NUMBER
+    for first, last, to in LATER_CAPITALS:
+        lower[first : last + 1] = np.arange(to, to + last - first + 1)
+    kinds[10] = SPACE
+    return kinds, lower
+
+
+def composed(text: str) -> str:
+    """NFC as the library has it."""
+    if max(text) >= chr(UNKNOWN_MARKS[0][0]) and AT_MARKS.search(text):
+        return "".join(part if k % 2 else unicodedata.normalize("NFC", part) for k, part in enumerate(AT_MARKS.split(text)))
+    return unicodedata.normalize("NFC", text)
+
+
+def pieces_of(text: str, chunks: int) -> tuple[pa.Array, np.ndarray]:
+    """The pieces (as bytes) of chunks that are parted by line feeds, and how many each chunk has.
+
+    A piece is a contraction ('s, 't, 're, 've, 'm, 'll, 'd), a run of letters, one number, or a run of anything else.
+    """
+    if not text.isascii():
+        text = composed(text).replace("İ", "i̇")  # the one capital of two lower-case code points
+    kinds, lower = point_tables()
+    point = lower[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+    kind = kinds[point]
+    start = np.ones(len(point), bool)
+    start[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == NUMBER)
+    ahead = np.append(point, np.zeros(3, np.uint32))
+    mark = np.flatnonzero((point == ord("'")) & start)
+    one, two = ahead[mark + 1], ahead[mark + 2]
+    short = np.isin(one, [ord(c) for c in "stmd"])
+    long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    start[mark[short | long] + 1] = False
+    after = np.append(mark[short] + 2, mark[long] + 3)
+    start[after[after < len(start)]] = True
+
+    solid = kind != SPACE
+    owner = np.cumsum(~solid)[solid]
+    begins = np.flatnonzero(start[solid])
+    point = point[solid]
+    width = 1 + (point >= 0x80).astype(np.int32) + (point >= 0x800) + (point >= 0x10000)
+    ends = np.append(np.int32(0), np.cumsum(width, dtype=np.int32))
+    raw = point.astype("<u4").tobytes().decode("utf-32-le").encode()
+    offsets = np.append(ends[begins], ends[-1]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(raw)]), np.bincount(owner[begins], minlength=chunks)
+
+
 class WordBPE:
     def __init__(self, file: bytes):
-        import regex
-
         spec = json.loads(file)
         model = spec["model"]
         vocab: dict[str, int] = model["vocab"]
-        self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.pieces = regex.compile(PIECE.replace(r"\s", SPACE)).findall
-        self.names = {i: w for w, i in vocab.items()} | {i: w for w, i in self.special.items()}
+        special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        self.special_names, self.special_ids = pa.array(list(special), pa.string()), np.array(list(special.values()), np.int32)
+        self.special = "(" + "|".join(re.escape(s) for s in sorted(special, key=len, reverse=True)) + ")" if special else ""
+        self.size = max(*vocab.values(), *special.values(), 0) + 1
+        names: list[str | None] = [None] * self.size
+        for name, k in (vocab | special).items():
+            names[k] = name
+        self.names = pa.array(names, pa.string())
         end = model.get("end_of_word_suffix") or ""
         letters = byte_alphabet()
         self.inner = np.array([vocab[c] for c in letters], np.int64)
         self.last = np.array([vocab[c + end] for c in letters], np.int64)
-        self.size = max(self.names) + 1
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         left, right = (np.array([vocab[m[k]] for m in merges], np.int64) for k in (0, 1))
         keys, made = left * self.size + right, np.array([vocab[a + b] for a, b in merges], np.int64)
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int64), made[order]
-        self.known: dict[str, tuple[bytes, str]] = {}
+        # The pairs of two bytes, of which the second may end a piece, are looked up once for all.
+        pair = np.repeat(self.inner, 256), np.tile(np.append(self.inner, self.last).reshape(2, 256), 256).reshape(2, -1)
+        self.of_bytes = [self.look_up(pair[0], second) for second in pair[1]]
+        self.forget()
+
+    def forget(self) -> None:
+        """Pieces are known by their number; their ids lie one after another."""
+        self.known: dict[bytes, int] = {}
+        self.held, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
 
     def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The rank of each pair (a large number if it has none) and its place in the table."""
+        """The rank of each pair (NO_RANK if it has none) and the symbol that it makes."""
         key = left * self.size + right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.ranks[at], np.iinfo(np.int64).max), at
+        return np.where(self.keys[at] == key, self.ranks[at], NO_RANK), self.made[at]
+
+    @functools.cached_property
+    def pairs(self) -> dict[int, tuple[int, int]]:
+        return dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.made.tolist(), strict=True), strict=True))
 
     def merge_long(self, symbols: list[int]) -> list[int]:
-        """One word with a heap of its pairs."""
-        n, none = len(symbols), np.iinfo(np.int64).max
+        """One piece with a heap of its pairs."""
+        n, pairs, size = len(symbols), self.pairs, self.size
         after, before = [*range(1, n), -1], list(range(-1, n - 1))
-        ranks, at = self.look_up(np.array(symbols[:-1], np.int64), np.array(symbols[1:], np.int64))
-        heap = [(int(r), i, symbols[i], symbols[i + 1], int(self.made[a])) for i, (r, a) in enumerate(zip(ranks, at, strict=True)) if r < none]
+        heap = [(hit[0], i, symbols[i], symbols[i + 1], hit[1]) for i in range(n - 1) if (hit := pairs.get(symbols[i] * size + symbols[i + 1]))]
         heapq.heapify(heap)
         while heap:
             _, i, a, b, made = heapq.heappop(heap)
@@ -95,88 +195,110 @@ class WordBPE:
             if after[i] >= 0:
                 before[after[i]] = i
             for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y >= 0:
-                    r, at_ = self.look_up(np.array([symbols[x]]), np.array([symbols[y]]))
-                    if r[0] < none:
-                        heapq.heappush(heap, (int(r[0]), x, symbols[x], symbols[y], int(self.made[at_[0]])))
+                if x >= 0 and y >= 0 and (hit := pairs.get(symbols[x] * size + symbols[y])):
+                    heapq.heappush(heap, (hit[0], x, symbols[x], symbols[y], hit[1]))
         return [s for s in symbols if s >= 0]
 
-    def merge_words(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each (non-empty) word."""
-        out: list[np.ndarray] = [np.empty(0, np.int64)] * len(words)
-        short = [k for k, w in enumerate(words) if len(w) <= LONG_WORD]
-        for k, w in enumerate(words):
-            if len(w) > LONG_WORD:
-                raw = np.frombuffer(w, np.uint8)
-                out[k] = np.array(self.merge_long([*self.inner[raw[:-1]].tolist(), int(self.last[raw[-1]])]), np.int64)
-        if not short:
-            return out
-        raw = np.frombuffer(b"".join(words[k] for k in short), np.uint8)
-        lengths = np.array([len(words[k]) for k in short])
-        owner, sym = np.repeat(np.arange(len(short)), lengths), self.inner[raw]
+    def merge_rounds(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, one piece after another, and how many each has."""
+        raw = np.frombuffer(b"".join(pieces), np.uint8)
+        lengths = np.array([len(w) for w in pieces])
         ends = np.cumsum(lengths) - 1
-        sym[ends] = self.last[raw[ends]]
+        owner, symbol = np.repeat(np.arange(len(pieces)), lengths), self.inner[raw]
+        symbol[ends] = self.last[raw[ends]]
+        rank, made = np.full(len(raw), NO_RANK), np.zeros(len(raw), np.int64)
+        key = raw[:-1].astype(np.int64) * 256 + raw[1:]
+        is_last = np.zeros(len(raw), bool)
+        is_last[ends] = True
+        for second, (ranks, makes) in zip((False, True), self.of_bytes, strict=True):
+            at = np.flatnonzero((is_last[1:] == second) & ~is_last[:-1])
+            rank[at], made[at] = ranks[key[at]], makes[key[at]]
         done: list[tuple[np.ndarray, np.ndarray]] = []
-        while len(sym):
-            ranks, at = self.look_up(sym[:-1], sym[1:])
-            ranks[owner[:-1] != owner[1:]] = np.iinfo(np.int64).max
-            ranks, at = np.append(ranks, np.iinfo(np.int64).max), np.append(at, 0)
+        while len(symbol):
+            place = np.arange(len(symbol))
             starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-            best = np.minimum.reduceat(ranks, starts)
-            sizes = np.diff(np.append(starts, len(sym)))
-            finished = np.repeat(best == np.iinfo(np.int64).max, sizes)
-            if finished.any():
-                done.append((owner[finished], sym[finished]))
-            hit = np.flatnonzero((ranks == np.repeat(best, sizes)) & ~finished)
-            hit = hit[np.append(True, owner[hit][1:] != owner[hit][:-1])] if len(hit) else hit  # the leftmost of each word
-            sym[hit] = self.made[at[hit]]
-            keep = ~finished
-            keep[hit + 1] = False
-            sym, owner = sym[keep], owner[keep]
-        owner, sym = np.concatenate([d[0] for d in done]), np.concatenate([d[1] for d in done])
-        order = np.argsort(owner, kind="stable")
-        cut = np.searchsorted(owner[order], np.arange(1, len(short)))
-        for k, ids in zip(short, np.split(sym[order], cut), strict=True):
-            out[k] = ids
-        return out
-
-    def learn(self, chunks: set[str]) -> None:
-        """Encodes unseen chunks (texts without white space) and remembers their ids and what these decode to."""
-        plan: list[tuple[str, list[int | bytes]]] = []
-        for chunk in chunks:
-            items: list[int | bytes] = []
-            for k, part in enumerate(self.split_special.split(chunk) if self.split_special and "<" in chunk else [chunk]):
-                if k % 2:
-                    items.append(self.special[part])
-                elif part:
-                    if not part.isascii():
-                        part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-                    items += [p.encode() for p in self.pieces(part.lower())]
-            plan.append((chunk, items))
-        words = list(dict.fromkeys(x for _, items in plan for x in items if isinstance(x, bytes)))
-        ids = dict(zip(words, self.merge_words(words), strict=True))
-        for chunk, items in plan:
-            row = np.concatenate([ids[x] if isinstance(x, bytes) else np.array([x]) for x in items]).astype(np.int32) if items else np.empty(0, np.int32)
-            self.known[chunk] = row.tobytes(), self.decode(row.tolist())
-
-    def decode(self, ids: list[int]) -> str:
-        return " ".join([self.names[i] for i in ids])
-
-    def encode_all(self, texts: list[str | None]) -> tuple[list[bytes], list[str]]:
-        """For each text, its ids as 32-bit numbers and what they decode to."""
-        split = [[] if not t else NOT_SPACE.findall(t) if ODD_SPLIT.search(t) else t.split() for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = {c for chunks in split for c in chunks}.difference(self.known)
-        if new:
+            # Rank and place in one number: its minimum is the leftmost pair of lowest rank.
+            best = np.minimum.reduceat(np.where(rank < NO_RANK, rank << 32 | place, NO_RANK), starts)
+            going = best < NO_RANK
+            sizes = np.diff(np.append(starts, len(symbol)))
+            stays = np.repeat(going, sizes)
+            if not going.all():
+                done.append((owner[~stays], symbol[~stays]))
+            hit = best[going] & 0xFFFFFFFF
+            symbol[hit] = made[hit]
+            stays[hit + 1] = False
+            gone = np.cumsum(~stays)
+            hit = hit - gone[hit]
+            symbol, owner, rank, made = symbol[stays], owner[stays], rank[stays], made[stays]
+            left = hit[hit > 0] - 1
+            for at in (left, hit):
+                whole = at + 1 < len(symbol)
+                at = at[whole]
+                new, makes = self.look_up(symbol[at], symbol[at + 1])
+                rank[at], made[at] = np.where(owner[at] == owner[at + 1], new, NO_RANK), makes
+            if len(rank):
+                rank[-1] = NO_RANK
+        owner, symbol = np.concatenate([d[0] for d in done]), np.concatenate([d[1] for d in done])
+        return symbol[np.argsort(owner, kind="stable")].astype(np.int32), np.bincount(owner, minlength=len(pieces))
+
+    def learn(self, pieces: list[bytes]) -> None:
+        short, long = [w for w in pieces if len(w) <= LONG_PIECE], [w for w in pieces if len(w) > LONG_PIECE]
+        ids, counts = self.merge_rounds(short) if short else (np.empty(0, np.int32), np.empty(0, np.int64))
+        found = [ids]
+        for w in long:
+            raw = np.frombuffer(w, np.uint8)
+            found.append(np.array(self.merge_long([*self.inner[raw[:-1]].tolist(), int(self.last[raw[-1]])]), np.int32))
+            counts = np.append(counts, len(found[-1]))
+        for w in (*short, *long):
+            self.known[w] = len(self.known)
+        self.held = np.concatenate([self.held, *found])
+        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(counts))
+
+    def chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct chunks, one chunk after another, and how many each has."""
+        special = pc.index_in(chunks, value_set=self.special_names)
+        at_special = np.flatnonzero(np.asarray(pc.is_valid(special)))
+        if len(at_special):
+            chunks = pc.if_else(pc.is_null(special), chunks, "")
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(chunks)], pa.int32()), chunks), "\n")
+        text = str(joined[0].as_buffer(), "utf-8", "replace")
+        pieces, per_chunk = pieces_of(text, len(chunks)) if text else (pa.array([], pa.binary()), np.zeros(len(chunks), np.int64))
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.known) + len(distinct) > REMEMBERED:
+            self.forget()
+        if new := [w for w in distinct if w not in self.known]:
             self.learn(new)
-        known = self.known
-        ids, decoded = [], []
-        for chunks in split:
-            got = [known[c] for c in chunks]
-            ids.append(b"".join([g[0] for g in got]))
-            decoded.append(" ".join([g[1] for g in got if g[0]]))
-        return ids, decoded
+        number = np.array([self.known[w] for w in distinct], np.int64)[np.asarray(coded.indices)] if distinct else np.empty(0, np.int64)
+        counts = self.ends[number + 1] - self.ends[number]
+        before = np.cumsum(counts) - counts
+        ids = self.held[np.repeat(self.ends[number] - before, counts) + np.arange(int(counts.sum()))]
+        upto = np.append(0, np.cumsum(counts))
+        cuts = np.append(0, np.cumsum(per_chunk))
+        per_chunk = upto[cuts[1:]] - upto[cuts[:-1]]
+        if len(at_special):
+            ids = np.insert(ids, (np.cumsum(per_chunk) - per_chunk)[at_special], self.special_ids[np.asarray(special.take(pa.array(at_special)))])
+            per_chunk[at_special] = 1
+        return ids, per_chunk
+
+    def encode_batch(self, texts: pa.Array) -> tuple[pa.ListArray, pa.Array]:
+        """For each text, its ids and what they decode to."""
+        texts = pc.fill_null(texts, "")
+        if self.special and pc.any(pc.match_substring_regex(texts, self.special)).as_py():
+            texts = pc.replace_substring_regex(texts, self.special, r" \1 ")  # a special token is a chunk of its own
+        if pc.any(pc.match_substring_regex(texts, WIDE_SPACE)).as_py():
+            texts = pc.replace_substring_regex(texts, WIDE_SPACE, " ")
+        words = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts))
+        coded = words.flatten().dictionary_encode()
+        ids, counts = self.chunk_ids(coded.dictionary)
+        first = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
+        decoded = pc.binary_join(pa.ListArray.from_arrays(first, self.names.take(pa.array(ids))), " ")
+        at = np.asarray(coded.indices)
+        upto = np.append(0, np.cumsum(counts[at]))
+        offsets = np.asarray(words.offsets)
+        per_word = pa.ListArray.from_arrays(first, pa.array(ids, pa.int32())).take(coded.indices)
+        of_text = pa.ListArray.from_arrays(pa.array(upto[offsets].astype(np.int32)), per_word.flatten())
+        return of_text, pc.binary_join(pa.ListArray.from_arrays(words.offsets, decoded.take(coded.indices)), " ")
 
 
 #: The tokenizer that this worker last made, by the length and hash of its file.
@@ -206,12 +328,10 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", kee
         bpe = _ready[key]
         for batch in batches:
             texts = batch.column(text_col)
-            sizes = np.array([0 if n is None else n for n in pc.binary_length(texts).to_pylist()], np.int64)
+            sizes = np.array(pc.fill_null(pc.binary_length(texts), 0), np.int64)
             for a, b in slices(sizes, BATCH_BYTES):
-                ids, decoded = bpe.encode_all(texts.slice(a, b - a).to_pylist())
-                offsets = np.append(0, np.cumsum([len(x) // 4 for x in ids])).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+                ids, decoded = bpe.encode_batch(texts.slice(a, b - a))
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), lists, pa.array(decoded, pa.string())], names=[*names, "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), ids, decoded], names=[*names, "ids", "decoded"])
 
-    return docs.select(*names, *([] if keep_text else [text_col])).mapInArrow(run, schema)
+    return bounded_batches(docs.select(*names, *([] if keep_text else [text_col]))).mapInArrow(run, schema)

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,6 +185,43 @@ def test_link_forest_over_blocks():
     assert len(jaccard.link_forest(size, sign, None, np.zeros(5, int), False, 90)) >= 3
 
 
+def test_jaccard_of_a_cluster_of_many_blocks(spark, monkeypatch):
+    """Copies of one text in all blocks, and a bridge between two groups that only one text makes."""
+    monkeypatch.setattr(jaccard, "BLOCK_ELEMENTS", 900)
+    monkeypatch.setattr(jaccard, "BLOCK_BITS", 4096)
+    monkeypatch.setattr(jaccard, "HUBS", 2)
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    base = [word() for _ in range(130)]
+    rows = []
+    for k in range(60):
+        c = list(base)
+        for _ in range(rng.randrange(0, 5)):
+            c[rng.randrange(len(c))] = word()
+        rows.append((k, " ".join(c)))
+    chain = list(base)
+    for k in range(60, 80):  # each differs a little from the one before, so that the last is far from the first
+        chain[(k - 60) * 6] = word()
+        rows.append((k, " ".join(chain)))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    sets = {d: {tuple(w[i : i + 3]) for i in range(len(w) - 2)} for d, t in rows for w in [t.split()]}
+    up = {d: d for d in sets}
+    find = lambda d: d if up[d] == d else find(up[d])
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]) and find(a) != find(b):
+                up[max(find(a), find(b))] = min(find(a), find(b))
+    assert got == {d: find(d) for d in sets} and len(set(got.values())) < len(got)
+
+
+def test_tiles_shared_within_a_chunk():
+    nodes, tiles = np.array([5, 3, 9, 3, 7], np.int64), np.array([1, 1, 1, 1, 2], np.uint64)
+    n, t = jaccard.shared_in_chunk(nodes, tiles)
+    assert sorted(n[t == 1]) == [3] and sorted(n[t == 2]) == [7]
+    own = set(t.tolist()) - {1, 2}
+    assert len(own) == 1 and sorted(n[t == own.pop()]) == [3, 5, 9]
+
+
 @pytest.mark.parametrize("percent", [80, 90])
 def test_linking_sets_share_tiles(percent):
     rng = np.random.default_rng(5)
@@ -208,7 +246,39 @@ def test_bpe(docs):
     coder = bpe.WordBPE(open(bpe.default_path(), "rb").read())
     for text in ("a<|endoftext|>b's \x1cΣας İ ½ 你好 😀!!", "x" * 1000):
         want = library.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(coder.encode_all([text])[0][0], np.int32).tolist() == want
+        assert coder.encode_batch(pa.array([text]))[0].to_pylist() == [want]
+
+
+def test_bpe_of_every_code_point():
+    tokenizers = pytest.importorskip("tokenizers")
+    library = tokenizers.Tokenizer.from_file(bpe.default_path())
+    coder = bpe.WordBPE(open(bpe.default_path(), "rb").read())
+    points = [k for k in range(1, 0x110000) if not 0xD800 <= k < 0xE000]
+    texts = ["\n".join(f"a{chr(k)}B {chr(k)}1" for k in points[i : i + 64]) for i in range(0, len(points), 64)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert coder.encode_batch(pa.array(texts))[0].to_pylist() == want
+
+
+def test_bpe_of_mixed_texts():
+    tokenizers = pytest.importorskip("tokenizers")
+    library = tokenizers.Tokenizer.from_file(bpe.default_path())
+    coder = bpe.WordBPE(open(bpe.default_path(), "rb").read())
+    rng = random.Random(3)
+    parts = [*"abIXé'’s.1²٣ßΣσςKÅ \n\t-re<|>lvdm", "\u0307", "\u0323", "\u0301", "\u0898", "ǅ", "ﬁ", "<|endoftext|>", "\x00", "\x1c", "\u2003", "\u0130", "你"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(4000)]
+    ids, decoded = coder.encode_batch(pa.array(texts))
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert ids.to_pylist() == want and decoded.to_pylist() == [library.decode(w, skip_special_tokens=False) for w in want]
+    coder.forget()
+    assert coder.encode_batch(pa.array(texts[:9]))[0].to_pylist() == want[:9]
+
+
+def test_bpe_columns(spark):
+    rows = [(1, "a b", "x", 5), (None, None, "y", 6), (1, "", "z", 7)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, decoded string, ids int")
+    got = bpe.encode(table, keep_text=True)
+    assert got.columns == ["doc_id", "text", "ids", "decoded"]
+    assert sorted((r["text"] is None, r["text"] or "", len(r["ids"])) for r in got.collect()) == [(False, "", 0), (False, "a b", 2), (True, "", 0)]
 
 
 def test_language(spark):
@@ -355,6 +425,6 @@ def test_pipeline(spark, tmp_path):
     coder = bpe.WordBPE(open(bpe.default_path(), "rb").read())
     want = {}
     for d, t in clean:
-        got = np.frombuffer(coder.encode_all([t])[0][0], np.int32).tolist()
+        got = coder.encode_batch(pa.array([t]))[0].to_pylist()[0]
         want[d] = (len(got), hashlib.sha256(" ".join(map(str, got)).encode()).hexdigest())
     assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"]) for r in corpus_pipeline.run(spark, sf).collect()} == want
