@@ -15,8 +15,9 @@ A document's set is its distinct shingles of ``words`` words, as sorted 64-bit h
    about as many bits as the set has elements: bit k is the parity of the number of elements that hash to k, so the bits in
    which two signatures differ are at most the elements in which the sets differ, which bounds the overlap from above. Pairs
    that pass make smaller clusters; only the sets of these are fetched and decided by exact intersection of sorted arrays.
-4. A cluster too large for a task is cut into blocks, and each pair of blocks is a task of its own; what a task hands on is a
-   spanning forest of the links it found, never all pairs.
+4. A cluster too large for a task is cut into blocks, which are compared within; a few sets of the cluster are in all blocks,
+   so that copies of one text hang together. Only sets that are not in the largest part so found are compared with the other
+   blocks. What a task hands on is a spanning forest of the links it found, never all pairs.
 
 Components come from repeated neighbour minima over the link table. Nothing is dropped or capped.
 
@@ -39,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriva.llm.common import small, stored
+from scriva.llm.common import Scratch, bounded_batches, small, stored, without
 from scriva.llm.graph import connected
 
 SHINGLE, PERCENT = 3, 90
@@ -53,6 +54,8 @@ LEAST_BITS = 512
 #: What one task should hold of one block of a cluster: sets by elements, signatures by bits.
 BLOCK_ELEMENTS = 1_500_000
 BLOCK_BITS = 16_000_000
+#: Sets of a cluster of several blocks that each of its blocks holds, on average.
+HUBS = 32
 BATCH_BYTES = 1 << 20
 
 _rng = np.random.default_rng(20240607)
@@ -221,13 +224,33 @@ def _facts(words: int, kind: str, docs: DataFrame) -> DataFrame:
     return _scan(words, docs, f"doc_id {kind}, hash long, n long, f1 long, f2 long", rows)
 
 
+def shared_in_chunk(nodes: np.ndarray, tiles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (node, tile) for which a tile that several nodes here share is handed on for the least of them only.
+
+    They are tied to one another by a tile of their own, so that a tile that very many sets share doesn't meet in one place.
+    """
+    order = np.lexsort((nodes, tiles))
+    nodes, tiles = nodes[order], tiles[order]
+    new = np.ones(len(tiles), bool)
+    new[1:] = (tiles[1:] != tiles[:-1]) | (nodes[1:] != nodes[:-1])
+    nodes, tiles = nodes[new], tiles[new]
+    first = np.ones(len(tiles), bool)
+    first[1:] = tiles[1:] != tiles[:-1]
+    shared = ~first
+    shared[:-1] |= ~first[1:]
+    # The same rows give the same names when a task runs again.
+    own = mix(tiles[shared] ^ mix(np.array([len(tiles)], np.uint64) + np.sum(tiles, dtype=np.uint64)))
+    return np.append(nodes[first], nodes[shared]), np.append(tiles[first], own)
+
+
 def _tiles(percent: int, words: int, docs: DataFrame) -> DataFrame:
     """(node, tile): a row for every tile of every document, which has a node in each of its bands."""
 
     def rows(part: pa.RecordBatch, sets: list[np.ndarray]) -> list[pa.Array]:
         tiles = [(node_of(fingerprint(s)[0], band), tiles_of(s, band, percent)) for s in sets if len(s) for band in bands_of(len(s), percent)]
         nodes = np.repeat(np.array([n for n, _ in tiles], np.int64), [len(t) for _, t in tiles])
-        return [pa.array(nodes), pa.array(np.concatenate([np.empty(0, np.uint64), *(t for _, t in tiles)]).view(np.int64))]
+        nodes, keys = shared_in_chunk(nodes, np.concatenate([np.empty(0, np.uint64), *(t for _, t in tiles)]))
+        return [pa.array(nodes), pa.array(keys.view(np.int64))]
 
     return _scan(words, docs, "node long, tile long", rows)
 
@@ -309,38 +332,75 @@ def link_forest(size: np.ndarray, sign: np.ndarray, sets: list[np.ndarray] | Non
     return links
 
 
-def _decided(rows: DataFrame, most: int, exact: bool, percent: int) -> DataFrame:
-    """(a, b): a forest of the links in each cluster. rows: (cluster, class, size, content); a block holds about `most` of size."""
-    rows = stored(rows, "jaccard-rows")
-    blocks = stored(rows.groupBy("cluster").agg(F.ceil(F.sum("size") / most).cast("int").alias("blocks")), "jaccard-blocks")
-    side, _ = small(blocks)
-    placed = rows.join(side, "cluster").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("cluster", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "class", "size", "content")
+def _compared(dealt: DataFrame, exact: bool, percent: int) -> DataFrame:
+    """(a, b): for each (cluster, i, j) a forest of the links among its sets, or, if j is not null, between its two sides."""
 
     def decide(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("class").reset_index(drop=True)
         held, size = [np.frombuffer(x, np.uint64) for x in pdf["content"]], pdf["size"].to_numpy(np.int64)
         sign = np.stack([signature(x, int(size.min())) for x in held]) if exact else folded(held)
-        found = link_forest(size, sign, held if exact else None, pdf["block"].to_numpy(), key[1] != key[2], percent)
+        found = link_forest(size, sign, held if exact else None, pdf["side"].to_numpy(), key[2] >= 0, percent)
         ids = pdf["class"].to_numpy()
         return pd.DataFrame({"a": [ids[i] for i, _ in found], "b": [ids[j] for _, j in found]})
 
-    return stored(placed.groupBy("cluster", "i", "j").applyInPandas(decide, "a long, b long"), "jaccard-links")
+    # A count of its own keeps the adaptive planner from putting many small groups, each of which takes a while, into one task.
+    tasks = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(tasks, "cluster", "i", "j").groupBy("cluster", "i", "j").applyInPandas(decide, "a long, b long")
+
 
+def _decided(rows: DataFrame, most: int, exact: bool, percent: int, scratch: Scratch) -> DataFrame:
+    """(a, b): a forest of the links in each cluster. rows: (cluster, class, size, content).
 
-def links(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    A block holds sets of about `most` in size. Sets of a cluster of several blocks are first compared within their block, to
+    which HUBS sets of the cluster are added, so that the parts of a large group of copies hang together by these. Then only
+    sets outside the largest part are compared with the other blocks.
+    """
+    rows = scratch.stored(bounded_batches(rows), "jaccard-rows")
+    blocks = rows.groupBy("cluster").agg(F.ceil(F.sum("size") / most).cast("int").alias("blocks"), F.count("*").alias("sets"))
+    blocks = scratch.stored(blocks, "jaccard-blocks")
+    side, _ = small(blocks)
+    placed = rows.join(side, "cluster").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    key, held = ["cluster", "i", "j", "side"], ["class", "size", "content"]
+    first = placed.select("cluster", F.col("block").alias("i"), F.lit(-1).alias("j"), F.lit(0).alias("side"), *held)
+    wide = blocks.where("blocks > 1")
+    if wide.isEmpty():
+        return scratch.stored(_compared(first, exact, percent), "jaccard-links")
+    placed_wide = placed.where("blocks > 1")
+    hubs = placed_wide.where(F.pmod(F.xxhash64(F.lit("hub"), "class"), F.col("sets")) < HUBS).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    hubs = hubs.where("i <> block").select("cluster", "i", F.lit(-1).alias("j"), F.lit(0).alias("side"), *held)
+    found = scratch.stored(_compared(first.unionByName(hubs), exact, percent), "jaccard-links")
+
+    parts = scratch.stored(connected(found, scratch), "jaccard-parts")
+    of_set = placed_wide.select("cluster", "class", "size", "blocks").distinct().join(parts.withColumnRenamed("node", "class"), "class", "left")
+    of_set = scratch.stored(of_set.withColumn("component", F.coalesce("component", "class")), "jaccard-of-set")
+    largest = of_set.groupBy("cluster", "component").count().groupBy("cluster").agg(F.max_by("component", F.struct("count", "component")).alias("largest"))
+    apart = scratch.stored(of_set.join(largest, "cluster").where("component <> largest").select("cluster", "class", "size"), "jaccard-apart")
+    if apart.isEmpty():
+        return found
+    some = apart.groupBy("cluster").agg(F.ceil(F.sum("size") / most).cast("int").alias("others"))
+    side, _ = small(scratch.stored(some, "jaccard-others"))
+    every = placed_wide.join(side, "cluster")
+    one = every.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("others") - 1))).select("cluster", F.col("block").alias("i"), "j", F.lit(0).alias("side"), *held)
+    keys, _ = small(apart.select("class"))
+    other = every.join(keys, "class", "left_semi").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("i <> block")
+    other = other.withColumn("j", F.pmod(F.xxhash64(F.lit("apart"), "class"), F.col("others")).cast("int")).select("cluster", "i", "j", F.lit(1).alias("side"), *held)
+    assert one.columns == other.columns == [*key, *held]
+    return found.unionByName(scratch.stored(_compared(one.unionByName(other), exact, percent), "jaccard-links"))
+
+
+def links(docs: DataFrame, percent: int, words: int, id_col: str, text_col: str, kept: Scratch, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members: doc_id, hash, n, class; classes: class, doc_id, hash of the text that stands for it; links: a, b between classes).
 
-    Members of a class have equal sets; its doc_id is their smallest. Members without a shingle have no class.
+    Members of a class have equal sets; its doc_id is their smallest. Members without a shingle have no class. Members and
+    classes are read from tables in kept, links from those in scratch.
     """
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("hash"))
+    texts = bounded_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("hash")))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    facts = stored(_facts(words, kind, texts), "jaccard-facts")
+    facts = kept.stored(_facts(words, kind, texts), "jaccard-facts")
     full = facts.where("n > 0")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash"))
     classes = full.groupBy("n", "f1", "f2").agg(best.alias("best"))
-    classes = stored(classes.select(F.monotonically_increasing_id().alias("class"), "n", "f1", "f2", "best.doc_id", "best.hash"), "jaccard-classes")
+    classes = kept.stored(classes.select(F.monotonically_increasing_id().alias("class"), "n", "f1", "f2", "best.doc_id", "best.hash"), "jaccard-classes")
     key = ["n", "f1", "f2"]
     members = full.join(classes.select("class", *key), key).select("doc_id", "hash", "n", "class")
     members = members.unionByName(facts.where("n = 0").select("doc_id", "hash", "n", F.lit(None).cast("long").alias("class")))
@@ -349,8 +409,8 @@ def links(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, id_col:
     tiles = _tiles(percent, words, texts.select("text"))
     tiles = tiles.select("node", F.min("node").over(Window.partitionBy("tile")).alias("pivot"))
     ties = tiles.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    tied = connected(stored(ties, "jaccard-ties"))
-    tied = stored(_nodes(percent, classes).join(tied, "node").select("class", F.col("component").alias("cluster")), "jaccard-clusters")
+    tied = connected(scratch.stored(ties, "jaccard-ties"), scratch)
+    tied = scratch.stored(_nodes(percent, classes).join(tied, "node").select("class", F.col("component").alias("cluster")), "jaccard-clusters")
 
     def held(scan: Callable[[int, DataFrame], DataFrame], clusters: DataFrame) -> DataFrame:
         side, fits = small(clusters)
@@ -358,26 +418,27 @@ def links(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, id_col:
         chosen = texts.join(F.broadcast(wanted) if fits else wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("hash") == F.col("__hash")))
         return scan(words, chosen.select("class", "text")).join(side, "class")
 
-    near = _decided(held(_signatures, tied), BLOCK_BITS, False, percent)
-    near = stored(connected(near).select(F.col("node").alias("class"), F.col("component").alias("cluster")), "jaccard-near")
-    return members, classes.select("class", "doc_id", "hash"), _decided(held(_sets, near), BLOCK_ELEMENTS, True, percent)
+    near = _decided(held(_signatures, tied), BLOCK_BITS, False, percent, scratch)
+    near = scratch.stored(connected(near, scratch).select(F.col("node").alias("class"), F.col("component").alias("cluster")), "jaccard-near")
+    return members, classes.select("class", "doc_id", "hash"), _decided(held(_sets, near), BLOCK_ELEMENTS, True, percent, scratch)
 
 
-def _grouped(docs: DataFrame, percent: int, words: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+def _grouped(docs: DataFrame, percent: int, words: int, id_col: str, text_col: str, kept: Scratch) -> tuple[DataFrame, DataFrame]:
     """(members as of links; places: class, best), best being the text (no_id, doc_id, hash) that stands for the class's component."""
-    members, classes, found = links(docs, percent, words, id_col, text_col)
-    best = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash")
-    reached = stored(connected(found), "jaccard-components")
-    side, _ = small(reached)
-    linked = stored(classes.join(side, F.col("class") == F.col("node")).select("class", "component", best.alias("best")), "jaccard-linked")
-    roots = linked.groupBy("component").agg(F.min("best").alias("root"))
-    alone = classes.join(side, F.col("class") == F.col("node"), "left_anti").select("class", best.alias("best"))
-    return members, stored(alone.unionByName(linked.join(roots, "component").select("class", F.col("root").alias("best"))), "jaccard-places")
+    with Scratch(docs.sparkSession) as scratch:
+        members, classes, found = links(docs, percent, words, id_col, text_col, kept, scratch)
+        best = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash")
+        reached = scratch.stored(connected(found, scratch), "jaccard-components")
+        side, _ = small(reached)
+        linked = scratch.stored(classes.join(side, F.col("class") == F.col("node")).select("class", "component", best.alias("best")), "jaccard-linked")
+        roots = linked.groupBy("component").agg(F.min("best").alias("root"))
+        alone = classes.join(side, F.col("class") == F.col("node"), "left_anti").select("class", best.alias("best"))
+        return members, kept.stored(alone.unionByName(linked.join(roots, "component").select("class", F.col("root").alias("best"))), "jaccard-places")
 
 
 def components(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of docs; component_id is the smallest doc_id that links reach."""
-    members, places = _grouped(docs, percent, words, id_col, text_col)
+    members, places = _grouped(docs, percent, words, id_col, text_col, Scratch(docs.sparkSession))
     side, _ = small(places)
     out = members.join(side, "class", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("component_id"))
@@ -385,23 +446,23 @@ def components(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, id
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component of docs, with all its columns: that of the smallest doc_id, null last."""
-    members, places = _grouped(docs, percent, words, id_col, text_col)
-    side, _ = small(places)
-    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("hash") == F.col("best.hash"))
-    marked = members.where("class is not null").join(side, "class").select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"), stays.alias("__stays"))
-    marked = marked.groupBy("__id", "__hash").agg(F.max("__stays").alias("__stays"), F.count("*").alias("__times")).where("not __stays or __times > 1")
-    gone = stored(marked, "jaccard-gone")
-
-    def same(side: DataFrame) -> Column:
-        return docs[id_col].eqNullSafe(side["__id"]) & (F.xxhash64(docs[text_col]) == side["__hash"])
-
-    side, _ = small(gone)
-    left = docs.join(side, same(side), "left_anti")
+    with Scratch(docs.sparkSession) as scratch:
+        members, places = _grouped(docs, percent, words, id_col, text_col, scratch)
+        side, _ = small(places)
+        stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("hash") == F.col("best.hash"))
+        marked = members.where("class is not null").join(side, "class").select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"), stays.alias("__stays"))
+        marked = marked.groupBy("__id", "__hash").agg(F.max("__stays").alias("__stays"), F.count("*").alias("__times")).where("not __stays or __times > 1")
+        gone = stored(marked, "jaccard-gone")
+
+    def same(rows: DataFrame, side: DataFrame) -> Column:
+        return rows[id_col].eqNullSafe(side["__id"]) & (F.xxhash64(rows[text_col]) == side["__hash"])
+
+    left = without(docs, gone, ["__id", "__hash"], same)
     again = gone.where("__stays")
     if again.isEmpty():
         return left
     # The row that stays is repeated under its id: once is enough.
     digest = "scriva text hash"
     again, _ = small(again)
-    rows = docs.join(again, same(again), "left_semi").withColumn(digest, F.xxhash64(F.col(text_col))).dropDuplicates([id_col, digest]).drop(digest)
+    rows = docs.join(again, same(docs, again), "left_semi").withColumn(digest, F.xxhash64(F.col(text_col))).dropDuplicates([id_col, digest]).drop(digest)
     return left.unionByName(rows)
