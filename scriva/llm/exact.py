@@ -8,7 +8,9 @@ Defined cases: a null text counts as empty; empty texts are equal to one another
 told apart by a row number that is stored with the facts); an empty table gives an empty result; further columns of the
 input, whatever their names, are not read by ``mark_copies`` and are kept as they are by ``drop_copies``.
 
-Texts are never shuffled. What moves is one narrow row for each document that may have an equal.
+Texts stay where they are: what moves is one narrow row for each document that may have an equal. With more groups of equal
+length and prefix than a few broadcasts hold (``PARTS * OPEN_GROUPS``), every row is hashed in place, which costs less than
+moving texts to their groups and gives the same result.
 """
 
 from __future__ import annotations
@@ -16,10 +18,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scriva.llm.common import small, stored
+from scriva.llm.common import Scratch, broadcast_parts, small, stored, without
 
 BLANKS = " \t\n\x0b\f\r"
 PREFIX_CHARS = 64
+#: Groups of equal length and prefix in one broadcast (two numbers each).
+OPEN_GROUPS = 500_000
 
 
 def normalised(text: Column) -> Column:
@@ -36,24 +40,24 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = clean.withColumns({"n_norm": F.octet_length("norm"), "head": F.xxhash64(F.substring("norm", 1, PREFIX_CHARS))})
 
     # Lengths, then prefixes, that more than one row has. Both counts combine before they shuffle.
-    heads = stored(keyed.groupBy("n_norm", "head").count(), "exact-heads")
-    lengths = heads.groupBy("n_norm").agg(F.sum("count").alias("of_length")).where("of_length > 1")
-    open_keys = stored(heads.where("count > 1").join(lengths, "n_norm", "left_semi").select("n_norm", "head"), "exact-open")
-    side, fits = small(open_keys)
-    if fits:
-        keyed = keyed.join(side.withColumn("open", F.lit(True)), ["n_norm", "head"], "left")
-    else:  # more groups than a broadcast should hold: hash every row rather than move texts to the groups
-        keyed = keyed.withColumn("open", F.lit(True))
-    is_open = F.coalesce("open", F.lit(False))
-    digest = F.sha2("norm", 256)
-    facts = keyed.select(
-        "doc_id", "n_code", is_open.alias("open"), (digest if digests else F.when(is_open, digest)).alias("full_hash"), F.monotonically_increasing_id().alias("row")
-    )
-    facts = stored(facts, "exact-facts")
+    with Scratch(docs.sparkSession) as scratch:
+        heads = scratch.stored(keyed.groupBy("n_norm", "head").count(), "exact-heads")
+        lengths = heads.groupBy("n_norm").agg(F.sum("count").alias("of_length")).where("of_length > 1")
+        open_keys = scratch.stored(heads.where("count > 1").join(lengths, "n_norm", "left_semi").select("n_norm", "head"), "exact-open")
+        parts = broadcast_parts(open_keys, ["n_norm", "head"], OPEN_GROUPS)
+        is_open = F.lit(parts is None)
+        for k, part in enumerate(parts or []):
+            keyed = keyed.join(part.withColumn(f"open_{k}", F.lit(True)), ["n_norm", "head"], "left")
+            is_open = is_open | F.coalesce(f"open_{k}", F.lit(False))
+        digest = F.sha2("norm", 256)
+        full_hash = (digest if digests else F.when(is_open, digest)).alias("full_hash")
+        facts = stored(keyed.select("doc_id", "n_code", is_open.alias("open"), full_hash, F.monotonically_increasing_id().alias("row")), "exact-facts")
 
     best = F.struct((-F.col("n_code")).alias("n"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     groups = facts.where("open").groupBy("full_hash").agg(F.count("*").alias("group_size"), F.min(best).alias("best")).where("group_size > 1")
     groups = groups.select("full_hash", "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"))
+    # Read from its table, this side leaves the other free to be split where many rows have one hash.
+    groups, _ = small(stored(groups, "exact-groups"))
     joined = facts.where("open").join(groups, "full_hash", "left")
     alone = F.col("keep_row").isNull()
     dup = joined.select(
@@ -69,16 +73,18 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns."""
-    marked = stored(mark_copies(docs, id_col, text_col), "exact-marked")
+    marked = mark_copies(docs, id_col, text_col)
     gone = marked.where("not kept").select(F.col("doc_id").alias("__id"), F.col("full_hash").alias("__hash"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("__again"))
     losers = stored(gone.groupBy("__id", "__hash").agg(F.max("__again").alias("__again")), "exact-losers")
-    side, _ = small(losers)
-    same = docs[id_col].eqNullSafe(side["__id"]) & (F.sha2(normalised(docs[text_col]), 256) == side["__hash"])
-    if losers.where(F.col("__again")).isEmpty():
-        return docs.join(side, same, "left_anti")
+
+    def same(rows: DataFrame, side: DataFrame) -> Column:
+        return rows[id_col].eqNullSafe(side["__id"]) & (F.sha2(normalised(rows[text_col]), 256) == side["__hash"])
+
+    left = without(docs, losers, ["__id", "__hash"], same)
+    if losers.where("__again").isEmpty():
+        return left
     # Some row is repeated under one id: of such rows one stays.
     digest = "scriva full hash"
     again, _ = small(losers.where("__again"))
-    rows = docs.join(again, docs[id_col].eqNullSafe(again["__id"]) & (F.sha2(normalised(docs[text_col]), 256) == again["__hash"]), "left_semi")
-    rows = rows.withColumn(digest, F.sha2(normalised(F.col(text_col)), 256)).dropDuplicates([id_col, digest]).drop(digest)
-    return docs.join(side, same, "left_anti").unionByName(rows)
+    rows = docs.join(again, same(docs, again), "left_semi")
+    return left.unionByName(rows.withColumn(digest, F.sha2(normalised(F.col(text_col)), 256)).dropDuplicates([id_col, digest]).drop(digest))
