@@ -3,7 +3,7 @@
 Windows of ``WINDOW`` bytes of the UTF-8 text pass through a byte embedding, convolutions of several widths, a rectifier, max
 pooling over the window and a softmax layer. The network is trained in numpy on windows of a bounded sample of labelled
 documents (at most ``sample_docs`` for each language, chosen by a hash of the id) and applied to windows that cover the whole
-of every text; a document's probabilities are the mean over its windows.
+of every text; a document's probabilities are the mean over its windows. Every language among the labels is learned.
 
 Only text and lang of training rows are learned from; lang, source and doc_id are no inputs of a prediction.
 
@@ -21,10 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WINDOW, STRIDE, EMBED = 128, 2, 8
+from scriva.llm.common import bounded_batches
+
+WINDOW, EMBED = 128, 8
 WIDTHS, FILTERS = (2, 3, 4), 8
-#: Bounds of the training sample: documents of a language, windows of a document, languages.
-SAMPLE_DOCS, SAMPLE_WINDOWS, MAX_LANGS = 1_000, 2, 256
+#: Bounds of the training sample: documents of a language, documents in all (with more languages than this allows in full, each
+#: has its equal part, but one at least), windows of a document.
+SAMPLE_DOCS, SAMPLE_ALL, SAMPLE_WINDOWS = 1_000, 100_000, 2
 EPOCHS, BATCH, RATE = 6, 128, 0.01
 CHUNK_WINDOWS = 2_048
 
@@ -50,7 +53,7 @@ class ByteConvNet:
     def columns(self, windows: np.ndarray) -> np.ndarray:
         """(windows, positions, span * EMBED): the embedded bytes under each position of a filter."""
         e = self.p["embed"][windows]
-        view = np.lib.stride_tricks.sliding_window_view(e, max(WIDTHS), axis=1)[:, ::STRIDE]
+        view = np.lib.stride_tricks.sliding_window_view(e, max(WIDTHS), axis=1)
         return np.ascontiguousarray(view.transpose(0, 1, 3, 2)).reshape(len(windows), view.shape[1], -1)
 
     def pooled(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,7 +82,7 @@ class ByteConvNet:
         under = np.take_along_axis(cols, best[:, :, None], 1)  # (n, filters, span * EMBED)
         d_cols = back[:, :, None] * self.p["conv"].T[None]
         d_embed = np.zeros_like(self.p["embed"])
-        place = best[:, :, None] * STRIDE + np.arange(max(WIDTHS))
+        place = best[:, :, None] + np.arange(max(WIDTHS))
         np.add.at(d_embed, np.take_along_axis(windows, place.reshape(n, -1), 1).ravel(), d_cols.reshape(-1, EMBED))
         return {"out": hidden.T @ d, "shift": d.sum(0), "bias": back.sum(0), "conv": np.einsum("nf,nfk->kf", back, under) * self.mask, "embed": d_embed}
 
@@ -104,12 +107,13 @@ def held_out(id_col: Column) -> Column:
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteConvNet | None:
     """A network fitted on at most sample_docs documents of each language; None without labelled rows."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(~held_out(F.col("id")) & F.col("lang").isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
+    sample_docs = max(1, min(sample_docs, SAMPLE_ALL // len(counts)))
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 1.1 * sample_docs / n)))])
     place = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1 << 20)) / (1 << 20)
-    chosen = rows.where(F.col("lang").isin(list(counts)) & F.col("text").isNotNull() & (place < F.element_at(share, F.col("lang"))))
+    chosen = rows.where(F.col("text").isNotNull() & (place < F.element_at(share, F.col("lang"))))
     raw = F.col("text").cast("binary")
     spread = [F.substring(raw, F.lit(1) + F.pmod(F.xxhash64(F.lit(k), "id"), F.greatest(F.length(raw) - WINDOW + 1, F.lit(1))).cast("int"), F.lit(WINDOW)) for k in range(SAMPLE_WINDOWS)]
     found = chosen.select("lang", F.xxhash64(F.lit("order"), "id").alias("o"), F.array(*spread).alias("w")).orderBy("o", "lang").limit(len(counts) * sample_docs).collect()
@@ -169,7 +173,7 @@ def predict(docs: DataFrame, net: ByteConvNet | None, id_col: str = "doc_id", te
             names, scores = labels(net, batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    return bounded_batches(rows).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
 def keep_known(docs: DataFrame, net: ByteConvNet | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,4 +186,4 @@ def keep_known(docs: DataFrame, net: ByteConvNet | None, id_col: str = "doc_id",
     def known(texts: pa.Array) -> pa.Array:
         return pa.array([name != "und" for name in labels(net, texts)[0]], pa.bool_())
 
-    return docs.where(known(lettered(docs[text_col])))
+    return bounded_batches(docs).where(known(lettered(docs[text_col])))
