@@ -9,11 +9,13 @@ repeated when some window over it also starts anywhere else. The search is exact
 2. Seeds are joined over all texts by counting. A reach that occurs twice is repeated whole, so copies need no more work,
    however many there are. A reach that occurs once is open if others share its seed, else it is unique.
 3. One copy of each reach that shares its seed with an open one is fetched and sent to the task of its seed, where a matcher
-   decides which windows of the open ones occur in another reach. A seed with more reaches than a task should hold is matched
-   by counting window hashes instead, dealt over all tasks.
-4. Repeated stretches go back to their texts by id, where they are united.
+   parts all windows into classes of equal ones. A seed with more than SEED_REACHES reaches is split into blocks, each with a
+   task and classes of its own; a class then stands in every block for all of its windows there, and classes of several blocks
+   are joined by the hash of a window.
+4. Repeated stretches are united and go back to their texts by id.
 
-Texts move only where the table of stretches is too large for a broadcast; nothing is dropped, capped or sampled.
+Texts stay where they are while the table of stretches fits PARTS broadcasts; beyond that they move once for each of steps 3
+and 4. Nothing is dropped, capped or sampled. Seeds and reaches are 64-bit hashes each, and reaches count as equal if both are.
 """
 
 from __future__ import annotations
@@ -24,15 +26,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriva.llm.common import small, stored
+from scriva.llm.common import Scratch, bounded_batches, broadcast_parts, stored
 from scriva.llm.jaccard import BASE, BASE_INVERSE, BATCH_BYTES, BYTE_VALUE, SAME, mix, powers, runs, texts_of, word_hashes
 
-#: Reaches of one seed that a task should hold.
-SEED_REACHES = 20_000
-#: Stretches that a broadcast may carry.
+#: Reaches of one seed that are matched together; a seed with more is split.
+SEED_REACHES = 2_000
+#: Stretches that one broadcast may carry.
 BROADCAST_STRETCHES = 1_000_000
 
 Scan = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
@@ -114,33 +116,24 @@ def _scan(docs: DataFrame, words: bool, length: int, gram: int) -> DataFrame:
 
 
 def _fetch(docs: DataFrame, words: bool, length: int) -> DataFrame:
-    """docs with `wanted`, an array of (lo, span, seed, reach, open) -> (seed, reach, open, content)."""
+    """docs with `wanted`, an array of (lo, span, seed, reach, open, split, block) -> (seed, block, split, reach, open, content)."""
+    names = ["seed", "block", "split", "reach", "open"]
+    schema = pa.schema([("seed", pa.int64()), ("block", pa.int32()), ("split", pa.bool_()), ("reach", pa.int64()), ("open", pa.bool_()), ("content", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: tuple[list, list, list, list] = [], [], [], []
+            rows, held = [], 0
             for text, wanted in zip(texts_of(batch.column("text")), batch.column("wanted"), strict=True):
                 content = split_elements([text], True)[0] if words else text
                 for w in wanted.as_py():
-                    for column, value in zip(rows, (w["seed"], w["reach"], w["open"], content[w["lo"] : w["lo"] + w["span"] + length].tobytes()), strict=True):
-                        column.append(value)
-                if len(rows[0]) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.bool_()), pa.array(rows[3], pa.binary())], names=["seed", "reach", "open", "content"])
-                    rows = [], [], [], []
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.bool_()), pa.array(rows[3], pa.binary())], names=["seed", "reach", "open", "content"])
+                    rows.append({c: w[c] for c in names} | {"content": content[w["lo"] : w["lo"] + w["span"] + length].tobytes()})
+                    held += len(rows[-1]["content"])
+                    if held > BATCH_BYTES:
+                        yield pa.RecordBatch.from_pylist(rows, schema)
+                        rows, held = [], 0
+            yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return docs.mapInArrow(run, "seed long, reach long, open boolean, content binary")
-
-
-def windows_of(contents: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(content, start, hash) of every window of every content (given as elements)."""
-    sizes = np.array([len(c) for c in contents])
-    starts = np.cumsum(np.append(0, sizes))
-    many = sizes - length + 1
-    owner = np.repeat(np.arange(len(contents)), many)
-    start = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
-    at = starts[owner] + start
-    return owner, start, Rolling(np.concatenate(contents)).of(at, at + length)
+    return docs.mapInArrow(run, "seed long, block int, split boolean, reach long, open boolean, content binary")
 
 
 def ranges(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -148,52 +141,61 @@ def ranges(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
-Matcher = Callable[[list[np.ndarray], np.ndarray, np.ndarray, int], list[tuple[int, int, int]]]
+#: (content, start, class) of every window of some contents, in order; equal windows have equal classes.
+Classes = tuple[np.ndarray, np.ndarray, np.ndarray]
+#: contents and their groups, in order; the length of a window -> classes. Windows of different groups are never equal.
+Matcher = Callable[[list[np.ndarray], np.ndarray, int], Classes]
 
 
 def _match(reaches: DataFrame, words: bool, length: int, matcher: Matcher) -> DataFrame:
-    """(seed, reach, open, content) dealt by seed -> (reach, seed, a, b): elements a to b of an open reach are repeated."""
+    """(seed, block, split, reach, open, content) dealt by seed and block -> (seed, reach, a, b, open, window).
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def work(part: pd.DataFrame) -> pd.DataFrame:
-            contents = [np.frombuffer(c, np.uint64 if words else np.uint8) for c in part["content"]]
-            found = matcher(contents, part["seed"].to_numpy(), part["open"].to_numpy(), length)
-            seed, reach = part["seed"].to_numpy(), part["reach"].to_numpy()
-            return pd.DataFrame({"seed": [seed[i] for i, _, _ in found], "reach": [reach[i] for i, _, _ in found], "a": [a for _, a, _ in found], "b": [b for _, _, b in found]})
+    Without a window, elements a to b of an open reach are repeated. Blocks of a split seed also hand on the windows that they
+    have once (with their hash, and whether their reach is open) and a hash of each window that they have more often.
+    """
 
+    def work(part: pd.DataFrame) -> pd.DataFrame:
+        contents = [np.frombuffer(c, np.uint64 if words else np.uint8) for c in part["content"]]
+        seed, reach, opened, split = (part[c].to_numpy() for c in ("seed", "reach", "open", "split"))
+        block = part["block"].to_numpy()
+        groups = np.cumsum(np.concatenate(([0], (seed[1:] != seed[:-1]) | (block[1:] != block[:-1]))))
+        owner, start, kind = matcher(contents, groups, length)
+        _, one, kind, times = np.unique(kind, return_index=True, return_inverse=True, return_counts=True)
+        hit = (times[kind] > 1) & opened[owner]
+        who, first = owner[hit], start[hit]
+        new = np.flatnonzero(np.concatenate(([True], (who[1:] != who[:-1]) | (first[1:] != first[:-1] + 1)))) if len(who) else np.empty(0, np.int64)
+        last = np.append(new, len(who))[1:] - 1
+        found = pd.DataFrame({"seed": seed[who[new]], "reach": reach[who[new]], "a": first[new], "b": first[last] + length, "open": np.ones(len(new), bool)})
+        found["window"] = pd.array([pd.NA] * len(found), "Int64")
+        if not split.any():
+            return found
+        some = np.sort(one[split[owner[one]]])  # one window of each class
+        at = np.cumsum([0, *map(len, contents)])[owner[some]] + start[some]
+        elements = np.concatenate(contents) if words else BYTE_VALUE[np.concatenate(contents)]
+        alone = times[kind[some]] == 1
+        who, first = owner[some], start[some]
+        across = pd.DataFrame({"seed": seed[who], "reach": reach[who], "a": first, "b": first + length, "open": opened[who] & alone})
+        across["window"] = pd.array(Rolling(elements).of(at, at + length).view(np.int64), "Int64")
+        return pd.concat([found, across], ignore_index=True)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
-        for batch in batches:  # sorted by seed; the last seed of a batch may go on in the next
+        for batch in batches:  # sorted by seed and block; the last ones of a batch may go on in the next
             if not len(batch):
                 continue
             held.append(batch)
+            if (batch["seed"].iloc[0], batch["block"].iloc[0]) == (batch["seed"].iloc[-1], batch["block"].iloc[-1]) == (held[0]["seed"].iloc[-1], held[0]["block"].iloc[-1]):
+                continue
             whole = pd.concat(held, ignore_index=True)
-            tail = whole["seed"] == whole["seed"].iloc[-1]
+            tail = (whole["seed"] == whole["seed"].iloc[-1]) & (whole["block"] == whole["block"].iloc[-1])
             if not tail.all():
                 yield work(whole[~tail].reset_index(drop=True))
-                whole = whole[tail]
-            held = [whole]
-        if held and len(held[0]):
+            held = [whole[tail].reset_index(drop=True)]
+        if held:
             yield work(pd.concat(held, ignore_index=True))
 
-    dealt = reaches.repartition("seed").sortWithinPartitions("seed")
-    return dealt.mapInPandas(run, "seed long, reach long, a int, b int")
-
-
-def _match_large(reaches: DataFrame, words: bool, length: int) -> DataFrame:
-    """As _match for seeds with very many reaches: their windows are dealt by hash and counted."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for k in range(0, len(batch), 2_000):
-                part = batch.iloc[k : k + 2_000]
-                contents = [np.frombuffer(c, np.uint64) if words else BYTE_VALUE[np.frombuffer(c, np.uint8)] for c in part["content"]]
-                owner, start, hashes = windows_of(contents, length)
-                yield pd.DataFrame({"seed": part["seed"].to_numpy()[owner], "reach": part["reach"].to_numpy()[owner], "open": part["open"].to_numpy()[owner], "start": start.astype(np.int32), "window": hashes.view(np.int64)})
-
-    windows = stored(reaches.mapInPandas(run, "seed long, reach long, open boolean, start int, window long"), "repeat-windows")
-    twice = windows.groupBy("window").count().where("count > 1").select("window")
-    hit = windows.where("open").join(twice, "window")
-    return hit.select("seed", "reach", F.col("start").alias("a"), (F.col("start") + length).alias("b"))
+    dealt = reaches.repartition("seed", "block").sortWithinPartitions("seed", "block")
+    return dealt.mapInPandas(run, "seed long, reach long, a int, b int, open boolean, window long")
 
 
 def stretches(docs: DataFrame, words: bool, length: int, gram: int, matcher: Matcher, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -201,47 +203,48 @@ def stretches(docs: DataFrame, words: bool, length: int, gram: int, matcher: Mat
 
     Where ids are repeated, text_key is a hash of the text, and texts are known by both.
     """
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    again = _repeats_ids(texts)
-    texts = texts.withColumn("text_key", F.xxhash64("text") if again else F.lit(0).cast("long"))
-    spots = stored(_scan(texts, words, length, gram), "repeat-anchors")
-    # The four firsts come from the same row, as one aggregation sees its rows in one order.
-    first = [F.first(c).alias(c) for c in ("doc_id", "text_key", "lo", "span")]
-    by_reach = stored(spots.groupBy("seed", "reach").agg(F.count("*").alias("n"), *first), "repeat-reaches")
-    by_seed = by_reach.groupBy("seed").agg(F.count("*").alias("reaches"), F.count_if(F.col("n") == 1).alias("single"))
-    by_seed = by_seed.where("reaches > 1 and single > 0")
-    shared = stored(by_reach.join(by_seed, "seed").select("seed", "reach", (F.col("n") == 1).alias("open"), F.struct("doc_id", "text_key", "lo", "span").alias("one"), "reaches"), "repeat-shared")
-
-    # Fetch one copy of each reach that a seed's open ones must be held against.
-    wanted = shared.groupBy(F.col("one.doc_id").alias("w_id"), F.col("one.text_key").alias("w_key")).agg(F.collect_list(F.struct(F.col("one.lo").alias("lo"), F.col("one.span").alias("span"), "seed", "reach", "open")).alias("wanted"))
-    wanted = _sized(stored(wanted, "repeat-wanted"), "wanted")
-    same = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_key") == F.col("w_key"))
-    contents = _fetch(texts.join(wanted, same).select("text", "wanted"), words, length)
-    contents = stored(contents.dropDuplicates(["seed", "reach"]) if again else contents, "repeat-contents")
-    large, _ = small(stored(shared.where(F.col("reaches") > SEED_REACHES).select("seed").distinct(), "repeat-large"))
-    part = _match(contents.join(large, "seed", "left_anti"), words, length, matcher)
-    if not large.isEmpty():
-        part = part.union(_match_large(contents.join(large, "seed", "left_semi"), words, length))
-    part = stored(part, "repeat-matched")
-
-    open_found = part.join(shared.where("open").select("seed", "reach", "one"), ["seed", "reach"])
-    open_found = open_found.select("one.doc_id", "one.text_key", (F.col("one.lo") + F.col("a")).alias("a"), (F.col("one.lo") + F.col("b")).alias("b"))
-    twice = by_reach.where("n > 1").select("seed", "reach")
-    sure = spots.join(twice, ["seed", "reach"]).select("doc_id", "text_key", F.col("lo").alias("a"), (F.col("lo") + F.col("span") + length).alias("b"))
-    found = sure.unionByName(open_found).groupBy("doc_id", "text_key").agg(_united(F.collect_set(F.struct("a", "b"))).alias("spots"))
-    return texts, _sized(stored(found.select(F.col("doc_id").alias("w_id"), F.col("text_key").alias("w_key"), "spots"), "repeat-found"), "spots")
-
-
-def _united(spots: Column) -> Column:
-    """Overlapping and touching stretches as one each, in order."""
-    kind = "array<struct<a:int,b:int>>"
-
-    def take(out: Column, s: Column) -> Column:
-        last = F.get(out, F.size(out) - 1)
-        grown = F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(F.struct(last["a"].alias("a"), F.greatest(last["b"], s["b"]).alias("b"))))
-        return F.when(last["b"] >= s["a"], grown).otherwise(F.concat(out, F.array(s))).cast(kind)
-
-    return F.aggregate(F.array_sort(spots), F.expr(f"cast(array() as {kind})"), take)
+    with Scratch(docs.sparkSession) as scratch:
+        texts = bounded_batches(docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+        again = _repeats_ids(texts)
+        texts = texts.withColumn("text_key", F.xxhash64("text") if again else F.lit(0).cast("long"))
+        spots = scratch.stored(_scan(texts, words, length, gram), "repeat-anchors")
+        # The four firsts come from the same row, as one aggregation sees its rows in one order.
+        first = [F.first(c).alias(c) for c in ("doc_id", "text_key", "lo", "span")]
+        by_reach = scratch.stored(spots.groupBy("seed", "reach").agg(F.count("*").alias("n"), *first), "repeat-reaches")
+        by_seed = by_reach.groupBy("seed").agg(F.count("*").alias("reaches"), F.count_if(F.col("n") == 1).alias("single"))
+        by_seed = by_seed.where("reaches > 1 and single > 0")
+        blocks = F.ceil(F.col("reaches") / SEED_REACHES).cast("int")
+        shared = by_reach.join(by_seed, "seed").select("seed", "reach", (F.col("n") == 1).alias("open"), F.struct("doc_id", "text_key", "lo", "span").alias("one"), (blocks > 1).alias("split"), F.pmod(F.xxhash64("reach"), blocks).cast("int").alias("block"))
+        shared = scratch.stored(shared, "repeat-shared")
+
+        # Fetch one copy of each reach that a seed's open ones must be held against.
+        wanted = F.struct(F.col("one.lo").alias("lo"), F.col("one.span").alias("span"), "seed", "reach", "open", "split", "block")
+        wanted = shared.groupBy(F.col("one.doc_id").alias("w_id"), F.col("one.text_key").alias("w_key")).agg(F.collect_list(wanted).alias("wanted"))
+        contents = _fetch(_beside(texts, scratch.stored(wanted, "repeat-wanted"), "wanted", "inner").select("text", "wanted"), words, length)
+        contents = scratch.stored(contents.dropDuplicates(["seed", "reach"]) if again else contents, "repeat-contents")
+        matched = scratch.stored(_match(contents, words, length, matcher), "repeat-matched")
+        part = matched.where("window is null").select("seed", "reach", "a", "b")
+        across = matched.where("window is not null")
+        if not across.isEmpty():
+            # Blocks of a split seed have their own classes: windows of several blocks meet by hash, one row for each block.
+            twice = across.groupBy("window").count().where("count > 1").select("window")
+            part = part.unionByName(across.where("open").join(twice, "window").select("seed", "reach", "a", "b"))
+
+        open_found = part.join(shared.where("open").select("seed", "reach", "one"), ["seed", "reach"])
+        open_found = open_found.select("one.doc_id", "one.text_key", (F.col("one.lo") + F.col("a")).alias("a"), (F.col("one.lo") + F.col("b")).alias("b"))
+        twice = by_reach.where("n > 1").select("seed", "reach")
+        sure = spots.join(twice, ["seed", "reach"]).select("doc_id", "text_key", F.col("lo").alias("a"), (F.col("lo") + F.col("span") + length).alias("b"))
+        found = _united(sure.unionByName(open_found)).groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spots"))
+        return texts, stored(found.select(F.col("doc_id").alias("w_id"), F.col("text_key").alias("w_key"), "spots"), "repeat-found")
+
+
+def _united(spots: DataFrame) -> DataFrame:
+    """(doc_id, text_key, a, b): overlapping and touching stretches of a text as one each."""
+    text = Window.partitionBy("doc_id", "text_key").orderBy("a", "b")
+    before = F.max("b").over(text.rowsBetween(Window.unboundedPreceding, -1))
+    new = spots.withColumn("new", (before.isNull() | (F.col("a") > before)).cast("int"))
+    of = new.withColumn("stretch", F.sum("new").over(text.rowsBetween(Window.unboundedPreceding, 0)))
+    return of.groupBy("doc_id", "text_key", "stretch").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("stretch")
 
 
 def _repeats_ids(texts: DataFrame) -> bool:
@@ -249,17 +252,21 @@ def _repeats_ids(texts: DataFrame) -> bool:
     return not texts.groupBy("doc_id").count().where("count > 1").isEmpty()
 
 
-def _sized(df: DataFrame, column: str) -> DataFrame:
-    """df with a broadcast hint if its arrays have few enough entries in all."""
-    total = df.agg(F.sum(F.size(column))).first()[0] or 0
-    return F.broadcast(df) if total <= BROADCAST_STRETCHES else df
+def _beside(texts: DataFrame, side: DataFrame, column: str, how: str) -> DataFrame:
+    """texts with the column (an array) that side, a stored table, has for them. Texts move only if side is too large for broadcasts."""
+    parts = broadcast_parts(side, ["w_id", "w_key"], BROADCAST_STRETCHES, F.size(column)) or [side]
+    for k, part in enumerate(parts):
+        part = part.select(F.col("w_id").alias(f"w_id_{k}"), F.col("w_key").alias(f"w_key_{k}"), F.col(column).alias(f"{column}_{k}"))
+        same = F.col("doc_id").eqNullSafe(F.col(f"w_id_{k}")) & (F.col("text_key") == F.col(f"w_key_{k}"))
+        texts = texts.join(part, same, "left" if len(parts) > 1 else how)
+    texts = texts.select("doc_id", "text", F.coalesce(*[f"{column}_{k}" for k in range(len(parts))]).alias(column))
+    return texts.where(F.col(column).isNotNull()) if how == "inner" else texts
 
 
 def cut(docs: DataFrame, words: bool, length: int, gram: int, matcher: Matcher, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n, n_removed, n_spans, kept_text: string of the words or binary of the bytes that are not repeated)."""
     texts, found = stretches(docs, words, length, gram, matcher, id_col, text_col)
-    same = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_key") == F.col("w_key"))
-    both = texts.join(found, same, "left").select("doc_id", "text", F.expr("transform(spots, s -> s.a)").alias("a"), F.expr("transform(spots, s -> s.b)").alias("b"))
+    both = _beside(texts, found, "spots", "left").select("doc_id", "text", F.expr("transform(spots, s -> s.a)").alias("a"), F.expr("transform(spots, s -> s.b)").alias("b"))
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,7 +1,9 @@
 """Substring dedup by seed and extend, over words (runs of ``[^\\x20\\x09-\\x0D]``, unchanged).
 
-Documents are joined on winnowed anchors (see ``repeats``); within a seed, matches are extended from the anchor to both sides,
-and maximal repeats of at least ``length`` words are kept. Every word under a repeat is removed, in all its places.
+Documents are joined on winnowed anchors (see ``repeats``). All reaches of a seed are extended together, word by word, to both
+sides of it: those that agree up to a depth are a group, which the next word parts further. A window of ``length`` words is
+repeated when another reach agrees with it as far to the left and as far to the right; maximal repeats are what such windows
+cover. Every word under a repeat is removed, in all its places.
 
 Defined cases: null and blank texts have no words; texts shorter than ``length`` words keep all; equal rows are copies of one
 another like other equal texts; null and repeated doc_ids are allowed; an empty table gives an empty result; further columns
@@ -16,58 +18,52 @@ from pyspark.sql import DataFrame
 from scriva.llm import repeats
 
 LENGTH, GRAM = 35, 10
-#: Up to so many reaches of a seed, matches are extended for each pair; beyond, for classes of equal sides.
-PAIRED = 48
 
 
-def extend_pairs(contents: list[np.ndarray], opened: np.ndarray, seed_at: list[int], length: int) -> list[tuple[int, int, int]]:
-    """Repeats in the open contents, extended from the seed at seed_at to the left and right against every other content."""
-    before, after = max(seed_at), max(len(c) - s for c, s in zip(contents, seed_at, strict=True))
-    grid = np.zeros((len(contents), before + after), np.uint64)
-    filled = np.zeros(grid.shape, bool)
-    for k, (c, s) in enumerate(zip(contents, seed_at, strict=True)):
-        grid[k, before - s : before - s + len(c)] = c
-        filled[k, before - s : before - s + len(c)] = True
-    found = []
-    for k in np.flatnonzero(opened):
-        same = (grid == grid[k]) & filled & filled[k]
-        same[k] = False
-        right = np.where(same[:, before:].all(1), after, same[:, before:].argmin(1))
-        left = np.where(same[:, :before].all(1), before, same[:, :before][:, ::-1].argmin(1)) if before else np.zeros(len(contents), int)
-        enough = (left + right >= length) & (right > 0)
-        for lo, hi in {(before - int(x), before + int(y)) for x, y in zip(left[enough], right[enough], strict=True)}:
-            shift = before - seed_at[k]
-            found.append((int(k), lo - shift, hi - shift))
-    return found
+def seed_places(words: np.ndarray, base: np.ndarray, length: int) -> np.ndarray:
+    """Where the seed of each content lies: it is the smallest k-gram of its first window."""
+    roll = repeats.Rolling(words)
+    at = base[:-1, None] + np.arange(length - GRAM + 1)
+    return base[:-1] + (roll.of(at.ravel(), at.ravel() + GRAM).reshape(at.shape) >> np.uint64(32)).argmin(1)
 
 
-def extend(contents: list[np.ndarray], seeds: np.ndarray, opened: np.ndarray, length: int) -> list[tuple[int, int, int]]:
-    """For contents sorted by seed: (content, a, b) of the repeats in open ones."""
-    found: list[tuple[int, int, int]] = []
-    edges = np.flatnonzero(np.concatenate(([True], seeds[1:] != seeds[:-1], [True])))
-    large = []
-    for a, b in zip(edges[:-1], edges[1:], strict=True):
-        group = contents[a:b]
-        if b - a > PAIRED:
-            large += range(a, b)
-            continue
-        at = [anchor_of(c, length) for c in group]
-        found += [(int(a) + k, x, y) for k, x, y in extend_pairs(group, opened[a:b], at, length)]
-    if large:  # sides are compared by the hashes of all that lies within a window to the left and right of the seed
-        owner, start, hashes = repeats.windows_of([contents[i] for i in large], length)
-        _, inverse, times = np.unique(hashes, return_inverse=True, return_counts=True)
-        hit = times[inverse] > 1
-        for o, s in zip(owner[hit].tolist(), start[hit].tolist(), strict=True):
-            if opened[large[o]]:
-                found.append((large[o], s, s + length))
-    return found
+def extended(words: np.ndarray, first: np.ndarray, room: np.ndarray, step: int, groups: np.ndarray, depth: int) -> list[np.ndarray]:
+    """For each depth from 0, the group of contents that agree so far in one direction; -1 where none other does.
 
+    first: the place next to the seed; room: how many words there are.
+    """
+    out = [groups]
+    for d in range(depth):
+        now = np.full(len(groups), -1, np.int64)
+        going = np.flatnonzero((out[-1] >= 0) & (room > d))
+        if len(going):
+            key = out[-1][going] * (int(words.max()) + 1) + words[first[going] + step * d]
+            _, name, times = np.unique(key, return_inverse=True, return_counts=True)
+            now[going] = np.where(times[name] > 1, name, -1)
+        out.append(now)
+    return out
 
-def anchor_of(content: np.ndarray, length: int) -> int:
-    """Where the anchor lies in a reach: it is the smallest k-gram of its first window."""
-    roll = repeats.Rolling(content[:length])
-    at = np.arange(length - GRAM + 1)
-    return int((roll.of(at, at + GRAM) >> np.uint64(32)).argmin())
+
+def extend(contents: list[np.ndarray], groups: np.ndarray, length: int) -> repeats.Classes:
+    """Classes of the windows of contents that are sorted by group (seed)."""
+    base = np.cumsum([0, *map(len, contents)])
+    flat = np.concatenate(contents)
+    seed = seed_places(flat, base, length)
+    words = np.unique(flat, return_inverse=True)[1].astype(np.int64)
+    groups = np.cumsum(np.concatenate(([0], groups[1:] != groups[:-1])))
+    depth, behind = length - GRAM, seed + GRAM
+    left = extended(words, seed - 1, seed - base[:-1], -1, groups, depth)
+    right = extended(words, behind, base[1:] - behind, 1, groups, depth)
+    found, named = [], 0
+    for d in range(depth + 1):  # windows with d words to the left of the seed
+        here = np.flatnonzero((seed - d >= base[:-1]) & (seed - d + length <= base[1:]))
+        a, b = left[d][here], right[depth - d][here]
+        _, same = np.unique(np.where((a >= 0) & (b >= 0), a * (len(groups) + 1) + b, -1 - here), return_inverse=True)
+        found.append((here, seed[here] - d - base[here], same + named))
+        named += len(here)
+    owner, start, kind = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((start, owner))
+    return owner[order], start[order], kind[order]
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,10 +1,12 @@
 """Suffix-array dedup over UTF-8 bytes.
 
 Every byte under a string of ``length`` bytes that also starts anywhere else is removed. Tasks get the stretches of text that
-share a winnowed anchor with others (see ``repeats``), cut them into tokens (a run of letters, digits and bytes from 128 on,
-with one other byte behind it), and build a suffix array of the token sequence by linear grouping (see ``suffixes``). A string
-can be repeated only where the suffix at its first token start has a repeated prefix that reaches its last token start; those
-strings are decided by the hashes of their bytes.
+share a winnowed anchor with others (see ``repeats``) and cut them into tokens of a few words, which end where two bytes say so,
+named in the order of their bytes. A suffix array of the token sequence is built by linear grouping (see ``suffixes``); its
+order is that of the bytes, as no token is the beginning of another. What two neighbours in it have in common is counted on the bytes
+themselves. So the suffixes that share a given number of bytes lie side by side, and two strings are equal if the suffixes at
+their first token starts share all that is left of the string and the bytes before those starts are equal too. Strings that
+show no token start, or none for more than WIDE bytes, are told apart by a hash of those bytes.
 
 Defined cases: a null text is empty; texts shorter than ``length`` keep all; matches never cross documents; equal rows are
 copies of one another like other equal texts; null and repeated doc_ids are allowed; an empty table gives an empty result;
@@ -14,75 +16,138 @@ further columns are not read. Kept bytes may cut a character, so they are binary
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from scriva.llm import repeats
-from scriva.llm.suffixes import longest_repeats
+from scriva.llm.suffixes import suffix_array
 
 LENGTH, GRAM = 400, 64
-#: Tokens of one suffix array.
-TOKENS = 200_000
+#: Bytes of one suffix array.
+ARRAY_BYTES = 3_000_000
+#: Suffixes whose bytes are compared at a time.
+COMPARED = 16_384
 
-ENDS_TOKEN = np.ones(256, bool)
-ENDS_TOKEN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
+#: Up to so many bytes before a token start are compared themselves.
+WIDE = 96
 
+#: Bytes that may end a token: all but letters, digits and bytes from 128 on, of which every fourth continuation byte may.
+MAY_END = np.ones(256, bool)
+MAY_END[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
+MAY_END[128:192:4] = True
+#: Bytes after which they do: every fourth of the others.
+BEFORE_END = ~MAY_END & (np.arange(256) % 4 == 0)
 
-def token_starts(content: np.ndarray) -> np.ndarray:
-    """Places where a token starts; what comes before the first lies in a token whose start is not in the content."""
-    at = np.flatnonzero(ENDS_TOKEN[content]) + 1
-    return at[at < len(content)]
 
+def token_starts(raw: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Places where a token starts, other than the places `base` where a content does. Two bytes before a place decide it."""
+    ends = MAY_END[raw]
+    ends[1:] &= BEFORE_END[raw[:-1]]
+    ends[base[:-1]] = False
+    starts = np.flatnonzero(ends) + 1
+    return starts[~np.isin(starts, base)]
 
-def candidates(contents: list[np.ndarray], length: int) -> list[np.ndarray]:
-    """For each content, the window starts that its suffix array leaves."""
-    starts = [token_starts(c) for c in contents]
-    sizes = np.array([len(c) for c in contents])
-    base = np.cumsum(np.append(0, sizes))
-    roll = repeats.Rolling(repeats.BYTE_VALUE[np.concatenate(contents)])
-    firsts = np.concatenate([s + o for s, o in zip(starts, base, strict=False)]).astype(np.int64)
-    # The last token of a content has no known end: it and the content's end are one symbol that equals no other.
-    owner = np.repeat(np.arange(len(contents)), [len(s) for s in starts])
-    ends = np.append(firsts[1:], base[-1]) if len(firsts) else firsts
-    is_last = np.append(owner[1:] != owner[:-1], True) if len(owner) else np.empty(0, bool)
-    _, names = np.unique(roll.of(firsts[~is_last], ends[~is_last]), return_inverse=True) if len(firsts) else (None, np.empty(0, np.int64))
-    symbols = np.zeros(len(firsts) + 1, np.int64)
-    symbols[:-1][~is_last] = names + 1
-    symbols[:-1][is_last] = (names.max(initial=0) + 2) + np.arange(int(is_last.sum()))
-    deep = longest_repeats(symbols.tolist())[:-1]
-    out, k = [], 0
-    for content, s in zip(contents, starts, strict=True):
-        window = np.arange(len(content) - length + 1)
-        first = np.searchsorted(s, window, side="right")  # the first token start that the window itself shows
-        last = np.searchsorted(s, window + length) - 1  # the last one
-        reach = np.append(deep[k : k + len(s)], 0)
-        k += len(s)
-        out.append(window[(first > last) | (first + reach[np.minimum(first, len(s))] >= last)])
+
+def ordered_symbols(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, is_last: np.ndarray) -> np.ndarray:
+    """Numbers from 1 for the tokens raw[start:end], in the order of their bytes.
+
+    The last token of a content has no known end: its number is of its own, and smaller than that of an equal token before an end.
+    """
+    sizes = ends - starts
+    offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    place = np.repeat(starts - offsets[:-1], sizes) + np.arange(offsets[-1])
+    tokens = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw[place])])
+    coded = tokens.dictionary_encode()
+    rank = np.empty(len(coded.dictionary), np.int64)
+    rank[np.asarray(pc.array_sort_indices(coded.dictionary))] = np.arange(len(rank))
+    name = 2 * rank[np.asarray(coded.indices)] + ~is_last
+    order = np.argsort(name, kind="stable")
+    new = np.append(True, (name[order][1:] != name[order][:-1]) | is_last[order][1:])
+    out = np.empty(len(name), np.int64)
+    out[order] = np.cumsum(new)
     return out
 
 
-def match(contents: list[np.ndarray], seeds: np.ndarray, opened: np.ndarray, length: int) -> list[tuple[int, int, int]]:
-    found: list[tuple[int, int, int]] = []
-    many = np.array([int(ENDS_TOKEN[c].sum()) + 1 for c in contents])
-    part = (np.cumsum(many) - many) // TOKENS
-    edges = np.flatnonzero(np.concatenate(([True], seeds[1:] != seeds[:-1])))
-    part = np.repeat(part[edges], np.diff(np.append(edges, len(seeds))))  # a seed stays in one array
+def common_bytes(raw: np.ndarray, at: np.ndarray, room: np.ndarray, most: int) -> np.ndarray:
+    """How many bytes, up to `most`, the text at each of the places `at` has in common with that at the place before in the list."""
+    rows = np.lib.stride_tricks.sliding_window_view(np.append(raw, np.zeros(most, np.uint8)), most)
+    out = np.zeros(len(at), np.int64)
+    for a in range(1, len(at), COMPARED):
+        b = min(a + COMPARED, len(at))
+        differ = rows[at[a:b]] != rows[at[a - 1 : b - 1]]
+        out[a:b] = np.where(differ.any(1), differ.argmax(1), most)
+    out[1:] = np.minimum(out[1:], np.minimum(room[1:], room[:-1]))
+    return out
+
+
+def numbered(raw: np.ndarray, roll: repeats.Rolling, first: np.ndarray, width: int) -> np.ndarray:
+    """A number for each of the strings of that width, equal for equal ones; wide ones are told apart by a hash."""
+    if width > WIDE:
+        return np.unique(roll.of(first, first + width), return_inverse=True)[1]
+    rows = np.zeros((len(first), -(-width // 8) * 8), np.uint8)
+    for k in range(width):
+        rows[:, k] = raw[first + k]
+    rows = rows.view(np.uint64)
+    out = np.zeros(len(first), np.int64)
+    for k in range(rows.shape[1]):
+        step = np.unique(rows[:, k], return_inverse=True)[1]
+        out = step if not k else np.unique(out * (step.max() + 1) + step, return_inverse=True)[1]
+    return out
+
+
+def window_classes(contents: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(content, start, class) of every window: equal windows have equal classes. All contents go into one suffix array."""
+    base = np.cumsum([0, *map(len, contents)])
+    raw = np.concatenate(contents)
+    starts = token_starts(raw, base)
+    of = np.searchsorted(base, starts, side="right") - 1
+    is_last = np.append(of[1:] != of[:-1], True) if len(starts) else np.empty(0, bool)
+    ends = np.where(is_last, base[of + 1], np.append(starts[1:], 0)) if len(starts) else starts
+    symbols = ordered_symbols(raw, starts, ends, is_last) if len(starts) else np.empty(0, np.int64)
+    order = np.array(suffix_array([*symbols.tolist(), 0])[1:], np.int64)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    common = common_bytes(raw, starts[order], (base[of + 1] - starts)[order], length)
+
+    many = np.diff(base) - length + 1
+    owner = np.repeat(np.arange(len(contents)), many)
+    first = base[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
+    token = np.searchsorted(starts, first + 1, side="right")  # the first token start that the window itself shows
+    lead = np.append(starts, np.iinfo(np.int64).max)[token] - first  # bytes before it
+    lead = np.minimum(lead, length)  # at or past its end: it shows none
+    kind = np.arange(len(first), dtype=np.int64)  # at first, a class of its own for every window
+    by_lead = np.argsort(lead, kind="stable")
+    cuts = np.flatnonzero(np.diff(lead[by_lead])) + 1
+    roll = repeats.Rolling(repeats.BYTE_VALUE[raw])
+    for some in np.split(by_lead, cuts) if len(first) else ():
+        width = int(lead[some[0]])
+        if width < length:
+            group = np.cumsum(common < length - width)[rank[token[some]]]
+            shared = np.bincount(group)[group] > 1
+            some, group = some[shared], group[shared]
+        else:
+            group = np.zeros(len(some), np.int64)
+        if len(some):
+            before = numbered(raw, roll, first[some], width)
+            _, one, same = np.unique(group * (before.max() + 1) + before, return_index=True, return_inverse=True)
+            kind[some] = some[one][same]  # the class is named by one of its windows
+    return owner, first - base[owner], kind
+
+
+def match(contents: list[np.ndarray], groups: np.ndarray, length: int) -> repeats.Classes:
+    """Classes of the windows of contents that are sorted by group; a group goes into one suffix array."""
+    sizes = np.array([len(c) for c in contents])
+    part = (np.cumsum(sizes) - sizes) // ARRAY_BYTES
+    edges = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
+    part = np.repeat(part[edges], np.diff(np.append(edges, len(groups))))
+    found, named = [], 0
     for p in np.unique(part):
         chosen = np.flatnonzero(part == p)
-        group = [contents[i] for i in chosen]
-        left = candidates(group, length)
-        base = np.cumsum([0, *map(len, group)])
-        at = np.concatenate([w + o for w, o in zip(left, base, strict=False)])
-        owner = np.repeat(np.arange(len(group)), [len(w) for w in left])
-        hashes = repeats.Rolling(repeats.BYTE_VALUE[np.concatenate(group)]).of(at, at + length)
-        _, inverse, times = np.unique(hashes, return_inverse=True, return_counts=True)
-        hit = (times[inverse] > 1) & opened[chosen[owner]]
-        who, start = owner[hit], (at - base[owner])[hit]
-        if not len(who):
-            continue
-        new = np.flatnonzero(np.concatenate(([True], (who[1:] != who[:-1]) | (start[1:] != start[:-1] + 1))))
-        for a, b in zip(new, [*new[1:], len(who)], strict=True):
-            found.append((int(chosen[who[a]]), int(start[a]), int(start[b - 1]) + length))
-    return found
+        owner, start, kind = window_classes([contents[i] for i in chosen], length)
+        found.append((chosen[owner], start, kind + named))
+        named += len(kind)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -82,26 +82,3 @@ def suffix_array(text: list[int]) -> list[int]:
             j = point[j]
     return order
 
-
-def longest_repeats(text: list[int]) -> np.ndarray:
-    """For each suffix, the length of its longest prefix that also starts elsewhere."""
-    order = suffix_array(text)
-    n = len(text)
-    rank = [0] * n
-    for k, i in enumerate(order):
-        rank[i] = k
-    common = np.zeros(n + 1, np.int64)
-    h = 0
-    for i in range(n):
-        k = rank[i]
-        if k:
-            j = order[k - 1]
-            while i + h < n and j + h < n and text[i + h] == text[j + h]:
-                h += 1
-            common[k] = h
-            h = h - 1 if h else 0
-        else:
-            h = 0
-    out = np.zeros(n, np.int64)
-    out[order] = np.maximum(common[:-1], common[1:])
-    return out

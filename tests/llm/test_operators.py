@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from scriva.llm import bpe, chat, decontaminate, exact, jaccard, langid, licences, shards, substrings, suffix_dedup
+from scriva.llm import bpe, chat, decontaminate, exact, jaccard, langid, licences, repeats, shards, substrings, suffix_dedup
 from scriva.llm.suffixes import suffix_array
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, words string, __id long"
@@ -102,6 +102,76 @@ def test_repeats(docs, words):
     assert {r["doc_id"]: (r["n"], r["n_removed"], bytes(r["kept"])) for r in done.collect()} == want
 
 
+@pytest.mark.parametrize("words", [True, False])
+def test_window_classes(words):
+    """The classes that a matcher gives against the windows themselves."""
+    rng = random.Random(11)
+    length = 35 if words else 400
+    unit = ["aa ", "ab ", "b", "q.", "xyz ", "\u00e9\u00e8 "] if words else ["aa ", "ab ", "b", "q.", "xyz ", "\u00e9\u00e8", "ccccc", "\u4f60\u597d"]
+    passage = "".join(rng.choice(unit) for _ in range(900))
+    contents, groups = [], []
+    for g in range(4):
+        core = passage[200 * g : 200 * g + (330 if words else 700)]
+        for _ in range(12):
+            a, b = rng.randrange(40), rng.randrange(40)
+            text = "".join(rng.choice(unit) for _ in range(rng.randrange(9))) + core[a : len(core) - b] + "".join(rng.choice(unit) for _ in range(rng.randrange(9)))
+            raw = np.frombuffer(text.encode(), np.uint8)
+            contents.append(repeats.split_elements([raw], True)[0] if words else raw)
+            groups.append(g)
+    if not words:  # no token starts at all, and one far into the text
+        for text in ("ab" * 300, "ab" * 290, "k" * 500 + "." + "k" * 300, "k" * 450 + "." + "k" * 320):
+            contents.append(np.frombuffer(text.encode(), np.uint8))
+            groups.append(4)
+    kept = [k for k, c in enumerate(contents) if len(c) >= length]
+    contents, groups = [contents[k] for k in kept], np.array([groups[k] for k in kept])
+    if words:  # a seed must be the smallest k-gram of the first window of all contents of its group, as reaches are
+        places = substrings.seed_places(np.concatenate(contents), np.cumsum([0, *map(len, contents)]), length) - np.cumsum([0, *map(len, contents)])[:-1]
+        groups = np.unique([contents[k][p : p + substrings.GRAM].tobytes() for k, p in enumerate(places)], return_inverse=True)[1]
+        order = np.argsort(groups, kind="stable")
+        contents, groups, places = [contents[k] for k in order], groups[order], places[order]
+        contents = [c[max(0, p - length + substrings.GRAM) : p + length] for c, p in zip(contents, places)]
+        whole = [k for k, c in enumerate(contents) if len(c) >= length]
+        contents, groups = [contents[k] for k in whole], groups[whole]
+        places = substrings.seed_places(np.concatenate(contents), np.cumsum([0, *map(len, contents)]), length) - np.cumsum([0, *map(len, contents)])[:-1]
+    owner, start, kind = (substrings.extend if words else suffix_dedup.match)(contents, groups, length)
+    assert len(owner) == (sum(sum(1 for s in range(len(c) - length + 1) if s <= p <= s + length - substrings.GRAM) for c, p in zip(contents, places)) if words else sum(len(c) - length + 1 for c in contents))
+    by_window, by_class = {}, {}
+    for o, s, k in zip(owner.tolist(), start.tolist(), kind.tolist()):
+        key = (int(groups[o]) if words else 0, contents[o][s : s + length].tobytes())
+        offset = int(places[o]) - s if words else 0
+        by_window.setdefault((key, offset), set()).add(k)
+        by_class.setdefault(k, set()).add((key, offset))
+    assert all(len(x) == 1 for x in by_window.values()) and all(len(x) == 1 for x in by_class.values())
+    assert len(by_class) < len(owner)
+
+
+@pytest.mark.parametrize("words", [True, False])
+def test_repeats_of_split_seeds(spark, monkeypatch, words):
+    """A passage that many texts share, with seeds of more reaches than a block holds."""
+    monkeypatch.setattr(repeats, "SEED_REACHES", 3)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
+    passage = " ".join(word() for _ in range(110))
+    texts = [" ".join([*(word() for _ in range(rng.randrange(30))), passage[rng.randrange(60) :], *(word() for _ in range(rng.randrange(30)))]) for _ in range(40)]
+    texts += [None, "", texts[0], texts[1] + " x", " ".join(word() for _ in range(300))]
+    rows = [(None if k % 9 == 0 else k % 30, t) for k, t in enumerate(texts)]
+    length = 35 if words else 400
+    seqs = [tuple((t or "").encode().split()) if words else (t or "").encode() for _, t in rows]
+    times = Counter(s[i : i + length] for s in seqs for i in range(len(s) - length + 1))
+    want = []
+    for (d, _), s in zip(rows, seqs):
+        gone = [False] * len(s)
+        for i in range(len(s) - length + 1):
+            if times[s[i : i + length]] > 1:
+                gone[i : i + length] = [True] * length
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        kept = [x for x, g in zip(s, gone) if not g]
+        want.append((-1 if d is None else d, len(s), sum(gone), spans, b" ".join(kept) if words else bytes(kept)))
+    done = (substrings if words else suffix_dedup).remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    got = [(-1 if r["doc_id"] is None else r["doc_id"], r["n"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in done.collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_suffix_array():
     rng = random.Random(1)
     for _ in range(300):
