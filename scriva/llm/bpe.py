@@ -60,7 +60,7 @@ UNKNOWN_MARKS = [
 AT_MARKS = re.compile("([" + "".join(f"{chr(a)}-{chr(b)}" for a, b in UNKNOWN_MARKS) + "])")
 
 #: Pieces that a worker remembers at most between batches.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 LONG_PIECE = 300
 BATCH_BYTES = 4_000_000
 NO_RANK = np.iinfo(np.int64).max
@@ -333,5 +333,6 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", kee
                 ids, decoded = bpe.encode_batch(texts.slice(a, b - a))
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), ids, decoded], names=[*names, "ids", "decoded"])
+        bpe.forget()  # an idle worker holds the tokenizer only
 
     return bounded_batches(docs.select(*names, *([] if keep_text else [text_col]))).mapInArrow(run, schema)

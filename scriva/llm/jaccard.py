@@ -34,7 +34,6 @@ import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -335,17 +334,18 @@ def link_forest(size: np.ndarray, sign: np.ndarray, sets: list[np.ndarray] | Non
 def _compared(dealt: DataFrame, exact: bool, percent: int) -> DataFrame:
     """(a, b): for each (cluster, i, j) a forest of the links among its sets, or, if j is not null, between its two sides."""
 
-    def decide(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("class").reset_index(drop=True)
-        held, size = [np.frombuffer(x, np.uint64) for x in pdf["content"]], pdf["size"].to_numpy(np.int64)
+    def decide(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        _, one = np.unique(rows.column("class").to_numpy(), return_index=True)
+        rows = rows.take(pa.array(np.sort(one))).combine_chunks()
+        held, size = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("content")], rows.column("size").to_numpy()
         sign = np.stack([signature(x, int(size.min())) for x in held]) if exact else folded(held)
-        found = link_forest(size, sign, held if exact else None, pdf["side"].to_numpy(), key[2] >= 0, percent)
-        ids = pdf["class"].to_numpy()
-        return pd.DataFrame({"a": [ids[i] for i, _ in found], "b": [ids[j] for _, j in found]})
+        found = link_forest(size, sign, held if exact else None, rows.column("side").to_numpy(), key[2].as_py() >= 0, percent)
+        ids, ends = rows.column("class").to_numpy(), np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(ids[ends[:, 0]], pa.int64()), "b": pa.array(ids[ends[:, 1]], pa.int64())})
 
     # A count of its own keeps the adaptive planner from putting many small groups, each of which takes a while, into one task.
     tasks = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(tasks, "cluster", "i", "j").groupBy("cluster", "i", "j").applyInPandas(decide, "a long, b long")
+    return dealt.repartition(tasks, "cluster", "i", "j").groupBy("cluster", "i", "j").applyInArrow(decide, "a long, b long")
 
 
 def _decided(rows: DataFrame, most: int, exact: bool, percent: int, scratch: Scratch) -> DataFrame:

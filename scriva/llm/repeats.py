@@ -23,7 +23,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -154,10 +153,11 @@ def _match(reaches: DataFrame, words: bool, length: int, matcher: Matcher) -> Da
     have once (with their hash, and whether their reach is open) and a hash of each window that they have more often.
     """
 
-    def work(part: pd.DataFrame) -> pd.DataFrame:
-        contents = [np.frombuffer(c, np.uint64 if words else np.uint8) for c in part["content"]]
-        seed, reach, opened, split = (part[c].to_numpy() for c in ("seed", "reach", "open", "split"))
-        block = part["block"].to_numpy()
+    names = ["seed", "reach", "a", "b", "open", "window"]
+
+    def work(part: pa.Table) -> pa.RecordBatch:
+        contents = [np.frombuffer(c.as_buffer(), np.uint64 if words else np.uint8) for c in part.column("content")]
+        seed, block, reach, opened, split = (part.column(c).to_numpy() for c in ("seed", "block", "reach", "open", "split"))
         groups = np.cumsum(np.concatenate(([0], (seed[1:] != seed[:-1]) | (block[1:] != block[:-1]))))
         owner, start, kind = matcher(contents, groups, length)
         _, one, kind, times = np.unique(kind, return_index=True, return_inverse=True, return_counts=True)
@@ -165,37 +165,39 @@ def _match(reaches: DataFrame, words: bool, length: int, matcher: Matcher) -> Da
         who, first = owner[hit], start[hit]
         new = np.flatnonzero(np.concatenate(([True], (who[1:] != who[:-1]) | (first[1:] != first[:-1] + 1)))) if len(who) else np.empty(0, np.int64)
         last = np.append(new, len(who))[1:] - 1
-        found = pd.DataFrame({"seed": seed[who[new]], "reach": reach[who[new]], "a": first[new], "b": first[last] + length, "open": np.ones(len(new), bool)})
-        found["window"] = pd.array([pd.NA] * len(found), "Int64")
-        if not split.any():
-            return found
-        some = np.sort(one[split[owner[one]]])  # one window of each class
+        # One window of each class of a split seed.
+        some = np.sort(one[split[owner[one]]])
+        elements = (np.concatenate(contents) if words else BYTE_VALUE[np.concatenate(contents)]) if len(some) else np.empty(0, np.uint64)
         at = np.cumsum([0, *map(len, contents)])[owner[some]] + start[some]
-        elements = np.concatenate(contents) if words else BYTE_VALUE[np.concatenate(contents)]
-        alone = times[kind[some]] == 1
-        who, first = owner[some], start[some]
-        across = pd.DataFrame({"seed": seed[who], "reach": reach[who], "a": first, "b": first + length, "open": opened[who] & alone})
-        across["window"] = pd.array(Rolling(elements).of(at, at + length).view(np.int64), "Int64")
-        return pd.concat([found, across], ignore_index=True)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
+        hashes = Rolling(elements).of(at, at + length).view(np.int64) if len(some) else np.empty(0, np.int64)
+        whose = np.append(who[new], owner[some])
+        columns = [
+            pa.array(seed[whose]), pa.array(reach[whose]), pa.array(np.append(first[new], start[some]).astype(np.int32)),
+            pa.array((np.append(first[last], start[some]) + length).astype(np.int32)),
+            pa.array(np.append(np.ones(len(new), bool), opened[owner[some]] & (times[kind[some]] == 1))),
+            pa.array(np.append(np.zeros(len(new), np.int64), hashes), mask=np.arange(len(whose)) < len(new)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:  # sorted by seed and block; the last ones of a batch may go on in the next
             if not len(batch):
                 continue
             held.append(batch)
-            if (batch["seed"].iloc[0], batch["block"].iloc[0]) == (batch["seed"].iloc[-1], batch["block"].iloc[-1]) == (held[0]["seed"].iloc[-1], held[0]["block"].iloc[-1]):
+            seed, block = (batch.column(c).to_numpy() for c in ("seed", "block"))
+            at = int(np.flatnonzero((seed == seed[-1]) & (block == block[-1]))[0])
+            if len(held) > 1 and not at and (held[0].column("seed")[-1].as_py(), held[0].column("block")[-1].as_py()) == (seed[-1], block[-1]):
                 continue
-            whole = pd.concat(held, ignore_index=True)
-            tail = (whole["seed"] == whole["seed"].iloc[-1]) & (whole["block"] == whole["block"].iloc[-1])
-            if not tail.all():
-                yield work(whole[~tail].reset_index(drop=True))
-            held = [whole[tail].reset_index(drop=True)]
+            whole = pa.Table.from_batches(held)
+            if done := len(whole) - len(batch) + at:
+                yield work(whole.slice(0, done).combine_chunks())
+            held = [batch.slice(at)]
         if held:
-            yield work(pd.concat(held, ignore_index=True))
+            yield work(pa.Table.from_batches(held).combine_chunks())
 
     dealt = reaches.repartition("seed", "block").sortWithinPartitions("seed", "block")
-    return dealt.mapInPandas(run, "seed long, reach long, a int, b int, open boolean, window long")
+    return dealt.mapInArrow(run, "seed long, reach long, a int, b int, open boolean, window long")
 
 
 def stretches(docs: DataFrame, words: bool, length: int, gram: int, matcher: Matcher, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
