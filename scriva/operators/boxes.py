@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 #: Column edges on a page 750 wide, row bands as shares of the height.
 EDGES, PAGE_W, PAGE_H = [77, 271, 475, 670], 750.0, 1000.0
 BANDS = [(0.10, 0.35), (0.35, 0.65), (0.60, 0.90)]
-BOX = "array<struct<ymin:double,ymax:double,boxes:array<struct<x_min:double,n:bigint,text:string>>>>"
+FOLD = "struct<lines:array<struct<ymin:double,ymax:double>>,of:array<int>>"
 
 
 def scaled(fixed: int | float, scale: Column) -> Column:
@@ -45,24 +45,40 @@ def group_lines(boxes: DataFrame, *keys: str) -> DataFrame:
     box = F.struct("center_y", "n", "x_min", "y_min", "y_max", "text")
     per = boxes.groupBy(*keys).agg(F.array_sort(F.collect_list(box)).alias("boxes"), F.avg("confidence").alias("mean_confidence"))
 
-    def put(lines: Column, b: Column) -> Column:
+    def put(acc: Column, b: Column) -> Column:
+        """acc: the extents of the lines so far, and the line of each box so far."""
+
         def fits(line: Column) -> Column:
             overlap = F.least(b["y_max"], line["ymax"]) - F.greatest(b["y_min"], line["ymin"])
             low = F.least(b["y_max"] - b["y_min"], line["ymax"] - line["ymin"])
             return (low > 0) & (overlap >= 0.5 * low)
 
-        at = F.array_max(F.transform(lines, lambda line, i: F.when(fits(line), i)))
-        one = F.struct(b["x_min"].alias("x_min"), b["n"].alias("n"), b["text"].alias("text"))
-
-        def grown(line: Column, i: Column) -> Column:
-            wider = F.struct(F.least(line["ymin"], b["y_min"]).alias("ymin"), F.greatest(line["ymax"], b["y_max"]).alias("ymax"), F.concat(line["boxes"], F.array(one)).alias("boxes"))
-            return F.when(i == at, wider).otherwise(line)
-
-        new = F.concat(lines, F.array(F.struct(b["y_min"].alias("ymin"), b["y_max"].alias("ymax"), F.array(one).alias("boxes"))))
-        return F.when(at.isNull(), new).otherwise(F.transform(lines, grown)).cast(BOX)
-
-    out = per.withColumn("grouped", F.aggregate("boxes", F.expr(f"cast(array() as {BOX})"), put))
-    lines = F.transform("grouped", lambda line: F.array_join(F.transform(F.array_sort(line["boxes"]), lambda b: b["text"]), " "))
+        # Whether each line fits is worked out once; the box goes to the last that does, else to a new one.
+        marked = F.transform(acc["lines"], lambda line, i: F.struct(line["ymin"].alias("ymin"), line["ymax"].alias("ymax"), F.when(fits(line), i).otherwise(-1).alias("fit")))
+        return F.struct(marked.alias("lines"), acc["of"].alias("of"), b.alias("box"))
+
+    def placed(acc: Column) -> Column:
+        b = acc["box"]
+        at = F.greatest(F.lit(-1), F.array_max(F.transform(acc["lines"], lambda line: line["fit"])))
+        return F.struct(acc["lines"].alias("lines"), acc["of"].alias("of"), b.alias("box"), at.alias("at"))
+
+    def grown(acc: Column) -> Column:
+        b, at = acc["box"], acc["at"]
+        wider = F.transform(acc["lines"], lambda line, i: F.when(i == at, F.struct(F.least(line["ymin"], b["y_min"]).alias("ymin"), F.greatest(line["ymax"], b["y_max"]).alias("ymax"))).otherwise(F.struct(line["ymin"].alias("ymin"), line["ymax"].alias("ymax"))))
+        new = F.array(F.struct(b["y_min"].alias("ymin"), b["y_max"].alias("ymax")))
+        lines = F.when(at >= 0, wider).otherwise(F.concat(wider, new))
+        return F.struct(lines.alias("lines"), F.concat(acc["of"], F.array(F.when(at >= 0, at).otherwise(F.size(acc["lines"])))).alias("of")).cast(FOLD)
+
+    def step(acc: Column, b: Column) -> Column:
+        # A transform over one element names a value that is used more than once.
+        one = F.transform(F.array(put(acc, b)), placed)
+        return F.get(F.transform(one, grown), F.lit(0))
+
+    start = F.expr(f"cast(named_struct('lines', array(), 'of', array()) as {FOLD})")
+    out = per.withColumn("of", F.aggregate("boxes", start, step, lambda acc: acc["of"]))
+    every = F.zip_with("boxes", "of", lambda b, at: F.struct(at.alias("line"), b["x_min"].alias("x_min"), b["n"].alias("n"), b["text"].alias("text")))
+    out = out.withColumn("placed", F.array_sort(every))
+    lines = F.transform(F.sequence(F.lit(0), F.array_max("of")), lambda k: F.array_join(F.transform(F.filter("placed", lambda b: b["line"] == k), lambda b: b["text"]), " "))
     return out.select(*keys, lines.alias("lines"), "mean_confidence").withColumn("text", F.array_join("lines", "\n"))
 
 

@@ -6,10 +6,13 @@ one way; what should be read is kept beside the text.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from scriva.functions import lexicons as lex
+from scriva.shared import store, stored
+
+__all__ = ["store", "stored"]
+
 FIRST = "John,Mary,David,Linda,James,Susan,Peter,Karen,Frank,Laura"
 LAST = "Baker,Turner,Cooper,Foster,Parker,Hughes,Morgan,Bennett"
 SHIP_FIRST, SHIP_LAST = "Oscar,Nadia,Victor,Ingrid,Felix", "Zimmer,Quist,Vargas,Lindqvist,Okafor,Ibsen"
@@ -89,8 +92,32 @@ def parts_sql(orders: str = "orders") -> str:
     return READ.format(parts=PARTS.format(orders=orders))
 
 
-def records_sql(orders: str = "orders") -> str:
-    return RECORD_TEXT.format(read=parts_sql(orders))
+def records_sql(orders: str = "orders", lines: dict[int, str] | None = None) -> str:
+    """The texts of the bills; lines: other expressions for some of their lines."""
+    text = RECORD_TEXT
+    for k, new in (lines or {}).items():
+        text = text.replace(LINES[k], new)
+    return text.format(read=parts_sql(orders))
+
+
+#: A good value of every column, for records that are made without a text.
+GOOD = {
+    "RECORD NO": "'12345'", "IMAGE NAME": "'p.png'", "CUSTOMER NAME": "'John Baker'", "EMAIL ADDRESS": "'jo@aol.com'", "RES_ADDRESS": "'12 Elm Lane'", "CITY_1": "'Provo'",
+    "STATE_1": "'UT'", "ZIP_1": "'84601'", "PH_NO1": "'(615) 423-1077'", "COUNTRY_1": "'US'", "SEX_1": "'MALE'", "D BIRTH": "'01/02/1950'", "HEIGHT": "'170'", "WEIGHT": "'150'",
+    "BLOOD GP": "'A+'", "BILLER NAME": "'John Baker'", "SHIPPER NAME": "'Oscar Quist'", "CITY_2": "'Fresno'", "STATE_2": "'CA'", "ZIP_2": "'93701'", "COUNTRY_2": "'US'",
+    "PH_NO2": "'(818) 423-1077'", **dict.fromkeys(["ALCOHOLIC", "SMOKER", "PAST SURG", "DIABETIC", "ALLERGIESED"], "'NO'"), "POLICY NO": "'SR_12345'", "D_B_LIFE_ASSURE": "'03/04/2001'",
+    "P_INST": "'$150.50'", "NAME_P_HOLDER": "'Ruth Jones'", "STM NAME": "'BaX_Ruth_70001'", "STM CODE": "'70001'", "DOB": "'05/06/1960'", "SEX_2": "'FEMALE'", "CARD NAME": "'Visa'",
+    "MEDICINE": "'VALIUM'", "DOSAGE": "'5MG'", "TABLETS": "'90'", "PILL RATE": "'$1.00'", "COST": "'$90.00'", "SHIPPING CO": "'$20.00'", "TOTAL AMT": "'$110.00'",
+}
+NOTHING = "cast(null as string)"
+
+
+def fields(spark: SparkSession, sf_dir: str, values: dict[str, str], confidence: dict[str, str] | str = "0.9", **more: str) -> DataFrame:
+    """One record per order: good fields but for the values given, as SQL over k and c; more: further columns."""
+    of = {c: confidence if isinstance(confidence, str) else confidence.get(c, "0.0") for c in lex.COLUMNS}
+    each = [f"named_struct('value', {(GOOD | values)[c]}, 'confidence', cast({of[c]} as double), 'source', 'extracted') AS {lex.field(c)}" for c in lex.COLUMNS]
+    each += [f"{e} AS {name}" for name, e in more.items()]
+    return spark.sql(f"SELECT k AS record_id, {', '.join(each)} FROM (SELECT o_orderkey AS k, o_custkey AS c FROM {{orders}}) o", orders=spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,9 +130,9 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def record_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def record_text(spark: SparkSession, sf_dir: str, lines: dict[int, str] | None = None) -> DataFrame:
     """(record_id, image_name, text, confidence): one bill per order."""
-    return spark.sql(records_sql("{orders}"), orders=spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")))
+    return spark.sql(records_sql("{orders}", lines), orders=spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")))
 
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,22 +148,3 @@ def kept(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
     if key not in _kept:
         _kept[key] = stored(make(), name)
     return _kept[key]
-
-
-def store(df: DataFrame, name: str) -> str:
-    """Writes df to a new place in the folder that all executors share, and returns the place."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:  # tests and single machines
-        import tempfile
-
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-scriva-")
-        spark.sparkContext.setCheckpointDir(folder)
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return path
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df, written once and read back."""
-    return df.sparkSession.read.schema(df.schema).parquet(store(df, name))

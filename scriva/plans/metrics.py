@@ -19,7 +19,11 @@ def recovery_metrics(done: DataFrame) -> DataFrame:
     return each.select("field", kind.alias("kind")).groupBy("field").agg(*[F.count_if(F.col("kind") == k).alias(k) for k in ("extracted", "recovered", "failed")])
 
 
-def summary(done: DataFrame) -> DataFrame:
+def summary(done: DataFrame, failed: DataFrame | None = None) -> DataFrame:
+    """(total, passed, failed); records that failed before they were read count as failed."""
+    done = done.select("status")
+    if failed is not None:
+        done = done.unionByName(failed.select(F.lit("ERROR").alias("status")))
     return done.agg(F.count("*").alias("total"), F.count_if(F.col("status") == "PASS").alias("passed"), F.count_if(F.col("status") != "PASS").alias("failed"))
 
 

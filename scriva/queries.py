@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,8 +13,9 @@ from scriva.functions import fields as x
 from scriva.functions import lexicons as lex
 from scriva.functions import normalize as norm
 from scriva.operators import boxes, layout
-from scriva.plans import extract, fallback, fixtures, metrics, pipeline, recover, sections, validate
+from scriva.plans import extract, fallback, fixtures, metrics, pipeline, quarantine, recover, sections, validate
 from scriva.plans.fixtures import cents, num, pick, table
+from scriva.shared import shared_dir, store
 from scriva.sources import pages as src
 from scriva.streaming import route
 
@@ -204,27 +206,76 @@ stage_query("fb_confidence", 2, lambda d: d.where("cost.source = 'fallback'").se
 stage_query("ext_confidence", 0, lambda d: d.select("record_id", F.col("record_no.confidence").alias("c_record"), F.col("state_1.confidence").alias("c_state"), F.col("city_2.confidence").alias("c_city"), F.col("dosage.confidence").alias("c_dosage")), f"SELECT k AS record_id, 0.9::DOUBLE AS c_record, 0.81::DOUBLE AS c_state, 0.77::DOUBLE AS c_city, CASE WHEN dmg = 6 THEN 0 ELSE 0.9 END::DOUBLE AS c_dosage FROM {R}")
 stage_query("val_field_validity", 0, lambda d: d.select("record_id", F.size(F.filter("valid_1", lambda v: v)).alias("n_valid")), f"SELECT k AS record_id, CASE WHEN dmg < 5 THEN 42 WHEN dmg = 7 THEN 38 ELSE 41 END AS n_valid FROM {R}")
 stage_query("flt_is_bad", 0, lambda d: d.withColumn("to_repair", F.array_union("missing_fields", "format_errors")).select("record_id", recover.is_bad("DOSAGE").alias("dose_bad"), recover.is_bad("MEDICINE").alias("medicine_bad")), f"SELECT k AS record_id, dmg = 6 AS dose_bad, dmg = 5 AS medicine_bad FROM {R}")
-stage_query("agg_max_confidence", 0, lambda d: d.select("record_id", recover.base_confidence().alias("base")), f"SELECT k AS record_id, 0.9::DOUBLE AS base FROM {R}")
+
+
+def _best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    of = {"EMAIL ADDRESS": "(k % 10) / 10.0", "ZIP_1": "((k * 3) % 10) / 10.0", "IMAGE NAME": "1.0"}
+    return fixtures.fields(spark, sf_dir, {}, of).select("record_id", recover.base_confidence().alias("base"))
+
+
+register("agg_max_confidence", _best, "SELECT o_orderkey AS record_id, CASE WHEN o_orderkey % 10 = 0 THEN 0.9 ELSE greatest(o_orderkey % 10, (o_orderkey * 3) % 10) / 10.0 END::DOUBLE AS base FROM orders")
 stage_query("distinct_values", 0, lambda d: d.select(F.explode(F.array_union("missing_fields", "format_errors")).alias("field")).distinct(), f"SELECT DISTINCT unnest(string_split({MISSING} || {WRONG}, ',')) AS field FROM {R} WHERE dmg >= 5")
-for _rule, _col in (("val_record_no", "RECORD NO"), ("val_zip", "ZIP_1"), ("val_date", "D BIRTH"), ("val_sex", "SEX_2"), ("val_blood", "BLOOD GP"), ("val_integer", "TABLETS")):
-    stage_query(_rule, 0, lambda d, c=_col: d.select("record_id", (~F.array_contains("format_errors", c)).alias("good")), f"SELECT k AS record_id, true AS good FROM {R}")
+
+
+def broken(name: str, columns: list[str], values: list[str], bad: tuple[int, ...], says: str, upper: bool = False) -> None:
+    """One rule on good and bad values: the columns that it marks, and what it says. {c} stands for the column, {v} for the value."""
+    picked = {c: pick(",".join(values), f"k + {i}") for i, c in enumerate(columns)}
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        done = validate.validate(fixtures.fields(spark, sf_dir, picked))
+        return done.select("record_id", F.array_join("format_errors", ",").alias("malformed"), F.array_join("errors", "; ").alias("says"), "status")
+
+    hit = [f"(k + {i}) % {len(values)} IN ({', '.join(map(str, bad))})" for i in range(len(columns))]
+    shown = [f"trim({'upper' if upper else ''}({picked[c]}))" for c in columns]
+    message = ["'" + says.replace("'", "''").replace("{c}", c).replace("{v}", f"' || {v} || '") + "'" for c, v in zip(columns, shown, strict=True)]
+    listed = ["array_to_string(list_filter([" + ", ".join(f"CASE WHEN {h} THEN {e} ELSE '' END" for h, e in zip(hit, of, strict=True)) + f"], lambda v: v <> ''), '{sep}')" for of, sep in (([f"'{c}'" for c in columns], ","), (message, "; "))]
+    register(name, query, f"SELECT k AS record_id, {listed[0]} AS malformed, {listed[1]} AS says, CASE WHEN {' OR '.join(hit)} THEN 'REVIEW' ELSE 'PASS' END AS status FROM ({KEYS.format(orders='orders')}) o")
+
+
+broken("val_record_no", ["RECORD NO"], ["12345", "1234", "123456", "12a45", " 54321 "], (1, 2, 3), "Invalid Record Number format '{v}': must be exactly 5 digits.")
+broken("val_zip", ["ZIP_1", "ZIP_2"], ["37201", "3720", "37201-1234", "3720a", " 84101"], (1, 2, 3), "Invalid {c} format '{v}': must be exactly 5 digits.")
+broken("val_date", ["D BIRTH", "D_B_LIFE_ASSURE", "DOB"], ["01/02/1950", "1/2/50", "13/45/1950", "1-2-50", "01/02/19501", "01/02", "1950"], (3, 4, 5, 6), "Invalid date format for {c} '{v}': must match MM/DD/YY(YY).")
+broken("val_sex", ["SEX_1", "SEX_2"], ["MALE", "female", "F", "MALES", "Female "], (2, 3), "Invalid sex format for {c} '{v}': must be MALE or FEMALE.", upper=True)
+broken("val_blood", ["BLOOD GP"], ["A+", "ab-", "C+", "A", "O +", "0+", "O-"], (2, 3, 4, 5), "Invalid blood group '{v}': must be A/B/AB/O with +/-.", upper=True)
+broken("val_integer", ["HEIGHT", "WEIGHT", "TABLETS"], ["150", "15O", "15.0", "-15", "007"], (1, 2, 3), "Invalid integer format for {c} '{v}'.")
 for _name, _field, _dmg, _conf in (("rec_email_stage", "email_address", 8, 0.81), ("rec_sex_stage", "sex_1", 9, 0.81), ("rec_dose_stage", "dosage", 6, 0.81), ("rec_medicine_stage", "medicine", 5, 0.77)):
     stage_query(_name, 1, lambda d, f=_field: d.where(F.col(f"{f}.source") == "recovered").select("record_id", F.col(f"{f}.value").alias("value"), F.col(f"{f}.confidence").alias("confidence")), f"SELECT k AS record_id, {fixtures.FINAL[{'email_address': 'EMAIL ADDRESS', 'sex_1': 'SEX_1', 'dosage': 'DOSAGE', 'medicine': 'MEDICINE'}[_field]]} AS value, {_conf}::DOUBLE AS confidence FROM {R} WHERE dmg = {_dmg}")
-SECTION_COUNTS = "CASE WHEN dmg = 7 THEN 1 ELSE 2 END"
-stage_query("sec_assign", 0, lambda d: d.select("record_id", *[F.size(n).alias(n) for n in sections.NAMES]), f"SELECT k AS record_id, 6 AS customer, 3 AS shipper, 3 AS policy, {SECTION_COUNTS} AS medication FROM {R}")
 
 
-def _triggers(kind: str) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = fixtures.record_text(spark, sf_dir).select("record_id", norm.split_lines(F.col("text")).alias("lines"))
-        hit = {"ship": lambda ln, i: sections.ship_trigger(F.col("lines"), ln, i, F.lit("")), "policy": lambda ln, i: sections.policy_trigger(ln) & (i > 6), "med": lambda ln, i: sections.medication_trigger(ln) & (i > 9)}[kind]
-        return rows.select("record_id", F.array_min(F.transform("lines", lambda ln, i: F.when(hit(ln, i), i))).alias("first"))
+def _first(rule: Callable[[Column, Column, Column], Column]) -> Callable[[Column], Column]:
+    """The number of the first line for which the rule holds."""
+
+    def first(text: Column) -> Column:
+        lines = F.split(text, "\n")
+        return F.array_min(F.transform(lines, lambda ln, i: F.when(rule(lines, ln, i), i)))
+
+    return first
+
+
+def cases(*texts: str) -> str:
+    """Texts by key, | between their lines."""
+    return "replace(" + pick(",".join(texts), "k") + ", '|', chr(10))"
+
+
+def answers(*values: int | None) -> str:
+    return f"try_cast(nullif({pick(','.join('' if v is None else str(v) for v in values), 'k')}, '') AS INT)"
 
-    return query
 
+scalar("sec_ship_trigger", cases("aa|bb|150 120 A+|dd|ee", "aa|bb|Fresno CA 93000|dd", "aa|John Baker|cc|John Bakr|ee", "aa|bb|cc", "CA aa|bb", "aa O-|bb", "aa|bb|LOCAL cab", "AB +|x"), _first(lambda lines, ln, i: sections.ship_trigger(lines, ln, i, F.lit("John Baker"))), answers(3, 2, 3, None, 0, 1, None, 1))
+scalar("sec_policy_trigger", cases("aa|SR_123 x", "aa|bb|BAX Ruth_70001", "jo@a.co|x", "aa|pay $150.00", "pay $175.00|aa", "aa 5R99|bb", "150.00|aa", "aa|baX_Al_70001|SR_1", "USR_1|BAXTER"), _first(lambda lines, ln, i: sections.policy_trigger(ln)), answers(1, 2, 0, 1, None, 0, None, 1, 0))
+scalar("sec_med_trigger", cases("aa|bb|Visa x", "valium|x", "10MG|10 mg $5.00", "90 pills|90 COST 5", "aa-90 RATE|bb", "rate 12|bb", "60-1 TOTAL|60 total", "5mg|120 $3"), _first(lambda lines, ln, i: sections.medication_trigger(ln)), answers(2, 0, 1, 1, None, None, 1, 1))
+#: A text of 1 to 3 lines more than its trigger in each section, and of fewer sections for some keys.
+SECTION_LINES = ["'John Baker|xx|' || rpad('', cast(3 * (k % 3) as int), 'aa|')", "'Fresno CA 93000|' || rpad('', cast(3 * (k % 4) as int), 'bb|')", "CASE WHEN k % 7 = 3 THEN '' ELSE 'SR_10 x|' || rpad('', cast(3 * (c % 3) as int), 'cc|') END", "CASE WHEN k % 5 = 1 THEN '' ELSE 'Visa VALIUM|' || rpad('', cast(3 * (c % 4) as int), 'dd|') END"]
 
-for _kind, _at in (("ship", 6), ("policy", 9), ("med", 12)):
-    register(f"sec_{_kind}_trigger" if _kind != "med" else "sec_med_trigger", _triggers(_kind), f"SELECT k AS record_id, {_at} AS first FROM {R}")
+
+def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.sql(f"SELECT k, rtrim('|', {' || '.join(SECTION_LINES)}) AS x FROM ({KEYS}) o", orders=table(spark, sf_dir, "orders"))
+    found = sections.split_into_sections(rows.select("k", F.split("x", r"\|").alias("lines"), F.lit("John Baker").alias("name")))
+    return found.select(F.col("k").alias("record_id"), *[F.size(n).alias(n) for n in sections.NAMES])
+
+
+register("sec_assign", _sections, f"""SELECT k AS record_id, CAST(2 + k % 3 AS INT) AS customer, CAST(s + CASE WHEN p = 0 THEN m ELSE 0 END AS INT) AS shipper, CAST(CASE WHEN p = 0 THEN 0 ELSE p END AS INT) AS policy, CAST(CASE WHEN p = 0 THEN 0 ELSE m END AS INT) AS medication
+FROM (SELECT k, 1 + k % 4 AS s, CASE WHEN k % 7 = 3 THEN 0 ELSE 1 + c % 3 END AS p, CASE WHEN k % 5 = 1 THEN 0 ELSE 1 + c % 4 END AS m FROM ({KEYS.format(orders='orders')}) o) q""")
 
 # ---- recovery prices, fallback filters and empty records on rows of their own
 
@@ -248,25 +299,84 @@ scalar("fb_skip_and_trim", f"{pick('Not Available,short,', 'k')} || rpad('', 120
 
 
 
-def _reverse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.sql(f"SELECT k, 'x 12 Elm Lane ' || {pick('Provo,Lake City,West Valley City', 'k')} || ' UT 8' || {num('k % 10000', 4)} AS t, '8' || {num('k % 10000', 4)} AS z FROM ({KEYS}) o", orders=table(spark, sf_dir, "orders"))
-    out = recover.locate(rows.withColumn("w", x.words_of(F.col("t"))), "r", "w", "z", lex.CITIES_RECOVERY)
-    return out.select(F.col("k").alias("record_id"), F.col("r_state").alias("state"), F.col("r_city").alias("city"), F.col("r_end").cast("int").alias("words_before"))
 
 
-for _n in ("rec_reverse_address", "rec_shipper_address"):
-    register(_n, _reverse, f"SELECT o_orderkey AS record_id, 'UT' AS state, {pick('Provo,Lake City,West Valley City', 'o_orderkey')} AS city, 4 AS words_before FROM orders")
-scalar("rec_medical_flags", f"'N0 yes ' || {pick('NO,YE5,NOI', 'k')} || ' x INO'", lambda t: F.array_join(x.yes_no(x.words_of(t)), ","), f"'NO,YES,' || {pick('NO,YES,NO', 'k')} || ',NO'")
-scalar("rec_dates", f"'on ' || {DAY} || ' and 1/2/1950 9/8/70'", lambda t: F.concat_ws("|", *[F.get(recover.good_dates(t), F.lit(i)) for i in range(3)]), f"{DAY} || '|01/02/1950|09/08/70'")
+def mended(spark: SparkSession, sf_dir: str, values: dict[str, str], text: str = "''", shipper: str = "''", policy: str = "''") -> DataFrame:
+    """Records with the given values (SQL) after the whole recovery, which reads the given text and sections."""
+    made = fixtures.fields(spark, sf_dir, values, dict.fromkeys([c for c in lex.COLUMNS if values.get(c) != fixtures.NOTHING], "1.0"), _text=text, _shipper=shipper, _policy=policy)
+    made = made.withColumns({"lines": norm.split_lines(F.col("_text")), "shipper": norm.split_lines(F.col("_shipper")), "policy": norm.split_lines(F.col("_policy"))})
+    return recover.recover(validate.validate(made.withColumn("joined", F.array_join("lines", " "))), fixtures.stored)
+
+
+def shown(d: DataFrame, *columns: str) -> DataFrame:
+    """The values and confidences of some columns, "" and 0 where there is none."""
+    return d.select("record_id", *[e for c in columns for e in (F.coalesce(F.col(f"{lex.field(c)}.value"), F.lit("")).alias(lex.field(c)), F.col(f"{lex.field(c)}.confidence").alias(f"{lex.field(c)}_c"))])
+
+
+def mended_query(name: str, columns: dict[str, tuple[str, str]], **given) -> None:
+    """columns: what each column should hold and with which confidence, as SQL."""
+    register(name, lambda s, d: shown(mended(s, d, **given), *columns), f"SELECT k AS record_id, {', '.join(f'{v} AS {lex.field(c)}, CAST({f} AS DOUBLE) AS {lex.field(c)}_c' for c, (v, f) in columns.items())} FROM ({KEYS.format(orders='orders')}) o")
+
+
+NONE, CITY_IN = fixtures.NOTHING, pick("Provo,Lake City,West Valley City", "k")
+ZIP_IN = f"CASE WHEN k % 2 = 0 THEN {num('84000 + k % 1000')} ELSE {num('8400 + k % 100')} END"
+mended_query(
+    "rec_reverse_address", {"STATE_1": ("CASE WHEN k % 2 = 0 THEN 'TN' ELSE 'UT' END", "CASE WHEN k % 2 = 0 THEN 0.8 ELSE 0.9 END"), "CITY_1": (CITY_IN, "0.85"), "RES_ADDRESS": ("'12 Elm Lane'", "0.85")},
+    values={"STATE_1": NONE, "CITY_1": NONE, "RES_ADDRESS": NONE, "ZIP_1": ZIP_IN}, text=f"'John jo@aol.com 12 Elm Lane ' || {CITY_IN} || ' UT ' || {ZIP_IN}",
+)
+SHIP_CITY, SHIP_ZIP = pick("Fresno,San Benito,Lake City", "k"), f"CASE WHEN k % 3 = 0 THEN {num('93000 + k % 900')} WHEN k % 3 = 1 THEN {num('10000 + k % 900')} END"
+mended_query(
+    "rec_shipper_address", {"STATE_2": ("CASE WHEN k % 3 = 2 THEN '' ELSE 'CA' END", "CASE k % 3 WHEN 0 THEN 0.95 WHEN 1 THEN 0.8 ELSE 0 END"), "CITY_2": (f"CASE WHEN k % 3 = 2 THEN '' ELSE {SHIP_CITY} END", "CASE WHEN k % 3 = 2 THEN 0 ELSE 0.85 END")},
+    values={"STATE_2": NONE, "CITY_2": NONE, "ZIP_2": SHIP_ZIP}, shipper=f"'Oscar Zimmer' || chr(10) || {SHIP_CITY} || ' NY ' || coalesce({SHIP_ZIP}, 'none')",
+)
+_DAY2 = f"'07/1' || {num('k % 10')} || '/1971'"
+mended_query(
+    "rec_dates",
+    {
+        "D BIRTH": (f"CASE k % 4 WHEN 2 THEN '04/05/1960' WHEN 3 THEN '06/07' ELSE {DAY} END", "CASE k % 4 WHEN 2 THEN 0.95 WHEN 3 THEN 0.4 ELSE 0.9 END"),
+        "D_B_LIFE_ASSURE": (f"CASE k % 4 WHEN 0 THEN {_DAY2} WHEN 2 THEN '04/05/1960' WHEN 3 THEN '06/07' ELSE {DAY} END", "CASE k % 4 WHEN 0 THEN 0.9 WHEN 1 THEN 0.8 WHEN 2 THEN 0.95 ELSE 0.4 END"),
+        "DOB": (f"CASE k % 4 WHEN 0 THEN '09/08/70' WHEN 2 THEN '04/05/1960' WHEN 3 THEN '06/07' ELSE {DAY} END", "CASE k % 4 WHEN 0 THEN 0.9 WHEN 1 THEN 0.8 WHEN 2 THEN 0.95 ELSE 0.4 END"),
+    },
+    values={"D BIRTH": NONE, "D_B_LIFE_ASSURE": NONE, "DOB": NONE},
+    text=f"CASE k % 4 WHEN 0 THEN 'on ' || {DAY} || ' and ' || {_DAY2} || ' to 9/8/70' WHEN 1 THEN 'on ' || {DAY} || ' 55/66/1999' WHEN 2 THEN {DAY} || ' SR_77A4/5/1960' ELSE 'on 6/7 or 13/45' END",
+)
+mended_query(
+    "rec_medical_flags", {c: (v, f) for c, v, f in (("ALCOHOLIC", "CASE WHEN k % 2 = 0 THEN 'YES' ELSE 'NO' END", "0.9"), ("SMOKER", "'NO'", "0.9"), ("PAST SURG", "'NO'", "1.0"), ("DIABETIC", pick("NO,YES", "c"), "0.9"), ("ALLERGIESED", "CASE WHEN k % 3 = 0 THEN '' ELSE 'YES' END", "CASE WHEN k % 3 = 0 THEN 0 ELSE 0.9 END"))},
+    values={"ALCOHOLIC": NONE, "SMOKER": NONE, "DIABETIC": NONE, "ALLERGIESED": NONE}, shipper=f"'Oscar' || chr(10) || {pick('YE5,N0', 'k')} || ' NOI maybe no'", policy=f"{pick('INO,Y1S', 'c')} || CASE WHEN k % 3 = 0 THEN '' ELSE ' x YES' END || chr(10) || 'NO'",
+)
+scalar("rec_flag_words", f"'N0 yes ' || {pick('NO,YE5,NOI', 'k')} || ' x INO'", lambda t: F.array_join(x.yes_no(x.words_of(t)), ","), f"'NO,YES,' || {pick('NO,YES,NO', 'k')} || ',NO'")
+scalar("rec_date_finder", f"'on ' || {DAY} || ' and 1/2/1950 9/8/70'", lambda t: F.concat_ws("|", *[F.get(recover.good_dates(t), F.lit(i)) for i in range(3)]), f"{DAY} || '|01/02/1950|09/08/70'")
 
 
 def _empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record_id"), F.lit("p.png").alias("image_name"), F.lit("available\n \nNot Available").alias("text"), F.lit(0.9).alias("confidence"))
+    text = f"CASE k % 3 WHEN 0 THEN 'available' || chr(10) || ' ' || chr(10) || 'Not Available' WHEN 1 THEN '' ELSE {num('10000 + k % 20000')} || ' ' || {pick('Mary Turner,John Baker', 'c')} END"
+    rows = spark.sql(f"SELECT k AS record_id, 'p.png' AS image_name, {text} AS text, cast(0.9 as double) AS confidence FROM ({KEYS}) o", orders=table(spark, sf_dir, "orders"))
     out = extract.extract(rows, fixtures.stored)
-    return out.select("record_id", F.col("image_name.value").alias("image_name"), F.coalesce(*[F.col(f"{f}.value") for f in lex.FIELDS if f != "image_name"]).isNull().alias("all_empty"))
+    empty = F.coalesce(*[F.col(f"{f}.value") for f in lex.FIELDS if f != "image_name"]).isNull()
+    return out.select("record_id", F.col("image_name.value").alias("image_name"), empty.alias("all_empty"), F.coalesce("record_no.value", F.lit("")).alias("record_no"), F.coalesce("customer_name.value", F.lit("")).alias("customer_name"), F.col("record_no.confidence").alias("confidence"))
+
+
+register("ext_empty_record", _empty, f"SELECT k AS record_id, 'p.png' AS image_name, k % 3 <> 2 AS all_empty, CASE WHEN k % 3 = 2 THEN {num('10000 + k % 20000')} ELSE '' END AS record_no, CASE WHEN k % 3 = 2 THEN {pick('Mary Turner,John Baker', 'c')} ELSE '' END AS customer_name, CASE WHEN k % 3 = 2 THEN 0.9 ELSE 0 END::DOUBLE AS confidence FROM ({KEYS.format(orders='orders')}) o")
+
+# ---- lesser rules, on bills with other lines
+FEWER_PRICES = {13: f"CASE k % 4 WHEN 0 THEN {cents('rate_c')} || ' ' || {cents('cost_c')} || ' $20.00 ' || {cents('cost_c + 2000')} WHEN 1 THEN {cents('rate_c')} || ' ' || {cents('cost_c')} || ' ' || {cents('cost_c + 2000')} WHEN 2 THEN {cents('cost_c')} || ' ' || {cents('cost_c + 2000')} ELSE {cents('cost_c + 2000')} END"}
+NO_COUNTRY = {4: "CASE WHEN dmg = 9 THEN '' ELSE sex || ' ' END || born", 7: "city2 || ' CA ' || zip2", 11: "sex2 || ' ' || dob"}
+
+
+def lesser(name: str, lines: dict[int, str], columns: dict[str, tuple[str, str]]) -> None:
+    """Some fields, with their confidences, of bills of which some lines are other ones."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return shown(extract.extract(fixtures.record_text(spark, sf_dir, lines), fixtures.stored), *columns)
 
+    register(name, query, f"SELECT k AS record_id, {', '.join(f'{v} AS {lex.field(c)}, CAST({f} AS DOUBLE) AS {lex.field(c)}_c' for c, (v, f) in columns.items())} FROM {R}")
 
-register("ext_empty_record", _empty, "SELECT o_orderkey AS record_id, 'p.png' AS image_name, true AS all_empty FROM orders")
+
+lesser("ext_prices_few", FEWER_PRICES, {
+    "PILL RATE": (f"CASE WHEN k % 4 < 2 THEN {cents('rate_c')} ELSE '' END", "CASE k % 4 WHEN 0 THEN 0.9 WHEN 1 THEN 0.72 ELSE 0 END"), "COST": (f"CASE WHEN k % 4 < 3 THEN {cents('cost_c')} ELSE '' END", "CASE k % 4 WHEN 0 THEN 0.9 WHEN 3 THEN 0 ELSE 0.72 END"),
+    "SHIPPING CO": ("CASE WHEN k % 4 < 3 THEN '$20.00' ELSE '' END", "CASE k % 4 WHEN 0 THEN 0.9 WHEN 3 THEN 0 ELSE 0.72 END"), "TOTAL AMT": (cents("cost_c + 2000"), "CASE k % 4 WHEN 0 THEN 0.9 WHEN 3 THEN 0.63 ELSE 0.72 END"),
+})
+lesser("ext_defaults", NO_COUNTRY, {"COUNTRY_1": ("'US'", "0.54"), "COUNTRY_2": ("'US'", "0.54"), "SEX_2": ("sex2", "0.72"), "D BIRTH": ("born", "0.9")})
 
 # ---- metrics, routing and sinks
 FAILED_FIELDS = "('PILL RATE', 'COST', 'SHIPPING CO', 'TOTAL AMT')"
@@ -276,7 +386,14 @@ RECOVERED = "CASE field WHEN 'MEDICINE' THEN d5 WHEN 'DOSAGE' THEN d6 WHEN 'EMAI
 METRICS = f"(SELECT ord, field, n - failed - recovered AS extracted, recovered, failed FROM (SELECT ord, field, n, {RECOVERED} AS recovered, CASE WHEN field IN {FAILED_FIELDS} THEN d7 ELSE 0 END AS failed FROM (VALUES {FIELD_ROWS}) f(ord, field), {COUNTS}) q) m"
 stage_query("agg_recovery_metrics", 2, metrics.recovery_metrics, f"SELECT field, extracted, recovered, failed FROM {METRICS}")
 stage_query("agg_summary", 2, metrics.summary, f"SELECT n AS total, n - d7 AS passed, d7 AS failed FROM {COUNTS}")
-stage_query("agg_review_categories", 0, metrics.review_categories, "SELECT category, CAST(0 AS BIGINT) AS n FROM (VALUES ('Missing blood group'), ('Missing shipper name'), ('Missing tablets'), ('Date errors'), ('Address errors')) v(category)")
+
+
+def _categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = {"BLOOD GP": f"CASE k % 4 WHEN 0 THEN 'C+' WHEN 1 THEN {fixtures.NOTHING} ELSE 'A+' END", "SHIPPER NAME": f"CASE k % 5 WHEN 0 THEN {fixtures.NOTHING} WHEN 1 THEN 'N0t 12' ELSE 'Oscar Quist' END", "TABLETS": f"CASE k % 6 WHEN 0 THEN {fixtures.NOTHING} WHEN 1 THEN '9x' ELSE '90' END", "DOB": "CASE WHEN k % 7 = 0 THEN '1950' ELSE '05/06/1960' END", "D BIRTH": f"CASE WHEN k % 14 = 0 THEN {fixtures.NOTHING} ELSE '01/02/1950' END", "ZIP_2": "CASE WHEN k % 8 = 0 THEN '123' ELSE '93701' END", "CITY_1": "CASE WHEN k % 9 = 0 THEN 'Not/It' ELSE 'Provo' END"}
+    return metrics.review_categories(validate.validate(fixtures.fields(spark, sf_dir, bad)))
+
+
+register("agg_review_categories", _categories, f"SELECT category, n FROM (SELECT " + ", ".join(f"count(*) FILTER (WHERE {w}) AS \"{c}\"" for c, w in (("Missing blood group", "k % 4 < 2"), ("Missing shipper name", "k % 5 = 0"), ("Missing tablets", "k % 6 = 0"), ("Date errors", "k % 7 = 0"), ("Address errors", "k % 8 = 0 OR k % 9 = 0"))) + f" FROM ({KEYS.format(orders='orders')}) o) q UNPIVOT (n FOR category IN (COLUMNS(*)))")
 stage_query("agg_root_cause", 0, lambda d: metrics.root_causes(sinks.review(d)).select("cause", "n"), f"""SELECT cause, count(*) AS n FROM (SELECT CASE WHEN {FIRST_ERRORS} LIKE '%EMAIL%' THEN 'email_parse' ELSE 'other' END AS cause FROM {R} WHERE dmg >= 5) q GROUP BY cause""")
 stage_query("snk_root_cause_json", 2, lambda d: metrics.root_cause_json(metrics.root_causes(sinks.review(d))), f"SELECT '{{\"other\":' || d7 || '}}' AS json FROM {COUNTS}")
 stage_query("snk_stats", 2, metrics.stats, f"""SELECT * FROM (SELECT unnest([0, 1, 2]) AS ord, 'SUMMARY' AS "METRIC_TYPE", unnest(['Total Records Processed', 'Successful Records (PASS)', 'Failed Records (Review Required)']) AS "NAME", CAST(unnest([n, n - d7, d7]) AS VARCHAR) AS "EXTRACTED_OR_VALUE", 'N/A' AS "RECOVERED_BY_ENGINE", 'N/A' AS "FAILED" FROM {COUNTS}
@@ -285,23 +402,65 @@ stage_query("setop_route", 2, lambda d: d.select("record_id", F.when(F.col("vali
 stage_query("snk_log", 2, lambda d: sinks.log(d).select("record_id", "RECORD_NO", "IMAGE_NAME", "STATUS", "ERRORS"), f"""SELECT k AS record_id, rec AS "RECORD_NO", 'page_' || (k % 500) || '.png' AS "IMAGE_NAME", CASE WHEN dmg = 7 THEN 'REVIEW' ELSE 'PASS' END AS "STATUS", {LAST_ERRORS} AS "ERRORS" FROM {R}""")
 
 
-def _csv(rows: Callable[[DataFrame], DataFrame], *extra: str) -> Query:
-    """Writes the sink's CSV and reads it again."""
+def _place(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        done = bills(spark, sf_dir)[2]
-        path = fixtures.store(spark.range(1), "csv-place") + "-csv"
-        sinks.write_csv(rows(done), path)
-        sinks.write_csv(rows(done), path)  # a new run replaces what the last one wrote
-        return src.read_review(spark, path).select(F.col("RECORD NO").alias("record_no"), F.col("POLICY NO").alias("policy_no"), F.col("TOTAL AMT").alias("total_amt"), *extra)
 
-    return query
+def _extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted rows appended by two runs, all 43 columns read again."""
+    done, path = bills(spark, sf_dir)[2], _place(spark, "extracted")
+    for k in (0, 1):
+        sinks.write_csv(sinks.accepted(done.where(F.col("record_id") % 2 == k)), path, "append")
+    found = spark.read.options(**sinks.CSV).csv(path)
+    return found.select(F.col("RECORD NO").alias("record_no"), F.col("TOTAL AMT").alias("total_amt"), F.md5(F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in lex.COLUMNS])).alias("row_md5"))
+
+
+ALL_FINAL = fixtures.FINAL | {"IMAGE NAME": "'page_' || (k % 500) || '.png'"}
+register("snk_extracted", _extracted, f"SELECT rec AS record_no, {cents('cost_c + 2000')} AS total_amt, md5({" || '|' || ".join(f'({ALL_FINAL[c]})' for c in lex.COLUMNS)}) AS row_md5 FROM {R} WHERE dmg <> 7")
+
+
+def _reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new run replaces what two runs before it have appended."""
+    done, path = bills(spark, sf_dir)[2], _place(spark, "reset")
+    for mode in ("append", "append", "overwrite"):
+        sinks.write_csv(sinks.accepted(done), path, mode)
+    return src.read_review(spark, path).select(F.col("RECORD NO").alias("record_no"), F.col("POLICY NO").alias("policy_no"))
+
+
+register("snk_reset", _reset, f"SELECT rec AS record_no, policy AS policy_no FROM {R} WHERE dmg <> 7")
+
+
+def _review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done, path = bills(spark, sf_dir)[2], _place(spark, "review")
+    sinks.write_csv(sinks.review(done), path)
+    return spark.read.options(**sinks.CSV).csv(path).select(F.col("RECORD NO").alias("record_no"), F.col("POLICY NO").alias("policy_no"), F.col("TOTAL AMT").alias("total_amt"), "VALIDATION_ERRORS")
+
 
+register("snk_review", _review, f'SELECT rec AS record_no, policy AS policy_no, {fixtures.FILLED} AS total_amt, {LAST_ERRORS} AS "VALIDATION_ERRORS" FROM {R} WHERE dmg = 7')
 
-for _n in ("snk_extracted", "snk_reset"):
-    register(_n, _csv(sinks.accepted), f"SELECT rec AS record_no, policy AS policy_no, {cents('cost_c + 2000')} AS total_amt FROM {R} WHERE dmg <> 7")
-for _n in ("snk_review", "src_review_csv"):
-    register(_n, _csv(sinks.review, "VALIDATION_ERRORS"), f'SELECT rec AS record_no, policy AS policy_no, {fixtures.FILLED} AS total_amt, {LAST_ERRORS} AS "VALIDATION_ERRORS" FROM {R} WHERE dmg = 7')
+
+def _review_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A review file of reviewed and of failed records, and one that isn't there."""
+    done, path = bills(spark, sf_dir)[2], _place(spark, "review")
+    failed = done.where("record_id % 13 = 0").select("record_id", F.lit("x").alias("record_no"), F.lit("p").alias("image_name"), F.concat(F.lit("lost "), F.col("record_id").cast("string")).alias("message"))
+    sinks.write_csv(sinks.review(done).unionByName(sinks.failed_review(failed)), path, "append")
+    both = src.read_review(spark, path).unionByName(src.read_review(spark, path + "-none"))
+    return both.select(F.col("RECORD NO").alias("record_no"), F.col("ZIP_1").alias("zip_1"), "VALIDATION_ERRORS")
+
+
+register("src_review_csv", _review_read, f"""SELECT rec AS record_no, zip1 AS zip_1, {LAST_ERRORS} AS "VALIDATION_ERRORS" FROM {R} WHERE dmg = 7 UNION ALL SELECT '', '', 'lost ' || k FROM {R} WHERE k % 13 = 0""")
+
+
+def _log_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log appended by two runs, with its time."""
+    done, path = bills(spark, sf_dir)[2], _place(spark, "log")
+    for _ in range(2):
+        sinks.write_csv(sinks.log(done), path, "append")
+    found = spark.read.options(**sinks.CSV).csv(path)
+    return found.groupBy(F.col("RECORD_NO").alias("record_no"), F.col("IMAGE_NAME").alias("image_name"), F.col("STATUS").alias("status")).agg(F.count("*").alias("n"), F.bool_and(F.col("TIMESTAMP").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$")).alias("stamped"))
+
+
+register("snk_log_append", _log_twice, f"""SELECT rec AS record_no, 'page_' || (k % 500) || '.png' AS image_name, CASE WHEN dmg = 7 THEN 'REVIEW' ELSE 'PASS' END AS status, 2 * count(*) AS n, true AS stamped FROM {R} GROUP BY ALL""")
 
 
 # ---- pages, boxes and layouts, derived from pages, orders and events
@@ -327,7 +486,8 @@ def page_query(name: str, shape: Callable[[DataFrame], DataFrame], sql: str) ->
 
 register("src_page_catalog", lambda s, d: src.catalog(files(s, d)).select("image_path", "width", "height"), f"SELECT image_path, width, height FROM {IMAGES} i")
 register("src_page_size_filter", lambda s, d: src.large_enough(src.catalog(files(s, d))).select("image_path"), f"SELECT image_path FROM {LARGE} l")
-page_query("src_natural_sort", lambda p: p, "")
+NATURAL = f"SELECT {pick('Vol,vol', 'page_id')} || (page_id % 13) || '/' || {pick('scan_,SCAN_', 'page_id')} || page_id || 'b' || (page_id % 3) || '.png' AS image_path, page_id FROM {{pages}}"
+register("src_natural_sort", lambda s, d: src.number(s.sql(NATURAL, pages=table(s, d, "pages"))).select("page_id", "page_idx"), f"SELECT page_id, row_number() OVER (ORDER BY page_id % 13, page_id) AS page_idx FROM ({NATURAL.format(pages='pages')}) n")
 page_query("src_page_number", lambda p: p, "")
 page_query("src_page_limit", lambda p: src.limit(p, 40), "WHERE page_idx <= 40")
 page_query("src_page_range", lambda p: src.between(src.limit(p, 40), 0, 25), "WHERE page_idx <= 25")
@@ -415,8 +575,8 @@ INTER = f"(SELECT k, coalesce(a, 2 * b - c) AS a, coalesce(b, CAST(floor((a + c)
 register("div_interpolate", _dividers(False), f"SELECT k AS page_idx, a AS y1, b AS y2, c AS y3 FROM {INTER} i")
 register("div_default_fill", _dividers(True), f"SELECT k AS page_idx, coalesce(a, 144 + s) AS y1, coalesce(b, 422 + s) AS y2, coalesce(c, 700 + s) AS y3 FROM (SELECT *, coalesce(a - 144, b - 422, c - 700, 0) AS s FROM {INTER} i) j")
 
-#: A profile of up to 150 rows per customer nation: ink from the row number, white in bands of 14 rows.
-PROFILE = "SELECT n_nationkey AS image_id, cast(c_custkey % 150 as int) AS row, cast((n_nationkey * 31 + c_custkey % 150 * 17 + floor(c_custkey % 150 / 13) * 29) % 100 as int) AS ink FROM (SELECT DISTINCT c_nationkey AS n_nationkey, c_custkey % 150 AS c_custkey FROM {customer}) c"
+#: A profile of 150 rows for every 150 customers: ink from the nation and the row, white in bands of 14 rows.
+PROFILE = "SELECT cast(floor(c_custkey / 150) as int) AS image_id, cast(c_custkey % 150 as int) AS row, cast((c_nationkey * 31 + c_custkey % 150 * 17 + floor(c_custkey % 150 / 13) * 29) % 100 as int) AS ink FROM {customer}"
 FULL_PROFILE = "SELECT image_id, row, ink, CASE WHEN (image_id + cast(floor(row / 14) as int)) % 2 = 0 THEN cast(0.99 as double) ELSE cast(0.5 as double) END AS white_frac FROM ({p}) p"
 
 
@@ -429,22 +589,26 @@ RUNS = f"(SELECT image_id, min(row) AS a, max(row) AS b, count(*) AS n FROM (SEL
 register("valley_islands", lambda s, d: layout.valleys(profile(s, d)).select("image_id", "mid"), f"SELECT image_id, CAST(floor((a + b) / 2) AS INT) AS mid FROM {RUNS} r WHERE n >= 10")
 
 
+#: The images of the profiles, and as many without one.
+WIDTHS = "SELECT image_id, 150 AS width FROM (SELECT DISTINCT cast(floor(c_custkey / 150) as int) AS image_id FROM {customer}) i UNION ALL SELECT -1 - image_id, 150 FROM (SELECT DISTINCT cast(floor(c_custkey / 150) as int) AS image_id FROM {customer}) i"
+
+
 def _columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    widths = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("image_id"), F.lit(150).alias("width"))
-    found = layout.columns(profile(spark, sf_dir).where("image_id % 3 <> 0"), widths)
+    found = layout.columns(profile(spark, sf_dir), spark.sql(WIDTHS, customer=table(spark, sf_dir, "customer")))
     return found.select("image_id", F.array_join(F.col("cuts").cast("array<string>"), ",").alias("cuts"))
 
 
-register("column_islands", _columns, f"SELECT n_nationkey AS image_id, CASE WHEN n_nationkey % 3 = 0 THEN '0,50,100,150' ELSE array_to_string(list_sort(list_distinct(list_concat([0, 150], m))), ',') END AS cuts FROM nation LEFT JOIN (SELECT image_id, list(CAST(floor((a + b) / 2) AS INT)) AS m FROM {RUNS} r GROUP BY image_id) q ON image_id = n_nationkey")
+register("column_islands", _columns, f"SELECT i.image_id, CASE WHEN m IS NULL THEN '0,50,100,150' ELSE array_to_string(list_sort(list_distinct(list_concat([0, 150], m))), ',') END AS cuts FROM ({WIDTHS.format(customer='customer')}) i LEFT JOIN (SELECT image_id, list(CAST(floor((a + b) / 2) AS INT)) AS m FROM {RUNS} r GROUP BY image_id) q ON i.image_id = q.image_id")
 register("win_moving_mean", lambda s, d: profile(s, d).select("image_id", "row", F.bround(layout.moving_mean("ink", "image_id"), 6).alias("mean")), f"SELECT image_id, row, round(sum(ink) OVER (PARTITION BY image_id ORDER BY row ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) / 3.0, 6) AS mean FROM {PROFILE_SQL} p")
 
 
 def _white(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("image_id"), (F.lit(30) + F.col("n_nationkey")).cast("int").alias("y"))
+    points = profile(spark, sf_dir).select("image_id", (F.lit(30) + F.col("image_id") % 80).cast("int").alias("y")).distinct()
     return layout.snap_whitespace(profile(spark, sf_dir), points)
 
 
-register("snap_whitespace", _white, f"SELECT image_id, CAST(y AS INT) AS y, snapped FROM (SELECT image_id, 30 + image_id AS y, row AS snapped, row_number() OVER (PARTITION BY image_id ORDER BY s3 + 24 * abs(row - 30 - image_id), row) AS r FROM (SELECT image_id, row, coalesce(lag(ink) OVER w, 0) + ink + coalesce(lead(ink) OVER w, 0) AS s3 FROM {PROFILE_SQL} p WHERE row >= 18 + image_id AND row < 42 + image_id WINDOW w AS (PARTITION BY image_id ORDER BY row)) q) z WHERE r = 1")
+register("snap_whitespace", _white, f"""SELECT i.image_id, i.y, coalesce(z.snapped, i.y) AS snapped FROM (SELECT DISTINCT image_id, CAST(30 + image_id % 80 AS INT) AS y FROM {PROFILE_SQL} p) i LEFT JOIN (SELECT image_id, row AS snapped, row_number() OVER (PARTITION BY image_id ORDER BY s3 + 24 * abs(row - 30 - image_id % 80), row) AS r
+  FROM (SELECT image_id, row, coalesce(lag(ink) OVER w, 0) + ink + coalesce(lead(ink) OVER w, 0) AS s3 FROM {PROFILE_SQL} p WHERE row >= 18 + image_id % 80 AND row < 42 + image_id % 80 WINDOW w AS (PARTITION BY image_id ORDER BY row)) q) z ON i.image_id = z.image_id AND z.r = 1""")
 
 SEGS = "SELECT o_orderkey AS page_idx, 1 AS seg_id, 77 AS x1, cast(100 + o_orderkey % 300 as int) AS y1, 271 AS x2, cast(500 + o_orderkey % 400 as int) AS y2, 750 AS width, 1000 AS height, cast(95 + o_orderkey % 300 as int) AS white_top, cast(505 + o_orderkey % 400 as int) AS white_bottom FROM {orders}"
 
@@ -474,7 +638,26 @@ MERGED = f"""(SELECT page_idx, CASE WHEN page_idx % 3 = 0 THEN 1 WHEN has_rec AN
   CASE WHEN page_idx % 3 = 0 THEN CASE WHEN NOT has_rec THEN 'missing Record Number anchor.' WHEN NOT has_avail THEN 'missing ''Available'' anchor.' END
   ELSE CASE WHEN has_rec AND has_avail THEN NULL WHEN NOT has_rec THEN 'missing Record Number anchor in Segment 1.' WHEN page_idx % 2 <> 0 THEN 'missing ''Available'' anchor in Segment 2.' END END AS anchor_error FROM {ANCHORED} a)"""
 register("seg_merge_rule", _merged, f"SELECT * FROM {MERGED} m")
-register("err_quarantine", lambda s, d: _merged(s, d).where("anchor_error is not null").select(F.concat(F.lit("rec_"), F.col("page_idx").cast("string")).alias("record_no"), F.lit("ERROR").alias("status"), F.col("anchor_error").alias("errors")), f"SELECT 'rec_' || page_idx AS record_no, 'ERROR' AS status, anchor_error AS errors FROM {MERGED} m WHERE anchor_error IS NOT NULL")
+
+
+def _failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the plan, of which some have an anchor error and some no text."""
+    rows = _merged(spark, sf_dir).select(F.col("page_idx").alias("record_id"), F.concat(F.lit("rec_"), F.col("page_idx").cast("string"), F.lit("_1_row2")).alias("record_no"), F.lit("p.png").alias("image_name"), F.when(F.col("page_idx") % 11 != 5, "text").alias("text"), F.col("anchor_error").alias("error"))
+    return quarantine.parted(rows)[1]
+
+
+def _quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    failed = _failed(spark, sf_dir)
+    blank = F.size(F.filter(F.array(*[F.col(f"`{c}`") for c in lex.COLUMNS]), lambda v: v == ""))
+    review = sinks.failed_review(failed).select("record_id", blank.alias("n_blank"), "VALIDATION_ERRORS")
+    log = sinks.failed_log(failed).select("record_id", F.col("RECORD_NO").alias("record_no"), F.col("STATUS").alias("status"), F.col("ERRORS").alias("errors"), F.col("TIMESTAMP").rlike(STAMP_FORM).alias("stamped"))
+    return log.join(review, "record_id")
+
+
+STAMP_FORM = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"
+FAILED = f"(SELECT page_idx AS record_id, coalesce(anchor_error, 'no text was read') AS message FROM {MERGED} m WHERE anchor_error IS NOT NULL OR page_idx % 11 = 5)"
+register("err_quarantine", _quarantined, f"""SELECT record_id, 'rec_' || record_id || '_1_row2' AS record_no, 'ERROR' AS status, message AS errors, true AS stamped, CAST(43 AS INT) AS n_blank, message AS "VALIDATION_ERRORS" FROM {FAILED} f""")
+register("err_summary", lambda s, d: metrics.summary(bills(s, d)[2], _failed(s, d)), f"SELECT n + m AS total, n - d7 AS passed, d7 + m AS failed FROM {COUNTS}, (SELECT count(*) AS m FROM {FAILED} f) e")
 
 
 def _pages3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -531,11 +714,13 @@ stage_query("prices_agree", 2, lambda d: d.select("record_id", recover.prices_ag
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Record texts arrive as files and are routed by a stream; the union of its tables."""
-    place = fixtures.store(fixtures.record_text(spark, sf_dir), "stream-source")
+    """Record texts, some of them missing, arrive as files and are routed by a stream; where each went, and its status in the log."""
+    rows = fixtures.record_text(spark, sf_dir).withColumn("text", F.when(F.col("record_id") % 41 != 7, F.col("text")))
+    place = store(rows, "stream-source")
     route.route(spark, place, place + "-out").awaitTermination()
     parts = [spark.read.parquet(f"{place}-out/{name}").select("record_id", F.lit(name).alias("sink")) for name in ("accepted", "review")]
-    return parts[0].unionByName(parts[1])
+    log = spark.read.parquet(f"{place}-out/log").select("record_id", F.col("STATUS").alias("status"))
+    return parts[0].unionByName(parts[1]).join(log, "record_id")
 
 
-register("stream_route", _stream, f"SELECT k AS record_id, CASE WHEN dmg = 7 THEN 'review' ELSE 'accepted' END AS sink FROM {R}")
+register("stream_route", _stream, f"SELECT k AS record_id, CASE WHEN dmg = 7 OR k % 41 = 7 THEN 'review' ELSE 'accepted' END AS sink, CASE WHEN k % 41 = 7 THEN 'ERROR' WHEN dmg = 7 THEN 'REVIEW' ELSE 'PASS' END AS status FROM {R}")

@@ -21,11 +21,24 @@ def review(done: DataFrame) -> DataFrame:
     return rows.select("record_id", *[F.coalesce(F.col(f"{lex.field(c)}.value"), F.lit("")).alias(c) for c in lex.COLUMNS], F.array_join("errors", "; ").alias("VALIDATION_ERRORS"))
 
 
+def failed_review(failed: DataFrame) -> DataFrame:
+    """Review rows of records that failed: every column is blank, the message stands with the errors."""
+    return failed.select("record_id", *[F.lit("").alias(c) for c in lex.COLUMNS], F.col("message").alias("VALIDATION_ERRORS"))
+
+
+def _stamp() -> Column:
+    return F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("TIMESTAMP")
+
+
+def failed_log(failed: DataFrame) -> DataFrame:
+    """Log rows of records that failed."""
+    return failed.select("record_id", _stamp(), F.col("record_no").alias("RECORD_NO"), F.col("image_name").alias("IMAGE_NAME"), F.lit("ERROR").alias("STATUS"), F.col("message").alias("ERRORS"))
+
+
 def log(done: DataFrame) -> DataFrame:
     """(record_id, TIMESTAMP, RECORD_NO, IMAGE_NAME, STATUS, ERRORS); one timestamp for a batch."""
     no = F.coalesce("record_no.value", F.concat(F.lit("rec_"), F.col("record_id").cast("string")))
-    stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
-    return done.select("record_id", stamp.alias("TIMESTAMP"), no.alias("RECORD_NO"), F.col("image_name.value").alias("IMAGE_NAME"), F.col("status").alias("STATUS"), F.array_join("errors", "; ").alias("ERRORS"))
+    return done.select("record_id", _stamp(), no.alias("RECORD_NO"), F.col("image_name.value").alias("IMAGE_NAME"), F.col("status").alias("STATUS"), F.array_join("errors", "; ").alias("ERRORS"))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scriva.functions import lexicons as lex
+from scriva.shared import stored
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
@@ -29,8 +30,17 @@ def natural_key(name: Column) -> Column:
 
 
 def number(pages: DataFrame) -> DataFrame:
-    """pages with page_idx from 1 in natural order. A catalog has a row per page image, so one sorted window holds it."""
-    return pages.withColumn("page_idx", F.row_number().over(Window.orderBy(natural_key(F.col("image_path")), "image_path")).cast("long"))
+    """pages with page_idx from 1 in natural order.
+
+    The pages are sorted by ranges; a row's number is its place in its range and the rows of the ranges before. Ranges are few,
+    so the running sum over them is one small task.
+    """
+    kept = pages.columns
+    ranged = pages.orderBy(natural_key(F.col("image_path")), "image_path").select("*", F.monotonically_increasing_id().alias("_id"))
+    ranged = stored(ranged, "pages-sorted").select(*kept, F.shiftright("_id", 33).alias("_range"), F.col("_id").bitwiseAND((1 << 33) - 1).alias("_place"))
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = counts.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    return ranged.join(F.broadcast(before), "_range").select(*kept, (F.col("_before") + F.col("_place") + 1).cast("long").alias("page_idx"))
 
 
 def limit(pages: DataFrame, n: int | None) -> DataFrame:

@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from scriva import sinks
-from scriva.plans import fixtures
 from scriva.plans.pipeline import staged
+from scriva.plans.quarantine import parted
+from scriva.shared import stored
 
 SCHEMA = "record_id long, image_name string, text string, confidence double"
 
 
 def route(spark: SparkSession, source: str, target: str, files_per_batch: int | None = None) -> StreamingQuery:
-    """Reads Parquet record texts as they arrive under source; appends to target/accepted, review and log.
+    """Reads Parquet record texts as they arrive under source; appends to target/accepted, review and log. Records that have no
+    text go to review, blank, and to the log as errors.
 
     Records are independent, so there is no state and no watermark. Each batch writes under its own number: a batch that is run
     again after a failure replaces what it wrote.
@@ -23,8 +25,11 @@ def route(spark: SparkSession, source: str, target: str, files_per_batch: int |
         stream = stream.option("maxFilesPerTrigger", files_per_batch)
 
     def batch(df: DataFrame, number: int) -> None:
-        _, _, done = staged(df, fixtures.stored)
-        for name, rows in (("accepted", sinks.accepted(done)), ("review", sinks.review(done)), ("log", sinks.log(done))):
+        good, failed = parted(df)
+        _, _, done = staged(good, stored)
+        review = sinks.review(done).unionByName(sinks.failed_review(failed))
+        log = sinks.log(done).unionByName(sinks.failed_log(failed))
+        for name, rows in (("accepted", sinks.accepted(done)), ("review", review), ("log", log)):
             rows.write.mode("overwrite").parquet(f"{target}/{name}/batch={number}")
 
     return stream.parquet(source).writeStream.foreachBatch(batch).option("checkpointLocation", f"{target}/_checkpoint").trigger(availableNow=True).start()
