@@ -60,9 +60,9 @@ UNKNOWN_MARKS = [
 AT_MARKS = re.compile("([" + "".join(f"{chr(a)}-{chr(b)}" for a, b in UNKNOWN_MARKS) + "])")
 
 #: Pieces that a worker remembers at most between batches.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 LONG_PIECE = 300
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_500_000
 NO_RANK = np.iinfo(np.int64).max
 
 
