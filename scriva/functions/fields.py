@@ -91,31 +91,42 @@ def gender(text: Column) -> Column:
     return F.when(up.rlike(r"\b(FEMALE|FEMAL|FEMELE|FEMEL)\b|FEMALE"), "FEMALE").when(up.rlike(r"\bMAL\b|MALE"), "MALE")
 
 
-def repeats_name(line: Column, name: Column) -> Column:
-    """Whether a line repeats a name, misreadings allowed."""
+#: Titles that stand before a name, in the order in which they are taken off.
+TITLES = ["mr", "mrs", "ms", "dr", "iii", "ii"]
+
+
+def bare_name(x: Column) -> Column:
+    """Letters and digits in lower case, without titles in front."""
+    front = "".join(f"(?:{t}(?=.{{3}}))?" for t in TITLES)
+    return F.regexp_replace(F.regexp_replace(F.lower(x), "[^a-z0-9]", ""), f"^{front}", "")
+
 
-    def bare(x: Column) -> Column:
-        return F.regexp_replace(F.lower(x), "[^a-z0-9]", "")
+def name_parts(x: Column) -> Column:
+    return F.split(F.lower(x), r"[\s\-_,.]+")
 
-    def untitled(x: Column) -> Column:
-        for noise in ("mr", "mrs", "ms", "dr", "iii", "ii"):
-            x = F.regexp_replace(x, f"^{noise}(?=.{{3}})", "")
-        return x
 
-    def parts(x: Column) -> Column:
-        return F.split(F.lower(x), r"[\s\-_,.]+")
+def real_parts(parts: Column) -> Column:
+    return F.filter(parts, lambda w: (F.length(w) > 2) & ~w.isin(TITLES))
+
+
+def repeats_name(line: Column, name: Column) -> Column:
+    """Whether a line repeats a name, misreadings allowed."""
+    return repeats(bare_name(line), name_parts(line), bare_name(name), real_parts(name_parts(name)))
+
 
-    titles = ["mrs", "mr", "ms", "dr", "iii", "ii"]
-    c, ln = untitled(bare(name)), untitled(bare(line))
-    short_hit = F.contains(ln, c) | ((F.length(c) >= 3) & F.exists(parts(line), lambda w: (F.length(bare(w)) >= 3) & (F.levenshtein(c, bare(w)) <= 1)))
-    prefix = [(F.length(c) + d <= F.length(ln)) & (F.levenshtein(c, F.substring(ln, F.lit(1), F.length(c) + d)) <= 2) for d in (-1, 0, 1)]
+def repeats(ln: Column, line_parts: Column, c: Column, name_real: Column) -> Column:
+    """As repeats_name, from the bare line, its parts, the bare name and its real parts."""
+    low = F.length(c)
 
-    def real(x: Column) -> Column:
-        return F.filter(parts(x), lambda w: (F.length(w) > 2) & ~w.isin(titles))
+    def near_word(w: Column) -> Column:
+        bare = F.regexp_replace(w, "[^a-z0-9]", "")
+        return (F.length(bare) >= 3) & (F.levenshtein(c, bare) <= 1)
 
-    near = F.exists(real(name), lambda a: F.exists(real(line), lambda b: F.levenshtein(a, b) <= 1))
-    hit = F.when(F.length(c) <= 4, short_hit).otherwise(reduce(lambda a, b: a | b, prefix) | near)
-    return F.coalesce((bare(name) != "") & (bare(line) != "") & hit, F.lit(False))
+    short_hit = F.contains(ln, c) | ((low >= 3) & F.exists(line_parts, near_word))
+    prefix = [(low + d <= F.length(ln)) & (F.levenshtein(c, F.substring(ln, F.lit(1), low + d)) <= 2) for d in (-1, 0, 1)]
+    near = F.exists(real_parts(line_parts), lambda b: F.exists(name_real, lambda a: F.levenshtein(a, b) <= 1))
+    hit = F.when(low <= 4, short_hit).otherwise(reduce(lambda a, b: a | b, prefix) | near)
+    return F.coalesce((c != "") & (ln != "") & hit, F.lit(False))
 
 
 def record_no(lines: Column, joined: Column) -> Column:

@@ -83,15 +83,18 @@ def places(df: DataFrame) -> DataFrame:
     df = locate(df, "c", "cust_words", "zip1", lex.CITIES)
     df = locate(df, "s", "ship_words", "zip2", lex.CITIES)
     cust_name = F.coalesce(F.col("p_name.value"), F.lit(""))
-    name_set = F.transform(x.words_of(cust_name), lambda w: F.btrim(F.lower(w), F.lit(".,()[]-")))
+    # Columns of their own, as they would be worked out again for each word that is compared with them.
+    df = df.withColumns({
+        "name_set": F.transform(x.words_of(cust_name), lambda w: F.btrim(F.lower(w), F.lit(".,()[]-"))), "known": x.name_words(cust_name),
+        "city_words": F.transform(F.split(F.coalesce("s_city", F.lit("")), r"[\s_.\-@]+"), lambda w: F.btrim(F.lower(w), F.lit(".,()[]-"))),
+    })
+    name_set, known, city_words = F.col("name_set"), F.col("known"), F.col("city_words")
     head = F.slice("cust_words", F.lit(1), F.greatest(F.col("c_end"), F.lit(0)))
     mail_at = F.array_min(F.transform(head, lambda w, i: F.when(F.contains(w, F.lit("@")), i + 1)))
     name_at = F.array_max(F.transform(head, lambda w, i: F.when(F.array_contains(name_set, F.btrim(F.lower(w), F.lit(".,()[]-"))), i + 1)))
     start = F.coalesce(F.when(F.col("email").isNotNull(), mail_at), name_at, F.lit(0))
     address = F.slice("cust_words", start + 1, F.greatest(F.col("c_end") - start, F.lit(0)))
     address = F.filter(address, lambda w, i: ~((i == 0) & w.eqNullSafe(F.col("rec_no"))))
-    known = x.name_words(cust_name)
-    city_words = F.transform(F.split(F.coalesce("s_city", F.lit("")), r"[\s_.\-@]+"), lambda w: F.btrim(F.lower(w), F.lit(".,()[]-")))
 
     def is_shipper(w: Column) -> Column:
         clean = F.btrim(w, F.lit(".,()[]-"))

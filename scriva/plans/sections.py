@@ -11,16 +11,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriva.functions import lexicons as lex
-from scriva.functions.fields import repeats_name
+from scriva.functions.fields import bare_name, name_parts, real_parts, repeats
 
 #: A blood group that a line shows; the section after it is the shipper's.
 BLOOD_SHOWN = r"(?i)\b[ABO0ab]{1,2}\s*[+\-](?!\w)"
 NAMES = ("customer", "shipper", "policy", "medication")
 
 
-def ship_trigger(lines: Column, line: Column, i: Column, name: Column) -> Column:
+def ship_trigger(lines: Column, line: Column, i: Column, repeated: Column) -> Column:
+    """repeated: whether the line repeats the customer's name."""
     before = F.coalesce(F.get(lines, i - 1), F.lit("")).rlike(BLOOD_SHOWN)
-    return ((i > 0) & before) | ((i >= 2) & repeats_name(line, name)) | F.upper(line).rlike(r"\bCA\b")
+    return ((i > 0) & before) | F.upper(line).rlike(r"\bCA\b") | ((i >= 2) & repeated)
 
 
 def policy_trigger(line: Column) -> Column:
@@ -42,7 +43,9 @@ def boundaries(df: DataFrame, lines: str = "lines", name: str = "name") -> DataF
     def first_after(start: Column, hit) -> Column:
         return F.array_min(F.transform(lines, lambda x, i: F.when((i > start) & hit(x, i), i)))
 
-    df = df.withColumn("i_ship", first_after(F.lit(-1), lambda x, i: ship_trigger(F.col(lines), x, i, F.col(name))))
+    # What names are compared by is worked out once for each line, not once for each place where it is used.
+    df = df.withColumns({"_bare": F.transform(lines, bare_name), "_parts": F.transform(lines, name_parts), "_name": bare_name(F.col(name)), "_real": real_parts(name_parts(F.col(name)))})
+    df = df.withColumn("i_ship", first_after(F.lit(-1), lambda x, i: ship_trigger(F.col(lines), x, i, repeats(F.get("_bare", i), F.get("_parts", i), F.col("_name"), F.col("_real")))))
     df = df.withColumn("i_pol", first_after(F.col("i_ship"), lambda x, i: policy_trigger(x)))
     return df.withColumn("i_med", first_after(F.col("i_pol"), lambda x, i: medication_trigger(x)))
 

@@ -261,7 +261,7 @@ def answers(*values: int | None) -> str:
     return f"try_cast(nullif({pick(','.join('' if v is None else str(v) for v in values), 'k')}, '') AS INT)"
 
 
-scalar("sec_ship_trigger", cases("aa|bb|150 120 A+|dd|ee", "aa|bb|Fresno CA 93000|dd", "aa|John Baker|cc|John Bakr|ee", "aa|bb|cc", "CA aa|bb", "aa O-|bb", "aa|bb|LOCAL cab", "AB +|x"), _first(lambda lines, ln, i: sections.ship_trigger(lines, ln, i, F.lit("John Baker"))), answers(3, 2, 3, None, 0, 1, None, 1))
+scalar("sec_ship_trigger", cases("aa|bb|150 120 A+|dd|ee", "aa|bb|Fresno CA 93000|dd", "aa|John Baker|cc|John Bakr|ee", "aa|bb|cc", "CA aa|bb", "aa O-|bb", "aa|bb|LOCAL cab", "AB +|x"), _first(lambda lines, ln, i: sections.ship_trigger(lines, ln, i, x.repeats_name(ln, F.lit("John Baker")))), answers(3, 2, 3, None, 0, 1, None, 1))
 scalar("sec_policy_trigger", cases("aa|SR_123 x", "aa|bb|BAX Ruth_70001", "jo@a.co|x", "aa|pay $150.00", "pay $175.00|aa", "aa 5R99|bb", "150.00|aa", "aa|baX_Al_70001|SR_1", "USR_1|BAXTER"), _first(lambda lines, ln, i: sections.policy_trigger(ln)), answers(1, 2, 0, 1, None, 0, None, 1, 0))
 scalar("sec_med_trigger", cases("aa|bb|Visa x", "valium|x", "10MG|10 mg $5.00", "90 pills|90 COST 5", "aa-90 RATE|bb", "rate 12|bb", "60-1 TOTAL|60 total", "5mg|120 $3"), _first(lambda lines, ln, i: sections.medication_trigger(ln)), answers(2, 0, 1, 1, None, None, 1, 1))
 #: A text of 1 to 3 lines more than its trigger in each section, and of fewer sections for some keys.
