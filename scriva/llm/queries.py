@@ -98,19 +98,6 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"), F.array_join("sentence_ids", ",").alias("sentence_ids"), "licence", "kind")
 
 
-def _licence_sql() -> str:
-    table = ", ".join(f"('{k}', '{v}')" for k, v in licences.SENTENCES.items())
-    cases = [" ".join(f"WHEN regexp_matches(line, '{licences.rule_pattern(n)}') THEN '{x[k]}'" for x in licences.RULES for n in [x[2]]) for k in (0, 1)]
-    return rf"""
-WITH known(sentence, id) AS (VALUES {table}),
-parts AS (SELECT doc_id, unnest(string_split(regexp_replace(coalesce(text, ''), '\.[ \t]+', '.' || chr(10), 'g'), chr(10))) AS s,
-  generate_subscripts(string_split(regexp_replace(coalesce(text, ''), '\.[ \t]+', '.' || chr(10), 'g'), chr(10)), 1) AS k FROM documents),
-norm AS (SELECT doc_id, k, trim(regexp_replace(regexp_replace(lower(s), '\.([^0-9]|$)', ' \1', 'g'), '[^a-z0-9.]+', ' ', 'g')) AS sentence FROM parts WHERE s <> ''),
-hits AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY k) AS ids, ' ' || string_agg(id, ' ' ORDER BY k) || ' ' AS line FROM norm JOIN known USING (sentence) GROUP BY doc_id),
-lines AS (SELECT d.doc_id, coalesce(n, 0) AS n_sentences, coalesce(ids, '') AS sentence_ids, coalesce(line, '  ') AS line FROM documents d LEFT JOIN hits h ON d.doc_id = h.doc_id)
-SELECT doc_id, n_sentences, sentence_ids, CASE {cases[0]} ELSE 'none' END AS licence, CASE {cases[1]} ELSE 'none' END AS kind FROM lines"""
-
-
-SQL["op8_licences"] = _licence_sql()
+SQL["op8_licences"] = licences.sql()
 QUERIES |= {"op6_chat": op6_chat, "op8_licences": op8_licences}
 QUERIES = dict(sorted(QUERIES.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))

@@ -450,8 +450,8 @@ file, You can obtain one at https://mozilla.org/MPL/2.0/."""
     near = [(1, "The software is provided as is to friends.\nAll rights reserved for the band\n\nby nobody"), (2, "We permit use; all rights\nreserved.")]
     got = {r["doc_id"]: (r["sentence_ids"], r["licence"]) for r in licences.scan(spark.createDataFrame(near, "doc_id long, text string")).collect()}
     assert got == {1: ([], "none"), 2: (["reserved"], "all-rights-reserved")}
-    for known in (*licences.SENTENCES, *licences.NOTICES):
-        assert any(cue in known for cue in licences.CUES), known
+    for known in licences.KNOWN:
+        assert any(cue in known for cue in licences.CUES) and licences.normal(known) == known, known
 
 
 def test_licences_in_markup(spark):
@@ -460,6 +460,25 @@ def test_licences_in_markup(spark):
     assert got == {1: "all-rights-reserved", 2: "mit", 3: "all-rights-reserved", 4: "none"}
 
 
+def test_licences_against_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    texts = [
+        None, "", "// SPDX-License-Identifier: MIT\nint x;", "/* SPDX-License-Identifier: GPL-2.0-or-later */", "# spdx-license-identifier: Apache-2.0 OR MIT", "SPDX-License-Identifier: mpl-2.0",
+        "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.", "**Released under the MIT License.** Licensed under CC BY-NC-ND 4.0!", "_All rights\nreserved._\nAll rights reserved",
+        "Some prose. This is free and unencumbered software released into the\n   public domain.", "; Licensed under the GNU Lesser General\n; Public License v2.1; see LICENSE", "Licensed under\n\nthe MIT License", "MIT License\n\nCopyright (c) 2020\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\")",
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n 3. Neither the name of the copyright holder nor the names of its\n contributors may be used to endorse or promote products derived from\n this software without specific prior written permission.",
+        "\u0130 all rights reserved \u00e9. all rights reserved", "word " * 20000 + "\nReleased under the MIT License.\n" + "word. " * 20000, "All rights reserved.\r\nReleased under the MIT License\r\n", "licensed under cc by 4.0? (licensed under cc by sa 4.0) [all rights reserved]",
+    ]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", list(enumerate(texts)))
+    want = {r[0]: r[1:] for r in con.execute(licences.sql()).fetchall()}
+    rows = spark.createDataFrame([(k, t, "x", ["y"]) for k, t in enumerate(texts)], "doc_id long, text string, licence string, sentence_ids array<string>")
+    got = {r["doc_id"]: (len(r["sentence_ids"]), ",".join(r["sentence_ids"]), r["licence"], r["kind"]) for r in licences.scan(rows).collect()}
+    assert got == want
+    assert [got[k][2] for k in range(2, 14)] == ["mit", "gpl-2.0", "dual-apache-mit", "mpl-2.0", "cc-by-sa-4.0", "cc-by-nc-nd-4.0", "all-rights-reserved", "unlicense", "lgpl-2.1", "mit", "mit", "bsd-3-clause"]
+
+
 def test_empty_tables(docs, items, spark):
     none, no_items = docs.limit(0), items.limit(0)
     for df in (decontaminate.contamination(none, items), exact.mark_copies(none), exact.drop_copies(none), shards.assign_shards(none), jaccard.components(none), substrings.remove_repeats(none), suffix_dedup.remove_repeats(none), bpe.encode(none.select("doc_id", "text")), langid.predict(none, None), licences.scan(none)):
