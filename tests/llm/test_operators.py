@@ -193,7 +193,9 @@ def test_exact(docs, spark):
     assert exact.mark_copies(twice).where("kept").count() == len(groups) and exact.drop_copies(twice).count() == len(groups)
 
 
-def test_shards(docs, spark):
+@pytest.mark.parametrize("rows", [20_000, 50])
+def test_shards(docs, spark, monkeypatch, rows):
+    monkeypatch.setattr(shards, "RANGE_ROWS", rows)
     many = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 7).cast("string")).alias("source"))
     got = shards.assign_shards(many, 24).collect()
     by = {}
@@ -207,6 +209,44 @@ def test_shards(docs, spark):
     assert sizes == {d: (len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t in TEXTS.items()}
 
 
+def test_shards_keep_equal_texts(spark):
+    rows = [(k, f"text {k % 400}", "abc"[k % 3]) for k in range(1200)]
+    got = shards.assign_shards(spark.createDataFrame(rows, "doc_id long, text string, source string"), 4).collect()
+    of_text = {}
+    for r in got:
+        of_text.setdefault(r["text_crc32"], set()).add(r["shard"])
+    assert len(of_text) == 400 and sum(len(x) == 1 for x in of_text.values()) > 340
+
+
+def test_ids_of_all_kinds(spark, items):
+    """Null and repeated ids, repeated rows, texts without words, and columns with the names that results have."""
+    leak = corpus()[1][0][1]
+    rows = [(None, leak), (None, "clean words"), (None, None), (7, f"x {leak}"), (7, "All rights reserved."), (7, "All rights reserved."), (8, " \n")]
+    table = spark.createDataFrame([(*r, "x", 1, "y", "z") for r in rows], "doc_id long, text string, row string, n_hit int, lang string, source string").repartition(2)
+    bag = lambda df, *cols: sorted(tuple(-1 if v is None else v for v in r) for r in df.select(*cols).collect())
+    assert bag(decontaminate.contamination(table, items), "doc_id", "n_words", "n_hit") == [(-1, 0, 0), (-1, 2, 0), (-1, 24, 24), (7, 3, 0), (7, 3, 0), (7, 25, 24), (8, 0, 0)]
+    assert bag(licences.scan(table), "doc_id", "licence") == [(-1, "none")] * 3 + [(7, "all-rights-reserved")] * 2 + [(7, "none"), (8, "none")]
+    assert bag(langid.predict(table, None), "doc_id", "lang_pred", "score") == sorted((-1 if d is None else d, "und", 0.0) for d, _ in rows)
+    assert bag(shards.assign_shards(table, 3), "doc_id", "size") == sorted((-1 if d is None else d, len((t or "").encode()) + 8) for d, t in rows)
+    assert sorted(r["slot"] for r in shards.assign_shards(table, 1).collect()) == list(range(7))
+    assert bag(bpe.encode(table.select("doc_id", "text")).selectExpr("doc_id", "size(ids) as n"), "doc_id", "n")[:1] == [(-1, 0)]
+    kept = jaccard.one_of_each(table)
+    assert kept.columns == table.columns and bag(kept, "doc_id", F.coalesce("text", F.lit(""))) == sorted([(-1, ""), (-1, "clean words"), (7, "All rights reserved."), (7, f"x {leak}"), (8, " \n")])
+
+
+def test_stages_of_empty_tables(docs, items, spark):
+    none = docs.limit(0)
+    for df in (exact.drop_copies(none), jaccard.one_of_each(none), decontaminate.drop_leaks(none, items), langid.keep_known(none, langid.ByteConvNet(["en"]))):
+        assert df.columns == docs.columns and df.count() == 0
+    assert decontaminate.drop_leaks(docs, items.limit(0)).count() == docs.count()
+
+
+def test_many_languages_are_learned(spark):
+    rows = [(k, f"{chr(97 + k % 26)}{chr(97 + k // 26 % 26)} " * 40, f"l{k % 300}") for k in range(1500)]
+    net = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_docs=2)
+    assert len(net.langs) == 300
+
+
 @pytest.mark.parametrize("percent,words", [(90, 3), (80, 5)])
 def test_jaccard(docs, percent, words):
     sets = {}
@@ -387,6 +427,18 @@ def test_chat(spark):
     assert got == {1: (2, 2, 0), None: (1, 2, 0), 2: (1, 2, 0)}
 
 
+def test_chat_cases(spark):
+    """Repeated turn numbers, null turns and roles, clashing columns, a very long conversation, an empty table."""
+    schema = "conv_id string, turn long, role string, text string, cost string, rendered int"
+    rows = [("a", 1, "user", "q2"), ("a", 1, "user", "q1"), ("a", 1, "assistant", "r"), ("a", None, "user", "first"), (None, 1, "robot", None), ("b", 0, "USER", "x")]
+    rows += [("long", k, ("user", "assistant")[k % 2], "t") for k in range(6000)]
+    got = {r["conv_id"]: r for r in chat.format_chats(spark.createDataFrame([(*r, "c", 1) for r in rows], schema).repartition(3)).collect()}
+    assert got["a"]["rendered"] == chat.render([("user", "first"), ("assistant", "r"), ("user", "q1"), ("assistant", "q2")])
+    assert (got[None]["n_turns"], got[None]["n_out"]) == (1, 2) and got["b"]["n_inserted"] == 1
+    assert (got["long"]["n_turns"], got["long"]["n_out"], got["long"]["n_inserted"]) == (6000, 6000, 0)
+    assert chat.format_chats(spark.createDataFrame([], schema)).count() == 0
+
+
 def test_licences(spark):
     rows = [(1, "x.\nReleased under the MIT License. Licensed under the Apache License, Version 2.0."), (2, None), (3, "All rights reserved."), (4, "")]
     got = {r["doc_id"]: (r["sentence_ids"], r["licence"]) for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
