@@ -88,16 +88,12 @@ def fix_state(word: Column) -> Column:
 
 def gender(text: Column) -> Column:
     up = F.upper(text)
-    return F.when(up.rlike(r"\b(FEMALE|FEMAL|FEMELE|FEMEL)\b|FEMALE"), "FEMALE").when(up.rlike(r"\bMAL\b|MALE"), "MALE")
-
-
-#: Titles that stand before a name, in the order in which they are taken off.
-TITLES = ["mr", "mrs", "ms", "dr", "iii", "ii"]
+    return F.coalesce(*[F.when(up.rlike(p), name) for name, p in lex.GENDER])
 
 
 def bare_name(x: Column) -> Column:
     """Letters and digits in lower case, without titles in front."""
-    front = "".join(f"(?:{t}(?=.{{3}}))?" for t in TITLES)
+    front = "".join(f"(?:{t}(?=.{{3}}))?" for t in lex.TITLES)
     return F.regexp_replace(F.regexp_replace(F.lower(x), "[^a-z0-9]", ""), f"^{front}", "")
 
 
@@ -106,7 +102,7 @@ def name_parts(x: Column) -> Column:
 
 
 def real_parts(parts: Column) -> Column:
-    return F.filter(parts, lambda w: (F.length(w) > 2) & ~w.isin(TITLES))
+    return F.filter(parts, lambda w: (F.length(w) > 2) & ~w.isin(lex.TITLES))
 
 
 def repeats_name(line: Column, name: Column) -> Column:
@@ -131,21 +127,21 @@ def repeats(ln: Column, line_parts: Column, c: Column, name_real: Column) -> Col
 
 def record_no(lines: Column, joined: Column) -> Column:
     """The likeliest of the isolated five-digit runs: not a ZIP, not a stamp code, at the start of a line. joined: the lines, by spaces."""
-    runs = all_matches(joined, r"(?<!\d)\d{5}(?!\d)")
+    runs, points = all_matches(joined, r"(?<!\d)\d{5}(?!\d)"), lex.RECORD_SCORES
 
     def score(run: Column, k: Column) -> Column:
         before = F.rtrim(F.call_function("substring_index", joined, run, F.lit(1)))
         tail = F.when(F.length(before) > 15, F.right(before, F.lit(15))).otherwise(before)
-        state = F.when(F.upper(F.regexp_extract(tail, r"\b([A-Za-z]{2})\b\s*$", 1)).isin(lex.STATES), -80).otherwise(0)
-        stamp = F.when(tail.rlike(r"(?i)[BSbs5]aX[\s_.\-]*[a-zA-Z0-9_]*\s*$"), -50).otherwise(0)
+        state = F.when(F.upper(F.regexp_extract(tail, lex.BEHIND_STATE, 1)).isin(lex.STATES), points["state"]).otherwise(0)
+        stamp = F.when(tail.rlike(lex.BEHIND_STAMP), points["stamp"]).otherwise(0)
 
         def in_line(x: Column) -> Column:
             at = F.instr(x, run)
             rest = F.trim(F.substring(x, at + 5, F.length(x)))
-            good = (rest != "") & ~rest.rlike(r"^\d") & ~F.upper(rest).rlike("@ |INC|CO|LANE|DRIVE|ROAD|STREET")
-            return F.when(at == 0, 0).otherwise(F.when(at == 1, 20).otherwise(0) + F.when(good, 10).otherwise(0))
+            good = (rest != "") & ~rest.rlike(r"^\d") & ~F.upper(rest).rlike(lex.NOT_A_NAME)
+            return F.when(at == 0, 0).otherwise(F.when(at == 1, points["first"]).otherwise(0) + F.when(good, points["name"]).otherwise(0))
 
-        return F.struct((100 + state + stamp + F.aggregate(F.transform(lines, in_line), F.lit(0), lambda s, v: s + v)).alias("score"), (-k).alias("back"), run.alias("run"))
+        return F.struct((points["start"] + state + stamp + F.aggregate(F.transform(lines, in_line), F.lit(0), lambda s, v: s + v)).alias("score"), (-k).alias("back"), run.alias("run"))
 
     return F.array_max(F.transform(runs, score))["run"]
 
@@ -165,7 +161,7 @@ def yes_no(words: Column) -> Column:
 
     def one(w: Column) -> Column:
         x = F.regexp_replace(F.upper(w), "[^A-Z0-9]", "")
-        return F.when(x.isin("YES", "YE5", "Y1S"), "YES").when(x.isin("NO", "N0", "NOI", "INO", "N0I"), "NO")
+        return F.when(x.isin(lex.YES), "YES").when(x.isin(lex.NO), "NO")
 
     return F.array_compact(F.transform(words, one))
 
@@ -182,17 +178,17 @@ def medicine_in(text: Column) -> Column:
 
 def unglue(text: Column) -> Column:
     """Parts a medicine and its dose, and two prices."""
-    text = F.regexp_replace(text, r"(?i)(" + "|".join(lex.MEDICINES_SOUGHT) + r")(\d+(?:\.\d+)?\s*MG)", "$1 $2")
-    return F.regexp_replace(text, r"(\$\d+\.\d{2})(\$)", "$1 $2")
+    text = F.regexp_replace(text, r"(?i)(" + "|".join(lex.MEDICINES_SOUGHT) + ")" + lex.GLUED_DOSE, "$1 $2")
+    return F.regexp_replace(text, lex.GLUED_PRICES, "$1 $2")
 
 
 def dosage(text: Column) -> Column:
-    raw = F.upper(F.regexp_replace(first_match(text, r"(?i)(?<![\w.])(\d*\.?\d+\s*MG)\b", 1), r"\s+", " "))
+    raw = F.upper(F.regexp_replace(first_match(text, lex.DOSE, 1), r"\s+", " "))
     return F.when(F.startswith(raw, F.lit(".")), F.concat(F.lit("0"), raw)).otherwise(raw)
 
 
 def partial_dosage(text: Column) -> Column:
-    return F.concat(F.ltrim(F.regexp_replace(first_match(text, r"(?i)([\d.]+)\s*(?=MG\b)", 1), r"^\.+", "")), F.lit("MG"))
+    return F.concat(F.ltrim(F.regexp_replace(first_match(text, lex.PART_OF_DOSE, 1), r"^\.+", "")), F.lit("MG"))
 
 
 def tablets(text: Column) -> Column:
@@ -212,13 +208,6 @@ def dollars(amount: Column) -> Column:
 
 def clean_holder(text: Column) -> Column:
     """A policy holder's name without dates, money, policy numbers, stamps and mail."""
-    for pattern in (
-        r"\b\d{1,2}[/.-]\d{1,2}[/.-]\d{2,4}\b",
-        r"\$?\s*\b\d+\.\d{2}\b",
-        r"\b(?:SR|5R|sR|Sr)[_0-9a-zA-Z-]*\b",
-        r"(?i)\b[BSbs5]aX[\s_.\-]*[a-zA-Z0-9_\-.]*?\s*[a-zA-Z0-9]{5}\b",
-        r"(?i)\S+@\S+|\S+(?:HOTMAIL|GMAIL|AOL|YAHOO|NETZERO|COMCAST)\S*",
-        r"(?i)\S+\.(?:COM|NET|ORG|c[o0]m|ne[t1])\b",
-    ):
+    for pattern in lex.HOLDER_NOISE:
         text = F.trim(F.regexp_replace(text, pattern, ""))
     return text

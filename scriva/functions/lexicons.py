@@ -12,12 +12,13 @@ COLUMNS = [
 MANDATORY = [c for c in COLUMNS if c != "IMAGE NAME"]
 
 # States.
-STATES = (
-    "AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY"
-).split()
+STATES = [
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL", "IN", "IA", "KS", "KY", "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO",
+    "MT", "NE", "NV", "NH", "NJ", "NM", "NY", "NC", "ND", "OH", "OK", "OR", "PA", "RI", "SC", "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY",
+]
 # Cities of several words, as the extractor and as the recovery know them.
 CITIES = ["south jordan", "west jordan", "west valley city", "salt lake city", "san benito", "round rock"]
-CITIES_RECOVERY = [*CITIES, "west valley", "lake city"]
+CITIES_RECOVERY = ["south jordan", "west jordan", "west valley city", "salt lake city", "san benito", "round rock", "west valley", "lake city"]
 
 # Medicines that are valid, and one more spelling that is only looked for.
 MEDICINES = [
@@ -25,7 +26,11 @@ MEDICINES = [
     "LUNESTA", "HALCION", "RESTORIL", "SONATA", "CELEBREX", "VIOXX", "MORPHINE", "OXYCONTIN", "PERCOCET", "VICODIN", "TYLENOL", "IBUPROFEN",
     "ASPIRIN", "NAPROXEN", "DIDREX", "ZOLOFT", "CLONAZEPAM", "CLONAZAPAM",
 ]
-MEDICINES_SOUGHT = [*MEDICINES[:13], "AMBIENR", *MEDICINES[13:]]
+MEDICINES_SOUGHT = [
+    "PHENTERMINE", "DIAZEPAM", "XANAX", "VALIUM", "ADIPEX", "MERIDIA", "BONTRIL", "IONAMIN", "FASTIN", "PONDIMIN", "REDUX", "ZANTREX", "AMBIEN",
+    "AMBIENR", "LUNESTA", "HALCION", "RESTORIL", "SONATA", "CELEBREX", "VIOXX", "MORPHINE", "OXYCONTIN", "PERCOCET", "VICODIN", "TYLENOL", "IBUPROFEN",
+    "ASPIRIN", "NAPROXEN", "DIDREX", "ZOLOFT", "CLONAZEPAM", "CLONAZAPAM",
+]
 # Usual doses.
 DOSES = {"DIAZEPAM": "0.25MG", "PHENTERMINE": "37.5MG", "XANAX": "0.25MG", "VALIUM": "1MG", "AMBIEN": "10MG", "ADIPEX": "37.5MG", "MERIDIA": "15MG"}
 # Words that open the medication section.
@@ -65,16 +70,17 @@ MAIL_REPAIRS = [
     *((rf"(?i)@{a}$", f"@{b}") for a, b in DOMAIN_ENDS),
 ]
 # First names by which the recovery tells the sex.
-FEMALE = (
-    "carol catherine michelle sally linda patricia mary elizabeth jennifer barbara susan jessica sarah karen lisa nancy betty margaret sandra ashley "
-    "dorothy kimberly emily donna ruth sharon laura helen amy anna brenda virginia shirley kathleen pamela angela rose tillie woo julia marie diane "
-    "joyce evelyn cheryl"
-).split()
-MALE = (
-    "robert john david james peter william dennis charles thomas michael richard joseph george edward ronald donald kenneth steven timothy brian kevin "
-    "mark daniel paul gary larry jeffrey frank scott eric stephen andrew raymond gregory joshua jerry walter patrick harold henry arthur ryan albert "
-    "bruce willie howard fred ralph chris percell clayton harry juan jose luis"
-).split()
+FEMALE = [
+    "carol", "catherine", "michelle", "sally", "linda", "patricia", "mary", "elizabeth", "jennifer", "barbara", "susan", "jessica", "sarah", "karen", "lisa", "nancy",
+    "betty", "margaret", "sandra", "ashley", "dorothy", "kimberly", "emily", "donna", "ruth", "sharon", "laura", "helen", "amy", "anna", "brenda", "virginia",
+    "shirley", "kathleen", "pamela", "angela", "rose", "tillie", "woo", "julia", "marie", "diane", "joyce", "evelyn", "cheryl",
+]
+MALE = [
+    "robert", "john", "david", "james", "peter", "william", "dennis", "charles", "thomas", "michael", "richard", "joseph", "george", "edward", "ronald", "donald",
+    "kenneth", "steven", "timothy", "brian", "kevin", "mark", "daniel", "paul", "gary", "larry", "jeffrey", "frank", "scott", "eric", "stephen", "andrew",
+    "raymond", "gregory", "joshua", "jerry", "walter", "patrick", "harold", "henry", "arthur", "ryan", "albert", "bruce", "willie", "howard", "fred", "ralph",
+    "chris", "percell", "clayton", "harry", "juan", "jose", "luis",
+]
 # Lines that are dropped, blood groups, causes of review, tablet counts.
 AVAILABLE = ["available", "not available", "notavailable", "availabe", "avalabe", "avalable"]
 BLOOD_GROUPS = ["A+", "A-", "B+", "B-", "AB+", "AB-", "O+", "O-"]
@@ -86,15 +92,49 @@ CAUSES = [
 ]
 # The fallback's section and line of each field.
 FALLBACK = {
-    **dict.fromkeys(["RECORD NO", "CUSTOMER NAME", "BILLER NAME"], ("customer", 0)), "EMAIL ADDRESS": ("customer", 1), "RES_ADDRESS": ("customer", 2),
-    **dict.fromkeys(["CITY_1", "STATE_1", "ZIP_1", "PH_NO1"], ("customer", 3)), **dict.fromkeys(["COUNTRY_1", "SEX_1", "D BIRTH"], ("customer", 4)),
-    **dict.fromkeys(["HEIGHT", "WEIGHT", "BLOOD GP"], ("customer", 5)), "SHIPPER NAME": ("shipper", 0),
-    **dict.fromkeys(["CITY_2", "STATE_2", "ZIP_2", "COUNTRY_2"], ("shipper", 1)),
-    **dict.fromkeys(["PH_NO2", "ALCOHOLIC", "SMOKER", "PAST SURG", "DIABETIC", "ALLERGIESED"], ("shipper", 2)),
-    **dict.fromkeys(["POLICY NO", "D_B_LIFE_ASSURE", "P_INST"], ("policy", 0)), **dict.fromkeys(["NAME_P_HOLDER", "STM NAME", "STM CODE"], ("policy", 1)),
-    **dict.fromkeys(["DOB", "SEX_2"], ("policy", 2)), **dict.fromkeys(["CARD NAME", "MEDICINE", "DOSAGE", "TABLETS"], ("medication", 0)),
-    **dict.fromkeys(["PILL RATE", "COST", "SHIPPING CO", "TOTAL AMT"], ("medication", 1)),
-}
+    "RECORD NO": ("customer", 0),
+    "CUSTOMER NAME": ("customer", 0),
+    "BILLER NAME": ("customer", 0),
+    "EMAIL ADDRESS": ("customer", 1),
+    "RES_ADDRESS": ("customer", 2),
+    "CITY_1": ("customer", 3),
+    "STATE_1": ("customer", 3),
+    "ZIP_1": ("customer", 3),
+    "PH_NO1": ("customer", 3),
+    "COUNTRY_1": ("customer", 4),
+    "SEX_1": ("customer", 4),
+    "D BIRTH": ("customer", 4),
+    "HEIGHT": ("customer", 5),
+    "WEIGHT": ("customer", 5),
+    "BLOOD GP": ("customer", 5),
+    "SHIPPER NAME": ("shipper", 0),
+    "CITY_2": ("shipper", 1),
+    "STATE_2": ("shipper", 1),
+    "ZIP_2": ("shipper", 1),
+    "COUNTRY_2": ("shipper", 1),
+    "PH_NO2": ("shipper", 2),
+    "ALCOHOLIC": ("shipper", 2),
+    "SMOKER": ("shipper", 2),
+    "PAST SURG": ("shipper", 2),
+    "DIABETIC": ("shipper", 2),
+    "ALLERGIESED": ("shipper", 2),
+    "POLICY NO": ("policy", 0),
+    "D_B_LIFE_ASSURE": ("policy", 0),
+    "P_INST": ("policy", 0),
+    "NAME_P_HOLDER": ("policy", 1),
+    "STM NAME": ("policy", 1),
+    "STM CODE": ("policy", 1),
+    "DOB": ("policy", 2),
+    "SEX_2": ("policy", 2),
+    "CARD NAME": ("medication", 0),
+    "MEDICINE": ("medication", 0),
+    "DOSAGE": ("medication", 0),
+    "TABLETS": ("medication", 0),
+    "PILL RATE": ("medication", 1),
+    "COST": ("medication", 1),
+    "SHIPPING CO": ("medication", 1),
+    "TOTAL AMT": ("medication", 1),
+}
 # How digits are read as letters and letters as digits.
 DIGITS_TO_LETTERS = ("40152867", "AOISZBGT")
 STATE_DIGITS = ("410258", "AAOZSB")
@@ -108,6 +148,36 @@ MONEY = r"\$?\s*(\d+\.\d{2})"
 STAMP = r"\b([BSbs5]aX)[\s_.\-]*([a-zA-Z0-9_\-.]+?)[\s_.\-]*([a-zA-Z0-9]{5})\b"
 POLICY = r"\b(?:SR|5R|sR|Sr)[_0-9a-zA-Z-]*\b"
 BLOOD = r"(?<!\w)(AB\s*[+\-]|[ABO0]\s*[+\-])(?!\w)"
+# What the recovery and the readers of single fields go by.
+TITLES = ["mr", "mrs", "ms", "dr", "iii", "ii"]
+YES = ["YES", "YE5", "Y1S"]
+NO = ["NO", "N0", "NOI", "INO", "N0I"]
+#: What a policy holder's name is cleared of, in order.
+HOLDER_NOISE = [
+    r"\b\d{1,2}[/.-]\d{1,2}[/.-]\d{2,4}\b",
+    r"\$?\s*\b\d+\.\d{2}\b",
+    r"\b(?:SR|5R|sR|Sr)[_0-9a-zA-Z-]*\b",
+    r"(?i)\b[BSbs5]aX[\s_.\-]*[a-zA-Z0-9_\-.]*?\s*[a-zA-Z0-9]{5}\b",
+    r"(?i)\S+@\S+|\S+(?:HOTMAIL|GMAIL|AOL|YAHOO|NETZERO|COMCAST)\S*",
+    r"(?i)\S+\.(?:COM|NET|ORG|c[o0]m|ne[t1])\b",
+]
+#: Scores of a five-digit run as the record number: at first, behind a state, behind a stamp, at the start of a line, before a name.
+RECORD_SCORES = {"start": 100, "state": -80, "stamp": -50, "first": 20, "name": 10}
+BEHIND_STATE = r"\b([A-Za-z]{2})\b\s*$"
+BEHIND_STAMP = r"(?i)[BSbs5]aX[\s_.\-]*[a-zA-Z0-9_]*\s*$"
+NOT_A_NAME = "@ |INC|CO|LANE|DRIVE|ROAD|STREET"
+GENDER = [("FEMALE", r"\b(FEMALE|FEMAL|FEMELE|FEMEL)\b|FEMALE"), ("MALE", r"\bMAL\b|MALE")]
+DOSE = r"(?i)(?<![\w.])(\d*\.?\d+\s*MG)\b"
+PART_OF_DOSE = r"(?i)([\d.]+)\s*(?=MG\b)"
+GLUED_DOSE, GLUED_PRICES = r"(\d+(?:\.\d+)?\s*MG)", r"(\$\d+\.\d{2})(\$)"
+TEN_DIGITS = r"\b[Ss\d]\d{2}[-.\s]?\d{3}[-.\s]?\d{4}\b"
+BLOOD_LETTERS = {"O": ["C", "G", "Q", "0", "O"], "B": ["8", "6", "E"]}
+# Patterns of the normalisation.
+DIV0 = r"(?i)#\s*DIV\s*/?\s*0\s*!?\s*"
+ZIP_COUNTRY = r"\b(\d{5})([A-Za-z]{2,})\b"
+ZIP_PHONE = r"\b(\d{5})(\d{3}\s*-?\s*\d{3}-?\d{4})\b"
+DATE_GAPS = [(r"\b(\d)\s+(\d/\d{1,2}/\d{2,4})\b", "$1$2"), (r"\b(\d{1,2}/\d)\s+(\d/\d{2,4})\b", "$1$2"), (r"(\d)\s*/\s*(\d)", "$1/$2")]
+DATE_EDGES = [(r"([^\s\d/])(?=\d{1,2}/\d{1,2}/\d{2,4}(?!\d))", "$1 "), (r"(?<![\d/])(\d{1,2}/\d{1,2}/\d{2,4})(?=[^\s\d/])", "$1 ")]
 
 
 def field(column: str) -> str:

@@ -25,15 +25,15 @@ def split_lines(text: Column) -> Column:
 
 
 def drop_div0(line: Column) -> Column:
-    return F.regexp_replace(line, r"(?i)#\s*DIV\s*/?\s*0\s*!?\s*", "")
+    return F.regexp_replace(line, lex.DIV0, "")
 
 
 def split_zip_country(line: Column) -> Column:
-    return F.regexp_replace(line, r"\b(\d{5})([A-Za-z]{2,})\b", "$1 $2")
+    return F.regexp_replace(line, lex.ZIP_COUNTRY, "$1 $2")
 
 
 def split_zip_phone(line: Column) -> Column:
-    return F.regexp_replace(line, r"\b(\d{5})(\d{3}\s*-?\s*\d{3}-?\d{4})\b", "$1 $2")
+    return F.regexp_replace(line, lex.ZIP_PHONE, "$1 $2")
 
 
 def fix_slashes(line: Column) -> Column:
@@ -81,9 +81,9 @@ def split_camel(line: Column) -> Column:
 
 
 def close_dates(line: Column) -> Column:
-    line = F.regexp_replace(line, r"\b(\d)\s+(\d/\d{1,2}/\d{2,4})\b", "$1$2")
-    line = F.regexp_replace(line, r"\b(\d{1,2}/\d)\s+(\d/\d{2,4})\b", "$1$2")
-    return F.regexp_replace(line, r"(\d)\s*/\s*(\d)", "$1/$2")
+    for pattern, new in lex.DATE_GAPS:
+        line = F.regexp_replace(line, pattern, new)
+    return line
 
 
 def split_dosage(line: Column) -> Column:
@@ -91,8 +91,9 @@ def split_dosage(line: Column) -> Column:
 
 
 def isolate_dates(line: Column) -> Column:
-    line = F.regexp_replace(line, r"([^\s\d/])(?=\d{1,2}/\d{1,2}/\d{2,4}(?!\d))", "$1 ")
-    return F.regexp_replace(line, r"(?<![\d/])(\d{1,2}/\d{1,2}/\d{2,4})(?=[^\s\d/])", "$1 ")
+    for pattern, new in lex.DATE_EDGES:
+        line = F.regexp_replace(line, pattern, new)
+    return line
 
 
 def split_alpha_digit(line: Column) -> Column:

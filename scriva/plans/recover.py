@@ -110,7 +110,7 @@ def medicine_before_dose(words: Column) -> Column:
 
 def repaired_phone(text: Column) -> Column:
     """The digits of the first ten-digit phone, a leading S read as 8; null if there is none."""
-    raw = F.regexp_replace(x.first_match(text, r"\b[Ss\d]\d{2}[-.\s]?\d{3}[-.\s]?\d{4}\b"), "^[Ss]", "8")
+    raw = F.regexp_replace(x.first_match(text, lex.TEN_DIGITS), "^[Ss]", "8")
     digits = F.regexp_replace(raw, r"\D", "")
     return F.when(F.length(digits) == 10, digits)
 
@@ -123,7 +123,7 @@ def card_trace(text: Column) -> Column:
 def repaired_blood(v: Column) -> Column:
     up = F.upper(v)
     letters, sign = F.substring(up, F.lit(1), F.length(up) - 1), F.right(up, F.lit(1))
-    letters = F.when(letters.isin("C", "G", "Q", "0", "O"), "O").when(letters.isin("8", "6", "E"), "B").otherwise(letters)
+    letters = F.when(letters.isin(lex.BLOOD_LETTERS["O"]), "O").when(letters.isin(lex.BLOOD_LETTERS["B"]), "B").otherwise(letters)
     new = F.concat(letters, sign)
     return F.when(new.isin(lex.BLOOD_GROUPS), new)
 
