@@ -55,7 +55,7 @@ def duck():
     return con
 
 
-SOME = ["norm_stamp", "norm_token_subst", "clean_split_email", "fix_state_word", "val_name_noise", "rec_price_algebra", "line_cluster_1d", "line_snap_nearest", "div_default_fill", "seg_plan", "seg_merge_rule", "crop_qa", "snap_bounds", "box_line_text", "src_natural_sort"]
+SOME = ["norm_stamp", "norm_token_subst", "clean_split_email", "fix_state_word", "val_name_noise", "rec_price_algebra", "line_cluster_1d", "line_snap_nearest", "div_default_fill", "seg_plan", "seg_merge_rule", "crop_qa", "snap_bounds", "box_line_text", "src_natural_sort", "val_date", "sec_assign", "agg_review_categories", "err_quarantine", "rec_reverse_address", "column_islands"]
 
 
 @pytest.mark.parametrize("name", SOME)
