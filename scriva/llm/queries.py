@@ -76,8 +76,9 @@ QUERIES |= {"op10_jaccard": op10_jaccard}
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = suffix_dedup.remove_repeats(documents(spark, sf_dir))
-    return done.select("doc_id", F.col("n").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    """Beside the columns of the removal, the words under passages of over 50 words that are repeated, however few bytes they have."""
+    done = suffix_dedup.remove_repeats(documents(spark, sf_dir), passage_words=51)
+    return done.select("doc_id", F.col("n").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_passage_words")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -256,19 +256,26 @@ def _repeats_ids(texts: DataFrame) -> bool:
 
 def _beside(texts: DataFrame, side: DataFrame, column: str, how: str) -> DataFrame:
     """texts with the column (an array) that side, a stored table, has for them. Texts move only if side is too large for broadcasts."""
-    parts = broadcast_parts(side, ["w_id", "w_key"], BROADCAST_STRETCHES, F.size(column)) or [side]
+    parts, kept = broadcast_parts(side, ["w_id", "w_key"], BROADCAST_STRETCHES, F.size(column)) or [side], texts.columns
     for k, part in enumerate(parts):
         part = part.select(F.col("w_id").alias(f"w_id_{k}"), F.col("w_key").alias(f"w_key_{k}"), F.col(column).alias(f"{column}_{k}"))
         same = F.col("doc_id").eqNullSafe(F.col(f"w_id_{k}")) & (F.col("text_key") == F.col(f"w_key_{k}"))
         texts = texts.join(part, same, "left" if len(parts) > 1 else how)
-    texts = texts.select("doc_id", "text", F.coalesce(*[f"{column}_{k}" for k in range(len(parts))]).alias(column))
+    texts = texts.select(*kept, F.coalesce(*[f"{column}_{k}" for k in range(len(parts))]).alias(column))
     return texts.where(F.col(column).isNotNull()) if how == "inner" else texts
 
 
-def cut(docs: DataFrame, words: bool, length: int, gram: int, matcher: Matcher, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n, n_removed, n_spans, kept_text: string of the words or binary of the bytes that are not repeated)."""
+def cut(docs: DataFrame, words: bool, length: int, gram: int, matcher: Matcher, id_col: str = "doc_id", text_col: str = "text", passages: DataFrame | None = None) -> DataFrame:
+    """(doc_id, n, n_removed, n_spans, kept: the words, by spaces, or the bytes that are not repeated, n_passage_words).
+
+    passages: the stretches of words (second result of `stretches`) that n_passage_words counts; without them it is null.
+    """
     texts, found = stretches(docs, words, length, gram, matcher, id_col, text_col)
-    both = _beside(texts, found, "spots", "left").select("doc_id", "text", F.expr("transform(spots, s -> s.a)").alias("a"), F.expr("transform(spots, s -> s.b)").alias("b"))
+    both, counted = _beside(texts, found, "spots", "left"), F.lit(None).cast("long")
+    if passages is not None:
+        both = _beside(both, passages.withColumnRenamed("spots", "passages"), "passages", "left")
+        counted = F.coalesce(F.expr("aggregate(passages, 0L, (n, s) -> n + s.b - s.a)"), F.lit(0).cast("long"))
+    both = both.select("doc_id", "text", F.expr("transform(spots, s -> s.a)").alias("a"), F.expr("transform(spots, s -> s.b)").alias("b"), counted.alias("n_passage_words"))
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,6 +299,6 @@ def cut(docs: DataFrame, words: bool, length: int, gram: int, matcher: Matcher,
                 for column, value in zip(counts, (n, gone, len(spans)), strict=True):
                     column.append(value)
                 kept.append(b" ".join(items) if words else raw if not gone else items.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in counts), pa.array(kept, pa.binary())], names=["doc_id", "n", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in counts), pa.array(kept, pa.binary()), batch.column("n_passage_words")], names=["doc_id", "n", "n_removed", "n_spans", "kept", "n_passage_words"])
 
-    return both.mapInArrow(run, f"doc_id {kind}, n long, n_removed long, n_spans long, kept binary")
+    return both.mapInArrow(run, f"doc_id {kind}, n long, n_removed long, n_spans long, kept binary, n_passage_words long")

@@ -68,4 +68,4 @@ def extend(contents: list[np.ndarray], groups: np.ndarray, length: int) -> repea
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n, n_removed, n_spans, kept: the words left, joined by one space, as UTF-8), one row per row of docs."""
-    return repeats.cut(docs, True, length, GRAM, extend, id_col, text_col)
+    return repeats.cut(docs, True, length, GRAM, extend, id_col, text_col).drop("n_passage_words")

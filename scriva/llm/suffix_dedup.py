@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from scriva.llm import repeats
+from scriva.llm import repeats, substrings
 from scriva.llm.suffixes import suffix_array
 
 LENGTH, GRAM = 400, 64
@@ -150,6 +150,13 @@ def match(contents: list[np.ndarray], groups: np.ndarray, length: int) -> repeat
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n, n_removed, n_spans, kept: the bytes left), one row per row of docs."""
-    return repeats.cut(docs, False, length, GRAM, match, id_col, text_col)
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", passage_words: int | None = None) -> DataFrame:
+    """(doc_id, n, n_removed, n_spans, kept: the bytes left, n_passage_words), one row per row of docs.
+
+    With passage_words, n_passage_words counts the words of a text under passages of so many words that also start elsewhere.
+    Such a passage may have fewer bytes than `length`: it is reported, not removed.
+    """
+    passages = None
+    if passage_words:
+        _, passages = repeats.stretches(docs, True, passage_words, substrings.GRAM, substrings.extend, id_col, text_col)
+    return repeats.cut(docs, False, length, GRAM, match, id_col, text_col, passages)
