@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriva.llm import bpe, chat, decontaminate, exact, jaccard, langid, licences, shards, substrings, suffix_dedup
+from scriva.llm import bpe, chat, decontaminate, exact, jaccard, langid, licences, quality, shards, substrings, suffix_dedup
 from scriva.llm.common import documents
 
 
@@ -101,4 +101,13 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["op8_licences"] = licences.sql()
 QUERIES |= {"op6_chat": op6_chat, "op8_licences": op8_licences}
+
+
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = quality.predict(docs, quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+QUERIES |= {"op11_quality": op11_quality}
 QUERIES = dict(sorted(QUERIES.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
