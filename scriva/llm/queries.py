@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriva.llm import bpe, chat, decontaminate, exact, jaccard, langid, licences, quality, shards, substrings, suffix_dedup
+from scriva.llm import bpe, chat, decontaminate, divergence, exact, jaccard, langid, licences, quality, shards, substrings, suffix_dedup
 from scriva.llm.common import documents
 
 
@@ -109,5 +109,10 @@ def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
-QUERIES |= {"op11_quality": op11_quality}
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+SQL["op12_divergence"] = divergence.sql()
+QUERIES |= {"op11_quality": op11_quality, "op12_divergence": op12_divergence}
 QUERIES = dict(sorted(QUERIES.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
