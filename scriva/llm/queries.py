@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriva.llm import bpe, chat, decontaminate, divergence, exact, jaccard, langid, licences, quality, shards, substrings, suffix_dedup
+from scriva.llm import bpe, chat, decontaminate, divergence, exact, jaccard, langid, licences, quality, shards, substrings, suffix_dedup, whitening
 from scriva.llm.common import documents
 
 
@@ -115,4 +115,11 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["op12_divergence"] = divergence.sql()
 QUERIES |= {"op11_quality": op11_quality, "op12_divergence": op12_divergence}
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+QUERIES |= {"op13_whitening": op13_whitening}
 QUERIES = dict(sorted(QUERIES.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
