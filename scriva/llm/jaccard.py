@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from scriva.llm.common import Scratch, bounded_batches, small, stored, without
 from scriva.llm.graph import connected
+from scriva.llm.hashing import BYTE_VALUE, Rolling, mix
 
 SHINGLE, PERCENT = 3, 90
 #: Growth of the size bands.
@@ -57,24 +58,8 @@ BLOCK_BITS = 16_000_000
 HUBS = 32
 BATCH_BYTES = 1 << 20
 
-_rng = np.random.default_rng(20240607)
-BYTE_VALUE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-BASE = np.uint64(0x9E3779B97F4A7C15)
-BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """Scrambles 64-bit numbers (the finaliser of splitmix64)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def powers(n: int, base: np.uint64) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
-
+#: Salts of the two fingerprints of a set.
+SALTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -90,8 +75,7 @@ def word_hashes(raw: np.ndarray, fold: np.ndarray = LOWER) -> tuple[np.ndarray,
     word = ~IS_SPACE[raw]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], word, [False])).view(np.int8)))
     first, end = edge[::2], edge[1::2]
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE_VALUE[fold[raw]] * powers(len(raw), BASE))))
-    return mix((sums[end] - sums[first]) * powers(len(raw), BASE_INVERSE)[first] + np.uint64(1)), first, end
+    return Rolling(BYTE_VALUE[fold[raw]]).of(first, end), first, end
 
 
 def shingle_sets(raws: list[np.ndarray], n: int = SHINGLE) -> list[np.ndarray]:
@@ -195,8 +179,8 @@ def folded(signs: list[np.ndarray]) -> np.ndarray:
 
 def fingerprint(elements: np.ndarray) -> tuple[int, int]:
     """Two hashes of a set, as signed numbers."""
-    one = mix(np.array([np.sum(mix(elements ^ BASE)) + np.uint64(len(elements))], np.uint64))
-    return int(one.view(np.int64)[0]), int(np.sum(mix(elements + BASE_INVERSE)).view(np.int64))
+    one = mix(np.array([np.sum(mix(elements ^ SALTS[0])) + np.uint64(len(elements))], np.uint64))
+    return int(one.view(np.int64)[0]), int(np.sum(mix(elements + SALTS[1])).view(np.int64))
 
 
 def _scan(words: int, docs: DataFrame, schema: str, rows: Callable[[pa.RecordBatch, list[np.ndarray]], list[pa.Array]]) -> DataFrame:

@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriva.llm.common import Scratch, bounded_batches, broadcast_parts, stored
-from scriva.llm.jaccard import BASE, BASE_INVERSE, BATCH_BYTES, BYTE_VALUE, SAME, mix, powers, runs, texts_of, word_hashes
+from scriva.llm.hashing import BYTE_VALUE, Rolling
+from scriva.llm.jaccard import BATCH_BYTES, SAME, runs, texts_of, word_hashes
 
 #: Reaches of one seed that are matched together; a seed with more is split.
 SEED_REACHES = 2_000
@@ -50,18 +51,6 @@ def split_elements(raws: list[np.ndarray], words: bool) -> tuple[np.ndarray, np.
     return hashes, np.searchsorted(first, np.cumsum([0, *(len(r) + 1 for r in raws)]))
 
 
-class Rolling:
-    """Hashes of ranges of a sequence of elements."""
-
-    def __init__(self, elements: np.ndarray):
-        n = len(elements)
-        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(elements) * powers(n, BASE))))
-        self.undo = powers(n + 1, BASE_INVERSE)
-
-    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return mix((self.sums[b] - self.sums[a]) * self.undo[a] + np.uint64(7))
-
-
 def least_in_windows(x: np.ndarray, w: int) -> np.ndarray:
     """The minimum of x[i : i + w] for each i, from running minima over blocks of w to either side."""
     n = len(x) - w + 1

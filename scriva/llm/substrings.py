@@ -16,13 +16,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from scriva.llm import repeats
+from scriva.llm.hashing import Rolling
 
 LENGTH, GRAM = 35, 10
 
 
 def seed_places(words: np.ndarray, base: np.ndarray, length: int) -> np.ndarray:
     """Where the seed of each content lies: it is the smallest k-gram of its first window."""
-    roll = repeats.Rolling(words)
+    roll = Rolling(words)
     at = base[:-1, None] + np.arange(length - GRAM + 1)
     return base[:-1] + (roll.of(at.ravel(), at.ravel() + GRAM).reshape(at.shape) >> np.uint64(32)).argmin(1)
 

@@ -6,7 +6,7 @@ named in the order of their bytes. A suffix array of the token sequence is built
 order is that of the bytes, as no token is the beginning of another. What two neighbours in it have in common is counted on the bytes
 themselves. So the suffixes that share a given number of bytes lie side by side, and two strings are equal if the suffixes at
 their first token starts share all that is left of the string and the bytes before those starts are equal too. Strings that
-show no token start, or none for more than WIDE bytes, are told apart by a hash of those bytes.
+show no token start, or none for more than WIDE bytes, are sorted by a hash of those bytes and then compared.
 
 Defined cases: a null text is empty; texts shorter than ``length`` keep all; matches never cross documents; equal rows are
 copies of one another like other equal texts; null and repeated doc_ids are allowed; an empty table gives an empty result;
@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from scriva.llm import repeats, substrings
+from scriva.llm.hashing import BYTE_VALUE, Rolling
 from scriva.llm.suffixes import suffix_array
 
 LENGTH, GRAM = 400, 64
@@ -29,7 +30,7 @@ ARRAY_BYTES = 3_000_000
 #: Suffixes whose bytes are compared at a time.
 COMPARED = 16_384
 
-#: Up to so many bytes before a token start are compared themselves.
+#: Up to so many bytes before a token start are compared without a hash.
 WIDE = 96
 
 #: Bytes that may end a token: all but letters, digits and bytes from 128 on, of which every fourth continuation byte may.
@@ -81,18 +82,30 @@ def common_bytes(raw: np.ndarray, at: np.ndarray, room: np.ndarray, most: int) -
     return out
 
 
-def numbered(raw: np.ndarray, roll: repeats.Rolling, first: np.ndarray, width: int) -> np.ndarray:
-    """A number for each of the strings of that width, equal for equal ones; wide ones are told apart by a hash."""
+def eights(raw: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number, zeros behind the end."""
+    padded, out = np.concatenate((raw, np.zeros(8, np.uint8))), np.zeros(len(raw), np.uint64)
+    for k in range(8):
+        out |= padded[k : k + len(raw)].astype(np.uint64) << np.uint64(8 * k)
+    return out
+
+
+def numbered(words: np.ndarray, roll: Rolling, first: np.ndarray, width: int) -> np.ndarray:
+    """A number for each of the strings of that width, equal for equal ones and no others. words: eights of the bytes.
+
+    Wide strings are sorted by a hash and then compared, byte by byte, with the first of their hash."""
+    if width < 8:
+        return np.unique(words[first] & np.uint64((1 << 8 * width) - 1), return_inverse=True)[1]
+    steps = [*range(0, width - 7, 8), width - 8]
     if width > WIDE:
-        return np.unique(roll.of(first, first + width), return_inverse=True)[1]
-    rows = np.zeros((len(first), -(-width // 8) * 8), np.uint8)
-    for k in range(width):
-        rows[:, k] = raw[first + k]
-    rows = rows.view(np.uint64)
+        _, one, out = np.unique(roll.of(first, first + width), return_index=True, return_inverse=True)
+        like = first[one][out]
+        if all(np.array_equal(words[first + k], words[like + k]) for k in steps):
+            return out
     out = np.zeros(len(first), np.int64)
-    for k in range(rows.shape[1]):
-        step = np.unique(rows[:, k], return_inverse=True)[1]
-        out = step if not k else np.unique(out * (step.max() + 1) + step, return_inverse=True)[1]
+    for k in steps:
+        step = np.unique(words[first + k], return_inverse=True)[1]
+        out = np.unique(out * (step.max() + 1) + step, return_inverse=True)[1]
     return out
 
 
@@ -119,7 +132,7 @@ def window_classes(contents: list[np.ndarray], length: int) -> tuple[np.ndarray,
     kind = np.arange(len(first), dtype=np.int64)  # at first, a class of its own for every window
     by_lead = np.argsort(lead, kind="stable")
     cuts = np.flatnonzero(np.diff(lead[by_lead])) + 1
-    roll = repeats.Rolling(repeats.BYTE_VALUE[raw])
+    roll, words = Rolling(BYTE_VALUE[raw]), eights(raw)
     for some in np.split(by_lead, cuts) if len(first) else ():
         width = int(lead[some[0]])
         if width < length:
@@ -129,7 +142,7 @@ def window_classes(contents: list[np.ndarray], length: int) -> tuple[np.ndarray,
         else:
             group = np.zeros(len(some), np.int64)
         if len(some):
-            before = numbered(raw, roll, first[some], width)
+            before = numbered(words, roll, first[some], width)
             _, one, same = np.unique(group * (before.max() + 1) + before, return_index=True, return_inverse=True)
             kind[some] = some[one][same]  # the class is named by one of its windows
     return owner, first - base[owner], kind

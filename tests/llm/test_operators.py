@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from scriva.llm import bpe, chat, decontaminate, exact, jaccard, langid, licences, repeats, shards, substrings, suffix_dedup
+from scriva.llm import bpe, chat, decontaminate, exact, hashing, jaccard, langid, licences, repeats, shards, substrings, suffix_dedup
 from scriva.llm.suffixes import suffix_array
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, words string, __id long"
@@ -108,6 +108,47 @@ def test_repeats(docs, words):
         assert {r["doc_id"]: r["n_passage_words"] for r in rows} == covered
 
 
+def doubled(s, t, times):
+    """Two strings that differ everywhere, and that a polynomial modulo a power of two doesn't tell apart once they are long enough."""
+    for _ in range(times):
+        s, t = s + t, t + s
+    return s, t
+
+
+def test_long_words_are_told_apart(spark):
+    """Words of 512 to 4,096 letters, alone (op3, op10), and as whole texts and repeated passages (op2)."""
+    pairs = [doubled(*x, k) for x in ("ab", "tu", "K]", "xz", "0p") for k in (9, 10, 12)]
+    rows = [(2 * k + i, f"x{k} y " + w) for k, pair in enumerate(pairs) for i, w in enumerate(pair)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.components(table).collect()} == {d: d for d, _ in rows}
+    lead = " ".join(f"w{k}" for k in range(34))
+    rows = [(2 * k + i, f"{lead} v{k} " + " ".join(["z"] * 34) + " " + w) for k, pair in enumerate(pairs) for i, w in enumerate(pair)]
+    words = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_removed"], r["kept"].decode()) for r in substrings.remove_repeats(words).collect()}
+    seqs = {d: t.split() for d, t in rows}
+    times = Counter(tuple(s[i : i + 35]) for s in seqs.values() for i in range(len(s) - 34))
+    for d, s in seqs.items():
+        gone = {i + k for i in range(len(s) - 34) if times[tuple(s[i : i + 35])] > 1 for k in range(35)}
+        assert got[d] == (len(gone), " ".join(w for k, w in enumerate(s) if k not in gone))
+    texts = [(2 * k + i, w) for k, pair in enumerate(doubled(*x, k) for x in ("ab", "tu", "0p") for k in (8, 9, 10)) for i, w in enumerate(pair)]
+    times = Counter(t[i : i + 400] for _, t in texts for i in range(len(t) - 399))
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeats(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    for d, t in texts:
+        assert got[d] == len({i + k for i in range(len(t) - 399) if times[t[i : i + 400]] > 1 for k in range(400)})
+
+
+def test_ranges_hash():
+    """Equal ranges have equal hashes and others don't, at every place of a sequence."""
+    rng = np.random.default_rng(1)
+    raw = rng.integers(97, 99, 3000).astype(np.uint8)
+    roll = hashing.Rolling(hashing.BYTE_VALUE[raw])
+    for width in (1, 7, 12, 900):
+        at = np.arange(len(raw) - width + 1)
+        found = roll.of(at, at + width)
+        strings = [raw[i : i + width].tobytes() for i in at]
+        assert len(set(strings)) == len(set(found.tolist())) == len(set(zip(strings, found.tolist())))
+
+
 @pytest.mark.parametrize("words", [True, False])
 def test_window_classes(words):
     """The classes that a matcher gives against the windows themselves."""
