@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Column edges on a page 750 wide, row bands as shares of the height.
 EDGES, PAGE_W, PAGE_H = [77, 271, 475, 670], 750.0, 1000.0
 BANDS = [(0.10, 0.35), (0.35, 0.65), (0.60, 0.90)]
-FOLD = "struct<lines:array<struct<ymin:double,ymax:double>>,of:array<int>>"
 
 
 def scaled(fixed: int | float, scale: Column) -> Column:
@@ -40,46 +44,88 @@ def group_lines(boxes: DataFrame, *keys: str) -> DataFrame:
     """(keys, lines, text, mean_confidence): boxes put on lines by vertical overlap.
 
     In the order of their centres, each box joins the most recent line that it overlaps by half of the lower height or more, else
-    it opens a new one; a line's extent grows with its boxes. That fold needs all boxes of one record or page, which a page bounds.
+    it opens a new one; a line's extent grows with its boxes. Boxes are dealt by key and sorted once; a task sweeps over them and
+    holds the boxes of one key at a time, which a page bounds. A box without bounds is a line of its own; null texts are skipped.
+    """
+    sorted_by = ["center_y", "n", "x_min", "y_min", "y_max", "text"]
+    rows = boxes.select(*keys, *sorted_by, "confidence").repartition(*keys).sortWithinPartitions(*keys, *sorted_by)
+    kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None  # the rows of the last key, which may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held is not None else table
+            cuts = key_starts(table, keys)
+            if len(cuts) > 1:
+                yield swept(table.slice(0, cuts[-1]), keys, cuts[:-1])
+            held = table.slice(cuts[-1])
+        if held is not None:
+            yield swept(held, keys, [0])
+
+    found = rows.mapInArrow(run, f"{kinds}, lines array<string>, mean_confidence double")
+    return found.withColumn("text", F.array_join("lines", "\n"))
+
+
+def key_starts(table: pa.Table, keys: tuple[str, ...]) -> list[int]:
+    """The rows at which a new key begins."""
+    new = np.zeros(table.num_rows, bool)
+    new[0] = True
+    for k in keys:
+        codes = table.column(k).combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        new[1:] |= codes[1:] != codes[:-1]
+    return np.flatnonzero(new).tolist()
+
+
+def swept(table: pa.Table, keys: tuple[str, ...], cuts: list[int]) -> pa.RecordBatch:
+    """One row for each key of a table that is sorted by key, centre and number."""
+    low, high, left, number, text, confidence = (table.column(c).to_pylist() for c in ("y_min", "y_max", "x_min", "n", "text", "confidence"))
+    lines, means = [], []
+    for a, b in zip(cuts, [*cuts[1:], table.num_rows], strict=True):
+        of = line_numbers(low[a:b], high[a:b])
+        order = sorted(range(a, b), key=lambda i: (of[i - a], left[i] is not None, left[i], number[i] is not None, number[i]))
+        words: list[list[str]] = [[] for _ in range(max(of) + 1)]
+        for i in order:
+            if text[i] is not None:
+                words[of[i - a]].append(text[i])
+        lines.append([" ".join(w) for w in words])
+        known = [c for c in confidence[a:b] if c is not None]
+        means.append(sum(known) / len(known) if known else None)
+    out = [table.column(k).combine_chunks().take(pa.array(cuts)) for k in keys]
+    return pa.RecordBatch.from_arrays([*out, pa.array(lines, pa.list_(pa.string())), pa.array(means, pa.float64())], names=[*keys, "lines", "mean_confidence"])
+
+
+def line_numbers(low: list[float | None], high: list[float | None]) -> list[int]:
+    """The line of each box (its upper and lower bound), boxes in the order of their centres.
+
+    Lines that end above all boxes still to come are left behind, so that a box is compared with the few that are open.
     """
-    box = F.struct("center_y", "n", "x_min", "y_min", "y_max", "text")
-    per = boxes.groupBy(*keys).agg(F.array_sort(F.collect_list(box)).alias("boxes"), F.avg("confidence").alias("mean_confidence"))
-
-    def put(acc: Column, b: Column) -> Column:
-        """acc: the extents of the lines so far, and the line of each box so far."""
-
-        def fits(line: Column) -> Column:
-            overlap = F.least(b["y_max"], line["ymax"]) - F.greatest(b["y_min"], line["ymin"])
-            low = F.least(b["y_max"] - b["y_min"], line["ymax"] - line["ymin"])
-            return (low > 0) & (overlap >= 0.5 * low)
-
-        # Whether each line fits is worked out once; the box goes to the last that does, else to a new one.
-        marked = F.transform(acc["lines"], lambda line, i: F.struct(line["ymin"].alias("ymin"), line["ymax"].alias("ymax"), F.when(fits(line), i).otherwise(-1).alias("fit")))
-        return F.struct(marked.alias("lines"), acc["of"].alias("of"), b.alias("box"))
-
-    def placed(acc: Column) -> Column:
-        b = acc["box"]
-        at = F.greatest(F.lit(-1), F.array_max(F.transform(acc["lines"], lambda line: line["fit"])))
-        return F.struct(acc["lines"].alias("lines"), acc["of"].alias("of"), b.alias("box"), at.alias("at"))
-
-    def grown(acc: Column) -> Column:
-        b, at = acc["box"], acc["at"]
-        wider = F.transform(acc["lines"], lambda line, i: F.when(i == at, F.struct(F.least(line["ymin"], b["y_min"]).alias("ymin"), F.greatest(line["ymax"], b["y_max"]).alias("ymax"))).otherwise(F.struct(line["ymin"].alias("ymin"), line["ymax"].alias("ymax"))))
-        new = F.array(F.struct(b["y_min"].alias("ymin"), b["y_max"].alias("ymax")))
-        lines = F.when(at >= 0, wider).otherwise(F.concat(wider, new))
-        return F.struct(lines.alias("lines"), F.concat(acc["of"], F.array(F.when(at >= 0, at).otherwise(F.size(acc["lines"])))).alias("of")).cast(FOLD)
-
-    def step(acc: Column, b: Column) -> Column:
-        # A transform over one element names a value that is used more than once.
-        one = F.transform(F.array(put(acc, b)), placed)
-        return F.get(F.transform(one, grown), F.lit(0))
-
-    start = F.expr(f"cast(named_struct('lines', array(), 'of', array()) as {FOLD})")
-    out = per.withColumn("of", F.aggregate("boxes", start, step, lambda acc: acc["of"]))
-    every = F.zip_with("boxes", "of", lambda b, at: F.struct(at.alias("line"), b["x_min"].alias("x_min"), b["n"].alias("n"), b["text"].alias("text")))
-    out = out.withColumn("placed", F.array_sort(every))
-    lines = F.transform(F.sequence(F.lit(0), F.array_max("of")), lambda k: F.array_join(F.transform(F.filter("placed", lambda b: b["line"] == k), lambda b: b["text"]), " "))
-    return out.select(*keys, lines.alias("lines"), "mean_confidence").withColumn("text", F.array_join("lines", "\n"))
+    ahead = [math.inf] * (len(low) + 1)
+    for i in range(len(low) - 1, -1, -1):
+        ahead[i] = min(ahead[i + 1], math.inf if low[i] is None else low[i])
+    out: list[int] = []
+    opened: list[list[float]] = []  # top, bottom, number
+    count = 0
+    for i, (top, bottom) in enumerate(zip(low, high, strict=True)):
+        if top is None or bottom is None:
+            out.append(count)
+            count += 1
+            continue
+        for line in reversed(opened):
+            least = min(bottom - top, line[1] - line[0])
+            if least > 0 and min(bottom, line[1]) - max(top, line[0]) >= 0.5 * least:
+                line[0], line[1] = min(top, line[0]), max(bottom, line[1])
+                out.append(line[2])
+                break
+        else:
+            if opened and opened[0][1] <= ahead[i]:
+                opened = [line for line in opened if line[1] > ahead[i]]
+            opened.append([top, bottom, count])
+            out.append(count)
+            count += 1
+    return out
 
 
 def is_record_anchor(text: Column, x_min: Column, left: Column, tolerance: Column) -> Column:

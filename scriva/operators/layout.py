@@ -20,13 +20,28 @@ def cluster_1d(lines: DataFrame, *keys: str, y: str = "y", gap: int = 12) -> Dat
 
 
 def snap_nearest(points: DataFrame, lines: DataFrame, keys: list[str], reach: int = 25, shift: int = 8) -> DataFrame:
-    """points (keys, anchor_y) with divider: the nearest line within reach of anchor_y - shift (the lower y of equals), or that itself."""
-    target = (F.col("anchor_y") - shift).cast("int")
-    near = points.withColumn("_t", target).join(lines.withColumnRenamed("y", "_y"), keys, "left")
-    off = F.abs(F.col("_y") - F.col("_t"))
-    best = F.min(F.when(off <= reach, F.struct(off.alias("d"), F.col("_y").alias("y"))))
-    out = near.groupBy(*keys, "anchor_y", "_t").agg(best.alias("_b"))
-    return out.select(*keys, "anchor_y", F.coalesce("_b.y", "_t").alias("divider"))
+    """points (keys, anchor_y) with divider: the nearest line within reach of anchor_y - shift (the lower y of equals), or that itself.
+
+    An as-of join with a tolerance: points and lines are sorted together, and each point sees the last line up to it and the first
+    from it on. A key's range is cut into strips, each a partition of its own, so that a key of very many lines is no hot task;
+    lines within reach of a strip's border are in both strips. Points are distinct; a null key has no lines, a null anchor_y no divider.
+    """
+    width = 64 * max(reach, 1)
+
+    def strip(y: Column) -> Column:
+        return F.floor(y / width)
+
+    marks = lines.select(*keys, F.col("y").alias("_at"), F.col("y").alias("_line")).dropna(subset=[*keys, "_at"])
+    marks = marks.withColumn("_strip", F.explode(F.array_distinct(F.array(*[strip(F.col("_at") + d) for d in (-reach, 0, reach)]))))
+    asked = points.select(*keys, (F.col("anchor_y") - shift).cast("int").alias("_at"), F.lit(None).cast("int").alias("_line"), "anchor_y").distinct()
+    both = marks.withColumn("anchor_y", F.lit(None).cast(points.schema["anchor_y"].dataType)).withColumn("_asked", F.lit(False))
+    both = both.unionByName(asked.withColumns({"_strip": strip(F.col("_at")), "_asked": F.lit(True)}))
+    part = Window.partitionBy(*keys, "_strip")
+    seen = [F.last("_line", ignorenulls=True).over(part.orderBy(o, "_asked").rowsBetween(Window.unboundedPreceding, 0)) for o in (F.asc("_at"), F.desc("_at"))]
+    near = both.withColumns({"_low": seen[0], "_high": seen[1]}).where("_asked")
+    low, high = (F.when(F.abs(F.col(c) - F.col("_at")) <= reach, F.col(c)) for c in ("_low", "_high"))
+    best = F.when(high - F.col("_at") < F.col("_at") - low, high).otherwise(F.coalesce(low, high))
+    return near.select(*keys, "anchor_y", F.coalesce(best, "_at").alias("divider"))
 
 
 def interpolated(y1: Column, y2: Column, y3: Column) -> tuple[Column, Column, Column]:
