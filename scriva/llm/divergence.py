@@ -113,7 +113,7 @@ def term_block() -> Column:
 
 
 def cells(counts: DataFrame, groups: DataFrame) -> DataFrame:
-    """(lang, i, j, block, source, place, term, p, p0, here): the slices of every cell.
+    """(lang, i, j, block, g, source, place, term, p, p0, here): the slices of every cell; g is the source block of a row.
 
     A row with a term has the share of a source for it; a row without one says that the source is there, with its share p0 of a term
     that it lacks and the number of kept terms of the block."""
@@ -124,7 +124,7 @@ def cells(counts: DataFrame, groups: DataFrame) -> DataFrame:
     shares = counts.join(small(facts)[0], ["lang", "source"]).select("lang", "g", term_block().alias("block"), F.lit(None).cast("string").alias("source"), "place", "term", share(F.col("n"), F.col("total"), F.col("kept")).alias("p"), F.lit(None).cast("long").alias("p0"), F.lit(None).cast("long").alias("here"))
     slices = there.unionByName(shares).join(langs.drop("kept"), "lang")
     to = F.transform(F.sequence(F.lit(0), F.col("last")), lambda h: F.struct(F.least("g", h).alias("i"), F.greatest("g", h).alias("j")))
-    return slices.select("*", F.explode(to).alias("cell")).select("lang", "cell.i", "cell.j", "block", "source", "place", "term", "p", "p0", "here")
+    return slices.select("*", F.explode(to).alias("cell")).select("lang", "cell.i", "cell.j", "block", "g", "source", "place", "term", "p", "p0", "here")
 
 
 def compare(cell: pa.Table) -> pa.Table:
@@ -141,7 +141,7 @@ def compare(cell: pa.Table) -> pa.Table:
         p[np.searchsorted(places, shares.column("place").to_numpy()), coded.indices.to_numpy()] = shares.column("p").to_numpy()
     unseen = here - len(coded.dictionary)
     i, j = cell.column("i")[0].as_py(), cell.column("j")[0].as_py()
-    of = places // GROUPS
+    of = there.column("g").to_numpy()[order]
     a_rows, b_rows = np.flatnonzero(of == i), np.flatnonzero(of == j)
     one, other, value = [], [], []
     for a in a_rows:
