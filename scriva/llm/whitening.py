@@ -2,10 +2,10 @@
 
 Entries become whole numbers floor(64 c); sums, counts and deviations are exact. The covariance itself is never formed: a pass over
 the stored vectors multiplies it with a block Q of a few vectors, each task with its rows, centred first, and partial products are
-added up by Spark. Between passes the driver holds dimensions x block, which does not grow with the rows. A round applies a
-polynomial of the covariance to the block by the Chebyshev three-term recurrence, one pass a degree: it stays small on the
-spectrum below the block's least Ritz value and grows above it, so that the unwanted spectrum is damped. QR and Rayleigh-Ritz
-then give components, and their residuals |V q - e q| decide whether they are certified.
+added up by Spark. Between passes the driver holds dimensions x block, which does not grow with the rows. A few Lanczos steps say where
+the spectrum begins. A round applies a polynomial of the covariance to the block by the Chebyshev three-term recurrence, one pass a
+degree: it stays small from there to the block's least Ritz value and grows above it, so that the unwanted spectrum is damped. QR
+and Rayleigh-Ritz then give components, and their residuals |V q - e q| decide whether they are certified.
 
 Defined cases: rows whose vector is null, or has null, NaN or infinite entries, or entries that give no long, are dropped; so are
 vectors of another length than the most frequent one (the longer of two as frequent). Null and repeated ids and repeated vectors
@@ -27,8 +27,8 @@ from scriva.llm.common import Scratch, stored
 
 SHIFT = 1_000_000
 COMPONENTS = 32
-#: Vectors of the block beside the wanted ones, degree of the filter, rounds at most.
-GUARD, DEGREE, ROUNDS = 16, 10, 40
+#: Vectors of the block beside the wanted ones, degree of the filter, rounds at most, Lanczos steps.
+GUARD, DEGREE, ROUNDS, STEPS = 24, 10, 40, 8
 #: Certified: residuals up to TOLERANCE of the largest eigenvalue, and no longer falling by half from round to round; up to
 #: LOOSE they pass in the last round.
 TOLERANCE, LOOSE = 1e-13, 1e-9
@@ -125,6 +125,24 @@ class Components:
         return np.where(some, self.vectors / np.sqrt(np.where(some, self.values, 1)), 0)
 
 
+def lower_bound(product: Callable[[np.ndarray], np.ndarray], d: int, steps: int = STEPS, seed: int = 5) -> float:
+    """About where the spectrum begins: the least Ritz value of some Lanczos steps, less its residual. The filter only grows slowly
+    on what lies below, and the certificate doesn't rest on it."""
+    q = np.random.default_rng(seed).normal(size=(d, 1))
+    basis, diagonal, beside = q / np.linalg.norm(q), [], []
+    for _ in range(min(steps, d - 1)):
+        image = product(basis[:, -1:])
+        diagonal.append(float(basis[:, -1] @ image[:, 0]))
+        for _ in range(2):
+            image = image - basis @ (basis.T @ image)
+        beside.append(float(np.linalg.norm(image)))
+        if beside[-1] <= NOTHING * max(map(abs, diagonal)):
+            break
+        basis = np.hstack([basis, image / beside[-1]])
+    values, vectors = np.linalg.eigh(np.diag(diagonal) + np.diag(beside[:-1], 1) + np.diag(beside[:-1], -1)) if diagonal else (np.zeros(1), np.zeros((1, 1)))
+    return max(0.0, float(values[0] - beside[-1] * abs(vectors[-1, 0]))) if beside else 0.0
+
+
 def fit(rows: DataFrame, d: int, k: int = COMPONENTS, guard: int = GUARD, seed: int = 17) -> Components | None:
     """The leading k components of rows (vec_id, y); rows should be a stored table, it is read once for each pass."""
     n, s = sums(rows, d)
@@ -147,6 +165,7 @@ def fit(rows: DataFrame, d: int, k: int = COMPONENTS, guard: int = GUARD, seed:
         return (centred(y, n, s) ** 2).sum().reshape(1, 1)
 
     trace = float(passed(rows, d, 1, variance, 1)[0, 0]) / n
+    begins = lower_bound(product, d) if m < d else 0.0
     q = np.linalg.qr(np.random.default_rng(seed).normal(size=(d, m)))[0]
     before = np.inf
     for turn in range(ROUNDS + 1):
@@ -161,15 +180,17 @@ def fit(rows: DataFrame, d: int, k: int = COMPONENTS, guard: int = GUARD, seed:
         if turn == ROUNDS:
             break
         before = residual
-        # the filter: T_degree of the covariance, mapped so that what lies from 0 to the least Ritz value goes to [-1, 1], divided
-        # by its value at the largest Ritz value
-        half = max(values[-1], NOTHING * top) / 2
-        ratio = half / (top - half)
+        # the filter: T_degree of the covariance, mapped so that what lies from `begins` to the least Ritz value goes to [-1, 1],
+        # divided by its value at the largest Ritz value
+        high = max(values[-1], NOTHING * top)
+        low = min(begins, 0.99 * high)
+        middle, half = (high + low) / 2, (high - low) / 2
+        ratio = half / (top - middle)
         scale, last = ratio, q
-        now = (image - half * q) * (scale / half)
+        now = (image - middle * q) * (scale / half)
         for _ in range(DEGREE - 1):
             following = 1 / (2 / ratio - scale)
-            last, now, scale = now, (product(now) - half * now) * (2 * following / half) - scale * following * last, following
+            last, now, scale = now, (product(now) - middle * now) * (2 * following / half) - scale * following * last, following
         q = np.linalg.qr(now)[0]
     if residual > LOOSE:
         raise ArithmeticError(f"components are not certified after {passes} passes: residual {residual:.2g} of the largest eigenvalue")

@@ -140,7 +140,7 @@ def dense(vectors):
     return x, n, s, c, values[::-1], found[:, ::-1]
 
 
-@pytest.mark.parametrize("d", [5, 40, 70])
+@pytest.mark.parametrize("d", [5, 40, 90])
 def test_whitening(spark, d):
     rng = np.random.default_rng(d)
     good = (rng.normal(size=(600, d)) @ np.diag(np.linspace(3, 0.5, d)) @ np.linalg.qr(rng.normal(size=(d, d)))[0]).astype(np.float32)
@@ -167,6 +167,15 @@ def test_whitening(spark, d):
     assert max(r["identity_error"] for r in got) < 1e-9
 
 
+def test_vectors_in_few_dimensions(spark):
+    """90 entries, but only 20 directions with variance: the others have whitened 0 and are no part of identity_error."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(-3, 4, (300, 20)) @ rng.integers(-2, 3, (20, 90))
+    got = whitening.whiten(spark.createDataFrame([(k, (v / 64).tolist()) for k, v in enumerate(base)], "vec_id long, embedding array<double>")).collect()
+    assert len(got) == 300 * 32 and {r["whitened"] for r in got if r["component"] > 20} == {0.0}
+    assert max(r["identity_error"] for r in got) < 1e-9 and max(r["explained"] for r in got if r["component"] > 20) < 1e-12
+
+
 def test_whitening_cases(spark):
     schema = "vec_id string, embedding array<double>"
     one = lambda rows: whitening.whiten(spark.createDataFrame(rows, schema))
