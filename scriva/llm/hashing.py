@@ -55,16 +55,16 @@ class Rolling:
     """Hashes of the ranges of a sequence, given as a 64-bit number for each element."""
 
     def __init__(self, elements: np.ndarray):
-        self.sums = []
+        self.sums, self.undo = [], []
         for point, value in zip(POINTS, (elements & PRIME, elements >> np.uint64(33)), strict=True):
             terms = value * powers(len(value), point)
             self.sums.append(np.concatenate((np.zeros(1, np.uint64), np.cumsum(modulo(terms)))))
+            self.undo.append(powers(len(value) + 1, pow(point, -1, int(PRIME))))
 
     def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """A hash of elements a to b, without b, for arrays of places."""
         parts = []
-        for point, sums in zip(POINTS, self.sums, strict=True):
-            undo = powers(len(sums), pow(point, -1, int(PRIME)))
+        for sums, undo in zip(self.sums, self.undo, strict=True):
             part = modulo(modulo(sums[b] - sums[a]) * undo[a])
             parts.append(np.where(part == PRIME, np.uint64(0), part))
         return mix((parts[0] << np.uint64(31) | parts[1]) + np.uint64(7))
