@@ -32,8 +32,9 @@ from scriva.llm.common import Scratch, bounded_batches, broadcast_parts, stored
 from scriva.llm.hashing import BYTE_VALUE, Rolling
 from scriva.llm.jaccard import BATCH_BYTES, SAME, runs, texts_of, word_hashes
 
-#: Reaches of one seed that are matched together; a seed with more is split.
-SEED_REACHES = 2_000
+#: Reaches of one seed that are matched together, about what a matcher takes at once (800 bytes each at most, 3 MB in all); a seed
+#: with more is split.
+SEED_REACHES = 4_000
 #: Stretches that one broadcast may carry.
 BROADCAST_STRETCHES = 1_000_000
 
