@@ -176,6 +176,8 @@ BLOOD_LETTERS = {"O": ["C", "G", "Q", "0", "O"], "B": ["8", "6", "E"]}
 DIV0 = r"(?i)#\s*DIV\s*/?\s*0\s*!?\s*"
 ZIP_COUNTRY = r"\b(\d{5})([A-Za-z]{2,})\b"
 ZIP_PHONE = r"\b(\d{5})(\d{3}\s*-?\s*\d{3}-?\d{4})\b"
+GLUED_MG, GLUED_DIGITS = r"(?i)([A-Za-z])(?=\d+(?:\.\d+)?\s*MG\b)", r"([A-Za-z]{2,})(?=\d)"
+LOOSE_SIGNS = [(r"\s+([,.:;\-])", "$1"), (r"(\$)\s+", "$1")]
 DATE_GAPS = [(r"\b(\d)\s+(\d/\d{1,2}/\d{2,4})\b", "$1$2"), (r"\b(\d{1,2}/\d)\s+(\d/\d{2,4})\b", "$1$2"), (r"(\d)\s*/\s*(\d)", "$1/$2")]
 DATE_EDGES = [(r"([^\s\d/])(?=\d{1,2}/\d{1,2}/\d{2,4}(?!\d))", "$1 "), (r"(?<![\d/])(\d{1,2}/\d{1,2}/\d{2,4})(?=[^\s\d/])", "$1 ")]
 

@@ -1,12 +1,15 @@
 """Text cleanup: one function for each rule, and the ordered composition that counts corrections.
 
-Rules are column expressions. The composition works on the array of lines of a record, one projection a rule, so that no rule
-is evaluated twice to compare its line before and after, and nothing is shuffled.
+Rules are scalar expressions over a line. White space in them never spans a line break, so that they hold for a whole text of
+lines as well: the composition runs each rule once over the text of a record, one projection a rule, in generated code and without
+a shuffle. Lines and tokens are only taken apart in records that a rule has changed (to count corrections) or whose text shows
+that a token rule may apply.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +19,7 @@ from scriva.functions import lexicons as lex
 #: Stands for a stamp while the other rules run; no rule touches it.
 HIDDEN = "\ue000"
 ANY_STATE = "(?i:" + "|".join(lex.STATES) + ")"
+STAMP = "(?i)" + lex.STAMP
 
 
 def split_lines(text: Column) -> Column:
@@ -25,25 +29,35 @@ def split_lines(text: Column) -> Column:
 
 
 def drop_div0(line: Column) -> Column:
-    return F.regexp_replace(line, lex.DIV0, "")
+    return F.regexp_replace(line, in_line(lex.DIV0), "")
 
 
 def split_zip_country(line: Column) -> Column:
     return F.regexp_replace(line, lex.ZIP_COUNTRY, "$1 $2")
 
 
+def where(line: Column, shows: list[str], changed: Column) -> Column:
+    """The changed line if the line shows one of the patterns without which nothing changes, and that are cheap to look for."""
+    return F.when(reduce(lambda a, b: a | b, [line.rlike(p) for p in shows]), changed).otherwise(line)
+
+
+def in_line(pattern: str) -> str:
+    """The pattern, with white space that is no line break."""
+    return pattern.replace(r"\s", r"[^\S\n]")
+
+
 def split_zip_phone(line: Column) -> Column:
-    return F.regexp_replace(line, lex.ZIP_PHONE, "$1 $2")
+    return F.regexp_replace(line, in_line(lex.ZIP_PHONE), "$1 $2")
 
 
 def fix_slashes(line: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(line, "/+", "/"), r"\\+", "/")
+    return where(line, ["//", r"\\"], F.regexp_replace(F.regexp_replace(line, "/+", "/"), r"\\+", "/"))
 
 
 def stamp_of(line: Column) -> Column:
     """The first stamp of a line, rewritten as prefix_name_code; "" if there is none."""
-    part = [F.regexp_extract(line, "(?i)" + lex.STAMP, k) for k in (1, 2, 3)]
-    return F.when(part[0] == "", "").otherwise(F.concat_ws("_", *part))
+    part = [F.regexp_extract(line, STAMP, k) for k in (1, 2, 3)]
+    return F.when(line.rlike(STAMP), F.concat_ws("_", *part)).otherwise("")
 
 
 def hide_stamp(line: Column) -> Column:
@@ -60,7 +74,7 @@ def rewrite_stamp(line: Column) -> Column:
 
 
 def split_state_zip(line: Column) -> Column:
-    return F.regexp_replace(line, rf"\b({ANY_STATE})(\d{{5}})\b", "$1 $2")
+    return where(line, [r"[A-Za-z]\d{5}\b"], F.regexp_replace(line, rf"\b({ANY_STATE})(\d{{5}})\b", "$1 $2"))
 
 
 def split_city_state(line: Column) -> Column:
@@ -81,23 +95,25 @@ def split_camel(line: Column) -> Column:
 
 
 def close_dates(line: Column) -> Column:
+    closed = line
     for pattern, new in lex.DATE_GAPS:
-        line = F.regexp_replace(line, pattern, new)
-    return line
+        closed = F.regexp_replace(closed, in_line(pattern), new)
+    return where(line, [in_line(p) for p in (r"\b\d\s+\d/", r"/\d\s+\d/", r"\d\s+/", r"/\s+\d")], closed)
 
 
 def split_dosage(line: Column) -> Column:
-    return F.regexp_replace(line, r"(?i)([A-Za-z])(?=\d+(?:\.\d+)?\s*MG\b)", "$1 ")
+    return F.regexp_replace(line, in_line(lex.GLUED_MG), "$1 ")
 
 
 def isolate_dates(line: Column) -> Column:
+    isolated = line
     for pattern, new in lex.DATE_EDGES:
-        line = F.regexp_replace(line, pattern, new)
-    return line
+        isolated = F.regexp_replace(isolated, pattern, new)
+    return where(line, [r"/\d{2,4}[^\s\d/]", r"/(?<=[^\s\d/]\d{1,2}/)\d"], isolated)
 
 
 def split_alpha_digit(line: Column) -> Column:
-    return F.regexp_replace(line, r"([A-Za-z]{2,})(?=\d)", "$1 ")
+    return where(line, [r"[A-Za-z]{2}\d"], F.regexp_replace(line, lex.GLUED_DIGITS, "$1 "))
 
 
 def digits_of(x: Column) -> Column:
@@ -129,54 +145,91 @@ def state_token(t: Column) -> Column:
 
 
 def tidy_punctuation(line: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(line, r"\s+([,.:;\-])", "$1"), r"(\$)\s+", "$1")
+    for pattern, new in lex.LOOSE_SIGNS:
+        line = F.regexp_replace(line, in_line(pattern), new)
+    return line
 
 
 def factor(corrections: Column) -> Column:
     return F.greatest(F.lit(0.75), 1.0 - F.least(F.lit(5), corrections) * 0.05)
 
 
+def per_line(rule: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda text: F.array_join(F.transform(F.split(text, "\n"), rule), "\n")
+
+
 def per_token(rule: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    return lambda line: F.array_join(F.transform(F.split(line, " "), rule), " ")
+    return per_line(lambda line: F.array_join(F.transform(F.split(line, " "), rule), " "))
+
+
+def where_it_looks(rule: Callable[[Column], Column], looks: str) -> Callable[[Column], Column]:
+    """A token rule over a text, if it changes a token that looks so."""
+
+    def over(text: Column) -> Column:
+        some = F.regexp_extract_all(text, F.lit(rf"(?<!\S)(?:{looks})(?!\S)"), F.lit(0))
+        return F.when(F.exists(some, lambda t: rule(t) != t), per_token(rule)(text)).otherwise(text)
+
+    return over
+
+
+def city_states(text: Column) -> Column:
+    """split_city_state for each line, if four letters, which may be a word and a state, stand before a ZIP somewhere."""
+    return where(text, [r"[A-Za-z]{4} \d{5}\b"], per_line(split_city_state)(text))
 
 
 #: Rules before the stamp is hidden, and after; True if a changed line counts as a correction.
 EARLY = [(drop_div0, False), (split_zip_country, True), (split_zip_phone, True), (fix_slashes, True)]
-LATE = [
-    (lambda x: split_city_state(split_state_zip(x)), True),
-    (split_camel, True),
-    (close_dates, True),
-    (split_dosage, True),
-    (isolate_dates, True),
-    (split_alpha_digit, True),
+LATE = [(lambda x: city_states(split_state_zip(x)), True), (split_camel, True), (close_dates, True), (split_dosage, True), (isolate_dates, True), (split_alpha_digit, True)]
+#: Token rules, and what a token must look like for one to change it.
+TOKEN = [
+    (phone_token, r"(?=(?:[^\d\s]*+\d){10})\S+"),
+    (zip_token, r"[\d-]{9,}"),
+    (mixed_token, r"(?=[^\d\s]*+\d)(?=[^\p{L}\s]*+\p{L})\S{2,12}"),
+    (state_token, "(?=.?[a-z0-9])(?=.?[A-Za-z])[A-Za-z0-9]{2}"),
 ]
-TOKEN = [phone_token, zip_token, mixed_token, state_token]
 
 
 def normalize(df: DataFrame, lines: str = "lines") -> DataFrame:
     """df with the array column `lines` normalised, and corrections (int) and norm_factor (double)."""
     kept = [c for c in df.columns if c not in (lines, "corrections", "norm_factor")]
 
-    def step(df: DataFrame, rule: Callable[[Column], Column], counts: bool, tokens: bool = False) -> DataFrame:
-        new = df.select(*kept, "_n", "_stamps", F.col("_x").alias("_old"), F.transform("_x", rule).alias("_x"))
-        if not counts:
-            return new.select(*kept, "_n", "_stamps", "_x")
-        change = F.zip_with("_old", "_x", lambda a, b: _tokens_changed(a, b) if tokens else (a != b).cast("int"))
-        return new.select(*kept, (F.col("_n") + F.aggregate(change, F.lit(0), lambda s, v: s + v)).alias("_n"), "_stamps", "_x")
+    def step(df: DataFrame, rule: Callable[[Column], Column], count: Callable[[Column, Column], Column] | None) -> DataFrame:
+        """Runs a rule over the text so far. What it changed is counted by the next step, from the text before and after."""
+        new = df.select(*kept, "_stamps", "_n", F.col("_x").alias("_old"), rule(F.col("_x")).alias("_x"))
+        if count is None:
+            return new
+        return new.select(*kept, "_stamps", (F.col("_n") + count(F.col("_old"), F.col("_x"))).alias("_n"), F.lit(None).cast("string").alias("_old"), "_x")
 
-    out = df.select(*kept, F.lit(0).alias("_n"), F.lit(None).cast("array<string>").alias("_stamps"), F.col(lines).alias("_x"))
+    def restamp(df: DataFrame, text: Column, stamps: Column) -> DataFrame:
+        return df.select(*kept, stamps.alias("_stamps"), "_n", "_old", text.alias("_x"))
+
+    out = df.select(*kept, F.lit(None).cast("array<string>").alias("_stamps"), F.lit(0).alias("_n"), F.lit(None).cast("string").alias("_old"), F.array_join(lines, "\n").alias("_x"))
     for rule, counts in EARLY:
-        out = step(out, rule, counts)
-    out = out.select(*kept, "_n", F.transform("_x", stamp_of).alias("_stamps"), F.transform("_x", lambda x: F.when(stamp_of(x) == "", x).otherwise(hide_stamp(x))).alias("_x"))
+        out = step(out, rule, lines_changed if counts else None)
+    x, stamps, has = F.col("_x"), F.col("_stamps"), F.col("_x").rlike(STAMP)
+    out = restamp(out, F.when(has, per_line(lambda ln: F.when(ln.rlike(STAMP), hide_stamp(ln)).otherwise(ln))(x)).otherwise(x), F.when(has, F.transform(F.split(x, "\n"), stamp_of)))
     for rule, counts in LATE:
-        out = step(out, rule, counts)
-    out = out.select(*kept, "_n", "_stamps", F.zip_with("_x", "_stamps", lambda x, s: F.when(s == "", x).otherwise(show_stamp(x, s))).alias("_x"))
-    for rule in TOKEN:
-        out = step(out, per_token(rule), True, tokens=True)
-    tidy = F.filter(F.transform("_x", lambda x: tidy_punctuation(x)), lambda x: F.trim(x) != "")
+        out = step(out, rule, lines_changed if counts else None)
+    shown = F.array_join(F.zip_with(F.split(x, "\n"), stamps, lambda ln, s: F.when(s == "", ln).otherwise(show_stamp(ln, s))), "\n")
+    out = restamp(out, F.when(stamps.isNull(), x).otherwise(shown), F.lit(None).cast("array<string>"))
+    for rule, looks in TOKEN:
+        out = step(out, where_it_looks(rule, looks), tokens_changed)
+    tidy = F.filter(F.split(tidy_punctuation(x), "\n"), lambda ln: F.trim(ln) != "")
     return out.select(*kept, tidy.alias(lines), F.col("_n").alias("corrections"), factor(F.col("_n")).alias("norm_factor"))
 
 
+def lines_changed(old: Column, new: Column) -> Column:
+    """How many lines of a text a rule changed."""
+    differ = F.zip_with(F.split(old, "\n"), F.split(new, "\n"), lambda a, b: a != b)
+    return F.when(old == new, 0).otherwise(F.size(F.filter(differ, lambda d: d)))
+
+
+def tokens_changed(old: Column, new: Column) -> Column:
+    """How many tokens of a text a token rule changed."""
+    each = F.zip_with(F.split(old, "\n"), F.split(new, "\n"), _tokens_changed)
+    return F.when(old == new, 0).otherwise(F.aggregate(each, F.lit(0), lambda s, v: s + v))
+
+
 def _tokens_changed(old: Column, new: Column) -> Column:
     """How many tokens a token rule changed. A phone becomes two tokens: then the tokens it is made of count once."""
     a, b = F.split(old, " "), F.split(new, " ")

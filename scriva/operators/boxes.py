@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Column edges on a page 750 wide, row bands as shares of the height.
+#: Column edges on a page 750 wide, row bands as shares of the height, what a record's anchor begins with.
 EDGES, PAGE_W, PAGE_H = [77, 271, 475, 670], 750.0, 1000.0
+ANCHOR = r"^\s*\|?\s*\d{5}"
 BANDS = [(0.10, 0.35), (0.35, 0.65), (0.60, 0.90)]
 
 
@@ -31,13 +32,45 @@ def bounds(df: DataFrame, polygon: str = "polygon") -> DataFrame:
     return df.withColumn("center_y", (F.col("y_min") + F.col("y_max")) / 2)
 
 
-def column_of(center_x: Column, width: Column) -> Column:
-    """The first column whose edges hold the box's centre, or null."""
-    e = edges(width)
-    out = F.lit(None).cast("int")
-    for c in (2, 1, 0):
-        out = F.when(center_x.between(e[c], e[c + 1]), c).otherwise(out)
-    return out
+def within(rows: DataFrame, at: Column, intervals: DataFrame, keys: list[str], out: str, strip: float = 64.0) -> DataFrame:
+    """rows with `out`: the numbers of the intervals (keys, no, low, high) of a row's keys that hold its place `at`, in order.
+
+    An interval join by strips: an interval is in every strip that it touches, a row in one, and both meet by keys and strip. The
+    intervals of a strip are one row, so that rows are neither multiplied nor grouped again. An interval holds both its ends; rows
+    that meet none have an empty array, and null keys, places and ends meet nothing.
+    """
+    touched = F.sequence(F.floor(F.col("low") / strip), F.floor(F.col("high") / strip))
+    known = intervals.where("low <= high").select(*keys, F.explode(touched).alias("_strip"), F.struct("no", "low", "high").alias("_one"))
+    known = known.groupBy(*keys, "_strip").agg(F.array_sort(F.collect_list("_one")).alias("_held"))
+    met = rows.withColumns({"_at": at, "_strip": F.floor(at / strip)}).join(known, [*keys, "_strip"], "left")
+    hits = F.transform(F.filter(F.coalesce("_held", F.array().cast("array<struct<no:int,low:double,high:double>>")), lambda i: F.col("_at").between(i["low"], i["high"])), lambda i: i["no"])
+    return met.withColumn(out, hits).select(*rows.columns, out)
+
+
+def usual_columns(pages: DataFrame) -> DataFrame:
+    """(width, no, low, high): the three columns of each different page width."""
+    e = edges(F.col("width"))
+    each = F.array(*[F.struct(F.lit(c).alias("no"), e[c].cast("double").alias("low"), e[c + 1].cast("double").alias("high")) for c in range(3)])
+    return pages.select("width").distinct().select("width", F.inline(each))
+
+
+def usual_bands(pages: DataFrame) -> DataFrame:
+    """(height, no, low, high): the row bands of each different page height; they overlap."""
+    each = F.array(*[F.struct(F.lit(k).alias("no"), (lo * F.col("height")).alias("low"), (hi * F.col("height")).alias("high")) for k, (lo, hi) in enumerate(BANDS)])
+    return pages.select("height").distinct().select("height", F.inline(each))
+
+
+def cut_columns(cuts: DataFrame, key: str = "page_idx") -> DataFrame:
+    """(key, no, low, high) from cuts (key, cuts: array), as layout.columns finds them: pages with columns of their own."""
+    pairs = F.zip_with(F.slice("cuts", F.lit(1), F.size("cuts") - 1), F.slice("cuts", F.lit(2), F.size("cuts")), lambda a, b: F.struct(a.cast("double").alias("low"), b.cast("double").alias("high")))
+    each = cuts.select(key, F.posexplode(F.when(F.size("cuts") > 1, pairs)).alias("no", "_pair"))
+    return each.select(key, "no", "_pair.low", "_pair.high")
+
+
+def in_columns(boxes: DataFrame, columns: DataFrame | None = None, keys: list[str] | None = None) -> DataFrame:
+    """boxes with col: the first column that holds the box's centre, or null. columns: those of the boxes' keys, else the usual ones."""
+    columns, keys = (usual_columns(boxes), ["width"]) if columns is None else (columns, keys or ["page_idx"])
+    return within(boxes, (F.col("x_min") + F.col("x_max")) / 2, columns, keys, "_cols").withColumn("col", F.get("_cols", F.lit(0))).drop("_cols")
 
 
 def group_lines(boxes: DataFrame, *keys: str) -> DataFrame:
@@ -129,22 +162,22 @@ def line_numbers(low: list[float | None], high: list[float | None]) -> list[int]
 
 
 def is_record_anchor(text: Column, x_min: Column, left: Column, tolerance: Column) -> Column:
-    return text.rlike(r"^\s*\|?\s*\d{5}") & (x_min - left <= tolerance)
+    return text.rlike(ANCHOR) & (x_min - left <= tolerance)
 
 
 def is_available(text: Column) -> Column:
     return F.lower(text).rlike("avai|valable|lable")
 
 
-def anchors(boxes: DataFrame) -> DataFrame:
+def anchors(boxes: DataFrame, columns: DataFrame | None = None, keys: list[str] | None = None) -> DataFrame:
     """(page_idx, col, band, anchor_y): the topmost record anchor of each column and row band.
 
-    boxes: page_idx, width, height, x_min, x_max, y_min, text. Bands overlap, so a box may count in two.
+    boxes: page_idx, width, height, x_min, x_max, y_min, text; columns (keys, no, low, high): those of the pages, else the usual
+    ones. Bands overlap, so a box may count in two.
     """
-    e = edges(F.col("width"))
-    col = column_of((F.col("x_min") + F.col("x_max")) / 2, F.col("width"))
-    left = F.when(F.col("col") == 0, e[0]).when(F.col("col") == 1, e[1]).otherwise(e[2])
-    found = boxes.withColumn("col", col).where("col is not null").where(is_record_anchor(F.col("text"), F.col("x_min"), left, scaled(40, F.col("width") / PAGE_W)))
-    inside = [F.when(F.col("y_min").between(lo * F.col("height"), hi * F.col("height")), k) for k, (lo, hi) in enumerate(BANDS)]
-    each = found.withColumn("band", F.explode(F.array_compact(F.array(*inside))))
+    columns, keys = (usual_columns(boxes), ["width"]) if columns is None else (columns, keys or ["page_idx"])
+    placed = in_columns(boxes.where(F.col("text").rlike(ANCHOR)), columns, keys).where("col is not null")
+    left = columns.select(*keys, F.col("no").alias("col"), F.col("low").alias("_left"))
+    found = placed.join(left, [*keys, "col"]).where(is_record_anchor(F.col("text"), F.col("x_min"), F.col("_left"), scaled(40, F.col("width") / PAGE_W)))
+    each = within(found, F.col("y_min"), usual_bands(boxes), ["height"], "_bands").withColumn("band", F.explode("_bands"))
     return each.groupBy("page_idx", "col", "band").agg(F.min("y_min").alias("anchor_y"))

@@ -11,12 +11,23 @@ DATES = ["D BIRTH", "D_B_LIFE_ASSURE", "DOB"]
 ADDRESS = ["RES_ADDRESS", "CITY_1", "STATE_1", "ZIP_1", "CITY_2", "STATE_2", "ZIP_2"]
 
 
+def snapshots(done: DataFrame) -> DataFrame:
+    """(valid_1, valid_2, valid_3, n): how many records have each three snapshots of validity. Counts of parts add up."""
+    return done.groupBy("valid_1", "valid_2", "valid_3").agg(F.count("*").alias("n"))
+
+
 def recovery_metrics(done: DataFrame) -> DataFrame:
-    """(field, extracted, recovered, failed) from the three snapshots of validity."""
-    names = F.array(*[F.lit(c) for c in lex.MANDATORY])
-    each = done.select(F.inline(F.arrays_zip(names.alias("field"), F.col("valid_1").alias("a"), F.col("valid_2").alias("b"), F.col("valid_3").alias("c"))))
-    kind = F.when(~F.col("c"), "failed").when(F.col("a"), "extracted").when(F.col("b"), "recovered").otherwise("failed")
-    return each.select("field", kind.alias("kind")).groupBy("field").agg(*[F.count_if(F.col("kind") == k).alias(k) for k in ("extracted", "recovered", "failed")])
+    """(field, extracted, recovered, failed) from the three snapshots of validity, each a long with a bit for each field."""
+    return of_snapshots(snapshots(done))
+
+
+def of_snapshots(counted: DataFrame) -> DataFrame:
+    """The recovery metrics of counted snapshots: records alike in all three are one row before their 42 fields are looked at."""
+    each = counted.select("n", "valid_1", "valid_2", "valid_3", F.posexplode(F.array(*[F.lit(c) for c in lex.MANDATORY])).alias("k", "field"))
+    a, b, c = (F.expr(f"(shiftright(valid_{i}, k) & 1) = 1") for i in (1, 2, 3))
+    kind = F.when(~c, "failed").when(a, "extracted").when(b, "recovered").otherwise("failed")
+    sums = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(k) for k in ("extracted", "recovered", "failed")]
+    return each.select("field", "n", kind.alias("kind")).groupBy("field").agg(*sums)
 
 
 def summary(done: DataFrame, failed: DataFrame | None = None) -> DataFrame:
@@ -52,6 +63,40 @@ def root_causes(review: DataFrame, errors: str = "VALIDATION_ERRORS", order: str
     return out.groupBy("cause").agg(F.count("*").alias("n"), F.min("_o").alias("first")).orderBy(F.desc("n"), "first")
 
 
+def counters(done: DataFrame, failed: DataFrame, review: DataFrame) -> DataFrame:
+    """(kind, name, valid_1, valid_2, valid_3, n, first): what all metrics of some records come from.
+
+    Rows of kind 'snapshot' count records by their three snapshots, 'status' by status (ERROR for those that failed before they
+    were read) and 'cause' review rows by root cause, with the first record of each. Counters of disjoint parts of the records add
+    up, so that each part of an incremental run keeps its own.
+    """
+    number, name = F.lit(None).cast("long"), F.lit(None).cast("string")
+    shots = snapshots(done).select(F.lit("snapshot").alias("kind"), name.alias("name"), "valid_1", "valid_2", "valid_3", "n", number.alias("first"))
+    statuses = done.select("status").unionByName(failed.select(F.lit("ERROR").alias("status"))).groupBy("status").agg(F.count("*").alias("n"))
+    statuses = statuses.select(F.lit("status").alias("kind"), F.col("status").alias("name"), *[number.alias(f"valid_{k}") for k in (1, 2, 3)], "n", number.alias("first"))
+    causes = root_causes(review).select(F.lit("cause").alias("kind"), F.col("cause").alias("name"), *[number.alias(f"valid_{k}") for k in (1, 2, 3)], "n", F.col("first").cast("long").alias("first"))
+    return shots.unionByName(statuses).unionByName(causes)
+
+
+def recovery_of(counted: DataFrame) -> DataFrame:
+    """recovery_metrics from counters."""
+    return of_snapshots(counted.where("kind = 'snapshot'"))
+
+
+def summary_of(counted: DataFrame) -> DataFrame:
+    """summary from counters."""
+    rows = counted.where("kind = 'status'")
+    passed = F.coalesce(F.sum(F.when(F.col("name") == "PASS", F.col("n"))), F.lit(0))
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    return rows.agg(total.alias("total"), passed.alias("passed"), (total - passed).alias("failed"))
+
+
+def root_causes_of(counted: DataFrame) -> DataFrame:
+    """root_causes from counters."""
+    rows = counted.where("kind = 'cause'").groupBy(F.col("name").alias("cause"))
+    return rows.agg(F.sum("n").alias("n"), F.min("first").alias("first")).orderBy(F.desc("n"), "first")
+
+
 def root_cause_json(causes: DataFrame) -> DataFrame:
     pairs = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "first", "cause", "n")))
     return causes.agg(F.to_json(F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["cause"], p["n"])))).alias("json"))

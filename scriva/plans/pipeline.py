@@ -26,18 +26,19 @@ def staged(records: DataFrame, store: Callable[[DataFrame, str], DataFrame]) ->
     """The validated fields at first, after recovery and at the end, with valid_1, valid_2 and valid_3.
 
     Each stage is written by `store` and read again: 43 structs through ten stages of rules would be one huge expression tree
-    otherwise. Passing rows have no bad or empty field, so recovery and fallback don't change them; they only run on the others.
+    otherwise. Passing rows have no bad or empty field, so recovery and fallback don't change them; only the others go through
+    these and are written again, and the later snapshots are unions of what was written.
     """
-    fields = store(extract.extract(enough_lines(records), store), "bills-fields")
-    first = store(validate.validate(fields).withColumn("valid_1", validate.validity()), "bills-first")
-    mended = store(recover.recover(first.where("not valid"), store).drop(*validate.RESULT), "bills-mended")
-    second = store(validate.validate(mended).withColumn("valid_2", validate.validity()), "bills-second")
-    filled = store(fallback.fill(second.where("not valid")).drop(*validate.RESULT), "bills-filled")
-    last = validate.validate(filled).withColumn("valid_3", validate.validity())
-    passed = first.where("valid").withColumn("valid_2", F.col("valid_1"))
-    second = passed.select(*second.columns).unionByName(second)
-    third = second.where("valid").withColumn("valid_3", F.col("valid_2"))
-    return first, second, store(third.select(*last.columns).unionByName(last), "bills-third")
+
+    def snapshot(rows: DataFrame, k: int) -> DataFrame:
+        return store(validate.validate(rows).withColumn(f"valid_{k}", F.col("validity")), f"bills-{k}")
+
+    first = snapshot(extract.extract(enough_lines(records), store), 1)
+    mended = snapshot(recover.recover(first.where("not valid"), store).drop(*validate.RESULT), 2)
+    second = first.where("valid").withColumn("valid_2", F.col("valid_1")).unionByName(mended.select(*first.columns, "valid_2"))
+    filled = snapshot(fallback.fill(mended.where("not valid")).drop(*validate.RESULT), 3)
+    third = second.where("valid").withColumn("valid_3", F.col("valid_2")).unionByName(filled.select(*second.columns, "valid_3"))
+    return first, second, third
 
 
 def unpacked(df: DataFrame) -> DataFrame:

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriva.functions import fields as x
 from scriva.functions import lexicons as lex
+from scriva.operators.nearest import with_nearest
 from scriva.plans.extract import FLAGS, locate
 from scriva.plans.validate import value
 
@@ -88,16 +89,20 @@ def glued_medicine(words: Column) -> tuple[Column, Column]:
     return F.upper(F.regexp_extract(token, "^([A-Za-z]{3,})", 1)), F.upper(F.regexp_extract(token, r"(\d+(?:\.\d+)?[Mm][Gg])$", 1))
 
 
-def fuzzy_medicine(words: Column) -> Column:
-    """The listed medicine within distance 1 of a word of four letters or more: least distance, then first word, then list order."""
-    listed = F.array(*[F.lit(m) for m in lex.MEDICINES])
+def medicine_names(spark: SparkSession) -> DataFrame:
+    """(name, place) of the listed medicines."""
+    return spark.createDataFrame([(m, k) for k, m in enumerate(lex.MEDICINES)], "name string, place int")
 
-    def near(w: Column, i: Column) -> Column:
-        clean = F.regexp_replace(F.upper(w), "[^A-Z]", "")
-        hits = F.transform(listed, lambda m, j: F.struct(F.levenshtein(clean, m, 1).alias("d"), i.alias("i"), j.alias("j"), m.alias("m")))
-        return F.when(F.length(clean) >= 4, F.array_min(F.filter(hits, lambda h: h["d"] >= 0)))
 
-    return F.array_min(F.transform(words, near))["m"]
+def bare_words(text: Column) -> Column:
+    """The words of a text in capitals, letters only."""
+    return F.transform(x.words_of(text), lambda w: F.regexp_replace(F.upper(w), "[^A-Z]", ""))
+
+
+def with_fuzzy_medicine(rows: DataFrame, text: str, wanted: Column, out: str = "fuzzy", names: DataFrame | None = None) -> DataFrame:
+    """rows with the listed medicine within distance 1 of a word of four letters or more: least distance, then first word, then list order."""
+    names = medicine_names(rows.sparkSession) if names is None else names
+    return with_nearest(rows, text, wanted, bare_words(F.col(text)), names, out)
 
 
 def medicine_before_dose(words: Column) -> Column:
@@ -141,7 +146,8 @@ def plain_number(v: Column) -> Column:
 def recover(df: DataFrame, store: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """df (with missing_fields and format_errors of a validation) with its bad fields repaired. store cuts the plan half way."""
     kept = df.columns
-    df = df.withColumns({"base": base_confidence(), "to_repair": F.array_union("missing_fields", "format_errors"), "words": x.words_of(F.col("joined"))})
+    df = df.withColumns({"base": base_confidence(), "to_repair": F.array_union("missing_fields", "format_errors")})
+    df = with_fuzzy_medicine(df, "joined", is_bad("MEDICINE")).withColumn("words", x.words_of(F.col("joined")))
     text = F.array_join("lines", "\n")
     df = df.withColumns({"dates": good_dates(text), "parts": partial_dates(text), "policy_date": glued_date(text), "policy_part": glued_policy(text)})
 
@@ -153,7 +159,7 @@ def recover(df: DataFrame, store: Callable[[DataFrame, str], DataFrame] | None =
     medicine, dose = glued_medicine(F.col("words"))
     df = repair(df, {"MEDICINE": [(medicine, 0.95)], "DOSAGE": [(dose, 0.95)]})
     # The list comes before the word in front of a dose, which would take a misspelt medicine as it is.
-    df = repair(df, {"MEDICINE": [(fuzzy_medicine(F.col("words")), 0.85), (medicine_before_dose(F.col("words")), 0.8)]})
+    df = repair(df, {"MEDICINE": [(F.col("fuzzy"), 0.85), (medicine_before_dose(F.col("words")), 0.8)]})
 
     df = locate(df.withColumn("_zip", value("ZIP_1")), "r", "words", "_zip", lex.CITIES_RECOVERY)
     head = F.slice("words", F.lit(1), F.greatest(F.col("r_end"), F.lit(0)))

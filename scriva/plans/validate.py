@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from scriva.functions import lexicons as lex
 
 NOISE = r"Available|Availabie|Not|\.png|\.jpg"
-RESULT = ["status", "valid", "errors", "missing_fields", "format_errors"]
+RESULT = ["status", "valid", "errors", "missing_fields", "format_errors", "validity"]
 
 
 @dataclass(frozen=True)
@@ -87,25 +88,40 @@ def rules() -> list[Rule]:
     return out
 
 
+def bits(flags: list[Column]) -> Column:
+    """Flags as the bits of one long, the first one lowest; a flag that is null is not set."""
+    return reduce(lambda a, b: a.bitwiseOR(b), [F.when(f, F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k, f in enumerate(flags)])
+
+
+def bit(number: Column, k: int) -> Column:
+    return number.bitwiseAND(F.lit(1 << k)) != 0
+
+
+def named(number: Column, names: list[str]) -> Column:
+    """The names whose bits are set, in order."""
+    return F.array_compact(F.array(*[F.when(bit(number, k), F.lit(c)) for k, c in enumerate(names)]))
+
+
 def validate(df: DataFrame) -> DataFrame:
-    """df with status, valid, errors, missing_fields and format_errors."""
+    """df with status, valid, errors, missing_fields, format_errors and validity.
+
+    validity has a bit for each mandatory field, in their order, that is set if the field is there and well formed: a snapshot of a
+    record is one number, by which records are counted.
+    """
     some = rules()
-    missing = F.array_compact(F.array(*[F.when(value(c) == "", F.lit(c)) for c in lex.MANDATORY]))
-    # A broken rule is looked up by its place, so that each is evaluated once.
-    df = df.select("*", missing.alias("missing_fields"), F.array(*[(value(r.column) != "") & r.broken for r in some]).alias("_broken"))
+    # Empty fields and broken rules are noted as bits, so that each rule is evaluated once.
+    df = df.select("*", bits([value(c) == "" for c in lex.MANDATORY]).alias("_empty"), bits([(value(r.column) != "") & r.broken for r in some]).alias("_broken"))
+    of_column = {c: reduce(int.__or__, [1 << k for k, r in enumerate(some) if r.column == c], 0) for c in lex.MANDATORY}
+    malformed = bits([F.col("_broken").bitwiseAND(F.lit(of_column[c])) != 0 if of_column[c] else F.lit(False) for c in lex.MANDATORY])
     marked = F.array_compact(F.array(*[F.when(F.col(f"{lex.field(c)}.source") == "fallback", F.lit(c)) for c in lex.COLUMNS]))
-    says = F.array_compact(F.array(*[F.when(F.get("_broken", F.lit(k)), r.message) for k, r in enumerate(some)]))
-    wrong = F.array_compact(F.array(*[F.when(F.get("_broken", F.lit(k)), F.lit(r.column)) for k, r in enumerate(some)]))
+    says = F.array_compact(F.array(*[F.when(bit(F.col("_broken"), k), r.message) for k, r in enumerate(some)]))
+    every = F.lit((1 << len(lex.MANDATORY)) - 1)
+    df = df.withColumns({"missing_fields": named(F.col("_empty"), lex.MANDATORY), "format_errors": named(F.col("_broken"), [r.column for r in some]), "validity": F.bitwise_not(F.col("_empty").bitwiseOR(malformed)).bitwiseAND(every)})
     empty = F.transform("missing_fields", lambda c: F.concat(F.lit("Mandatory field '"), c, F.lit("' is missing or empty.")))
     filled = F.transform(marked, lambda c: F.concat(F.lit("Field '"), c, F.lit("' populated by raw OCR fallback for manual review.")))
-    out = df.select("*", F.concat(empty, says, filled).alias("errors"), wrong.alias("format_errors")).drop("_broken")
+    out = df.withColumn("errors", F.concat(empty, says, filled)).drop("_empty", "_broken")
     return out.withColumn("status", status_of(value("RECORD NO"), value("CUSTOMER NAME"), F.size("errors"))).withColumn("valid", F.col("status") == "PASS")
 
 
 def status_of(record_no: Column, name: Column, n_errors: Column) -> Column:
     return F.when((record_no == "") | (name == ""), "FAIL").when(n_errors > 0, "REVIEW").otherwise("PASS")
-
-
-def validity() -> Column:
-    """For each mandatory field whether it is there and well formed, as an array in their order."""
-    return F.array(*[(value(c) != "") & ~F.array_contains("missing_fields", c) & ~F.array_contains("format_errors", c) for c in lex.MANDATORY])

@@ -99,7 +99,15 @@ scalar("rec_email", f"'to jo' || {num('k')} || '@' || {pick('yah,gma1,hotmial.co
 scalar("rec_default_dosage", pick("valium,XANAX,REDUX,ADIPEX", "k"), recover.default_dose, f"nullif({pick('1MG,0.25MG,,37.5MG', 'k')}, '')")
 scalar("rec_glued_med_dose", f"'x VALIUM' || {D2} || 'mg y'", lambda t: F.concat_ws("|", *recover.glued_medicine(x.words_of(t))), f"'VALIUM|' || {D2} || 'MG'")
 scalar("rec_med_before_dose", f"{pick('ab 5MG,x (Valum) 10mg,7MG', 'k')}", lambda t: recover.medicine_before_dose(x.words_of(t)), f"nullif({pick(',VALUM,', 'k')}, '')")
-scalar("rec_fuzzy_medicine", f"{pick('ALIUM,XANAXX,AMBIN,none,clonazepan,VALIUM', 'k')} || ' of ' || {D2}", lambda t: recover.fuzzy_medicine(x.words_of(t)), f"nullif({pick('VALIUM,XANAX,AMBIEN,,CLONAZEPAM,VALIUM', 'k')}, '')")
+FUZZY_IN = f"{pick('ALIUM,XANAXX,AMBIN,none,clonazepan,VALIUM', 'k')} || ' of ' || {D2}"
+
+
+def _fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.sql(f"SELECT k AS record_id, {FUZZY_IN} AS x FROM ({KEYS}) o", orders=table(spark, sf_dir, "orders"))
+    return recover.with_fuzzy_medicine(rows, "x", F.lit(True), "y").select("record_id", "y")
+
+
+register("rec_fuzzy_medicine", _fuzzy, f"SELECT k AS record_id, nullif({pick('VALIUM,XANAX,AMBIEN,,CLONAZEPAM,VALIUM', 'k')}, '') AS y FROM ({KEYS.format(orders='orders')}) o")
 scalar("rec_policy_no", f"'x SR_' || {num('k')} || 'A' || {DAY}", recover.glued_policy, f"'SR_' || {num('k')} || 'A'")
 scalar("rec_phone", f"{pick('S15,615', 'k')} || '-423-' || {num('k % 10000', 4)}", recover.repaired_phone, f"{pick('815,615', 'k')} || '423' || {num('k % 10000', 4)}")
 scalar("rec_card", pick("a V1SX card,McX,disc,amex,by gas,none", "k"), recover.card_trace, f"nullif({pick('Visa,MasterCard,Discover,American Express,Gas,', 'k')}, '')")
@@ -204,7 +212,7 @@ stage_query("flt_needs_recovery", 0, lambda d: d.where("status <> 'PASS'").selec
 stage_query("val_fallback_mark", 2, lambda d: d.where(F.exists(F.array(*[F.col(f"{f}.source") for f in lex.FIELDS]), lambda s: s.eqNullSafe(F.lit("fallback")))).select("record_id", F.size("errors").alias("n_errors")), f"SELECT k AS record_id, 7 AS n_errors FROM {R} WHERE dmg = 7")
 stage_query("fb_confidence", 2, lambda d: d.where("cost.source = 'fallback'").select("record_id", F.col("cost.confidence").alias("confidence")), f"SELECT k AS record_id, 0.3::DOUBLE AS confidence FROM {R} WHERE dmg = 7")
 stage_query("ext_confidence", 0, lambda d: d.select("record_id", F.col("record_no.confidence").alias("c_record"), F.col("state_1.confidence").alias("c_state"), F.col("city_2.confidence").alias("c_city"), F.col("dosage.confidence").alias("c_dosage")), f"SELECT k AS record_id, 0.9::DOUBLE AS c_record, 0.81::DOUBLE AS c_state, 0.77::DOUBLE AS c_city, CASE WHEN dmg = 6 THEN 0 ELSE 0.9 END::DOUBLE AS c_dosage FROM {R}")
-stage_query("val_field_validity", 0, lambda d: d.select("record_id", F.size(F.filter("valid_1", lambda v: v)).alias("n_valid")), f"SELECT k AS record_id, CASE WHEN dmg < 5 THEN 42 WHEN dmg = 7 THEN 38 ELSE 41 END AS n_valid FROM {R}")
+stage_query("val_field_validity", 0, lambda d: d.select("record_id", F.bit_count("valid_1").alias("n_valid")), f"SELECT k AS record_id, CASE WHEN dmg < 5 THEN 42 WHEN dmg = 7 THEN 38 ELSE 41 END AS n_valid FROM {R}")
 stage_query("flt_is_bad", 0, lambda d: d.withColumn("to_repair", F.array_union("missing_fields", "format_errors")).select("record_id", recover.is_bad("DOSAGE").alias("dose_bad"), recover.is_bad("MEDICINE").alias("medicine_bad")), f"SELECT k AS record_id, dmg = 6 AS dose_bad, dmg = 5 AS medicine_bad FROM {R}")
 
 
@@ -511,7 +519,19 @@ def box_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("src_ocr_boxes", lambda s, d: box_rows(s, d).select("page_idx", "n", "x_min", "x_max", "y_min", "y_max", "center_y", "text", "confidence"), f"SELECT page_idx, n, x_min, x_max, y_min, y_max, (y_min + y_max) / 2 AS center_y, text, confidence FROM {BOX_SQL} b")
-register("box_column_join", lambda s, d: box_rows(s, d).select("page_idx", "n", boxes.column_of((F.col("x_min") + F.col("x_max")) / 2, F.col("width")).alias("col")), f"SELECT page_idx, n, {COLUMN_SQL} AS col FROM {BOX_SQL} b")
+register("box_column_join", lambda s, d: boxes.in_columns(box_rows(s, d)).select("page_idx", "n", "col"), f"SELECT page_idx, n, {COLUMN_SQL} AS col FROM {BOX_SQL} b")
+#: Pages with columns of their own: two to four, of different widths.
+CUTS = "SELECT page_idx, CASE page_idx % 3 WHEN 0 THEN {a}0, 300, 750{z} WHEN 1 THEN {a}40, 260, 500, 720{z} ELSE {a}0, 150, 400, 401, 700{z} END AS cuts FROM {pages}"
+
+
+def _own_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = box_rows(spark, sf_dir)
+    cuts = spark.sql(CUTS.replace("{a}", "array(").replace("{z}", ")"), pages=rows.select("page_idx").distinct())
+    return boxes.in_columns(rows, boxes.cut_columns(cuts)).select("page_idx", "n", "col")
+
+
+register("box_own_columns", _own_columns, f"""SELECT b.page_idx, b.n, CAST((SELECT min(i) FROM range(1, 5) r(i) WHERE i < len(cuts) AND x_min + w / 2 BETWEEN cuts[i] AND cuts[i + 1]) - 1 AS INT) AS col
+FROM {BOX_SQL} b JOIN ({CUTS.replace('{a}', '[').replace('{z}', ']').replace('{pages}', '(SELECT DISTINCT page_idx FROM ' + BOX_SQL + ' q)')}) c ON b.page_idx = c.page_idx""")
 register("box_mean_conf", lambda s, d: box_rows(s, d).groupBy("page_idx").agg(F.bround(F.avg("confidence"), 6).alias("mean_confidence")), f"SELECT page_idx, round(avg(confidence), 6) AS mean_confidence FROM {BOX_SQL} b GROUP BY page_idx")
 register("agg_group_min_max", lambda s, d: box_rows(s, d).groupBy("page_idx").agg(F.min("y_min").alias("top"), F.max("y_max").alias("bottom"), F.avg("center_y").alias("middle")), f"SELECT page_idx, min(y_min) AS top, max(y_max) AS bottom, avg((y_min + y_max) / 2) AS middle FROM {BOX_SQL} b GROUP BY page_idx")
 ANCHOR_SQL = f"""(SELECT page_idx, col, band, min(y_min) AS anchor_y FROM (SELECT *, {COLUMN_SQL} AS col FROM {BOX_SQL} b) c JOIN (VALUES (0, 0.10, 0.35), (1, 0.35, 0.65), (2, 0.60, 0.90)) v(band, lo, hi) ON y_min BETWEEN CAST(lo * 1000 AS INT) AND CAST(hi * 1000 AS INT)
@@ -713,14 +733,36 @@ FROM (SELECT k AS record_id, least(1::DOUBLE, height::DOUBLE / greatest(40, heig
 stage_query("prices_agree", 2, lambda d: d.select("record_id", recover.prices_agree().alias("agree")), f"SELECT k AS record_id, CASE WHEN dmg <> 7 THEN true END AS agree FROM {R}")
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Record texts, some of them missing, arrive as files and are routed by a stream; where each went, and its status in the log."""
+def _streamed(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> str:
+    """Record texts, some of them missing, arrive as files and are routed by a stream; the place of what it wrote."""
     rows = fixtures.record_text(spark, sf_dir).withColumn("text", F.when(F.col("record_id") % 41 != 7, F.col("text")))
     place = store(rows, "stream-source")
-    route.route(spark, place, place + "-out").awaitTermination()
-    parts = [spark.read.parquet(f"{place}-out/{name}").select("record_id", F.lit(name).alias("sink")) for name in ("accepted", "review")]
-    log = spark.read.parquet(f"{place}-out/log").select("record_id", F.col("STATUS").alias("status"))
+    route.route(spark, place, place + "-out", files_per_batch).awaitTermination()
+    return place + "-out"
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each record went, and its status in the log."""
+    out = _streamed(spark, sf_dir)
+    parts = [spark.read.parquet(f"{out}/{name}").select("record_id", F.lit(name).alias("sink")) for name in ("accepted", "review")]
+    log = spark.read.parquet(f"{out}/log").select("record_id", F.col("STATUS").alias("status"))
     return parts[0].unionByName(parts[1]).join(log, "record_id")
 
 
 register("stream_route", _stream, f"SELECT k AS record_id, CASE WHEN dmg = 7 OR k % 41 = 7 THEN 'review' ELSE 'accepted' END AS sink, CASE WHEN k % 41 = 7 THEN 'ERROR' WHEN dmg = 7 THEN 'REVIEW' ELSE 'PASS' END AS status FROM {R}")
+
+
+def _stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics of a stream of several batches, from the counters of its batches: fields, summary and root causes."""
+    n_files = 4
+    counted = route.counted(spark, _streamed(spark, sf_dir, n_files))
+    fields = metrics.recovery_of(counted).select(F.lit("field").alias("of"), F.col("field").alias("name"), "extracted", "recovered", "failed")
+    totals = metrics.summary_of(counted).select(F.lit("records").alias("of"), F.lit("all").alias("name"), F.col("passed").alias("extracted"), F.lit(0).cast("long").alias("recovered"), "failed")
+    causes = metrics.root_causes_of(counted).select(F.lit("cause").alias("of"), F.col("cause").alias("name"), F.lit(0).cast("long").alias("extracted"), F.lit(0).cast("long").alias("recovered"), F.col("n").alias("failed"))
+    return fields.unionByName(totals).unionByName(causes)
+
+
+READ_COUNTS = COUNTS.replace(f"FROM {R}", f"FROM {R} WHERE k % 41 <> 7")
+register("stream_metrics", _stream_metrics, f"""SELECT 'field' AS "of", field AS name, extracted, recovered, failed FROM {METRICS.replace(COUNTS, READ_COUNTS)}
+UNION ALL SELECT 'records', 'all', n - d7, 0, d7 + lost FROM {READ_COUNTS}, (SELECT count(*) AS lost FROM {R} WHERE k % 41 = 7) l
+UNION ALL SELECT 'cause', 'other', 0, 0, count(*) FROM {R} WHERE dmg = 7 OR k % 41 = 7""")
