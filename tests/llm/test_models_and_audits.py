@@ -194,3 +194,59 @@ def test_exact_sums_where_longs_overflow():
     y = np.array([[2**61, 1], [2**61, 2], [2**61, 3], [2**61, 4]])
     assert whitening.total(y) == [2**63, 10]
     assert whitening.spread(y, 4, [2**63, 10]).tolist() == [[0, -6], [0, -2], [0, 2], [0, 6]]
+
+
+def test_language_by_plain_loops():
+    """The network's prediction against loops over windows, filters and bytes."""
+    import pyarrow as pa
+
+    from scriva.llm import langid
+
+    net = langid.ByteConvNet(["de", "en", "fr"], seed=9)
+    texts = ["short", "Straße und Brücke", "a" * 128, "x y z " * 60]
+    names, scores = langid.labels(net, pa.array([*texts, None]))
+    span = max(langid.WIDTHS)
+    conv = net.p["conv"].reshape(span, langid.EMBED, -1).astype(float)
+    for text, name, score in zip(texts, names, scores):
+        raw = text.encode().ljust(langid.WINDOW, b" ")
+        starts = sorted({*range(0, len(raw) - langid.WINDOW + 1, langid.WINDOW - span + 1), len(raw) - langid.WINDOW})
+        each = []
+        for s in starts:
+            e = [net.p["embed"][b].astype(float) for b in raw[s : s + langid.WINDOW]]
+            best = [max(sum(float(e[p + k] @ conv[k, :, f]) for k in range(span)) for p in range(langid.WINDOW - span + 1)) for f in range(conv.shape[2])]
+            hidden = np.maximum(np.array(best) + net.p["bias"], 0)
+            x = hidden @ net.p["out"] + net.p["shift"]
+            each.append(np.exp(x - x.max()) / np.exp(x - x.max()).sum())
+        p = np.array(each)
+        k = int(np.log(p + 1e-9).sum(0).argmax())
+        assert name == net.langs[k] and abs(score - p[:, k].mean()) < 1e-4
+    assert names[-1] == "und" and scores[-1] == 0
+
+
+def test_pipeline_cases(spark, tmp_path):
+    """Null and repeated ids, null and empty texts, repeated rows, an empty table; tokens by the library itself."""
+    import hashlib
+
+    import tokenizers
+
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    near, leak = prose(80), prose(12)
+    rows = [(None, prose(30)), (None, prose(30)), (1, None), (2, ""), (3, "12 34 !"), (4, "One two."), (4, "One two."), (5, "One  two."), (6, near), (7, near + " end"), (7, "other words here"), (8, f"{prose(9)} {leak} {prose(9)}")]
+    table = spark.createDataFrame([(d, t, "en", None, 0, "x") for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long, row string").repartition(3)
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, leak), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    coder = tokenizers.Tokenizer.from_file("/opt/tokenizers/word_bpe_49k.json")
+    coder.no_truncation()
+    coder.no_padding()
+    want = []
+    for d, t in [rows[0], rows[1], (5, "One  two."), (6, near), (7, "other words here")]:
+        ids = coder.encode(t, add_special_tokens=False).ids
+        want.append((d, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()))
+    assert sorted(((r["doc_id"], r["n_tokens"], r["ids_sha256"]) for r in got), key=repr) == sorted(want, key=repr)
+    table.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/none/benchmark.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
