@@ -2,6 +2,10 @@
 
 Each stage reads all that the one before kept; all but the last return the columns of documents. Stages are written to the
 shared folder as Parquet and read again, so a lost executor costs the tasks of one stage at most.
+
+Defined cases: a row is decided by itself or by its text, so that null and repeated doc_ids are allowed. Null and empty texts and
+texts without a letter go in the stage language. Of equal texts the one with the most code points stays, then the least doc_id; of
+near copies the least doc_id (null last), once. An empty table gives an empty result. Further columns are kept up to the last stage.
 """
 
 from __future__ import annotations
