@@ -352,6 +352,22 @@ mended_query(
     "rec_medical_flags", {c: (v, f) for c, v, f in (("ALCOHOLIC", "CASE WHEN k % 2 = 0 THEN 'YES' ELSE 'NO' END", "0.9"), ("SMOKER", "'NO'", "0.9"), ("PAST SURG", "'NO'", "1.0"), ("DIABETIC", pick("NO,YES", "c"), "0.9"), ("ALLERGIESED", "CASE WHEN k % 3 = 0 THEN '' ELSE 'YES' END", "CASE WHEN k % 3 = 0 THEN 0 ELSE 0.9 END"))},
     values={"ALCOHOLIC": NONE, "SMOKER": NONE, "DIABETIC": NONE, "ALLERGIESED": NONE}, shipper=f"'Oscar' || chr(10) || {pick('YE5,N0', 'k')} || ' NOI maybe no'", policy=f"{pick('INO,Y1S', 'c')} || CASE WHEN k % 3 = 0 THEN '' ELSE ' x YES' END || chr(10) || 'NO'",
 )
+mended_query("rec_policy_stage", {"POLICY NO": (f"'SR_' || {num('k')} || 'A'", "0.95"), "DOB": ("'05/06/1960'", "1.0")}, values={"POLICY NO": NONE}, text=f"'x SR_' || {num('k')} || 'A' || {DAY}")
+PHONE_READ, PHONE_END = pick("S15,615", "k"), f"'-423-' || {num('k % 10000', 4)}"
+mended_query(
+    "rec_phone_stage", {"PH_NO1": (f"'(' || {pick('815,615', 'k')} || ') 423-' || {num('k % 10000', 4)}", "0.9"), "PH_NO2": (f"{pick('815,615', 'k')} || '423' || {num('k % 10000', 4)}", "0.9")},
+    values={"PH_NO1": NONE, "PH_NO2": NONE}, text=f"'call ' || {PHONE_READ} || {PHONE_END} || ' now'",
+)
+mended_query("rec_card_stage", {"CARD NAME": (pick("Visa,MasterCard,Discover,American Express,Gas,", "k"), "CASE WHEN k % 6 = 5 THEN 0 ELSE 0.9 END")}, values={"CARD NAME": NONE}, text=pick("a V1SX card,McX,disc,amex,by gas,none", "k"))
+mended_query("rec_blood_stage", {"BLOOD GP": (pick("O+,B-,O+,AB+,X+,B-", "k"), "CASE WHEN k % 6 IN (3, 4) THEN 1.0 ELSE 0.9 END")}, values={"BLOOD GP": pick("C+,8-,0+,AB+,X+,E-", "k")})
+mended_query("rec_glued_stage", {"MEDICINE": (pick("VALIUM,XANAX", "c"), "0.95"), "DOSAGE": (f"{D2} || 'MG'", "0.95")}, values={"MEDICINE": NONE, "DOSAGE": NONE}, text=f"'x ' || {pick('VALIUM,Xanax', 'c')} || {D2} || 'mg y'")
+mended_query("rec_before_dose_stage", {"MEDICINE": (pick(",QWERTY,VALIUM", "k"), "CASE k % 3 WHEN 0 THEN 0 WHEN 1 THEN 0.8 ELSE 0.85 END"), "DOSAGE": ("'5MG'", "1.0")}, values={"MEDICINE": NONE}, text=pick("ab 5MG,x (Qwerty) 10mg,Qwerty 10mg Valum", "k"))
+GAPS = {"PILL RATE": "'$1.00'", "COST": "'$90.00'", "SHIPPING CO": "'$20.00'", "TOTAL AMT": "'$110.00'", "TABLETS": "'90'"}
+mended_query("rec_price_stage", {c: (v, f"CASE WHEN k % 5 = {g} THEN 0.98 ELSE 1.0 END") for g, (c, v) in enumerate(GAPS.items())}, values={c: f"CASE WHEN k % 5 <> {g} THEN {v} END" for g, (c, v) in enumerate(GAPS.items())})
+mended_query(
+    "rec_sex_copied", {"SEX_1": ("CASE WHEN k % 2 = 0 THEN 'FEMALE' ELSE '' END", "CASE WHEN k % 2 = 0 THEN 0.75 ELSE 0 END"), "SEX_2": ("'FEMALE'", "1.0")},
+    values={"SEX_1": NONE, "CUSTOMER NAME": "'Zed Xu'", "NAME_P_HOLDER": pick("Zed Xu Qi,Quux Bo", "k")},
+)
 scalar("rec_flag_words", f"'N0 yes ' || {pick('NO,YE5,NOI', 'k')} || ' x INO'", lambda t: F.array_join(x.yes_no(x.words_of(t)), ","), f"'NO,YES,' || {pick('NO,YES,NO', 'k')} || ',NO'")
 scalar("rec_date_finder", f"'on ' || {DAY} || ' and 1/2/1950 9/8/70'", lambda t: F.concat_ws("|", *[F.get(recover.good_dates(t), F.lit(i)) for i in range(3)]), f"{DAY} || '|01/02/1950|09/08/70'")
 
