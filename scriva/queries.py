@@ -402,6 +402,10 @@ lesser("ext_prices_few", FEWER_PRICES, {
 })
 lesser("ext_defaults", NO_COUNTRY, {"COUNTRY_1": ("'US'", "0.54"), "COUNTRY_2": ("'US'", "0.54"), "SEX_2": ("sex2", "0.72"), "D BIRTH": ("born", "0.9")})
 
+lesser("ext_medication_anywhere", {8: "phone2 || ' ' || flag0 || ' ' || flag1 || ' ' || card || ' ' || med || ' ' || dose", 12: "''", 13: "''"}, {"CARD NAME": ("card", "0.63"), "MEDICINE": ("med", "0.63"), "DOSAGE": ("dose", "0.63"), "TOTAL AMT": ("''", "0")})
+lesser("ext_policy_anywhere", {1: "mail || ' ' || policy", 9: "insured || ' $' || premium"}, {"POLICY NO": ("policy", "0.63"), "STM NAME": ("stamp", "0.9")})
+lesser("ext_blood_lone", {5: f"height || ' ' || weight || ' ' || {pick('+,A,O', 'k')}"}, {"BLOOD GP": (pick("B+,A+,O+", "k"), "0.72"), "HEIGHT": ("height", "0.9"), "WEIGHT": ("weight", "0.9")})
+
 # ---- metrics, routing and sinks
 FAILED_FIELDS = "('PILL RATE', 'COST', 'SHIPPING CO', 'TOTAL AMT')"
 FIELD_ROWS = ", ".join(f"({k}, '{c}')" for k, c in enumerate(lex.MANDATORY))

@@ -54,7 +54,7 @@ def duck():
     return con
 
 
-SOME = ["norm_stamp", "norm_token_subst", "clean_split_email", "fix_state_word", "val_name_noise", "line_cluster_1d", "line_snap_nearest", "div_default_fill", "seg_plan", "seg_merge_rule", "crop_qa", "snap_bounds", "box_line_text", "src_natural_sort", "val_date", "sec_assign", "agg_review_categories", "err_quarantine", "rec_reverse_address", "column_islands", "rec_fuzzy_medicine", "box_column_join", "box_anchor_pick", "box_own_columns", "val_field_validity", "stream_metrics", "rec_price_algebra", "agg_recovery_metrics", "fb_line_map", "rec_policy_stage", "rec_phone_stage", "rec_card_stage", "rec_blood_stage", "rec_glued_stage", "rec_before_dose_stage", "rec_price_stage", "rec_sex_copied"]
+SOME = ["norm_stamp", "norm_token_subst", "clean_split_email", "fix_state_word", "val_name_noise", "line_cluster_1d", "line_snap_nearest", "div_default_fill", "seg_plan", "seg_merge_rule", "crop_qa", "snap_bounds", "box_line_text", "src_natural_sort", "val_date", "sec_assign", "agg_review_categories", "err_quarantine", "rec_reverse_address", "column_islands", "rec_fuzzy_medicine", "box_column_join", "box_anchor_pick", "box_own_columns", "val_field_validity", "stream_metrics", "rec_price_algebra", "agg_recovery_metrics", "fb_line_map", "rec_policy_stage", "rec_phone_stage", "rec_card_stage", "rec_blood_stage", "rec_glued_stage", "rec_before_dose_stage", "rec_price_stage", "rec_sex_copied", "ext_medication_anywhere", "ext_policy_anywhere", "ext_blood_lone"]
 
 
 @pytest.mark.parametrize("name", SOME)
