@@ -32,17 +32,18 @@ def bounds(df: DataFrame, polygon: str = "polygon") -> DataFrame:
     return df.withColumn("center_y", (F.col("y_min") + F.col("y_max")) / 2)
 
 
-def within(rows: DataFrame, at: Column, intervals: DataFrame, keys: list[str], out: str, strip: float = 64.0) -> DataFrame:
+def within(rows: DataFrame, at: Column, intervals: DataFrame, keys: list[str], out: str, strip: float = 64.0, few: bool = False) -> DataFrame:
     """rows with `out`: the numbers of the intervals (keys, no, low, high) of a row's keys that hold its place `at`, in order.
 
     An interval join by strips: an interval is in every strip that it touches, a row in one, and both meet by keys and strip. The
     intervals of a strip are one row, so that rows are neither multiplied nor grouped again. An interval holds both its ends; rows
-    that meet none have an empty array, and null keys, places and ends meet nothing.
+    that meet none have an empty array, and null keys, places and ends meet nothing. few: the intervals are those of page sizes, a
+    bounded number, and are broadcast; others, whose size Spark can't tell before they are made, are sorted and merged.
     """
     touched = F.sequence(F.floor(F.col("low") / strip), F.floor(F.col("high") / strip))
     known = intervals.where("low <= high").select(*keys, F.explode(touched).alias("_strip"), F.struct("no", "low", "high").alias("_one"))
     known = known.groupBy(*keys, "_strip").agg(F.array_sort(F.collect_list("_one")).alias("_held"))
-    met = rows.withColumns({"_at": at, "_strip": F.floor(at / strip)}).join(known, [*keys, "_strip"], "left")
+    met = rows.withColumns({"_at": at, "_strip": F.floor(at / strip)}).join(known.hint("broadcast" if few else "merge"), [*keys, "_strip"], "left")
     hits = F.transform(F.filter(F.coalesce("_held", F.array().cast("array<struct<no:int,low:double,high:double>>")), lambda i: F.col("_at").between(i["low"], i["high"])), lambda i: i["no"])
     return met.withColumn(out, hits).select(*rows.columns, out)
 
@@ -69,8 +70,9 @@ def cut_columns(cuts: DataFrame, key: str = "page_idx") -> DataFrame:
 
 def in_columns(boxes: DataFrame, columns: DataFrame | None = None, keys: list[str] | None = None) -> DataFrame:
     """boxes with col: the first column that holds the box's centre, or null. columns: those of the boxes' keys, else the usual ones."""
-    columns, keys = (usual_columns(boxes), ["width"]) if columns is None else (columns, keys or ["page_idx"])
-    return within(boxes, (F.col("x_min") + F.col("x_max")) / 2, columns, keys, "_cols").withColumn("col", F.get("_cols", F.lit(0))).drop("_cols")
+    few = columns is None
+    columns, keys = (usual_columns(boxes), ["width"]) if few else (columns, keys or ["page_idx"])
+    return within(boxes, (F.col("x_min") + F.col("x_max")) / 2, columns, keys, "_cols", few=few).withColumn("col", F.get("_cols", F.lit(0))).drop("_cols")
 
 
 def group_lines(boxes: DataFrame, *keys: str) -> DataFrame:
@@ -175,9 +177,11 @@ def anchors(boxes: DataFrame, columns: DataFrame | None = None, keys: list[str]
     boxes: page_idx, width, height, x_min, x_max, y_min, text; columns (keys, no, low, high): those of the pages, else the usual
     ones. Bands overlap, so a box may count in two.
     """
-    columns, keys = (usual_columns(boxes), ["width"]) if columns is None else (columns, keys or ["page_idx"])
-    placed = in_columns(boxes.where(F.col("text").rlike(ANCHOR)), columns, keys).where("col is not null")
+    few = columns is None
+    marked = boxes.where(F.col("text").rlike(ANCHOR))
+    placed = in_columns(marked, columns, keys).where("col is not null")
+    columns, keys = (usual_columns(marked), ["width"]) if few else (columns, keys or ["page_idx"])
     left = columns.select(*keys, F.col("no").alias("col"), F.col("low").alias("_left"))
-    found = placed.join(left, [*keys, "col"]).where(is_record_anchor(F.col("text"), F.col("x_min"), F.col("_left"), scaled(40, F.col("width") / PAGE_W)))
-    each = within(found, F.col("y_min"), usual_bands(boxes), ["height"], "_bands").withColumn("band", F.explode("_bands"))
+    found = placed.join(left.hint("broadcast" if few else "merge"), [*keys, "col"]).where(is_record_anchor(F.col("text"), F.col("x_min"), F.col("_left"), scaled(40, F.col("width") / PAGE_W)))
+    each = within(found, F.col("y_min"), usual_bands(marked), ["height"], "_bands", few=True).withColumn("band", F.explode("_bands"))
     return each.groupBy("page_idx", "col", "band").agg(F.min("y_min").alias("anchor_y"))

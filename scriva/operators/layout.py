@@ -101,7 +101,9 @@ def snap_bounds(segments: DataFrame, boxes: DataFrame) -> DataFrame:
     """
     sx, sy = F.col("width") / PAGE_W, F.col("height") / PAGE_H
     b = boxes.select("page_idx", F.col("x_min").alias("bx1"), F.col("x_max").alias("bx2"), F.col("y_min").alias("by1"), F.col("y_max").alias("by2"), F.trim("text").alias("btext"))
-    j = segments.join(b, "page_idx", "left")
+    # Boxes of other texts can't be a bound. No broadcast: Spark takes boxes that it makes itself for few.
+    b = b.where(F.col("btext").rlike(r"\b\d{5}\b") | is_available(F.col("btext")))
+    j = segments.join(b.hint("merge"), "page_idx", "left")
     inside = ((F.col("bx1") + F.col("bx2")) / 2).between(F.col("x1") - scaled(10, sx), F.col("x2") + scaled(10, sx))
     rec = inside & F.col("btext").rlike(r"\b\d{5}\b") & (F.col("bx1") - F.col("x1") <= scaled(50, sx)) & (F.abs(F.col("by1") - F.col("y1")) <= scaled(50, sy))
     avail = inside & is_available(F.col("btext")) & (F.abs(F.col("by2") - F.col("y2")) <= scaled(50, sy))
@@ -122,7 +124,9 @@ def segment_anchors(segments: DataFrame, boxes: DataFrame) -> DataFrame:
     sx, sy = F.col("width") / PAGE_W, F.col("height") / PAGE_H
     e = F.array(*edges(F.col("width")))
     b = boxes.select("page_idx", ((F.col("x_min") + F.col("x_max")) / 2).alias("bx"), F.col("y_min").alias("by1"), F.col("y_max").alias("by2"), F.trim("text").alias("btext"))
-    j = segments.withColumn("_c", nearest_column(F.col("x1"), F.col("width"))).join(b, "page_idx", "left")
+    # Boxes of other texts are no anchors. No broadcast: Spark takes boxes that it makes itself for few.
+    b = b.where(F.col("btext").rlike(r"\b\d{5}\b") | is_available(F.col("btext")))
+    j = segments.withColumn("_c", nearest_column(F.col("x1"), F.col("width"))).join(b.hint("merge"), "page_idx", "left")
     inside = F.col("bx").between(F.get(e, F.col("_c")) - scaled(15, sx), F.get(e, F.col("_c") + 1) + scaled(15, sx))
     rec = inside & F.col("btext").rlike(r"\b\d{5}\b") & (F.abs(F.col("by1") - F.col("y1")) <= scaled(60, sy))
     low = (F.col("by2") > F.col("y1") + scaled(100, sy)) & (F.col("by2") <= F.col("y2") + scaled(10, sy))

@@ -691,7 +691,7 @@ def _quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
     blank = F.size(F.filter(F.array(*[F.col(f"`{c}`") for c in lex.COLUMNS]), lambda v: v == ""))
     review = sinks.failed_review(failed).select("record_id", blank.alias("n_blank"), "VALIDATION_ERRORS")
     log = sinks.failed_log(failed).select("record_id", F.col("RECORD_NO").alias("record_no"), F.col("STATUS").alias("status"), F.col("ERRORS").alias("errors"), F.col("TIMESTAMP").rlike(STAMP_FORM).alias("stamped"))
-    return log.join(review, "record_id")
+    return log.join(review.hint("merge"), "record_id")
 
 
 STAMP_FORM = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"

@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from scriva import queries
 from scriva.operators import boxes, layout
 
 
@@ -75,3 +76,21 @@ def test_boxes_to_lines(spark):
     odd = spark.createDataFrame([{"page": 1, "n": k, "x_min": None, "y_min": None, "y_max": 3.0, "center_y": None, "text": "t", "confidence": None} for k in range(2)], schema)
     assert [(r["lines"], r["mean_confidence"]) for r in boxes.group_lines(odd, "page").collect()] == [(["t", "t"], None)]
     assert boxes.group_lines(table.limit(0), "page").count() == 0
+
+
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_boxes_that_spark_makes_are_not_broadcast(spark):
+    for name in ("seg_anchor_check", "seg_merge_rule", "err_quarantine", "snap_bounds", "box_own_columns"):
+        assert "Broadcast" not in planned(queries.QUERIES[name](spark, "/root/testdata/sf0.001")), name
+
+
+def test_columns_of_page_sizes_are_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("box_column_join", "box_anchor_pick"):
+            assert "SortMergeJoin" not in planned(queries.QUERIES[name](spark, "/root/testdata/sf0.001")), name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
