@@ -80,15 +80,21 @@ def columns(profile: DataFrame, widths: DataFrame, key: str = "image_id", ratio:
     return widths.join(strips, key, "left").select(key, F.when(F.col("mids").isNull(), thirds).otherwise(cuts).alias("cuts"))
 
 
+def three_rows(ink: str, *keys: str, at: str = "row") -> Column:
+    """The sum of a row and its two neighbours; rows beyond the edge count as 0."""
+    return F.sum(ink).over(Window.partitionBy(*keys).orderBy(at).rowsBetween(-1, 1))
+
+
 def moving_mean(ink: str, *keys: str, at: str = "row") -> Column:
     """Three-row centred mean; rows beyond the edge count as 0."""
-    return F.sum(ink).over(Window.partitionBy(*keys).orderBy(at).rowsBetween(-1, 1)) / 3.0
+    return three_rows(ink, *keys, at=at) / 3.0
 
 
 def snap_whitespace(profile: DataFrame, points: DataFrame, key: str = "image_id", reach: int = 12) -> DataFrame:
     """points (key, y) with snapped: the row within reach that has least smoothed ink plus 8 for each row of distance."""
     near = points.join(profile, key).where((F.col("row") >= F.col("y") - reach) & (F.col("row") < F.col("y") + reach))
-    near = near.withColumn("_s", moving_mean("ink", key, "y") + 8.0 * F.abs(F.col("row") - F.col("y")))
+    # Three times the mean and the distance, so that whole numbers are summed and equal rows are equal: thirds are rounded.
+    near = near.withColumn("_s", three_rows("ink", key, "y") + 24 * F.abs(F.col("row") - F.col("y")))
     best = near.groupBy(key, "y").agg(F.min(F.struct("_s", "row")).alias("_b"))
     return points.join(best, [key, "y"], "left").select(key, "y", F.coalesce("_b.row", "y").alias("snapped"))
 

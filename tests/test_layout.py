@@ -94,3 +94,10 @@ def test_columns_of_page_sizes_are_broadcast(spark):
             assert "SortMergeJoin" not in planned(queries.QUERIES[name](spark, "/root/testdata/sf0.001")), name
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_whitespace_of_equal_worth_goes_to_the_first_row(spark):
+    ink = {49: 50, 50: 30, 51: 20, 52: 26}  # 100 / 3 at 50, and 76 / 3 + 8 at 51
+    profile = spark.createDataFrame([(1, r, ink.get(r, 500)) for r in range(100)], "image_id int, row int, ink int")
+    points = spark.createDataFrame([(1, 50), (2, 7)], "image_id int, y int")
+    assert {(r["image_id"], r["snapped"]) for r in layout.snap_whitespace(profile, points).collect()} == {(1, 50), (2, 7)}
