@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,20 +117,86 @@ def key_starts(table: pa.Table, keys: tuple[str, ...]) -> list[int]:
 
 def swept(table: pa.Table, keys: tuple[str, ...], cuts: list[int]) -> pa.RecordBatch:
     """One row for each key of a table that is sorted by key, centre and number."""
-    low, high, left, number, text, confidence = (table.column(c).to_pylist() for c in ("y_min", "y_max", "x_min", "n", "text", "confidence"))
-    lines, means = [], []
-    for a, b in zip(cuts, [*cuts[1:], table.num_rows], strict=True):
-        of = line_numbers(low[a:b], high[a:b])
-        order = sorted(range(a, b), key=lambda i: (of[i - a], left[i] is not None, left[i], number[i] is not None, number[i]))
-        words: list[list[str]] = [[] for _ in range(max(of) + 1)]
-        for i in order:
-            if text[i] is not None:
-                words[of[i - a]].append(text[i])
-        lines.append([" ".join(w) for w in words])
-        known = [c for c in confidence[a:b] if c is not None]
-        means.append(sum(known) / len(known) if known else None)
+    n = table.num_rows
+    key = np.repeat(np.arange(len(cuts)), np.diff([*cuts, n]))
+    low, high = floats(table, "y_min"), floats(table, "y_max")
+    line, firsts = lines_of_keys(key, low, high, cuts)
+    left, number = floats(table, "x_min"), table.column("n").combine_chunks()
+    no_number = np.asarray(number.is_null())
+    order = np.lexsort((number.fill_null(0).to_numpy(zero_copy_only=False), ~no_number, np.nan_to_num(left), ~np.isnan(left), line))
+    text = table.column("text").combine_chunks().take(pa.array(order))
+    some = np.asarray(text.is_valid())
+    words = np.concatenate([[0], np.cumsum(np.bincount(line[order][some], minlength=firsts[-1]))]).astype(np.int32)
+    said = pc.binary_join(pa.ListArray.from_arrays(pa.array(words), text.filter(pa.array(some)).cast(pa.string())), " ")
+    lines = pa.ListArray.from_arrays(pa.array(firsts.astype(np.int32)), said)
+    confidence = floats(table, "confidence")
+    known = ~np.isnan(confidence)
+    count = np.bincount(key[known], minlength=len(cuts))
+    total = np.bincount(key[known], confidence[known], minlength=len(cuts))
+    means = pa.array(total / np.maximum(count, 1), mask=count == 0)
     out = [table.column(k).combine_chunks().take(pa.array(cuts)) for k in keys]
-    return pa.RecordBatch.from_arrays([*out, pa.array(lines, pa.list_(pa.string())), pa.array(means, pa.float64())], names=[*keys, "lines", "mean_confidence"])
+    return pa.RecordBatch.from_arrays([*out, lines, means], names=[*keys, "lines", "mean_confidence"])
+
+
+def floats(table: pa.Table, column: str) -> np.ndarray:
+    """A column of numbers, nan where it is null."""
+    return table.column(column).combine_chunks().cast(pa.float64()).to_numpy(zero_copy_only=False)
+
+
+def lines_of_keys(key: np.ndarray, low: np.ndarray, high: np.ndarray, cuts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(the line of each box, numbered through all keys; the first line of each key, and how many there are).
+
+    Where a box and all behind it on its page begin after all boxes before it have ended, none of them meets an earlier line. Between
+    two such places there is mostly one line, which all boxes overlap as they should; where not, these boxes are swept one by one.
+    """
+    rank = np.unique(high, return_inverse=True)[1].astype(np.int64)
+    step = len(high) + 1
+    reach = np.maximum.accumulate(rank + key * step) - key * step  # the rank of the lowest end so far on the page
+    ends = np.empty_like(high)
+    ends[rank] = high
+    _, up = np.unique(-low, return_inverse=True)
+    tops = np.empty_like(low)
+    tops[up] = low
+    back = (len(cuts) - 1 - key[::-1]) * step
+    ahead = tops[(np.maximum.accumulate(up[::-1].astype(np.int64) + back) - back)[::-1]]  # the top of all boxes from here on
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (ahead[1:] >= ends[reach[:-1]])
+    block = np.cumsum(new) - 1
+    at = np.flatnonzero(new)
+    # What the line of a block, if it is one, has reached before each box.
+    top = tops[np.maximum.accumulate(up.astype(np.int64) + block * step) - block * step]
+    bottom = ends[np.maximum.accumulate(rank + block * step) - block * step]
+    inside = ~new
+    inside[1:] &= ~new[1:]
+    i = np.flatnonzero(inside)
+    least = np.minimum(high[i] - low[i], bottom[i - 1] - top[i - 1])
+    joins = (least > 0) & (np.minimum(high[i], bottom[i - 1]) - np.maximum(low[i], top[i - 1]) >= 0.5 * least)
+    odd = np.zeros(len(at), bool)
+    odd[block[i[~joins]]] = True
+    # A page with a box without bounds is swept as a whole.
+    unknown = np.zeros(len(cuts), bool)
+    unknown[key[np.isnan(low) | np.isnan(high)]] = True
+    within = np.zeros(len(key), np.int64)  # the line of a box in its block
+    lines = np.ones(len(at), np.int64)  # the lines of each block
+    stop = np.append(at[1:], len(key))
+    for b in np.flatnonzero(odd & ~unknown[key[at]]).tolist():
+        numbers = line_numbers(low[at[b] : stop[b]].tolist(), high[at[b] : stop[b]].tolist())
+        within[at[b] : stop[b]] = numbers
+        lines[b] = max(numbers) + 1
+    first = np.cumsum(lines) - lines
+    line = within + first[block]
+    per_key = np.bincount(key[at], lines, minlength=len(cuts)).astype(np.int64)
+    if unknown.any():
+        starts = np.cumsum(per_key) - per_key
+        line -= starts[key]
+        ends_at = [*cuts[1:], len(key)]
+        for k in np.flatnonzero(unknown).tolist():
+            a, b = cuts[k], ends_at[k]
+            bounds_of = [[None if v != v else v for v in side[a:b].tolist()] for side in (low, high)]
+            line[a:b] = line_numbers(*bounds_of)
+            per_key[k] = line[a:b].max() + 1
+        line += (np.cumsum(per_key) - per_key)[key]
+    return line, np.concatenate([[0], np.cumsum(per_key)])
 
 
 def line_numbers(low: list[float | None], high: list[float | None]) -> list[int]:

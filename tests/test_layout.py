@@ -3,6 +3,8 @@
 import bisect
 import random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from scriva import queries
@@ -101,3 +103,16 @@ def test_whitespace_of_equal_worth_goes_to_the_first_row(spark):
     profile = spark.createDataFrame([(1, r, ink.get(r, 500)) for r in range(100)], "image_id int, row int, ink int")
     points = spark.createDataFrame([(1, 50), (2, 7)], "image_id int, y int")
     assert {(r["image_id"], r["snapped"]) for r in layout.snap_whitespace(profile, points).collect()} == {(1, 50), (2, 7)}
+
+
+def test_plain_lines_are_not_swept_box_by_box(monkeypatch):
+    rows = [(p, 20.0 * ln + w % 3, 20.0 * ln + w % 3 + 10, 10.0 * w, 100 * ln + w, None if w == 2 else f"w{w}", 0.5) for p in (1, 2) for ln in range(4) for w in range(5)]
+    rows.sort(key=lambda r: (r[0], r[1] + r[2], r[4]))
+    table = pa.table(dict(zip(("page", "y_min", "y_max", "x_min", "n", "text", "confidence"), map(list, zip(*rows)))))
+    swept_rows = []
+    whole = boxes.line_numbers
+    monkeypatch.setattr(boxes, "line_numbers", lambda low, high: swept_rows.append(len(low)) or whole(low, high))
+    got = boxes.swept(table, ("page",), [0, 20]).to_pylist()
+    assert got == [{"page": p, "lines": ["w0 w1 w3 w4"] * 4, "mean_confidence": 0.5} for p in (1, 2)] and swept_rows == []
+    low, high = np.array([0.0, 20, 30, 0, 31]), np.array([10.0, 30, 30, 60, 41])  # a tall box behind one that begins below all before it
+    assert boxes.lines_of_keys(np.zeros(5, int), low, high, [0])[0].tolist() == whole(low.tolist(), high.tolist()) and swept_rows
