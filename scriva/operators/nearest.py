@@ -7,6 +7,8 @@ not grow with the list.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,15 +29,24 @@ def nearest_names(words: DataFrame, names: DataFrame) -> DataFrame:
     return met.groupBy("word").agg(F.min(F.struct("d", "place", "name")).alias("best")).select("word", "best.*")
 
 
-def with_nearest(rows: DataFrame, text: str, wanted: Column, clean: Column, names: DataFrame, out: str, least: int = 4) -> DataFrame:
+#: Texts with a name that are broadcast, at most: 64 letters of a key and a name each.
+FEW = 200_000
+
+
+def with_nearest(rows: DataFrame, text: str, wanted: Column, clean: Column, names: DataFrame, out: str, least: int = 4, store: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """rows with the name nearest to a word of the column `text`, for rows that want one: least distance, then first word, then place.
 
     clean: the words of the text to compare, as an array. What is nearest depends on the text alone, so that equal texts are looked
-    up once and rows need no id. Rows that want none meet nothing and are spread over all tasks.
+    up once and rows need no id. Rows that want none meet nothing and are spread over all tasks. With store, which writes a table
+    and reads it back, texts with a name are counted: few of them are broadcast, as a text may be that of very many rows.
     """
     key = F.when(wanted, F.sha2(F.coalesce(F.col(text), F.lit("")), 256)).otherwise(F.concat(F.lit("-"), F.xxhash64(text).cast("string")))
     keyed = rows.withColumn("_key", key)
     texts = rows.where(wanted).select(key.alias("_key"), clean.alias("_words")).dropDuplicates(["_key"])
     each = texts.select("_key", F.posexplode("_words").alias("i", "word")).where(F.length("word") >= least)
     best = each.join(nearest_names(each, names), "word").groupBy("_key").agg(F.min(F.struct("d", "i", "place", "name")).alias("best"))
-    return keyed.join(best.select("_key", F.col("best.name").alias(out)), "_key", "left").drop("_key")
+    found = best.select("_key", F.col("best.name").alias(out))
+    if store:
+        found = store(found, "nearest")
+        found = found.hint("broadcast" if found.count() <= FEW else "merge")
+    return keyed.join(found, "_key", "left").drop("_key")

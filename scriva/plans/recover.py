@@ -99,10 +99,10 @@ def bare_words(text: Column) -> Column:
     return F.transform(x.words_of(text), lambda w: F.regexp_replace(F.upper(w), "[^A-Z]", ""))
 
 
-def with_fuzzy_medicine(rows: DataFrame, text: str, wanted: Column, out: str = "fuzzy", names: DataFrame | None = None) -> DataFrame:
+def with_fuzzy_medicine(rows: DataFrame, text: str, wanted: Column, out: str = "fuzzy", names: DataFrame | None = None, store: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """rows with the listed medicine within distance 1 of a word of four letters or more: least distance, then first word, then list order."""
     names = medicine_names(rows.sparkSession) if names is None else names
-    return with_nearest(rows, text, wanted, bare_words(F.col(text)), names, out)
+    return with_nearest(rows, text, wanted, bare_words(F.col(text)), names, out, store=store)
 
 
 def medicine_before_dose(words: Column) -> Column:
@@ -147,7 +147,7 @@ def recover(df: DataFrame, store: Callable[[DataFrame, str], DataFrame] | None =
     """df (with missing_fields and format_errors of a validation) with its bad fields repaired. store cuts the plan half way."""
     kept = df.columns
     df = df.withColumns({"base": base_confidence(), "to_repair": F.array_union("missing_fields", "format_errors")})
-    df = with_fuzzy_medicine(df, "joined", is_bad("MEDICINE")).withColumn("words", x.words_of(F.col("joined")))
+    df = with_fuzzy_medicine(df, "joined", is_bad("MEDICINE"), store=store).withColumn("words", x.words_of(F.col("joined")))
     text = F.array_join("lines", "\n")
     df = df.withColumns({"dates": good_dates(text), "parts": partial_dates(text), "policy_date": glued_date(text), "policy_part": glued_policy(text)})
 

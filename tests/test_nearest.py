@@ -42,3 +42,12 @@ def test_rows_and_texts(spark):
     assert got.columns == ["id", "text", "bad", "fuzzy"]
     assert sorted((str(r["id"]), r["fuzzy"]) for r in got.collect() if r["fuzzy"]) == [("1", "VALIUM"), ("1", "VALIUM"), ("5", "CLONAZAPAM"), ("None", "VALIUM")]
     assert got.count() == len(rows) and recover.with_fuzzy_medicine(table.limit(0), "text", F.col("bad")).count() == 0
+
+
+def test_a_text_of_many_rows_is_no_hot_key(spark):
+    kept = []
+    table = spark.range(1000).select("id", F.when(F.col("id") >= 0, "x ALIUM y").alias("text"))
+    got = recover.with_fuzzy_medicine(table, "text", F.col("id") >= 0, store=lambda df, name: kept.append(name) or df.localCheckpoint())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert kept == ["nearest"] and "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert {(r["fuzzy"], r["n"]) for r in got.groupBy("fuzzy").agg(F.count("*").alias("n")).collect()} == {("VALIUM", 1000)}
