@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from scriva import queries as q
 from scriva.functions import lexicons as lex
-from scriva.plans import fixtures, metrics
+from scriva.plans import fixtures, metrics, pipeline
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,3 +28,20 @@ def test_pass_has_no_errors(done):
 def test_metrics_add_up(done):
     n = done[2].count()
     assert metrics.recovery_metrics(done[2]).where(F.col("extracted") + F.col("recovered") + F.col("failed") != n).isEmpty()
+
+
+def test_a_query_makes_only_the_stages_that_it_reads(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(fixtures, "_kept", {})
+    monkeypatch.setattr(fixtures, "stored", lambda df, name: made.append(name) or df.limit(0))
+    monkeypatch.setattr(pipeline, "second_stage", lambda *a: made.append("second"))
+    q.QUERIES["ext_birth_date"](spark, SF)
+    assert made == ["bills-prepared", "bills-placed"]
+    q.QUERIES["distinct_values"](spark, SF)
+    assert made == ["bills-prepared", "bills-placed", "bills-1"]
+
+
+def test_rows_are_spread_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "TASK_ROWS", 100)
+    sizes = [n for n, in fixtures.spread(spark.range(0, 1500, 1, 6)).groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) == 15 and max(sizes) <= 150
