@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from scriva import queries as q
 from scriva.functions import fields as x
 from scriva.functions import normalize as norm
-from scriva.plans import recover
+from scriva.plans import recover, sections
 
 SF = "/root/testdata/sf0.001"
 
@@ -65,3 +65,11 @@ def test_against_sql(spark, duck, name):
     assert set(names) == set(df.columns)
     got = df.select(*[f"`{n}`" for n in names]).collect()
     assert repr(canon(map(tuple, got))) == repr(canon(cur.fetchall()))
+
+
+def test_names_are_compared_ahead_of_the_shown_section(spark):
+    rows = [(["aa", "bb", "John Bakr", "x CA y", "John Baker"], 2), (["aa", "x CA y", "John Baker"], 1), (["John Baker", "John Baker", "cc", "John Baker"], 3), (["aa", "O+", "John Baker"], 2), (["aa"], None), ([], None)]
+    table = spark.createDataFrame([(ls, "John Baker", want) for ls, want in rows], "lines array<string>, name string, want int")
+    found = sections.boundaries(table)
+    assert found.columns == ["lines", "name", "want", "i_ship", "i_pol", "i_med"]
+    assert found.where("not (i_ship <=> want)").count() == 0
