@@ -6,8 +6,8 @@ batch are normalised and cut into pieces together, as one flat array of code poi
 pieces are merged in rounds: the symbols of all pieces lie in one flat array, the ranks of neighbouring pairs are found by
 binary search over the sorted pair keys, and each round merges the leftmost pair of lowest rank of every piece; later rounds
 look up only the pairs that a merge has made. Very long pieces, of which each would need many rounds, are merged one by one
-with a heap. Ids and decoded texts are gathered from chunks to documents by Arrow. A worker remembers pieces, not texts, and
-forgets them all when it has REMEMBERED of them.
+with a heap. Ids and decoded texts are gathered from chunks to documents by Arrow. A worker remembers pieces, not texts, as an
+Arrow array that the pieces of a batch are looked up in at once, up to REMEMBERED of them until its task ends.
 
 Defined cases: a null text counts as empty and has no tokens; special-token strings inside a text are special tokens, as in
 the library; bytes that are no UTF-8 count as U+FFFD; texts of any length are encoded whole; further columns are carried along
@@ -59,10 +59,10 @@ UNKNOWN_MARKS = [
 ]
 AT_MARKS = re.compile("([" + "".join(f"{chr(a)}-{chr(b)}" for a, b in UNKNOWN_MARKS) + "])")
 
-#: Pieces that a worker remembers at most between batches.
-REMEMBERED = 100_000
+#: Pieces that a worker remembers at most between batches: those of the first ones. A batch of invented words may have 50,000.
+REMEMBERED = 150_000
 LONG_PIECE = 300
-BATCH_BYTES = 1_500_000
+BATCH_BYTES = 1_000_000
 NO_RANK = np.iinfo(np.int64).max
 
 
@@ -101,7 +101,7 @@ def point_tables() -> tuple[np.ndarray, np.ndarray]:
 
 def composed(text: str) -> str:
     """NFC as the library has it."""
-    if max(text) >= chr(UNKNOWN_MARKS[0][0]) and AT_MARKS.search(text):
+    if np.frombuffer(text.encode("utf-32-le"), np.uint32).max() >= UNKNOWN_MARKS[0][0] and AT_MARKS.search(text):
         return "".join(part if k % 2 else unicodedata.normalize("NFC", part) for k, part in enumerate(AT_MARKS.split(text)))
     return unicodedata.normalize("NFC", text)
 
@@ -167,7 +167,7 @@ class WordBPE:
 
     def forget(self) -> None:
         """Pieces are known by their number; their ids lie one after another."""
-        self.known: dict[bytes, int] = {}
+        self.known = pa.array([], pa.binary())
         self.held, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
 
     def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,12 +199,10 @@ class WordBPE:
                     heapq.heappush(heap, (hit[0], x, symbols[x], symbols[y], hit[1]))
         return [s for s in symbols if s >= 0]
 
-    def merge_rounds(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of pieces, one piece after another, and how many each has."""
-        raw = np.frombuffer(b"".join(pieces), np.uint8)
-        lengths = np.array([len(w) for w in pieces])
+    def merge_rounds(self, raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces of these lengths, one piece after another, and how many each has."""
         ends = np.cumsum(lengths) - 1
-        owner, symbol = np.repeat(np.arange(len(pieces)), lengths), self.inner[raw]
+        owner, symbol = np.repeat(np.arange(len(lengths)), lengths), self.inner[raw]
         symbol[ends] = self.last[raw[ends]]
         rank, made = np.full(len(raw), NO_RANK), np.zeros(len(raw), np.int64)
         key = raw[:-1].astype(np.int64) * 256 + raw[1:]
@@ -239,20 +237,25 @@ class WordBPE:
             if len(rank):
                 rank[-1] = NO_RANK
         owner, symbol = np.concatenate([d[0] for d in done]), np.concatenate([d[1] for d in done])
-        return symbol[np.argsort(owner, kind="stable")].astype(np.int32), np.bincount(owner, minlength=len(pieces))
-
-    def learn(self, pieces: list[bytes]) -> None:
-        short, long = [w for w in pieces if len(w) <= LONG_PIECE], [w for w in pieces if len(w) > LONG_PIECE]
-        ids, counts = self.merge_rounds(short) if short else (np.empty(0, np.int32), np.empty(0, np.int64))
-        found = [ids]
-        for w in long:
-            raw = np.frombuffer(w, np.uint8)
-            found.append(np.array(self.merge_long([*self.inner[raw[:-1]].tolist(), int(self.last[raw[-1]])]), np.int32))
-            counts = np.append(counts, len(found[-1]))
-        for w in (*short, *long):
-            self.known[w] = len(self.known)
-        self.held = np.concatenate([self.held, *found])
-        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(counts))
+        return symbol[np.argsort(owner, kind="stable")].astype(np.int32), np.bincount(owner, minlength=len(lengths))
+
+    def merged(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, one piece after another, and where each piece's end (a zero first)."""
+        lengths = np.asarray(pc.binary_length(pieces)).astype(np.int64)
+        long = np.flatnonzero(lengths > LONG_PIECE)
+        short = pieces.filter(pa.array(lengths <= LONG_PIECE)) if len(long) else pieces
+        ids, counts = np.empty(0, np.int32), np.zeros(len(pieces), np.int64)
+        if len(short):
+            ends = np.frombuffer(short.buffers()[1], np.int32)[short.offset : short.offset + len(short) + 1]
+            ids, counts[lengths <= LONG_PIECE] = self.merge_rounds(np.frombuffer(short.buffers()[2], np.uint8)[ends[0] : ends[-1]], np.diff(ends))
+        if not len(long):
+            return ids, np.append(0, np.cumsum(counts))
+        places, found = np.cumsum(counts)[long], []
+        for k in long:
+            raw = np.frombuffer(pieces[k].as_buffer(), np.uint8)
+            found.append(self.merge_long([*self.inner[raw[:-1]].tolist(), int(self.last[raw[-1]])]))
+            counts[k] = len(found[-1])
+        return np.insert(ids, np.repeat(places, counts[long]), np.concatenate(found)), np.append(0, np.cumsum(counts))
 
     def chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct chunks, one chunk after another, and how many each has."""
@@ -264,15 +267,18 @@ class WordBPE:
         text = str(joined[0].as_buffer(), "utf-8", "replace")
         pieces, per_chunk = pieces_of(text, len(chunks)) if text else (pa.array([], pa.binary()), np.zeros(len(chunks), np.int64))
         coded = pieces.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.known) + len(distinct) > REMEMBERED:
-            self.forget()
-        if new := [w for w in distinct if w not in self.known]:
-            self.learn(new)
-        number = np.array([self.known[w] for w in distinct], np.int64)[np.asarray(coded.indices)] if distinct else np.empty(0, np.int64)
-        counts = self.ends[number + 1] - self.ends[number]
+        distinct = coded.dictionary
+        number = np.asarray(pc.fill_null(pc.index_in(distinct, value_set=self.known), -1)).copy()
+        new = number < 0
+        fresh, ends = self.merged(distinct.filter(pa.array(new)))
+        number[new] = np.arange(len(self.known), len(self.known) + len(ends) - 1)
+        held, ends = np.append(self.held, fresh), np.append(self.ends, self.ends[-1] + ends[1:])
+        if len(ends) <= REMEMBERED:
+            self.known, self.held, self.ends = pa.concat_arrays([self.known, distinct.filter(pa.array(new))]), held, ends
+        number = number[np.asarray(coded.indices)]
+        counts = ends[number + 1] - ends[number]
         before = np.cumsum(counts) - counts
-        ids = self.held[np.repeat(self.ends[number] - before, counts) + np.arange(int(counts.sum()))]
+        ids = held[np.repeat(ends[number] - before, counts) + np.arange(int(counts.sum()))]
         upto = np.append(0, np.cumsum(counts))
         cuts = np.append(0, np.cumsum(per_chunk))
         per_chunk = upto[cuts[1:]] - upto[cuts[:-1]]
@@ -294,7 +300,7 @@ class WordBPE:
         first = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
         decoded = pc.binary_join(pa.ListArray.from_arrays(first, self.names.take(pa.array(ids))), " ")
         at = np.asarray(coded.indices)
-        upto = np.append(0, np.cumsum(counts[at]))
+        upto = np.append(0, np.cumsum(counts[at], dtype=np.int32))
         offsets = np.asarray(words.offsets)
         per_word = pa.ListArray.from_arrays(first, pa.array(ids, pa.int32())).take(coded.indices)
         of_text = pa.ListArray.from_arrays(pa.array(upto[offsets].astype(np.int32)), per_word.flatten())
@@ -334,5 +340,6 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", kee
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), ids, decoded], names=[*names, "ids", "decoded"])
         bpe.forget()  # an idle worker holds the tokenizer only
+        pa.default_memory_pool().release_unused()
 
     return bounded_batches(docs.select(*names, *([] if keep_text else [text_col]))).mapInArrow(run, schema)

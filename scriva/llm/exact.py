@@ -15,6 +15,8 @@ moving texts to their groups and gives the same result.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +29,8 @@ OPEN_GROUPS = 500_000
 
 
 def normalised(text: Column) -> Column:
-    return F.translate(F.coalesce(text, F.lit("")), BLANKS, "")
+    # Six passes of `replace`, which works on bytes, take less time than one of `translate`, which works on characters.
+    return functools.reduce(lambda left, blank: F.replace(left, F.lit(blank), F.lit("")), BLANKS, F.coalesce(text, F.lit("")))
 
 
 def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:

@@ -430,6 +430,42 @@ def test_bpe_of_mixed_texts():
     assert coder.encode_batch(pa.array(texts[:9]))[0].to_pylist() == want[:9]
 
 
+def test_fingerprints_of_many_sets():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (0, 3, 1, 0, 0, 50, 0)]
+    one, two = jaccard.fingerprints(sets)
+    for k, s in enumerate(sets):
+        alone = jaccard.fingerprints([s])
+        assert (one[k], two[k]) == (alone[0][0], alone[1][0])
+    assert len({*one.tolist()}) == 4 and two[0] == two[3] == 0 and len(jaccard.fingerprints([])[0]) == 0
+    assert jaccard.nodes_of(one[[1, 1, 2]], np.array([4, 5, 4])).tolist() == [jaccard.nodes_of(one[[k]], np.array([b]))[0] for k, b in ((1, 4), (1, 5), (2, 4))]
+
+
+def test_bpe_merges_a_piece_once(monkeypatch):
+    coder = bpe.WordBPE(open(bpe.default_path(), "rb").read())
+    rng = random.Random(4)
+    words = list({"".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(110_000)})
+    first, second = (pa.array([" ".join(words[k : k + 500]) for k in range(a, len(words), 500)]) for a in (0, 50_000))
+    coder.encode_batch(first)
+    merged, whole = [], coder.merge_rounds
+    monkeypatch.setattr(coder, "merge_rounds", lambda *a: (found := whole(*a), merged.append(len(found[1])))[0])
+    again = coder.encode_batch(second)[0].to_pylist()
+    assert sum(merged) == 0
+    coder.encode_batch(pa.array(["zzzyyyxxx " + words[0]]))
+    assert sum(merged) == 1
+    coder.forget()
+    assert coder.encode_batch(second)[0].to_pylist() == again
+
+
+def test_bpe_of_long_pieces_among_others():
+    tokenizers = pytest.importorskip("tokenizers")
+    library = tokenizers.Tokenizer.from_file(bpe.default_path())
+    coder = bpe.WordBPE(open(bpe.default_path(), "rb").read())
+    texts = ["x" * 700, "b " + "xyz" * 300 + " c " + "yx" * 350 + "d' e", "", None, "the b " + "yx" * 350, "x" * 700 + "1 " + "q" * 301 + "z" * 300]
+    for some in (texts, texts[2:], texts[2:4]):
+        assert coder.encode_batch(pa.array(some, pa.string()))[0].to_pylist() == [library.encode(t or "", add_special_tokens=False).ids for t in some]
+
+
 def test_bpe_columns(spark):
     rows = [(1, "a b", "x", 5), (None, None, "y", 6), (1, "", "z", 7)]
     table = spark.createDataFrame(rows, "doc_id long, text string, decoded string, ids int")
