@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -10,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scriva.llm import bpe, chat, decontaminate, exact, hashing, jaccard, langid, licences, repeats, shards, substrings, suffix_dedup
 from scriva.llm.suffixes import suffix_array
@@ -219,6 +221,59 @@ def test_repeats_of_split_seeds(spark, monkeypatch, words):
     assert sorted(got) == sorted(want)
 
 
+class Batches:
+    """Stands for a table, and gives the function that its batches go through."""
+
+    schema = {"doc_id": T.StructField("doc_id", T.LongType())}
+
+    def repartition(self, *keys):
+        return self
+
+    def sortWithinPartitions(self, *keys):
+        return self
+
+    def mapInArrow(self, function, schema):
+        return function
+
+
+def peak_mb(function, batch):
+    """The rows that function makes of a batch, and the most MB that Python and numpy held meanwhile."""
+    tracemalloc.start()
+    try:
+        out = [r for b in function(iter([batch])) for r in b.to_pylist()]
+        return out, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_repeats_in_bounded_memory():
+    """A batch of many texts, or of many seeds, is worked on piece by piece: 22 and 98 MB, all at once 98 and 271."""
+    rng = np.random.default_rng(5)
+    words = [bytes(rng.integers(97, 123, k).astype(np.uint8)) for k in rng.integers(2, 9, 500)]
+    text = lambda n: b" ".join(words[k] for k in rng.integers(0, 500, n))[:n]
+    texts = [text(4_000) for _ in range(250)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(250), pa.int64()), "text": pa.array(texts, pa.binary()).cast("string"), "text_key": pa.array([0] * 250, pa.int64())})
+    found, mb = peak_mb(repeats._scan(Batches(), False, 400, 64), batch)
+    assert mb < 50
+    alone = [r for k in (0, 99, 249) for r in peak_mb(repeats._scan(Batches(), False, 400, 64), batch.slice(k, 1))[0]]
+    assert [r for r in found if r["doc_id"] in (0, 99, 249)] == alone
+
+    rows = []
+    for seed in range(60):  # pairs of contents that share 500 of their 800 bytes
+        for pair in range(30):
+            common = text(500)
+            rows += [{"seed": seed, "block": 0, "split": seed == 7, "reach": 2 * pair + k, "open": True, "content": text(300) + common if k else common + text(300)} for k in range(2)]
+    schema = pa.schema([("seed", pa.int64()), ("block", pa.int32()), ("split", pa.bool_()), ("reach", pa.int64()), ("open", pa.bool_()), ("content", pa.binary())])
+    run = repeats._match(Batches(), False, 400, suffix_dedup.match)
+    found, mb = peak_mb(run, pa.RecordBatch.from_pylist(rows, schema))
+    assert mb < 150
+    spans = {(r["seed"], r["reach"]): (r["a"], r["b"]) for r in found if r["window"] is None}
+    assert set(spans) == {(s, r) for s in range(60) for r in range(60)}
+    assert all((a <= 300 and b == 800) if r % 2 else (a == 0 and b >= 500) for (_, r), (a, b) in spans.items())
+    alone = [r for s in (0, 7, 59) for r in run(iter([pa.RecordBatch.from_pylist([x for x in rows if x["seed"] == s], schema)])) for r in r.to_pylist()]
+    assert [r for r in found if r["seed"] in (0, 7, 59)] == alone
+
+
 def test_suffix_array():
     rng = random.Random(1)
     for _ in range(300):
