@@ -73,3 +73,13 @@ def test_names_are_compared_ahead_of_the_shown_section(spark):
     found = sections.boundaries(table)
     assert found.columns == ["lines", "name", "want", "i_ship", "i_pol", "i_med"]
     assert found.where("not (i_ship <=> want)").count() == 0
+
+
+def test_settled_texts_are_those_that_no_rule_changes(spark):
+    settled = ["12345 John Baker\nNashville TN 37001 (615) 423-1077\nUS 01/02/1950", "SR_40013 $100.50\nRuth Jones BaX_Ruth_70001\nVisa VALIUM 2.5MG 30"]
+    other = ["#DIV/0$2.00", "68489US", "37874423351-1077", "04//07", "CA26728", "AnaheimcA 65847", "GeorgeUGriffin", "0 7/11/49", "3 /4", "X2.5MG", "born01/02/1950", "01/02/1950x", "ab1", "6154231077", "200-200000", "123456789", "A12", "ca", "x , y", "$ 2", "baX Ruth 70001", "BaX_Ruth_7000A", "BaX_Al_70001 BaX_Bo_70002", "a  b", " a", "a\n\nb", "a\tb", ""]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(settled + other)], "k int, t string")
+    found = rows.select("k", norm.is_settled(F.col("t")).alias("s")).collect()
+    assert sorted(k for k, s in found if s) == [0, 1]
+    done = norm.normalize(rows.select("k", "t", F.split("t", "\n").alias("lines"))).where("k < 2")
+    assert [(r.t, r.corrections, r.norm_factor) for r in done.select(F.array_join("lines", "\n").alias("t"), "corrections", "norm_factor").orderBy("k").collect()] == [(t, 0, 1.0) for t in settled]
